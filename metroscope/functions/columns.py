@@ -23,6 +23,44 @@ def timestamp_of(df: DataFrame, name: str) -> Column:
     return parse_timestamp(F.col(name))
 
 
+def rnd(c: Column, digits: int = 0) -> Column:
+    """Round the binary double scaled by 10^digits, half away from zero.
+
+    Same arithmetic as DuckDB's ``round`` on doubles, and closer to Python's
+    binary-exact ``round`` than Spark's ``round`` (which rounds the shortest decimal
+    text, so 1.005 -> 1.01). Floor is taken in double arithmetic (``a - a % 1``), so
+    no long overflow for large values; the sign of zero is kept.
+    """
+    m = float(10 ** digits)
+    s = c.cast("double") * F.lit(m)
+    a = F.abs(s) + F.lit(0.5)
+    return F.signum(s) * (a - a % F.lit(1.0)) / F.lit(m)
+
+
+def to_units(c: Column, unit_digits: int = 6) -> Column:
+    """Fixed-point units (value x 10^unit_digits as long) for exact sums of short decimals."""
+    return rnd(c.cast("double") * F.lit(float(10 ** unit_digits)), 0).cast("long")
+
+
+def exact_mean(units_sum: Column, n: Column, digits: int, unit_digits: int = 6) -> Column:
+    """Mean of fixed-point values rounded half away from zero to ``digits``, in integer
+    arithmetic (no float summation order, so ties like x.xx5 resolve the same in every
+    engine and on every retry). ``n = 0`` gives null."""
+    k = n * F.lit(10 ** (unit_digits - digits))
+    a = F.abs(units_sum) * 2 + k
+    q = (a - a % (k * 2)) / (k * 2)
+    return F.when(n > 0, F.signum(units_sum) * q / F.lit(float(10 ** digits)))
+
+
+def mean_rounded(c: Column, digits: int, unit_digits: int = 6, over=None) -> Column:
+    """``round(avg(c), digits)`` computed exactly (see ``exact_mean``); works as a
+    grouped aggregate or, with ``over``, as a window aggregate."""
+    s, n = F.sum(to_units(c, unit_digits)), F.count(c)
+    if over is not None:
+        s, n = s.over(over), n.over(over)
+    return exact_mean(s, n, digits, unit_digits)
+
+
 def safe_ratio(num: Column, den: Column) -> Column:
     """A4: num / den, 0.0 when den is 0 (guarded, so ANSI never divides by zero)."""
     return F.when(den > 0, num / den).otherwise(F.lit(0.0))

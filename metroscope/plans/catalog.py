@@ -62,3 +62,94 @@ def w1_baseline_168h(spark, sf):
 def a15_duplicate_keys(spark, sf):
     """Duplicate (city, hour) keys in the raw hourly output (one hour ingested on two days, Q4)."""
     return finish(bl.duplicate_city_windows(lake.hourly(spark, sf)).withColumnRenamed("count", "n_rows"))
+
+
+# ---------------------------------------------------------------- daily path
+
+from metroscope.functions import verdict as vd  # noqa: E402
+from metroscope.operators import cards as cd  # noqa: E402
+from metroscope.operators import collectors as co  # noqa: E402
+from metroscope.operators import merge as mg  # noqa: E402
+from metroscope.operators import news as nw  # noqa: E402
+from metroscope.operators import scoring as sc  # noqa: E402
+from metroscope.operators import serving as sv  # noqa: E402
+from metroscope.plans import daily  # noqa: E402
+
+
+@query("w13_dedup_latest")
+def w13_dedup_latest(spark, sf):
+    """Re-delivered requests: every third order arrives again later with a new status."""
+    base = fixtures.requests_daily(spark, sf)
+    again = base.filter(F.col("service_request_id").cast("long") % 3 == 0).withColumns(
+        {"status": F.lit("closed"), "updated_datetime": F.col("updated_datetime") + F.expr("INTERVAL 30 DAYS")}
+    )
+    return finish(mg.keep_latest(base.unionByName(again), ["service_request_id"], ["updated_datetime"]))
+
+
+@query("m4_resolution_hours")
+def m4_resolution_hours(spark, sf):
+    return finish(daily.requests(spark, sf).select("service_request_id", "status", "resolution_hrs"))
+
+
+@query("f2_city_filter")
+def f2_city_filter(spark, sf):
+    ev = nw.with_obs_date(nw.coerce(fixtures.news_events(spark, sf)))
+    m = nw.match_cities(ev, fixtures.CITIES)
+    return finish(m.select("city", "obs_date", "SOURCEURL", "EventRootCode", "AvgTone", nw.is_protest().alias("is_protest")))
+
+
+@query("a6_news_daily")
+def a6_news_daily(spark, sf):
+    return finish(daily.gdelt(spark, sf).drop("avg_tone_7d", "polarity"))
+
+
+@query("w6_tone_7d")
+def w6_tone_7d(spark, sf):
+    return finish(daily.gdelt(spark, sf).select("city", "obs_date", "avg_tone", "avg_tone_7d"))
+
+
+@query("a7_news_daily_distinct")
+def a7_news_daily_distinct(spark, sf):
+    ev = nw.with_obs_date(nw.coerce(fixtures.news_events(spark, sf)))
+    return finish(nw.daily_rollup_distinct(nw.match_cities_strict(ev, fixtures.STRICT_GEO)))
+
+
+@query("w7_anomaly_score")
+def w7_anomaly_score(spark, sf):
+    counts = sc.daily_request_counts(daily.requests(spark, sf))
+    return finish(sc.anomaly_scores(counts).join(counts, ["city", "d"]))
+
+
+@query("w8_heat_score")
+def w8_heat_score(spark, sf):
+    return finish(sc.heat_scores_by_station(daily.weather(spark, sf)))
+
+
+@query("a13_alert_score")
+def a13_alert_score(spark, sf):
+    return finish(sc.alert_scores(daily.alerts(spark, sf)))
+
+
+@query("e7_signal_scores")
+def e7_signal_scores(spark, sf):
+    return finish(daily.scores(spark, sf))
+
+
+@query("w9_composite_baseline")
+def w9_composite_baseline(spark, sf):
+    return finish(daily.scores(spark, sf).select("city", "score_date", "composite", "composite_baseline_30d"))
+
+
+@query("x7_readiness")
+def x7_readiness(spark, sf):
+    return finish(daily.scores(spark, sf).groupBy("city", "readiness_mode").agg(F.count(F.lit(1)).alias("days")))
+
+
+@query("x10_primary_driver")
+def x10_primary_driver(spark, sf):
+    return finish(daily.scores(spark, sf).select("city", "score_date", vd.primary_driver().alias("primary_driver")))
+
+
+@query("x11_verdict")
+def x11_verdict(spark, sf):
+    return finish(daily.verdicts(spark, sf))

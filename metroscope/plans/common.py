@@ -3,6 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from metroscope.functions.columns import rnd
 from pyspark.sql import types as T
 
 
@@ -14,6 +16,6 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, digits)
+            c = rnd(c, digits) + F.lit(0.0)  # + 0.0 turns -0.0 into 0.0
         cols.append(c.alias(f.name))
     return df.select(*cols)

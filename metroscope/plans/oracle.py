@@ -65,6 +65,23 @@ def _agg(window_col: str) -> str:
  FROM base GROUP BY city, ingest_year, ingest_month, ingest_day, {window_col}"""
 
 
+def xmean(col: str, digits: int, over: str | None = None, u: int = 6) -> str:
+    """Exact ``round(avg(col), digits)`` in integer units (mirrors ``columns.mean_rounded``)."""
+    units = f"CAST(round(({col}) * 1e{u}, 0) AS BIGINT)"
+    w = f" OVER {over}" if over else ""
+    s, n = f"sum({units}){w}", f"count({col}){w}"
+    k = f"(({n}) * {10 ** (u - digits)})"
+    return f"(CASE WHEN {n} > 0 THEN sign({s}) * ((2 * abs({s}) + {k}) // (2 * {k})) / {float(10 ** digits)}::DOUBLE END)"
+
+
+def final(sql: str, *doubles: str) -> str:
+    """Result edge: doubles rounded to 6 places with the sign of zero dropped."""
+    if not doubles:
+        return sql
+    rep = ", ".join(f"round({c}, 6) + 0.0::DOUBLE AS {c}" for c in doubles)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -74,8 +91,8 @@ F_HOURLY = f"hourly AS ({_agg('hour_window')})"
 
 ORACLE["j1_category_mapping"] = with_(F_MAPPING, F_BRONZE, F_SILVER) + """SELECT service_request_id, service_name,
  raw_category, normalized_category, is_infrastructure, is_emergency_type FROM silver"""
-ORACLE["a1_hourly"] = with_(*LAKE) + _agg("hour_window")
-ORACLE["a2_daily"] = with_(*LAKE) + _agg("day_window")
+ORACLE["a1_hourly"] = final(with_(*LAKE) + _agg("hour_window"), "emergency_ratio")
+ORACLE["a2_daily"] = final(with_(*LAKE) + _agg("day_window"), "emergency_ratio")
 ORACLE["a3_category_hourly"] = with_(*LAKE) + """SELECT city, ingest_year, ingest_month, ingest_day,
  hour_window AS window_start, category AS normalized_category, count(service_request_id) AS request_count
  FROM base GROUP BY ALL"""
@@ -91,6 +108,7 @@ _valid = ",\n".join(
 _z = ",\n".join(
     f"round(CASE WHEN {m}_baseline_valid THEN ({m} - {m}_mean) / {m}_std END, 6) AS {m}_zscore" for m in _M
 )
+_W1_DOUBLES = [f"{m}{x}" for m in _M for x in ("", "_mean", "_std", "_zscore")]
 ORACLE["w1_baseline_168h"] = with_(
     *LAKE, F_HOURLY,
     """resum AS (SELECT city, window_start, CAST(sum(total_requests) AS DOUBLE) AS total_requests,
@@ -113,6 +131,10 @@ ORACLE["w1_baseline_168h"] = with_(
  168 AS baseline_window_hours, 24 AS baseline_min_history_points,
  'trailing_time_window' AS baseline_method, 'v1' AS baseline_version
 FROM va"""
+ORACLE["w1_baseline_168h"] = final(ORACLE["w1_baseline_168h"], *_W1_DOUBLES)
 
 ORACLE["a15_duplicate_keys"] = with_(*LAKE, F_HOURLY) + """SELECT city, window_start, count(*) AS n_rows
  FROM hourly GROUP BY city, window_start HAVING count(*) > 1"""
+
+
+from metroscope.plans import oracle_daily  # noqa: E402,F401  (registers daily-path SQL)
