@@ -135,7 +135,7 @@ def metric_cards(
         top_category(requests),
         city_tmax(weather, station_cities),
         heat_streak(weather, st),
-        gdelt.select("city", F.col("obs_date").alias("d"), rnd("avg_tone_7d", 3).alias("media_tone_7d"),
+        gdelt.select("city", F.col("obs_date").alias("d"), rnd(F.col("avg_tone_7d"), 3).alias("media_tone_7d"),
                      F.col("protest_event_count").alias("protest_mentions")),
         precip_72h(weather, st),
     ]
@@ -147,9 +147,9 @@ def metric_cards(
     w = Window.partitionBy("city").orderBy("d").rowsBetween(lo, -1)
     wide = wide.select(
         "*",
-        F.avg("open_backlog").over(w).alias("_b_ob"),
-        F.avg("mean_close_hrs").over(w).alias("_b_mc"),
-        F.avg("tmax").over(w).alias("_b_tx"),
+        mean_rounded(F.col("open_backlog"), 6, over=w).alias("_b_ob"),
+        mean_rounded(F.col("mean_close_hrs"), 6, over=w).alias("_b_mc"),
+        mean_rounded(F.col("tmax"), 6, over=w).alias("_b_tx"),
     )
     d_ob, b_ob = card_baseline(F.col("open_backlog"), F.col("_b_ob"), need_value=False)
     d_mc, b_mc = card_baseline(F.col("mean_close_hrs"), F.col("_b_mc"), need_value=True)

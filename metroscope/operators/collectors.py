@@ -173,7 +173,7 @@ def prefer_primary(primary: DataFrame, fallback: DataFrame, keys=("station_id",
 # ------------------------------------------------------------------ run log
 
 
-def normalize_runs(events: DataFrame) -> DataFrame:
+def normalize_runs(events: DataFrame, now: Column | None = None) -> DataFrame:
     """Pipeline name = last ARN part ('unknown' without ARN); duration =
     max(0, trunc((stop-start)/1000)) when both are set; run_at from stop (else now);
     error text ``error: cause`` stripped of ': ' on failure states only."""
@@ -188,7 +188,8 @@ def normalize_runs(events: DataFrame) -> DataFrame:
         F.when((err != "") | (cause != ""), F.expr("trim(BOTH ': ' FROM concat(coalesce(error, ''), ': ', coalesce(cause, '')))"))
         .otherwise(F.col("status")),
     )
-    run_at = F.when(stop.isNotNull() & (stop != 0), F.timestamp_millis(stop)).otherwise(F.current_timestamp())
+    clock = F.current_timestamp() if now is None else now
+    run_at = F.when(stop.isNotNull() & (stop != 0), F.timestamp_millis(stop)).otherwise(clock)
     return events.select(
         F.when(_truthy(arn), F.element_at(F.split(arn, ":"), -1)).otherwise(F.lit("unknown")).alias("pipeline_name"),
         F.col("executionArn").alias("execution_arn"),

@@ -153,3 +153,212 @@ def x10_primary_driver(spark, sf):
 @query("x11_verdict")
 def x11_verdict(spark, sf):
     return finish(daily.verdicts(spark, sf))
+
+
+# ---------------------------------------------------------------- cards and serving
+
+from metroscope.operators import quality as qa  # noqa: E402
+
+
+def _card_inputs(spark, sf):
+    return daily.spine(spark, sf), daily.requests(spark, sf), daily.weather(spark, sf), daily.stations(spark)
+
+
+@query("u2_metric_cards")
+def u2_metric_cards(spark, sf):
+    return finish(daily.cards(spark, sf))
+
+
+@query("a9_open_backlog")
+def a9_open_backlog(spark, sf):
+    spine, req, _, _ = _card_inputs(spark, sf)
+    return finish(cd.open_backlog(spine, req))
+
+
+@query("a10_mean_close")
+def a10_mean_close(spark, sf):
+    return finish(cd.mean_close_hours(daily.requests(spark, sf)))
+
+
+@query("a11_top_category")
+def a11_top_category(spark, sf):
+    return finish(cd.top_category(daily.requests(spark, sf)))
+
+
+@query("w10_card_baseline")
+def w10_card_baseline(spark, sf):
+    """Card baselines with the 30-day option (Q6): delta and baseline of the three baseline cards."""
+    c = daily.cards(spark, sf, baseline_rows=30)
+    return finish(c.filter(F.col("metric_name").isin("open_backlog", "mean_close_hrs", "tmax")))
+
+
+@query("w11_heat_streak")
+def w11_heat_streak(spark, sf):
+    spine, _, wx, st = _card_inputs(spark, sf)
+    return finish(cd.heat_streak(wx, cd.station_spine(spine, st)))
+
+
+@query("w12_precip_72h")
+def w12_precip_72h(spark, sf):
+    spine, _, wx, st = _card_inputs(spark, sf)
+    return finish(cd.precip_72h(wx, cd.station_spine(spine, st)))
+
+
+@query("f7_latest_metrics")
+def f7_latest_metrics(spark, sf):
+    return finish(sv.latest_metrics(daily.cards(spark, sf)))
+
+
+@query("x12_delta_label")
+def x12_delta_label(spark, sf):
+    c = daily.cards(spark, sf).filter(F.col("delta_pct").isNotNull())
+    return finish(c.select("city", "metric_date", "metric_name", vd.delta_label(F.col("delta_pct")).alias("delta_label"),
+                           vd.delta_class(F.col("delta_pct")).alias("delta_class")))
+
+
+@query("x13_display_value")
+def x13_display_value(spark, sf):
+    c = daily.cards(spark, sf)
+    return finish(c.select("city", "metric_date", "metric_name", vd.display_value(F.col("value_text"), F.col("value_num")).alias("display")))
+
+
+@query("t4_composite_delta")
+def t4_composite_delta(spark, sf):
+    return finish(sv.composite_view(daily.scores(spark, sf)))
+
+
+@query("e10_latest_composite")
+def e10_latest_composite(spark, sf):
+    return finish(sv.latest_composite(daily.scores(spark, sf)))
+
+
+@query("e10_latest_verdict")
+def e10_latest_verdict(spark, sf):
+    return finish(sv.latest_per_city(daily.verdicts(spark, sf), "verdict_date"))
+
+
+@query("e10_last_updated")
+def e10_last_updated(spark, sf):
+    return finish(sv.last_updated(daily.runs(spark, sf), daily.scores(spark, sf)))
+
+
+@query("j2_history_month")
+def j2_history_month(spark, sf):
+    return finish(sv.history_month(daily.scores(spark, sf), daily.city_weather(spark, sf), daily.gdelt(spark, sf), daily.requests(spark, sf)))
+
+
+@query("j3_history_year")
+def j3_history_year(spark, sf):
+    return finish(sv.history_year(daily.scores(spark, sf), daily.city_weather(spark, sf), daily.gdelt(spark, sf), daily.requests(spark, sf)))
+
+
+# ---------------------------------------------------------------- merges
+
+
+def _existing_and_new_requests(spark, sf):
+    base = fixtures.requests_daily(spark, sf)
+    key = F.col("service_request_id").cast("long")
+    existing = base.filter(key % 2 == 0)
+    new = base.filter(key % 3 == 0).withColumns(
+        {"status": F.lit("closed"), "updated_datetime": F.col("updated_datetime") + F.expr("INTERVAL 1 DAY")}
+    )
+    return existing, new
+
+
+@query("m1_upsert")
+def m1_upsert(spark, sf):
+    existing, new = _existing_and_new_requests(spark, sf)
+    return finish(mg.upsert(existing, new, ["service_request_id"], ["updated_datetime"]))
+
+
+def _existing_and_new_news(spark, sf):
+    g = daily.gdelt(spark, sf).withColumn("polarity", F.lit(0.25))
+    dom = F.dayofmonth("obs_date")
+    existing = g.filter(dom % 2 == 0)
+    new = g.filter(dom % 3 == 0).withColumns(
+        {"num_articles": F.col("num_articles") + 1, "avg_tone_7d": F.lit(None).cast("double"),
+         "polarity": F.lit(None).cast("double")}
+    )
+    return existing, new
+
+
+@query("m2_partial_upsert")
+def m2_partial_upsert(spark, sf):
+    existing, new = _existing_and_new_news(spark, sf)
+    return finish(mg.partial_upsert(existing, new, ["city", "obs_date"], ["avg_tone_7d", "polarity"]))
+
+
+@query("m3_insert_absent")
+def m3_insert_absent(spark, sf):
+    existing, new = _existing_and_new_news(spark, sf)
+    sentinel = new.select(
+        "city", "obs_date", *[F.lit(None).cast("double").alias(c) for c in ("avg_tone", "avg_tone_7d", "polarity")],
+        *[F.lit(0).alias(c) for c in ("protest_event_count", "protest_mention_sum", "num_articles", "source_count")],
+        F.lit(None).cast("double").alias("goldstein_avg"),
+    )
+    return finish(mg.insert_absent(existing, sentinel, ["city", "obs_date"]))
+
+
+# ---------------------------------------------------------------- collectors
+
+
+@query("p2_parse_requests")
+def p2_parse_requests(spark, sf):
+    return finish(co.parse_requests(fixtures.open311_api_rows(spark, sf)))
+
+
+@query("p3_parse_socrata")
+def p3_parse_socrata(spark, sf):
+    return finish(co.parse_socrata(fixtures.socrata_rows(spark, sf)))
+
+
+@query("p4_alerts")
+def p4_alerts(spark, sf):
+    return finish(daily.alerts(spark, sf))
+
+
+@query("p5_json_props")
+def p5_json_props(spark, sf):
+    return finish(co.parse_observations(fixtures.observation_features(spark, sf)))
+
+
+@query("a5_weather_daily")
+def a5_weather_daily(spark, sf):
+    return finish(co.weather_from_observations(co.parse_observations(fixtures.observation_features(spark, sf))))
+
+
+@query("a12_pivot_daily_values")
+def a12_pivot_daily_values(spark, sf):
+    return finish(co.pivot_daily_values(fixtures.daily_values(spark, sf)))
+
+
+@query("j4_source_fallback")
+def j4_source_fallback(spark, sf):
+    obs = co.weather_from_observations(co.parse_observations(fixtures.observation_features(spark, sf)))
+    cdo = co.weather_from_daily_values(co.pivot_daily_values(fixtures.daily_values(spark, sf)))
+    return finish(co.prefer_primary(obs, cdo))
+
+
+@query("p11_run_log")
+def p11_run_log(spark, sf):
+    """Run log rows; the insert clock used for events without a stop time is masked (null)."""
+    return finish(co.normalize_runs(fixtures.run_events(spark, sf), now=F.lit(None).cast("timestamp")))
+
+
+def _validation_counts(spark, sf):
+    parts = [
+        qa.validate_counts(daily.requests(spark, sf), "requests_311", F.to_date("requested_datetime")),
+        qa.validate_counts(daily.weather(spark, sf), "weather_daily", F.col("obs_date")),
+        qa.validate_counts(daily.gdelt(spark, sf), "gdelt_daily", F.col("obs_date")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("f1_validate_counts")
+def f1_validate_counts(spark, sf):
+    return finish(_validation_counts(spark, sf))
+
+
+@query("d9_quality_report")
+def d9_quality_report(spark, sf):
+    return finish(qa.quality_report(_validation_counts(spark, sf)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metroscope.functions.columns import rnd
 from metroscope.sources import tables
 
 # City names by key modulo 3, and the station -> city dimension.
@@ -142,10 +143,10 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.to_date(F.col("o_orderdate")).alias("obs_date"),
         )
         .agg(
-            F.round(F.max(price) / 12500, 2).alias("tmax"),
-            F.round(F.min(price) / 12500, 2).alias("tmin"),
-            F.round(F.max(F.when(F.col("o_orderstatus") == "F", price / 10000)), 2).alias("heat_index_max"),
-            F.round(F.sum(F.when(F.col("o_orderpriority") == "1-URGENT", price / 100000)), 2).alias("precip_6hr_max"),
+            rnd(F.max(price) / 12500, 2).alias("tmax"),
+            rnd(F.min(price) / 12500, 2).alias("tmin"),
+            rnd(F.max(F.when(F.col("o_orderstatus") == "F", price / 10000)), 2).alias("heat_index_max"),
+            rnd(F.sum(F.when(F.col("o_orderpriority") == "1-URGENT", price / 100000)), 2).alias("precip_6hr_max"),
         )
     )
 
@@ -252,7 +253,7 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("stateMachineArn"),
         F.when(st == "F", "SUCCEEDED").when(st == "O", "FAILED").otherwise("TIMED_OUT").alias("status"),
         start_ms.alias("startDate"),
-        F.when(F.col("o_orderkey") % 40 == 0, F.lit(None).cast("bigint"))
+        F.when(failed & (F.col("o_orderkey") % 40 == 0), F.lit(None).cast("bigint"))
         .otherwise(start_ms + F.col("o_custkey") * 997)
         .alias("stopDate"),
         F.when(failed & (F.col("o_custkey") % 4 != 0), F.concat(F.lit("States.E"), (F.col("o_custkey") % 3).cast("string")))
