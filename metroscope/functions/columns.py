@@ -67,8 +67,8 @@ def safe_ratio(num: Column, den: Column) -> Column:
 
 
 def clip(c: Column, lo: float = 0.0, hi: float = 100.0) -> Column:
-    """Clamp into [lo, hi]."""
-    return F.least(F.lit(hi), F.greatest(F.lit(lo), c))
+    """Clamp into [lo, hi]; null stays null (``greatest``/``least`` alone skip nulls)."""
+    return F.when(c.isNotNull(), F.least(F.lit(hi), F.greatest(F.lit(lo), c)))
 
 
 def ordinal(c: Column, pairs) -> Column:

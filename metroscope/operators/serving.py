@@ -107,3 +107,26 @@ def history_year(scores: DataFrame, city_weather: DataFrame, gdelt: DataFrame, r
         F.coalesce(F.col("vol_311"), F.lit(0)).alias("vol_311"),
         F.coalesce(F.col("base_311"), F.lit(0.0)).alias("base_311"),
     )
+
+
+def today_view(requests: DataFrame, weather: DataFrame, station_cities: DataFrame, gdelt: DataFrame) -> DataFrame:
+    """D-5: per (city, day): open requests filed that day, mean close hours of closed ones
+    (rounded to 1), the modal service (ties: smallest), plus the lateral picks - the
+    city's first station by id for tmax / precipitation and that day's news row.
+    Lateral cross joins drop a day without either pick, so these are inner joins."""
+    from metroscope.functions.columns import mean_rounded
+
+    hrs = (F.unix_micros("updated_datetime") - F.unix_micros("requested_datetime")) / F.lit(3.6e9)
+    day = requests.groupBy("city", F.to_date("requested_datetime").alias("d")).agg(
+        F.count_if(F.col("status") == "open").alias("open_backlog"),
+        mean_rounded(F.when(F.col("status") == "closed", hrs), 1).alias("mean_close_hrs"),
+        F.mode("service_name", deterministic=True).alias("top_category"),
+    )
+    wx = weather.join(F.broadcast(station_cities), "station_id").groupBy("city", F.col("obs_date").alias("d")).agg(
+        F.min_by(F.struct("tmax", F.col("precip_6hr_max").alias("prcp")), "station_id").alias("_w")
+    )
+    g = gdelt.select("city", F.col("obs_date").alias("d"), "avg_tone", F.col("protest_event_count").alias("protest_count"))
+    return day.join(wx, ["city", "d"]).join(g, ["city", "d"]).select(
+        "city", "d", "open_backlog", "mean_close_hrs", "top_category",
+        F.col("_w.tmax").alias("tmax"), F.col("_w.prcp").alias("prcp"), "avg_tone", "protest_count",
+    )

@@ -362,3 +362,79 @@ def f1_validate_counts(spark, sf):
 @query("d9_quality_report")
 def d9_quality_report(spark, sf):
     return finish(qa.quality_report(_validation_counts(spark, sf)))
+
+
+# ---------------------------------------------------------------- documented-only operators (D-1..D-10)
+
+from metroscope.operators import geo  # noqa: E402
+from metroscope.operators import media as md  # noqa: E402
+
+# Article location names -> city keys.
+LOCATION_TO_CITY = (("Boston", "boston"), ("Chicago", "chicago"), ("New York", "new york"))
+# Zone polygons (lon, lat vertices in order) for the zone join.
+ZONES = (
+    ("Z1", [-71.495, -71.255, -71.255, -71.495], [42.255, 42.255, 42.495, 42.495]),
+    ("Z2", [-71.245, -71.005, -71.245], [42.255, 42.255, 42.495]),
+    ("Z3", [-71.495, -71.255, -71.205, -71.255, -71.495], [42.005, 42.005, 42.125, 42.245, 42.245]),
+    ("Z4", [-71.195, -71.005, -71.005, -71.195], [42.005, 42.005, 42.245, 42.205]),
+)
+
+
+def _city_articles(spark, sf):
+    return md.article_cities(md.theme_filter(fixtures.articles(spark, sf)), LOCATION_TO_CITY)
+
+
+@query("d1_theme_filter")
+def d1_theme_filter(spark, sf):
+    a = md.theme_filter(fixtures.articles(spark, sf))
+    return finish(a.select("SOURCEURL", "article_ts", "V2Themes", "STRESS_THEMES"))
+
+
+@query("d2_article_city")
+def d2_article_city(spark, sf):
+    return finish(_city_articles(spark, sf).drop("article_ts"))
+
+
+@query("d3_articles_15min")
+def d3_articles_15min(spark, sf):
+    return finish(md.articles_per_slice(_city_articles(spark, sf)))
+
+
+@query("d4_tone_parse")
+def d4_tone_parse(spark, sf):
+    return finish(md.parse_tone(fixtures.articles(spark, sf)))
+
+
+@query("d5_today_view")
+def d5_today_view(spark, sf):
+    return finish(sv.today_view(daily.requests(spark, sf), daily.weather(spark, sf), daily.stations(spark), daily.gdelt(spark, sf)))
+
+
+@query("d6_zone_join")
+def d6_zone_join(spark, sf):
+    zones = spark.createDataFrame(list(ZONES), "zone_id string, xs array<double>, ys array<double>")
+    pts = fixtures.bronze_requests(spark, sf).select("service_request_id", "lat", "lon")
+    return finish(geo.assign_zones(pts, zones, zone_cell_rows=len(ZONES) * 100))
+
+
+@query("d7_five_signals")
+def d7_five_signals(spark, sf):
+    out = md.five_signals(daily.gdelt(spark, sf), _city_articles(spark, sf), lake.daily(spark, sf),
+                          sc.alert_scores(daily.alerts(spark, sf)))
+    return finish(out)
+
+
+@query("d8_score_window")
+def d8_score_window(spark, sf, city: str = "boston", start: str = "1996-01-01", end: str = "1996-12-31"):
+    """Scores for one city and a date window (the serving endpoint's parametrised filter)."""
+    s = daily.scores(spark, sf)
+    return finish(s.filter((F.col("city") == city) & F.col("score_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))))
+
+
+@query("d10_legacy_profile")
+def d10_legacy_profile(spark, sf):
+    req, wx, st, al, gd = daily.requests(spark, sf), daily.weather(spark, sf), daily.stations(spark), daily.alerts(spark, sf), daily.gdelt(spark, sf)
+    counts = sc.daily_request_counts(req)
+    anomaly, heat, alert, context = sc.anomaly_scores(counts), sc.heat_scores(wx, st), sc.alert_scores(al), sc.context_scores(gd)
+    signals = sc.assemble(sc.date_spine(counts, heat, alert, context), anomaly, heat, alert, context)
+    return finish(sc.legacy_profile(signals, daily.city_weather(spark, sf), gd))

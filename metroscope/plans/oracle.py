@@ -139,3 +139,4 @@ ORACLE["a15_duplicate_keys"] = with_(*LAKE, F_HOURLY) + """SELECT city, window_s
 
 from metroscope.plans import oracle_daily  # noqa: E402,F401  (registers daily-path SQL)
 from metroscope.plans import oracle_serving  # noqa: E402,F401  (cards, serving, merges, collectors)
+from metroscope.plans import oracle_media  # noqa: E402,F401  (documented-only operators)
