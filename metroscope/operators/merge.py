@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroscope.functions.columns import rnd
-
 from metroscope.session import scratch_path
 
 
@@ -90,6 +89,8 @@ def merge_into_path(
     """
     from pyspark.sql.utils import AnalysisException
 
+    if new.isEmpty():
+        return
     try:
         current = spark.read.parquet(root)
     except AnalysisException:

@@ -438,3 +438,30 @@ def d10_legacy_profile(spark, sf):
     anomaly, heat, alert, context = sc.anomaly_scores(counts), sc.heat_scores(wx, st), sc.alert_scores(al), sc.context_scores(gd)
     signals = sc.assemble(sc.date_spine(counts, heat, alert, context), anomaly, heat, alert, context)
     return finish(sc.legacy_profile(signals, daily.city_weather(spark, sf), gd))
+
+
+# ---------------------------------------------------------------- streaming (R1-R3, our extension)
+
+from metroscope.session import scratch_path  # noqa: E402
+from metroscope.streaming import hourly as hs  # noqa: E402
+
+
+def _land_with_redeliveries(spark, sf):
+    """Silver rows landed as files, plus a re-delivery of every 7th request (exact copies)."""
+    silver = lake.silver(spark, sf)
+    landing = scratch_path(spark, "landing")
+    hs.land(silver, landing)
+    hs.land(silver.filter(F.col("service_request_id").cast("long") % 7 == 0), landing)
+    return landing, hs.stream_schema(silver)
+
+
+@query("r1_stream_hourly")
+def r1_stream_hourly(spark, sf):
+    landing, schema = _land_with_redeliveries(spark, sf)
+    return finish(hs.run_hourly_pipeline(spark, landing, schema))
+
+
+@query("r2_stream_dedup")
+def r2_stream_dedup(spark, sf):
+    landing, schema = _land_with_redeliveries(spark, sf)
+    return finish(hs.run_dedup_pipeline(spark, landing, schema))

@@ -140,3 +140,10 @@ ORACLE["a15_duplicate_keys"] = with_(*LAKE, F_HOURLY) + """SELECT city, window_s
 from metroscope.plans import oracle_daily  # noqa: E402,F401  (registers daily-path SQL)
 from metroscope.plans import oracle_serving  # noqa: E402,F401  (cards, serving, merges, collectors)
 from metroscope.plans import oracle_media  # noqa: E402,F401  (documented-only operators)
+
+ORACLE["r1_stream_hourly"] = with_(*LAKE) + """SELECT city, hour_window AS window_start, count(service_request_id) AS total_requests,
+ CAST(sum(is_open) AS BIGINT) AS open_requests, CAST(sum(is_closed) AS BIGINT) AS closed_requests,
+ CAST(sum(is_infrastructure_int) AS BIGINT) AS infrastructure_requests, CAST(sum(is_emergency_type_int) AS BIGINT) AS emergency_requests
+FROM base GROUP BY city, hour_window"""
+ORACLE["r2_stream_dedup"] = with_(F_MAPPING, F_BRONZE, F_SILVER) + """SELECT service_request_id, city, status,
+ requested_at_utc, is_infrastructure, is_emergency_type FROM silver"""
