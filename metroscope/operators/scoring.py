@@ -89,7 +89,8 @@ def context_score_expr(tone: Column, protests: Column) -> Column:
     """``min(100,|tone|/8*100)*0.7 + min(100,protests/20*100)*0.3``; null tone -> 50,
     null protest count -> term 0 (Q19)."""
     tone_s = F.least(F.lit(100.0), F.abs(tone) / 8 * 100)
-    prot_s = F.coalesce(F.least(F.lit(100.0), protests / 20 * 100), F.lit(0.0))
+    # least() skips nulls, so the null case is handled before it
+    prot_s = F.when(protests.isNotNull(), F.least(F.lit(100.0), protests / 20 * 100)).otherwise(F.lit(0.0))
     return F.when(tone.isNull(), F.lit(50.0)).otherwise(rnd(tone_s * 0.7 + prot_s * 0.3, 2))
 
 

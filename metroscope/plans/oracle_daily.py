@@ -100,7 +100,7 @@ alert AS (
 context AS (
  SELECT city, obs_date AS d, CASE WHEN avg_tone_7d IS NULL THEN 50.0::DOUBLE
   ELSE round(least(100.0::DOUBLE, abs(avg_tone_7d) / 8 * 100) * 0.7::DOUBLE
-   + coalesce(least(100.0::DOUBLE, protest_event_count / 20 * 100), 0.0::DOUBLE) * 0.3::DOUBLE, 2) END AS context_score
+   + (CASE WHEN protest_event_count IS NOT NULL THEN least(100.0::DOUBLE, protest_event_count / 20 * 100) ELSE 0.0::DOUBLE END) * 0.3::DOUBLE, 2) END AS context_score
  FROM gdelt),
 alldays AS (SELECT city, d FROM counts UNION ALL SELECT city, d FROM heat UNION ALL SELECT city, d FROM alert
  UNION ALL SELECT city, d FROM context),
