@@ -139,3 +139,46 @@ def category_hourly(base: DataFrame) -> DataFrame:
 def sorted_for_read(df: DataFrame, *extra: str) -> DataFrame:
     """Reader-side order (city, window_start[, category]); writes never sort globally."""
     return df.orderBy("city", "window_start", *extra)
+
+
+BRONZE_COLUMNS = (
+    "source", "city", "batch_id", "ingested_at_utc", "service_request_id", "status", "service_name",
+    "service_code", "description", "requested_datetime", "updated_datetime", "closed_datetime", "address",
+    "lat", "lon", "media_url", "raw_payload",
+)
+
+
+def flatten_records(raw: DataFrame, manifests: DataFrame) -> DataFrame:
+    """E1 / P1 + S2: one bronze row per raw record, stamped with its batch manifest.
+
+    Alternative keys resolve first-present-wins (``lat``/``latitude``,
+    ``long``/``lon``/``longitude``); with a fixed schema a present null cannot be told
+    from an absent key, so this is ``coalesce`` (Q18). The original record is kept as
+    JSON text in ``raw_payload``. Manifests are one row per batch and are joined on
+    ``batch_id``."""
+    def pick(*names: str):
+        cols = [F.col(n) for n in names if n in raw.columns]
+        return F.coalesce(*cols) if cols else F.lit(None)
+
+    payload = F.to_json(F.struct(*[F.col(c) for c in raw.columns if c != "batch_id"]))
+    rec = raw.select(
+        "batch_id",
+        pick("service_request_id").cast("string").alias("service_request_id"),
+        pick("status").alias("status"), pick("service_name").alias("service_name"),
+        pick("service_code").alias("service_code"), pick("description").cast("string").alias("description"),
+        pick("requested_datetime").alias("requested_datetime"), pick("updated_datetime").alias("updated_datetime"),
+        pick("closed_datetime").alias("closed_datetime"), pick("address").cast("string").alias("address"),
+        pick("lat", "latitude").cast("double").alias("lat"), pick("long", "lon", "longitude").cast("double").alias("lon"),
+        pick("media_url").cast("string").alias("media_url"), payload.alias("raw_payload"),
+    )
+    return rec.join(manifests, "batch_id").select(
+        F.lit("open311").alias("source"), "city", "batch_id", "ingested_at_utc", *BRONZE_COLUMNS[4:],
+    )
+
+
+def bronze_partition_columns(bronze: DataFrame) -> DataFrame:
+    """Year / month / day from the ingest time, plus city and batch_id, as partition keys."""
+    ing = F.col("ingested_at_utc").cast("timestamp")
+    return bronze.withColumns({
+        "year": F.date_format(ing, "yyyy"), "month": F.date_format(ing, "MM"), "day": F.date_format(ing, "dd"),
+    })

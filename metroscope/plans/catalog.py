@@ -465,3 +465,129 @@ def r1_stream_hourly(spark, sf):
 def r2_stream_dedup(spark, sf):
     landing, schema = _land_with_redeliveries(spark, sf)
     return finish(hs.run_dedup_pipeline(spark, landing, schema))
+
+
+# ---------------------------------------------------------------- sources and sinks on landed files
+
+from pyspark.sql import types as T  # noqa: E402
+
+from metroscope.sources import io  # noqa: E402
+
+RAW_RECORD_SCHEMA = T.StructType([
+    T.StructField(n, t) for n, t in (
+        ("batch_id", T.StringType()), ("service_request_id", T.StringType()), ("status", T.StringType()),
+        ("service_name", T.StringType()), ("service_code", T.StringType()), ("description", T.StringType()),
+        ("requested_datetime", T.StringType()), ("updated_datetime", T.StringType()),
+        ("closed_datetime", T.StringType()), ("address", T.StringType()), ("lat", T.DoubleType()),
+        ("latitude", T.DoubleType()), ("long", T.DoubleType()), ("lon", T.DoubleType()),
+        ("longitude", T.DoubleType()), ("media_url", T.StringType()),
+    )
+])
+_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+@query("e1_bronze_jsonl")
+def e1_bronze_jsonl(spark, sf):
+    """Raw records landed as JSON lines (S3), manifests per batch (S2), flattened (P1),
+    written partitioned by ingest day / city / batch (S4) and read back FAILFAST."""
+    b = fixtures.bronze_requests(spark, sf)
+    alt = F.col("service_request_id").cast("long") % 5 == 0
+    raw = b.select(
+        "batch_id", "service_request_id", "status", "service_name", "service_code", "description",
+        F.date_format("requested_datetime", _ISO).alias("requested_datetime"),
+        F.date_format("updated_datetime", _ISO).alias("updated_datetime"),
+        F.date_format("closed_datetime", _ISO).alias("closed_datetime"), "address",
+        F.when(~alt, F.col("lat")).alias("lat"), F.when(alt, F.col("lat")).alias("latitude"),
+        F.when(~alt, F.col("lon")).alias("long"), F.when(alt, F.col("lon")).alias("longitude"), "media_url",
+    )
+    landing = scratch_path(spark, "raw-311")
+    io.write_jsonl(raw, landing)
+    manifests = b.select("city", "batch_id", F.date_format("ingested_at_utc", _ISO).alias("ingested_at_utc")).distinct()
+    bronze = lk.flatten_records(io.read_jsonl(spark, landing, RAW_RECORD_SCHEMA), manifests)
+    out = scratch_path(spark, "bronze-311")
+    io.write_jsonl(lk.bronze_partition_columns(bronze.withColumn("ingested_at_utc", F.to_timestamp("ingested_at_utc"))),
+                   out, ["year", "month", "day", "city", "batch_id"])
+    back = spark.read.option("mode", "FAILFAST").json(out)
+    return finish(back.select(
+        "source", "city", F.col("batch_id").cast("string").alias("batch_id"), F.col("service_request_id").cast("string").alias("service_request_id"),
+        "status", "service_name", "service_code", F.col("lat").cast("double").alias("lat"),
+        F.col("lon").cast("double").alias("lon"), F.to_timestamp("requested_datetime").alias("requested_datetime"),
+    ))
+
+
+@query("e12_news_tsv")
+def e12_news_tsv(spark, sf):
+    """E12 on files: the export landed as headerless 58-column TSV (S8), city rows written
+    as CSV by day (S9), then P6 / F2 / F4 / A6 / W6 into the daily news table."""
+    ev = fixtures.news_events(spark, sf)
+    full = ev.select(*[(F.col(c) if c in ev.columns else F.lit(None).cast("string")).alias(c) for c in io.NEWS_COLUMNS])
+    landing = scratch_path(spark, "news-tsv")
+    full.write.option("sep", "\t").option("header", False).csv(landing)
+    read = io.read_news_tsv(spark, landing)
+    matched = nw.match_cities(nw.with_obs_date(nw.coerce(read)), fixtures.CITIES)
+    io.write_news_csv(matched.select("obs_date", "city", "SQLDATE", "EventRootCode", "AvgTone", "SOURCEURL"),
+                      scratch_path(spark, "news-csv"))
+    return finish(nw.gdelt_daily(read, fixtures.CITIES))
+
+
+@query("s6_silver_roundtrip")
+def s6_silver_roundtrip(spark, sf):
+    """S5 + S7 + S6: silver written as parquet partitioned by ingest day and city (dynamic
+    overwrite), read back with the required-column check."""
+    s = lake.silver(spark, sf)
+    root = scratch_path(spark, "silver")
+    io.write_partitioned(lk.bronze_partition_columns(s), root, ["year", "month", "day", "city"])
+    back = io.read_parquet_required(spark, root, lk.SILVER_REQUIRED, "Silver input")
+    return finish(back.select("service_request_id", "city", "batch_id", "normalized_category", "is_infrastructure",
+                              "is_emergency_type", "requested_at_utc", "ingested_at_utc"))
+
+
+@query("s10_mapping_csv")
+def s10_mapping_csv(spark, sf):
+    """The category mapping read from CSV (header + schema check) drives J1."""
+    path = scratch_path(spark, "mapping-csv")
+    fixtures.category_mapping(spark).coalesce(1).write.option("header", True).csv(path)
+    mapping = io.read_mapping_csv(spark, path)
+    s = lk.to_silver(fixtures.bronze_requests(spark, sf), mapping, mapping_rows=len(fixtures.CATEGORY_MAPPING))
+    return finish(s.groupBy("normalized_category", "is_infrastructure", "is_emergency_type").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("s12_date_range")
+def s12_date_range(spark, sf, start: str = "1996-01-01", end: str = "1996-02-01"):
+    """One window of request days as a range predicate on the raw timestamp (the
+    predicate reaches the parquet scan as a pushed filter)."""
+    o = spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet")
+    window = io.date_range_filter(o, "o_orderdate", F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
+    return finish(window.select(F.col("o_orderkey").cast("string").alias("service_request_id"),
+                                F.col("o_orderdate").alias("requested_datetime")))
+
+
+@query("a16_run_summary")
+def a16_run_summary(spark, sf):
+    """Row counts of the three aggregates and the number of valid baselines (one agg each)."""
+    h, d, c = lake.hourly(spark, sf), lake.daily(spark, sf), lake.category_hourly(spark, sf)
+    b = bl.hourly_baselines(h)
+    parts = [
+        h.agg(F.count(F.lit(1)).alias("n")).select(F.lit("hourly_rows").alias("metric"), "n"),
+        d.agg(F.count(F.lit(1)).alias("n")).select(F.lit("daily_rows").alias("metric"), "n"),
+        c.agg(F.count(F.lit(1)).alias("n")).select(F.lit("category_hourly_rows").alias("metric"), "n"),
+        b.agg(F.count_if("baseline_is_valid").alias("n")).select(F.lit("valid_baselines").alias("metric"), "n"),
+    ]
+    return finish(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]))
+
+
+@query("t5_display_sample")
+def t5_display_sample(spark, sf):
+    """T5: the first 50 baseline rows by window (a top-k: TakeOrderedAndProject, no full sort)."""
+    b = lake.hourly_baselines(spark, sf)
+    return finish(b.orderBy("window_start", "city").limit(50).select(
+        "city", "window_start", "total_requests_history_points", "infrastructure_requests_history_points",
+        "emergency_ratio_history_points", "baseline_history_points", "baseline_is_valid"))
+
+
+@query("f8_city_metrics")
+def f8_city_metrics(spark, sf, city: str = "boston"):
+    """F8: one city's cards on its newest metric date (scalar max, then filter)."""
+    c = daily.cards(spark, sf).filter(F.col("city") == city)
+    newest = c.agg(F.max("metric_date").alias("metric_date"))
+    return finish(c.join(newest, "metric_date", "left_semi").select("metric_name", "value_num", "value_text", "delta_pct", "baseline"))

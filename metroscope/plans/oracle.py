@@ -22,7 +22,7 @@ F_MAPPING = """category_mapping(raw_category, normalized_category, is_infrastruc
 
 F_BRONZE = f"""bronze_requests AS (
  SELECT 'open311' AS source, {CITY.format(k='user_id')} AS city,
-  strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y%m%d') AS batch_id,
+  strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y%m%d') || '-' || replace({CITY.format(k='user_id')}, ' ', '_') AS batch_id,
   CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS ingested_at_utc,
   CAST(event_id AS VARCHAR) AS service_request_id,
   CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 'Open' WHEN event_id % 3 = 1 THEN 'closed' ELSE 'in progress' END AS status,
@@ -147,3 +147,4 @@ ORACLE["r1_stream_hourly"] = with_(*LAKE) + """SELECT city, hour_window AS windo
 FROM base GROUP BY city, hour_window"""
 ORACLE["r2_stream_dedup"] = with_(F_MAPPING, F_BRONZE, F_SILVER) + """SELECT service_request_id, city, status,
  requested_at_utc, is_infrastructure, is_emergency_type FROM silver"""
+from metroscope.plans import oracle_sources  # noqa: E402,F401  (file round trips)

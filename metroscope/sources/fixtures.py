@@ -71,7 +71,7 @@ def bronze_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.lit("open311").alias("source"),
         _city(uid).alias("city"),
-        F.date_format(ingested, "yyyyMMdd").alias("batch_id"),
+        F.concat(F.date_format(ingested, "yyyyMMdd"), F.lit("-"), F.replace(_city(uid), F.lit(" "), F.lit("_"))).alias("batch_id"),
         ingested.alias("ingested_at_utc"),
         eid.cast("string").alias("service_request_id"),
         status.alias("status"),
