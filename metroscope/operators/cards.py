@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroscope.functions.columns import mean_rounded, rnd
+from metroscope.functions.columns import exact_mean, mean_rounded, rnd, to_units
 
 from metroscope.operators.frames import combine
 
@@ -22,12 +22,26 @@ def _per_day(df: DataFrame, cols: list[Column]) -> DataFrame:
     return df.select("city", "d", *cols)
 
 
-def open_backlog(spine: DataFrame, requests: DataFrame) -> DataFrame:
+def request_days(requests: DataFrame) -> DataFrame:
+    """The one pass over raw requests the cards and scores need: per (city, day,
+    service, status) the request count and the fixed-point sum / count of resolution
+    hours. Everything downstream reads this small table."""
+    return requests.groupBy("city", F.to_date("requested_datetime").alias("d"), "service_name", "status").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(to_units(F.col("resolution_hrs"))).alias("close_units"),
+        F.count("resolution_hrs").alias("close_n"),
+    )
+
+
+def daily_counts(rdays: DataFrame) -> DataFrame:
+    """Requests per (city, day)."""
+    return rdays.groupBy("city", "d").agg(F.sum("n").alias("cnt"))
+
+
+def open_backlog(spine: DataFrame, rdays: DataFrame) -> DataFrame:
     """Open requests requested on or before d (current status, Q8): daily open
     counts and a running sum on the spine (union + window, no range join)."""
-    opens = requests.filter(F.col("status") == "open").groupBy(
-        "city", F.to_date("requested_datetime").alias("d")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    opens = rdays.filter(F.col("status") == "open").groupBy("city", "d").agg(F.sum("n").alias("n"))
     u = spine.select("city", "d", F.lit(0).cast("long").alias("n"), F.lit(True).alias("_s")).unionByName(
         opens.select("city", "d", "n", F.lit(False).alias("_s"))
     )
@@ -36,19 +50,18 @@ def open_backlog(spine: DataFrame, requests: DataFrame) -> DataFrame:
     return g.select("city", "d", "_s", F.sum("n").over(w).alias("open_backlog")).filter("_s").drop("_s")
 
 
-def mean_close_hours(requests: DataFrame) -> DataFrame:
-    """A10: mean resolution hours of closed requests requested on d, rounded to 2 (Q9)."""
-    closed = requests.filter(F.col("status") == "closed")
-    return closed.groupBy("city", F.to_date("requested_datetime").alias("d")).agg(
-        mean_rounded(F.col("resolution_hrs"), 2).alias("mean_close_hrs")
-    )
+def mean_close_hours(rdays: DataFrame) -> DataFrame:
+    """A10: mean resolution hours of closed requests requested on d, rounded to 2 (Q9),
+    exact from the fixed-point sums."""
+    closed = rdays.filter(F.col("status") == "closed")
+    return closed.groupBy("city", "d").agg(
+        exact_mean(F.sum("close_units"), F.sum("close_n"), 2).alias("mean_close_hrs")
+    ).filter(F.col("mean_close_hrs").isNotNull())
 
 
-def top_category(requests: DataFrame) -> DataFrame:
+def top_category(rdays: DataFrame) -> DataFrame:
     """The most requested service on d; ties go to the smallest name."""
-    c = requests.groupBy("city", F.to_date("requested_datetime").alias("d"), "service_name").agg(
-        F.count(F.lit(1)).alias("cnt")
-    )
+    c = rdays.groupBy("city", "d", "service_name").agg(F.sum("n").alias("cnt"))
     return c.groupBy("city", "d").agg(
         F.min_by("service_name", F.struct((-F.col("cnt")).alias("k"), F.col("service_name").alias("n"))).alias("top_category")
     )
@@ -118,21 +131,22 @@ def card_baseline(value: Column, prior_mean: Column, need_value: bool) -> tuple[
 
 def metric_cards(
     spine: DataFrame,
-    requests: DataFrame,
+    rdays: DataFrame,
     weather: DataFrame,
     station_cities: DataFrame,
     gdelt: DataFrame,
     baseline_rows: int | None = None,
 ) -> DataFrame:
-    """The eight cards per (city, day) in tall form.
+    """The eight cards per (city, day) in tall form, from the per-day request table
+    (``request_days``), the weather and news daily tables.
 
     ``baseline_rows=None`` averages all earlier stored values (Q6 default); an int
     limits the card baseline to that many earlier days."""
     st = station_spine(spine, station_cities)
     parts = [
-        open_backlog(spine, requests),
-        mean_close_hours(requests),
-        top_category(requests),
+        open_backlog(spine, rdays),
+        mean_close_hours(rdays),
+        top_category(rdays),
         city_tmax(weather, station_cities),
         heat_streak(weather, st),
         gdelt.select("city", F.col("obs_date").alias("d"), rnd(F.col("avg_tone_7d"), 3).alias("media_tone_7d"),

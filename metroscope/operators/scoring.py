@@ -148,11 +148,21 @@ def score_signals(
     alerts: DataFrame,
     gdelt: DataFrame,
 ) -> DataFrame:
-    """``signal_scores`` rows for all cities and all days in range."""
-    counts = daily_request_counts(requests)
+    """E7 from raw requests and alerts: ``signal_scores`` rows for all cities and days."""
+    return score_daily(daily_request_counts(requests), weather, station_cities, alert_scores(alerts), gdelt)
+
+
+def score_daily(
+    counts: DataFrame,
+    weather: DataFrame,
+    station_cities: DataFrame,
+    alert_daily: DataFrame,
+    gdelt: DataFrame,
+) -> DataFrame:
+    """E7 from the per-(city, day) inputs: request counts, weather, alert scores, news."""
     anomaly = anomaly_scores(counts)
     heat = heat_scores(weather, station_cities)
-    alert = alert_scores(alerts)
+    alert = alert_daily
     context = context_scores(gdelt)
     spine = date_spine(counts, heat, alert, context)
     scored = with_composite(assemble(spine, anomaly, heat, alert, context))

@@ -69,13 +69,14 @@ def _newest(df: DataFrame, date_col: str, n: int) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def history_month(scores: DataFrame, city_weather: DataFrame, gdelt: DataFrame, requests: DataFrame, n: int = 30) -> DataFrame:
+def history_month(scores: DataFrame, city_weather: DataFrame, gdelt: DataFrame, counts: DataFrame, n: int = 30) -> DataFrame:
     """J2 + A18: per city, the newest 30 scores left-joined to the newest 30 weather,
-    news and 311-volume days; base_311 = mean of the joined volume; nulls -> 0."""
+    news and 311-volume days (``counts``: city, d, cnt); base_311 = mean of the joined
+    volume; nulls -> 0."""
     s = _newest(scores.select("city", F.col("score_date").alias("d"), "composite", F.col("composite_baseline_30d").alias("comp_base")), "d", n)
     wx = _newest(city_weather.select("city", F.col("obs_date").alias("d"), "tmax"), "d", n)
     g = _newest(gdelt.select("city", F.col("obs_date").alias("d"), F.col("avg_tone_7d").alias("tone")), "d", n)
-    v = _newest(requests.groupBy("city", F.to_date("requested_datetime").alias("d")).agg(F.count(F.lit(1)).alias("vol_311")), "d", n)
+    v = _newest(counts.select("city", "d", F.col("cnt").alias("vol_311")), "d", n)
     j = s.join(wx, ["city", "d"], "left").join(g, ["city", "d"], "left").join(v, ["city", "d"], "left")
     j = j.withColumn("base_311", F.avg("vol_311").over(Window.partitionBy("city")))
     return j.select(
@@ -91,13 +92,13 @@ def _by_month(df: DataFrame, date_col: str, aggs) -> DataFrame:
     return df.groupBy("city", F.date_format(d, "MMM").alias("month"), F.month(d).alias("month_num")).agg(*aggs)
 
 
-def history_year(scores: DataFrame, city_weather: DataFrame, gdelt: DataFrame, requests: DataFrame) -> DataFrame:
+def history_year(scores: DataFrame, city_weather: DataFrame, gdelt: DataFrame, counts: DataFrame) -> DataFrame:
     """J3 + A14: per city and calendar month (years merged) averages and 311 volume,
     left-joined on (month, month_num); base_311 = mean monthly volume; nulls -> 0."""
     s = _by_month(scores, "score_date", [F.avg("composite").alias("composite"), F.avg("composite_baseline_30d").alias("comp_base")])
     wx = _by_month(city_weather, "obs_date", [F.avg("tmax").alias("tmax")])
     g = _by_month(gdelt, "obs_date", [F.avg("avg_tone_7d").alias("tone")])
-    v = _by_month(requests, "requested_datetime", [F.count(F.lit(1)).alias("vol_311")])
+    v = _by_month(counts, "d", [F.sum("cnt").alias("vol_311")])
     keys = ["city", "month", "month_num"]
     j = s.join(wx, keys, "left").join(g, keys, "left").join(v, keys, "left")
     j = j.withColumn("base_311", F.avg("vol_311").over(Window.partitionBy("city")))

@@ -116,7 +116,7 @@ def a7_news_daily_distinct(spark, sf):
 
 @query("w7_anomaly_score")
 def w7_anomaly_score(spark, sf):
-    counts = sc.daily_request_counts(daily.requests(spark, sf))
+    counts = daily.inputs(spark, sf).counts
     return finish(sc.anomaly_scores(counts).join(counts, ["city", "d"]))
 
 
@@ -161,7 +161,8 @@ from metroscope.operators import quality as qa  # noqa: E402
 
 
 def _card_inputs(spark, sf):
-    return daily.spine(spark, sf), daily.requests(spark, sf), daily.weather(spark, sf), daily.stations(spark)
+    di = daily.inputs(spark, sf)
+    return di.spine, di.rdays, di.weather, di.stations
 
 
 @query("u2_metric_cards")
@@ -177,12 +178,12 @@ def a9_open_backlog(spark, sf):
 
 @query("a10_mean_close")
 def a10_mean_close(spark, sf):
-    return finish(cd.mean_close_hours(daily.requests(spark, sf)))
+    return finish(cd.mean_close_hours(cd.request_days(daily.requests(spark, sf))))
 
 
 @query("a11_top_category")
 def a11_top_category(spark, sf):
-    return finish(cd.top_category(daily.requests(spark, sf)))
+    return finish(cd.top_category(cd.request_days(daily.requests(spark, sf))))
 
 
 @query("w10_card_baseline")
@@ -244,12 +245,16 @@ def e10_last_updated(spark, sf):
 
 @query("j2_history_month")
 def j2_history_month(spark, sf):
-    return finish(sv.history_month(daily.scores(spark, sf), daily.city_weather(spark, sf), daily.gdelt(spark, sf), daily.requests(spark, sf)))
+    di = daily.inputs(spark, sf)
+    cw = daily.city_weather_of(di.weather, di.stations)
+    return finish(sv.history_month(daily.scores(spark, sf, di), cw, di.gdelt, di.counts))
 
 
 @query("j3_history_year")
 def j3_history_year(spark, sf):
-    return finish(sv.history_year(daily.scores(spark, sf), daily.city_weather(spark, sf), daily.gdelt(spark, sf), daily.requests(spark, sf)))
+    di = daily.inputs(spark, sf)
+    cw = daily.city_weather_of(di.weather, di.stations)
+    return finish(sv.history_year(daily.scores(spark, sf, di), cw, di.gdelt, di.counts))
 
 
 # ---------------------------------------------------------------- merges
@@ -433,11 +438,11 @@ def d8_score_window(spark, sf, city: str = "boston", start: str = "1996-01-01",
 
 @query("d10_legacy_profile")
 def d10_legacy_profile(spark, sf):
-    req, wx, st, al, gd = daily.requests(spark, sf), daily.weather(spark, sf), daily.stations(spark), daily.alerts(spark, sf), daily.gdelt(spark, sf)
-    counts = sc.daily_request_counts(req)
-    anomaly, heat, alert, context = sc.anomaly_scores(counts), sc.heat_scores(wx, st), sc.alert_scores(al), sc.context_scores(gd)
-    signals = sc.assemble(sc.date_spine(counts, heat, alert, context), anomaly, heat, alert, context)
-    return finish(sc.legacy_profile(signals, daily.city_weather(spark, sf), gd))
+    di = daily.inputs(spark, sf)
+    anomaly, heat = sc.anomaly_scores(di.counts), sc.heat_scores(di.weather, di.stations)
+    context = sc.context_scores(di.gdelt)
+    signals = sc.assemble(di.spine, anomaly, heat, di.alert_daily, context)
+    return finish(sc.legacy_profile(signals, daily.city_weather_of(di.weather, di.stations), di.gdelt))
 
 
 # ---------------------------------------------------------------- streaming (R1-R3, our extension)

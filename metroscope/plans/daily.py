@@ -1,7 +1,7 @@
 """Daily-path plans (E5-E11) over the fixture tables, all cities and days at once."""
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from metroscope.operators import merge as mg
 from metroscope.operators import news as nw
 from metroscope.operators import scoring as sc
 from metroscope.operators import serving as sv
+from metroscope.session import scratch_path
 from metroscope.sources import fixtures as fx
 
 CITIES = fx.CITIES
@@ -45,25 +46,65 @@ def gdelt(spark: SparkSession, sf: str) -> DataFrame:
     return nw.gdelt_daily(fx.news_events(spark, sf), CITIES)
 
 
-def scores(spark: SparkSession, sf: str) -> DataFrame:
-    return sc.score_signals(requests(spark, sf), weather(spark, sf), stations(spark), alerts(spark, sf), gdelt(spark, sf))
+MATERIALIZE = "table"  # "table": parquet under spark.checkpoint.dir; "cache": persist(MEMORY_AND_DISK)
 
 
-def spine(spark: SparkSession, sf: str) -> DataFrame:
-    """The scoring spine without computing the scores: (city, d) from first to last day
-    seen in any source for that city."""
+def materialize(spark: SparkSession, df: DataFrame, name: str = "daily") -> DataFrame:
+    """Cut lineage: write a small daily table as parquet under the shared checkpoint
+    folder once (one job; ``checkpoint(eager=True)`` would compute it twice), so every
+    consumer reads it instead of re-scanning the raw tables. A lost executor never
+    forces a recomputation from raw data."""
+    if MATERIALIZE == "cache":
+        from pyspark import StorageLevel
+
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@dataclass(frozen=True)
+class DailyInputs:
+    """Per-(city | station, day) inputs of the daily path. Each raw table is read once."""
+
+    rdays: DataFrame  # requests per (city, day, service, status)
+    counts: DataFrame  # requests per (city, day)
+    weather: DataFrame  # per (station, day)
+    stations: DataFrame
+    alert_daily: DataFrame  # strongest alert per (city, day)
+    gdelt: DataFrame  # per (city, day)
+    spine: DataFrame  # (city, d) calendar spine
+
+
+def inputs(spark: SparkSession, sf: str) -> DailyInputs:
+    rdays = materialize(spark, cd.request_days(requests(spark, sf)), "request-days")
+    wx = materialize(spark, weather(spark, sf), "weather-daily")
+    al = materialize(spark, sc.alert_scores(alerts(spark, sf)), "alert-daily")
+    gd = materialize(spark, gdelt(spark, sf), "news-daily")
     st = stations(spark)
-    days = [
-        fx.requests_daily(spark, sf).select("city", F.to_date("requested_datetime").alias("d")),
-        weather(spark, sf).join(F.broadcast(st), "station_id").select("city", F.col("obs_date").alias("d")),
-        alerts(spark, sf).select("city", F.col("obs_date").alias("d")),
-        gdelt(spark, sf).select("city", F.col("obs_date").alias("d")),
-    ]
-    return sc.date_spine(*days)
+    counts = cd.daily_counts(rdays)
+    heat_days = wx.join(F.broadcast(st), "station_id").select("city", F.col("obs_date").alias("d"))
+    spine = sc.date_spine(counts, heat_days, al, gd.select("city", F.col("obs_date").alias("d")))
+    return DailyInputs(rdays, counts, wx, st, al, gd, spine)
+
 
+def scores(spark: SparkSession, sf: str, di: DailyInputs | None = None) -> DataFrame:
+    di = di or inputs(spark, sf)
+    return sc.score_daily(di.counts, di.weather, di.stations, di.alert_daily, di.gdelt)
 
-def cards(spark: SparkSession, sf: str, baseline_rows: int | None = None) -> DataFrame:
-    return cd.metric_cards(spine(spark, sf), requests(spark, sf), weather(spark, sf), stations(spark), gdelt(spark, sf), baseline_rows)
+
+def spine(spark: SparkSession, sf: str) -> DataFrame:
+    return inputs(spark, sf).spine
+
+
+def cards(spark: SparkSession, sf: str, baseline_rows: int | None = None, di: DailyInputs | None = None) -> DataFrame:
+    di = di or inputs(spark, sf)
+    return cd.metric_cards(di.spine, di.rdays, di.weather, di.stations, di.gdelt, baseline_rows)
+
+
+def city_weather_of(wx: DataFrame, st: DataFrame) -> DataFrame:
+    j = wx.join(F.broadcast(st), "station_id")
+    return j.groupBy("city", "obs_date").agg(F.max("tmax").alias("tmax"), F.max("heat_index_max").alias("heat_index_max"))
 
 
 def verdicts(spark: SparkSession, sf: str) -> DataFrame:
