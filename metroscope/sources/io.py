@@ -113,8 +113,11 @@ def read_news_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_news_csv(df: DataFrame, root: str) -> None:
-    """Filtered events as CSV with header under ``obs_date=`` partitions."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Filtered events as CSV with header under ``obs_date=`` partitions.
+
+    Rows are clustered by day first, so each day is one file (one task), not one file
+    per task and day."""
+    (df.repartition("obs_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("header", True).partitionBy("obs_date").csv(root))
 
 
