@@ -158,13 +158,15 @@ def score_daily(
     station_cities: DataFrame,
     alert_daily: DataFrame,
     gdelt: DataFrame,
+    spine: DataFrame | None = None,
 ) -> DataFrame:
-    """E7 from the per-(city, day) inputs: request counts, weather, alert scores, news."""
+    """E7 from the per-(city, day) inputs: request counts, weather, alert scores, news
+    (and optionally a precomputed calendar spine)."""
     anomaly = anomaly_scores(counts)
     heat = heat_scores(weather, station_cities)
     alert = alert_daily
     context = context_scores(gdelt)
-    spine = date_spine(counts, heat, alert, context)
+    spine = spine if spine is not None else date_spine(counts, heat, alert, context)
     scored = with_composite(assemble(spine, anomaly, heat, alert, context))
     return scored.select(
         "city", F.col("d").alias("score_date"), *SIGNALS, "composite", "composite_baseline_30d", "readiness_mode"

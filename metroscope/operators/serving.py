@@ -34,9 +34,10 @@ def latest_composite(scores: DataFrame) -> DataFrame:
 
 
 def latest_metrics(cards: DataFrame) -> DataFrame:
-    """Card rows of each city's newest metric date (semi join with the per-city max)."""
-    newest = cards.groupBy("city").agg(F.max("metric_date").alias("metric_date"))
-    return cards.join(newest, ["city", "metric_date"], "left_semi")
+    """Card rows of each city's newest metric date. One pass: the per-city max
+    date is a window over the city's card rows (one row per day and card), then a filter."""
+    newest = F.max("metric_date").over(Window.partitionBy("city"))
+    return cards.withColumn("_newest", newest).filter(F.col("metric_date") == F.col("_newest")).drop("_newest")
 
 
 def verdicts(scores: DataFrame, model_id: str = "rule-based-v1") -> DataFrame:
@@ -50,10 +51,9 @@ def verdicts(scores: DataFrame, model_id: str = "rule-based-v1") -> DataFrame:
 def last_updated(runs: DataFrame, scores: DataFrame) -> DataFrame:
     """A17 + E10 fallbacks per city: newest successful run ('success' or 'SUCCEEDED', Q13);
     else the newest score date; else yesterday."""
-    ok = runs.filter(F.col("status").isin("success", "SUCCEEDED")).agg(F.max("run_at").alias("last_run"))
-    per_city = scores.groupBy("city").agg(F.max("score_date").alias("last_score"))
-    # ``ok`` is one global aggregate row: a constant-key broadcast join attaches it.
-    j = per_city.withColumn("_k", F.lit(1)).join(F.broadcast(ok.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    last_run = runs.filter(F.col("status").isin("success", "SUCCEEDED")).agg(F.max("run_at")).scalar()
+    # a scalar subquery: evaluated once, attached as a value (no join)
+    j = scores.groupBy("city").agg(F.max("score_date").alias("last_score")).withColumn("last_run", last_run)
     text = F.when(
         F.col("last_run").isNotNull(), F.concat(F.date_format("last_run", "yyyy-MM-dd HH:mm"), F.lit(" UTC"))
     ).when(F.col("last_score").isNotNull(), F.concat(F.col("last_score").cast("string"), F.lit(" (last scored date)"))).otherwise(F.lit("N/A"))

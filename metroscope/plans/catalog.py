@@ -593,6 +593,5 @@ def t5_display_sample(spark, sf):
 @query("f8_city_metrics")
 def f8_city_metrics(spark, sf, city: str = "boston"):
     """F8: one city's cards on its newest metric date (scalar max, then filter)."""
-    c = daily.cards(spark, sf).filter(F.col("city") == city)
-    newest = c.agg(F.max("metric_date").alias("metric_date"))
-    return finish(c.join(newest, "metric_date", "left_semi").select("metric_name", "value_num", "value_text", "delta_pct", "baseline"))
+    c = sv.latest_metrics(daily.cards(spark, sf).filter(F.col("city") == city))
+    return finish(c.select("metric_name", "value_num", "value_text", "delta_pct", "baseline"))

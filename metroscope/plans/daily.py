@@ -84,13 +84,13 @@ def inputs(spark: SparkSession, sf: str) -> DailyInputs:
     st = stations(spark)
     counts = cd.daily_counts(rdays)
     heat_days = wx.join(F.broadcast(st), "station_id").select("city", F.col("obs_date").alias("d"))
-    spine = sc.date_spine(counts, heat_days, al, gd.select("city", F.col("obs_date").alias("d")))
+    spine = materialize(spark, sc.date_spine(counts, heat_days, al, gd.select("city", F.col("obs_date").alias("d"))), "spine")
     return DailyInputs(rdays, counts, wx, st, al, gd, spine)
 
 
 def scores(spark: SparkSession, sf: str, di: DailyInputs | None = None) -> DataFrame:
     di = di or inputs(spark, sf)
-    return sc.score_daily(di.counts, di.weather, di.stations, di.alert_daily, di.gdelt)
+    return sc.score_daily(di.counts, di.weather, di.stations, di.alert_daily, di.gdelt, di.spine)
 
 
 def spine(spark: SparkSession, sf: str) -> DataFrame:
