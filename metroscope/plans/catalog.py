@@ -14,7 +14,7 @@ from metroscope.operators import baselines as bl
 from metroscope.operators import lake as lk
 from metroscope.plans import lake
 from metroscope.plans.common import finish
-from metroscope.sources import fixtures
+from metroscope.sources import fixtures, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -561,7 +561,7 @@ def s10_mapping_csv(spark, sf):
 def s12_date_range(spark, sf, start: str = "1996-01-01", end: str = "1996-02-01"):
     """One window of request days as a range predicate on the raw timestamp (the
     predicate reaches the parquet scan as a pushed filter)."""
-    o = spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet")
+    o = tables.read(spark, sf, "orders")
     window = io.date_range_filter(o, "o_orderdate", F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
     return finish(window.select(F.col("o_orderkey").cast("string").alias("service_request_id"),
                                 F.col("o_orderdate").alias("requested_datetime")))
@@ -595,3 +595,29 @@ def f8_city_metrics(spark, sf, city: str = "boston"):
     """F8: one city's cards on its newest metric date (scalar max, then filter)."""
     c = sv.latest_metrics(daily.cards(spark, sf).filter(F.col("city") == city))
     return finish(c.select("metric_name", "value_num", "value_text", "delta_pct", "baseline"))
+
+
+@query("p7_timestamps")
+def p7_timestamps(spark, sf):
+    """The three 311 timestamps as landed text (ISO with Z; some empty, blank or garbage)
+    parsed to UTC timestamps; anything unparsable becomes null."""
+    b = fixtures.bronze_requests(spark, sf)
+    eid = F.col("service_request_id").cast("long")
+
+    def text(c):
+        iso = F.date_format(c, _ISO)
+        return F.when(eid % 13 == 0, F.lit("")).when(eid % 29 == 0, F.lit("garbage")).when(eid % 31 == 0, F.lit("   ")).otherwise(iso)
+
+    raw = b.select("service_request_id", *[text(F.col(c)).alias(c) for c in ("requested_datetime", "updated_datetime", "closed_datetime")])
+    from metroscope.functions.columns import parse_timestamp
+
+    return finish(raw.select("service_request_id", *[parse_timestamp(F.col(c)).alias(c.replace("_datetime", "_at_utc"))
+                                                     for c in ("requested_datetime", "updated_datetime", "closed_datetime")]))
+
+
+@query("w4_baseline_validity")
+def w4_baseline_validity(spark, sf):
+    """W2 + W4: per-metric validity (count and std) and the overall count-only validity."""
+    b = lake.hourly_baselines(spark, sf)
+    return finish(b.select("city", "window_start", *[f"{m}_{x}" for m in bl.METRICS for x in ("history_points", "baseline_valid")],
+                           "baseline_history_points", "baseline_is_valid"))

@@ -37,3 +37,18 @@ ORACLE["f8_city_metrics"] = final(
 WHERE city = 'boston' AND metric_date = (SELECT max(metric_date) FROM cards WHERE city = 'boston')""",
     *CARD_DOUBLES,
 )
+
+_P7 = """CASE WHEN event_id % 13 = 0 THEN '' WHEN event_id % 29 = 0 THEN 'garbage' WHEN event_id % 31 = 0 THEN '   '
+ ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%fZ') END"""
+ORACLE["p7_timestamps"] = with_(
+    f"""raw AS (SELECT CAST(event_id AS VARCHAR) AS service_request_id,
+  {_P7.format(c='ts')} AS requested_datetime, {_P7.format(c='ts + to_hours(user_id)')} AS updated_datetime,
+  CASE WHEN event_id % 3 = 1 THEN {_P7.format(c='ts + to_hours(user_id)')} END AS closed_datetime FROM events)"""
+) + """SELECT service_request_id, TRY_CAST(nullif(trim(requested_datetime), '') AS TIMESTAMP) AS requested_at_utc,
+ TRY_CAST(nullif(trim(updated_datetime), '') AS TIMESTAMP) AS updated_at_utc,
+ TRY_CAST(nullif(trim(closed_datetime), '') AS TIMESTAMP) AS closed_at_utc FROM raw"""
+
+_M = ("total_requests", "infrastructure_requests", "emergency_ratio")
+ORACLE["w4_baseline_validity"] = f"""SELECT city, window_start,
+ {", ".join(f"{m}_history_points, {m}_baseline_valid" for m in _M)}, baseline_history_points, baseline_is_valid
+FROM ({ORACLE['w1_baseline_168h']}) AS b"""
