@@ -24,17 +24,45 @@ def timestamp_of(df: DataFrame, name: str) -> Column:
 
 
 def rnd(c: Column, digits: int = 0) -> Column:
-    """Round the binary double scaled by 10^digits, half away from zero.
+    """Round half to even on the double scaled by 10^digits (``rint``) - numpy's and
+    pandas' ``round``, and DuckDB's ``round_even``.
 
-    Same arithmetic as DuckDB's ``round`` on doubles, and closer to Python's
-    binary-exact ``round`` than Spark's ``round`` (which rounds the shortest decimal
-    text, so 1.005 -> 1.01). Floor is taken in double arithmetic (``a - a % 1``), so
-    no long overflow for large values; the sign of zero is kept.
-    """
+    Spark's ``round`` rounds the shortest decimal text half up instead (1.005 -> 1.01,
+    13.25 -> 13.3), while the reference's Python/pandas rounding gives 1.0 and 13.2.
+    The sign of zero is kept."""
+    m = float(10 ** digits)
+    return F.rint(c.cast("double") * F.lit(m)) / F.lit(m)
+
+
+_SPLIT = 134217729.0  # 2**27 + 1, Veltkamp splitting constant
+
+
+def _split(v: float) -> tuple[float, float]:
+    t = v * _SPLIT
+    hi = t - (t - v)
+    return hi, v - hi
+
+
+def pyround(c: Column, digits: int = 0) -> Column:
+    """Python's ``round(x, digits)``: half to even on the *exact* binary value.
+
+    ``x * 10^d`` is computed in doubles and its exact rounding error is recovered with
+    Dekker's two-product (Veltkamp splitting, plain double arithmetic). Only when the
+    product lands exactly on a .5 does the error decide the direction (27.85 is stored
+    just above the midpoint -> 27.9; 2.675 just below -> 2.67; 13.25 is exact -> 13.2).
+    Same arithmetic in every engine, so the DuckDB oracle restates it."""
     m = float(10 ** digits)
-    s = c.cast("double") * F.lit(m)
-    a = F.abs(s) + F.lit(0.5)
-    return F.signum(s) * (a - a % F.lit(1.0)) / F.lit(m)
+    mh, ml = _split(m)
+    x = c.cast("double")
+    p = x * F.lit(m)
+    t = x * F.lit(_SPLIT)
+    xh = t - (t - x)
+    xl = x - xh
+    err = ((xh * F.lit(mh) - p) + xh * F.lit(ml) + xl * F.lit(mh)) + xl * F.lit(ml)
+    fl = F.floor(p).cast("double")
+    half = (p - fl) == F.lit(0.5)
+    r = F.when(half & (err > 0), fl + 1).when(half & (err < 0), fl).otherwise(F.rint(p))
+    return r / F.lit(m)
 
 
 def to_units(c: Column, unit_digits: int = 6) -> Column:
@@ -42,23 +70,23 @@ def to_units(c: Column, unit_digits: int = 6) -> Column:
     return rnd(c.cast("double") * F.lit(float(10 ** unit_digits)), 0).cast("long")
 
 
-def exact_mean(units_sum: Column, n: Column, digits: int, unit_digits: int = 6) -> Column:
-    """Mean of fixed-point values rounded half away from zero to ``digits``, in integer
-    arithmetic (no float summation order, so ties like x.xx5 resolve the same in every
-    engine and on every retry). ``n = 0`` gives null."""
-    k = n * F.lit(10 ** (unit_digits - digits))
-    a = F.abs(units_sum) * 2 + k
-    q = (a - a % (k * 2)) / (k * 2)
-    return F.when(n > 0, F.signum(units_sum) * q / F.lit(float(10 ** digits)))
+def exact_mean(units_sum: Column, n: Column, digits: int, unit_digits: int = 6, python_round: bool = True) -> Column:
+    """Mean of fixed-point values as one correctly rounded division of the exact integer
+    sum, then ``rnd``: the float mean a database AVG would hand back, rounded like the
+    reference, but independent of summation order (so ties resolve the same in every
+    engine and on every task retry). ``n = 0`` gives null. ``python_round`` picks
+    Python's ``round`` (the reference's scalar code) over pandas' (``rnd``)."""
+    mean = units_sum.cast("double") / (n * F.lit(10 ** unit_digits)).cast("double")
+    return F.when(n > 0, (pyround if python_round else rnd)(mean, digits))
 
 
-def mean_rounded(c: Column, digits: int, unit_digits: int = 6, over=None) -> Column:
+def mean_rounded(c: Column, digits: int, unit_digits: int = 6, over=None, python_round: bool = True) -> Column:
     """``round(avg(c), digits)`` computed exactly (see ``exact_mean``); works as a
     grouped aggregate or, with ``over``, as a window aggregate."""
     s, n = F.sum(to_units(c, unit_digits)), F.count(c)
     if over is not None:
         s, n = s.over(over), n.over(over)
-    return exact_mean(s, n, digits, unit_digits)
+    return exact_mean(s, n, digits, unit_digits, python_round)
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

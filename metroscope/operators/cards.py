@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroscope.functions.columns import exact_mean, mean_rounded, rnd, to_units
+from metroscope.functions.columns import exact_mean, mean_rounded, pyround, to_units
 
 from metroscope.operators.frames import combine
 
@@ -106,14 +106,14 @@ def precip_72h(weather: DataFrame, st_spine: DataFrame) -> DataFrame:
     sums = u.select("station_id", "obs_date", "_s", F.sum("precip_6hr_max").over(w).alias("p")).filter("_s")
     per_station = sums.select("station_id", F.col("obs_date").alias("d"), "p")
     return st_spine.join(per_station, ["station_id", "d"], "left").groupBy("city", "d").agg(
-        rnd(F.coalesce(F.max("p"), F.lit(0.0)), 2).alias("precip_72hr_mm")
+        pyround(F.coalesce(F.max("p"), F.lit(0.0)), 2).alias("precip_72hr_mm")
     )
 
 
 def city_tmax(weather: DataFrame, station_cities: DataFrame) -> DataFrame:
     """tmax card: the city's warmest station reading on d, rounded to 1."""
     j = weather.join(F.broadcast(station_cities), "station_id")
-    return j.groupBy("city", F.col("obs_date").alias("d")).agg(rnd(F.max("tmax"), 1).alias("tmax"))
+    return j.groupBy("city", F.col("obs_date").alias("d")).agg(pyround(F.max("tmax"), 1).alias("tmax"))
 
 
 def _truthy_num(c: Column) -> Column:
@@ -124,7 +124,7 @@ def card_baseline(value: Column, prior_mean: Column, need_value: bool) -> tuple[
     """delta_pct = round((x-b)/b*100, 2) when b (and x, for some cards) is truthy,
     else 0.0; baseline = b when truthy, else x."""
     ok = _truthy_num(prior_mean) & (_truthy_num(value) if need_value else F.lit(True))
-    delta = F.when(ok, rnd((value - prior_mean) / prior_mean * 100, 2)).otherwise(F.lit(0.0))
+    delta = F.when(ok, pyround((value - prior_mean) / prior_mean * 100, 2)).otherwise(F.lit(0.0))
     base = F.when(_truthy_num(prior_mean), prior_mean).otherwise(value.cast("double"))
     return delta, base
 
@@ -149,7 +149,7 @@ def metric_cards(
         top_category(rdays),
         city_tmax(weather, station_cities),
         heat_streak(weather, st),
-        gdelt.select("city", F.col("obs_date").alias("d"), rnd(F.col("avg_tone_7d"), 3).alias("media_tone_7d"),
+        gdelt.select("city", F.col("obs_date").alias("d"), pyround(F.col("avg_tone_7d"), 3).alias("media_tone_7d"),
                      F.col("protest_event_count").alias("protest_mentions")),
         precip_72h(weather, st),
     ]

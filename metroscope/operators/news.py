@@ -127,7 +127,7 @@ def tone_7d(daily: DataFrame) -> DataFrame:
     """W6 + M5: 7-row trailing mean of avg_tone per city (nulls skipped but occupy a row),
     at least one value, rounded to 3; replaces ``avg_tone_7d`` on every row."""
     w = Window.partitionBy("city").orderBy("obs_date").rowsBetween(-6, 0)
-    return daily.withColumn("avg_tone_7d", mean_rounded(F.col("avg_tone"), 3, over=w))
+    return daily.withColumn("avg_tone_7d", mean_rounded(F.col("avg_tone"), 3, over=w, python_round=False))  # pandas .round(3)
 
 
 def gdelt_daily(raw_events: DataFrame, cities: Sequence[str]) -> DataFrame:

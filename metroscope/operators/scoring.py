@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroscope.functions.columns import clip, mean_rounded, ordinal, rnd
+from metroscope.functions.columns import clip, mean_rounded, ordinal, pyround, rnd
 from metroscope.operators.frames import combine
 
 # Alert ordinal scales and signal weights.
@@ -38,7 +38,7 @@ def anomaly_scores(counts: DataFrame, history_rows: int = 30) -> DataFrame:
     w = Window.partitionBy("city").orderBy("d").rowsBetween(-history_rows, -1)
     b = F.avg("cnt").over(w)
     pct = (F.col("cnt") - b) / b
-    score = F.when(b.isNull() | (b == 0), F.lit(50.0)).otherwise(rnd(clip(pct * 80 + 50), 2))
+    score = F.when(b.isNull() | (b == 0), F.lit(50.0)).otherwise(pyround(clip(pct * 80 + 50), 2))
     return counts.select("city", "d", score.alias("anomaly_score"))
 
 
@@ -59,7 +59,7 @@ def heat_scores_by_station(weather: DataFrame, history_rows: int = 30) -> DataFr
     std = F.when(F.col("_hi"), F.col("_sh")).otherwise(F.col("_st"))
     z = (F.col("_v") - mean) / std
     score = F.when(F.col("_v").isNull() | mean.isNull() | std.isNull() | (std == 0), F.lit(50.0)).otherwise(
-        rnd(clip(z * 15 + 50), 2)
+        pyround(clip(z * 15 + 50), 2)
     )
     return stats.select("station_id", "obs_date", score.alias("heat_score"))
 
@@ -82,7 +82,7 @@ def alert_score_expr(sev: Column, urg: Column, cert: Column) -> Column:
 def alert_scores(alerts: DataFrame) -> DataFrame:
     """The strongest alert per (city, day), rounded to 2 (no alert -> 0 at assembly)."""
     s = alert_score_expr(F.col("severity"), F.col("urgency"), F.col("certainty"))
-    return alerts.groupBy("city", F.col("obs_date").alias("d")).agg(rnd(F.max(s), 2).alias("alert_score"))
+    return alerts.groupBy("city", F.col("obs_date").alias("d")).agg(pyround(F.max(s), 2).alias("alert_score"))
 
 
 def context_score_expr(tone: Column, protests: Column) -> Column:
@@ -91,7 +91,7 @@ def context_score_expr(tone: Column, protests: Column) -> Column:
     tone_s = F.least(F.lit(100.0), F.abs(tone) / 8 * 100)
     # least() skips nulls, so the null case is handled before it
     prot_s = F.when(protests.isNotNull(), F.least(F.lit(100.0), protests / 20 * 100)).otherwise(F.lit(0.0))
-    return F.when(tone.isNull(), F.lit(50.0)).otherwise(rnd(tone_s * 0.7 + prot_s * 0.3, 2))
+    return F.when(tone.isNull(), F.lit(50.0)).otherwise(pyround(tone_s * 0.7 + prot_s * 0.3, 2))
 
 
 def context_scores(gdelt: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def assemble(spine: DataFrame, anomaly: DataFrame, heat: DataFrame, alert: DataF
 
 def composite_expr() -> Column:
     """Weighted sum rounded to 2."""
-    return rnd(
+    return pyround(
         F.col("anomaly_score") * WEIGHTS["anomaly"] + F.col("heat_score") * WEIGHTS["heat"]
         + F.col("alert_score") * WEIGHTS["alert"] + F.col("context_score") * WEIGHTS["context"],
         2,

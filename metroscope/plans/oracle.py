@@ -60,25 +60,42 @@ def _agg(window_col: str) -> str:
   count(service_request_id) AS total_requests, CAST(sum(is_open) AS BIGINT) AS open_requests,
   CAST(sum(is_closed) AS BIGINT) AS closed_requests, CAST(sum(is_infrastructure_int) AS BIGINT) AS infrastructure_requests,
   CAST(sum(is_emergency_type_int) AS BIGINT) AS emergency_requests,
-  round(CASE WHEN count(service_request_id) > 0 THEN sum(is_emergency_type_int) / count(service_request_id) ELSE 0.0 END, 6) AS emergency_ratio,
+  round_even(CASE WHEN count(service_request_id) > 0 THEN sum(is_emergency_type_int) / count(service_request_id) ELSE 0.0 END, 6) AS emergency_ratio,
   count(DISTINCT category) AS distinct_categories
  FROM base GROUP BY city, ingest_year, ingest_month, ingest_day, {window_col}"""
 
 
-def xmean(col: str, digits: int, over: str | None = None, u: int = 6) -> str:
-    """Exact ``round(avg(col), digits)`` in integer units (mirrors ``columns.mean_rounded``)."""
-    units = f"CAST(round(({col}) * 1e{u}, 0) AS BIGINT)"
+def pyround(expr: str, digits: int) -> str:
+    """Python's ``round`` in SQL: the same two-product expression as ``columns.pyround``."""
+    from metroscope.functions.columns import _split
+
+    m = float(10 ** digits)
+    mh, ml = _split(m)
+    x = f"CAST(({expr}) AS DOUBLE)"
+    p = f"({x} * {m!r})"
+    xh = f"(({x} * 134217729.0) - (({x} * 134217729.0) - {x}))"
+    xl = f"({x} - {xh})"
+    err = f"(((({xh} * {mh!r}) - {p}) + ({xh} * {ml!r}) + ({xl} * {mh!r})) + ({xl} * {ml!r}))"
+    fl = f"CAST(floor({p}) AS DOUBLE)"
+    return (f"((CASE WHEN ({p} - {fl}) = 0.5 AND {err} > 0 THEN {fl} + 1 "
+            f"WHEN ({p} - {fl}) = 0.5 AND {err} < 0 THEN {fl} ELSE round_even({p}, 0) END) / {m!r})")
+
+
+def xmean(col: str, digits: int, over: str | None = None, u: int = 6, py: bool = True) -> str:
+    """``round(avg(col), digits)`` from exact integer units (mirrors ``columns.mean_rounded``)."""
+    units = f"CAST(round_even(({col}) * 1e{u}, 0) AS BIGINT)"
     w = f" OVER {over}" if over else ""
     s, n = f"sum({units}){w}", f"count({col}){w}"
-    k = f"(({n}) * {10 ** (u - digits)})"
-    return f"(CASE WHEN {n} > 0 THEN sign({s}) * ((2 * abs({s}) + {k}) // (2 * {k})) / {float(10 ** digits)}::DOUBLE END)"
+    mean = f"CAST({s} AS DOUBLE) / CAST(({n}) * {10 ** u} AS DOUBLE)"
+    rounded = pyround(mean, digits) if py else f"round_even({mean}, {digits})"
+    return f"(CASE WHEN {n} > 0 THEN {rounded} END)"
 
 
 def final(sql: str, *doubles: str) -> str:
     """Result edge: doubles rounded to 6 places with the sign of zero dropped."""
     if not doubles:
         return sql
-    rep = ", ".join(f"round({c}, 6) + 0.0::DOUBLE AS {c}" for c in doubles)
+    rep = ", ".join(f"round_even({c}, 6) + 0.0::DOUBLE AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
 
 
@@ -106,7 +123,7 @@ _valid = ",\n".join(
     f"({m}_history_points >= 24 AND {m}_std IS NOT NULL AND {m}_std > 0) AS {m}_baseline_valid" for m in _M
 )
 _z = ",\n".join(
-    f"round(CASE WHEN {m}_baseline_valid THEN ({m} - {m}_mean) / {m}_std END, 6) AS {m}_zscore" for m in _M
+    f"round_even(CASE WHEN {m}_baseline_valid THEN ({m} - {m}_mean) / {m}_std END, 6) AS {m}_zscore" for m in _M
 )
 _W1_DOUBLES = [f"{m}{x}" for m in _M for x in ("", "_mean", "_std", "_zscore")]
 ORACLE["w1_baseline_168h"] = with_(
@@ -124,7 +141,7 @@ ORACLE["w1_baseline_168h"] = with_(
   WINDOW w AS (PARTITION BY city ORDER BY ep RANGE BETWEEN 604800 PRECEDING AND 1 PRECEDING))""",
     f"""va AS (SELECT *, {_valid} FROM st)""",
 ) + f"""SELECT 'open311' AS source, city, ingest_year, ingest_month, ingest_day, window_start,
- {", ".join(f"round({m}, 6) AS {m}, round({m}_mean, 6) AS {m}_mean, round({m}_std, 6) AS {m}_std, {m}_history_points, {m}_baseline_valid" for m in _M)},
+ {", ".join(f"round_even({m}, 6) AS {m}, round_even({m}_mean, 6) AS {m}_mean, round_even({m}_std, 6) AS {m}_std, {m}_history_points, {m}_baseline_valid" for m in _M)},
  {_z},
  least({", ".join(f"{m}_history_points" for m in _M)}) AS baseline_history_points,
  least({", ".join(f"{m}_history_points" for m in _M)}) >= 24 AS baseline_is_valid,

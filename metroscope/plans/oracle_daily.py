@@ -1,7 +1,7 @@
 """DuckDB oracle SQL for the daily path (fixtures restated, then each operator)."""
 from __future__ import annotations
 
-from metroscope.plans.oracle import CITY, ORACLE, final, with_, xmean
+from metroscope.plans.oracle import CITY, ORACLE, final, pyround, with_, xmean
 
 F_REQ_RAW = f"""req_raw AS (
  SELECT CAST(o_orderkey AS VARCHAR) AS service_request_id, {CITY.format(k='o_custkey')} AS city,
@@ -12,15 +12,15 @@ F_REQ_RAW = f"""req_raw AS (
 
 F_REQUESTS = """requests AS (
  SELECT *, CASE WHEN status = 'closed'
-   THEN round((epoch_us(updated_datetime) - epoch_us(requested_datetime)) / 1e6 / 3600, 2) END AS resolution_hrs
+   THEN round_even((epoch_us(updated_datetime) - epoch_us(requested_datetime)) / 1e6 / 3600, 2) END AS resolution_hrs
  FROM (SELECT * FROM req_raw QUALIFY row_number() OVER (PARTITION BY service_request_id
    ORDER BY updated_datetime DESC NULLS LAST, city DESC, status DESC, service_name DESC, requested_datetime DESC) = 1))"""
 
 F_WEATHER = """weather AS (
  SELECT 'STN' || CAST(o_custkey % 2 AS VARCHAR) AS station_id, CAST(o_orderdate AS DATE) AS obs_date,
-  round(max(o_totalprice) / 12500, 2) AS tmax, round(min(o_totalprice) / 12500, 2) AS tmin,
-  round(max(CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 10000 END), 2) AS heat_index_max,
-  round(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice / 100000 END), 2) AS precip_6hr_max
+  round_even(max(o_totalprice) / 12500, 2) AS tmax, round_even(min(o_totalprice) / 12500, 2) AS tmin,
+  round_even(max(CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 10000 END), 2) AS heat_index_max,
+  round_even(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice / 100000 END), 2) AS precip_6hr_max
  FROM orders GROUP BY 1, 2)"""
 
 F_STATIONS = """stations(station_id, city) AS (VALUES ('STN0', 'boston'), ('STN1', 'boston'), ('STN1', 'chicago'), ('STN0', 'new york'))"""
@@ -68,7 +68,7 @@ gd AS (
   CAST(coalesce(a.na, 0) AS INTEGER) AS num_articles, CAST(coalesce(a.ns, 0) AS INTEGER) AS source_count
  FROM news_spine s LEFT JOIN news_agg a USING (city, obs_date)),
 gdelt AS (
- SELECT *, {xmean('avg_tone', 3, over='(PARTITION BY city ORDER BY obs_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS avg_tone_7d,
+ SELECT *, {xmean('avg_tone', 3, over='(PARTITION BY city ORDER BY obs_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)', py=False)} AS avg_tone_7d,
   CAST(NULL AS DOUBLE) AS polarity
  FROM gd)"""
 
@@ -77,7 +77,7 @@ NEWS = (F_CITIES, F_NEWS, F_NEWS_M, F_GDELT)
 F_SCORES = f"""counts AS (SELECT city, CAST(requested_datetime AS DATE) AS d, count(*) AS cnt FROM requests GROUP BY 1, 2),
 anomaly AS (
  SELECT city, d, CASE WHEN b IS NULL OR b = 0 THEN 50.0::DOUBLE
-  ELSE round(least(100.0::DOUBLE, greatest(0.0::DOUBLE, (cnt - b) / b * 80 + 50)), 2) END AS anomaly_score
+  ELSE {pyround('least(100.0::DOUBLE, greatest(0.0::DOUBLE, (cnt - b) / b * 80 + 50))', 2)} END AS anomaly_score
  FROM (SELECT *, avg(cnt) OVER (PARTITION BY city ORDER BY d ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS b FROM counts)),
 hs AS (
  SELECT station_id, obs_date, coalesce(heat_index_max, tmax) AS v, heat_index_max IS NOT NULL AS use_hi,
@@ -87,11 +87,11 @@ hs AS (
 heat_station AS (
  SELECT station_id, obs_date,
   CASE WHEN v IS NULL OR m IS NULL OR s IS NULL OR s = 0 THEN 50.0::DOUBLE
-   ELSE round(least(100.0::DOUBLE, greatest(0.0::DOUBLE, (v - m) / s * 15 + 50)), 2) END AS heat_score
+   ELSE {pyround('least(100.0::DOUBLE, greatest(0.0::DOUBLE, (v - m) / s * 15 + 50))', 2)} END AS heat_score
  FROM (SELECT station_id, obs_date, v, CASE WHEN use_hi THEN mh ELSE mt END AS m, CASE WHEN use_hi THEN sh ELSE st END AS s FROM hs)),
 heat AS (SELECT c.city, h.obs_date AS d, max(h.heat_score) AS heat_score FROM heat_station h JOIN stations c USING (station_id) GROUP BY 1, 2),
 alert AS (
- SELECT city, obs_date AS d, round(max(sev * urg * cer / 36 * 100), 2) AS alert_score FROM (
+ SELECT city, obs_date AS d, {pyround('max(sev * urg * cer / 36 * 100)', 2)} AS alert_score FROM (
   SELECT city, obs_date,
    CASE severity WHEN 'Extreme' THEN 4 WHEN 'Severe' THEN 3 WHEN 'Moderate' THEN 2 WHEN 'Minor' THEN 1 ELSE 0 END AS sev,
    CASE urgency WHEN 'Immediate' THEN 3 WHEN 'Expected' THEN 2 WHEN 'Future' THEN 1 ELSE 0 END AS urg,
@@ -99,8 +99,7 @@ alert AS (
   FROM alerts) GROUP BY 1, 2),
 context AS (
  SELECT city, obs_date AS d, CASE WHEN avg_tone_7d IS NULL THEN 50.0::DOUBLE
-  ELSE round(least(100.0::DOUBLE, abs(avg_tone_7d) / 8 * 100) * 0.7::DOUBLE
-   + (CASE WHEN protest_event_count IS NOT NULL THEN least(100.0::DOUBLE, protest_event_count / 20 * 100) ELSE 0.0::DOUBLE END) * 0.3::DOUBLE, 2) END AS context_score
+  ELSE {pyround('least(100.0::DOUBLE, abs(avg_tone_7d) / 8 * 100) * 0.7::DOUBLE + (CASE WHEN protest_event_count IS NOT NULL THEN least(100.0::DOUBLE, protest_event_count / 20 * 100) ELSE 0.0::DOUBLE END) * 0.3::DOUBLE', 2)} END AS context_score
  FROM gdelt),
 alldays AS (SELECT city, d FROM counts UNION ALL SELECT city, d FROM heat UNION ALL SELECT city, d FROM alert
  UNION ALL SELECT city, d FROM context),
@@ -111,8 +110,7 @@ sig AS (
   coalesce(al.alert_score, 0.0::DOUBLE) AS alert_score, coalesce(c.context_score, 50.0::DOUBLE) AS context_score
  FROM spine s LEFT JOIN anomaly a USING (city, d) LEFT JOIN heat h USING (city, d) LEFT JOIN alert al USING (city, d)
   LEFT JOIN context c USING (city, d)),
-comp AS (SELECT *, round(anomaly_score * 0.35::DOUBLE + heat_score * 0.30::DOUBLE + alert_score * 0.20::DOUBLE
- + context_score * 0.15::DOUBLE, 2) AS composite FROM sig),
+comp AS (SELECT *, {pyround('anomaly_score * 0.35::DOUBLE + heat_score * 0.30::DOUBLE + alert_score * 0.20::DOUBLE + context_score * 0.15::DOUBLE', 2)} AS composite FROM sig),
 scores AS (
  SELECT city, d AS score_date, anomaly_score, heat_score, alert_score, context_score, composite,
   coalesce({xmean('composite', 2, over='(PARTITION BY city ORDER BY d ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)')}, composite)
@@ -136,7 +134,7 @@ ORACLE["w13_dedup_latest"] = with_(
 ORACLE["m4_resolution_hours"] = with_(F_REQ_RAW, F_REQUESTS) + "SELECT service_request_id, status, resolution_hrs FROM requests"
 
 ORACLE["f2_city_filter"] = with_(F_CITIES, F_NEWS, F_NEWS_M) + """SELECT city, obs_date, url AS SOURCEURL,
- root AS EventRootCode, round(tone, 6) AS AvgTone, root = '14' AS is_protest FROM news_m"""
+ root AS EventRootCode, round_even(tone, 6) AS AvgTone, root = '14' AS is_protest FROM news_m"""
 
 ORACLE["a6_news_daily"] = with_(*NEWS) + """SELECT city, obs_date, avg_tone, protest_event_count, protest_mention_sum,
  goldstein_avg, num_articles, source_count FROM gdelt"""
@@ -147,9 +145,9 @@ ORACLE["a7_news_daily_distinct"] = with_(
     F_NEWS,
     """strict(city, pat) AS (VALUES ('boston', 'Boston, Massachusetts'), ('chicago', 'Chicago, Illinois'),
   ('new york', 'New York, New York'))""",
-) + """SELECT s.city, n.obs_date, round(avg(n.tone), 6) AS avg_tone, count(*) FILTER (WHERE n.root = '14') AS protest_event_count,
+) + """SELECT s.city, n.obs_date, round_even(avg(n.tone), 6) AS avg_tone, count(*) FILTER (WHERE n.root = '14') AS protest_event_count,
  CAST(coalesce(sum(CASE WHEN n.root = '14' THEN n.mentions END), 0) AS BIGINT) AS protest_mention_sum,
- round(avg(n.goldstein), 6) AS goldstein_avg, CAST(coalesce(sum(n.articles), 0) AS BIGINT) AS num_articles,
+ round_even(avg(n.goldstein), 6) AS goldstein_avg, CAST(coalesce(sum(n.articles), 0) AS BIGINT) AS num_articles,
  count(DISTINCT n.url) AS source_count
 FROM news n JOIN strict s ON coalesce(contains(n.action_geo, s.pat), false) GROUP BY s.city, n.obs_date"""
 
@@ -163,11 +161,11 @@ ORACLE["x7_readiness"] = with_(*SCORED) + "SELECT city, readiness_mode, count(*)
 
 F_DRIVER = """drv AS (
  SELECT *, CASE
-  WHEN round(abs(anomaly_score - 50), 2) >= round(abs(heat_score - 50), 2) AND round(abs(anomaly_score - 50), 2) >= round(abs(alert_score), 2)
-   AND round(abs(anomaly_score - 50), 2) >= round(abs(context_score - 50), 2) THEN 'anomaly_score'
-  WHEN round(abs(heat_score - 50), 2) >= round(abs(alert_score), 2) AND round(abs(heat_score - 50), 2) >= round(abs(context_score - 50), 2)
+  WHEN round_even(abs(anomaly_score - 50), 2) >= round_even(abs(heat_score - 50), 2) AND round_even(abs(anomaly_score - 50), 2) >= round_even(abs(alert_score), 2)
+   AND round_even(abs(anomaly_score - 50), 2) >= round_even(abs(context_score - 50), 2) THEN 'anomaly_score'
+  WHEN round_even(abs(heat_score - 50), 2) >= round_even(abs(alert_score), 2) AND round_even(abs(heat_score - 50), 2) >= round_even(abs(context_score - 50), 2)
    THEN 'heat_score'
-  WHEN round(abs(alert_score), 2) >= round(abs(context_score - 50), 2) THEN 'alert_score'
+  WHEN round_even(abs(alert_score), 2) >= round_even(abs(context_score - 50), 2) THEN 'alert_score'
   ELSE 'context_score' END AS primary_driver
  FROM scored)"""
 

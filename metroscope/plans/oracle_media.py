@@ -87,7 +87,7 @@ ORACLE["d6_zone_join"] = final(
 def _z(v: str) -> str:
     w = "(PARTITION BY city ORDER BY dn RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING)"
     return (f"CASE WHEN {v} IS NOT NULL AND count({v}) OVER {w} >= 7 AND stddev_samp({v}) OVER {w} > 0 THEN "
-            f"round(least(100.0::DOUBLE, greatest(0.0::DOUBLE, ({v} - avg({v}) OVER {w}) / stddev_samp({v}) OVER {w} * 15 + 50)), 2)"
+            f"round_even(least(100.0::DOUBLE, greatest(0.0::DOUBLE, ({v} - avg({v}) OVER {w}) / stddev_samp({v}) OVER {w} * 15 + 50)), 2)"
             f" ELSE 50.0::DOUBLE END")
 
 
@@ -114,7 +114,7 @@ ORACLE["d7_five_signals"] = final(
   FROM keys k LEFT JOIN tone t USING (city, d) LEFT JOIN arts_n a USING (city, d) LEFT JOIN lake_s l USING (city, d)
   LEFT JOIN alert al USING (city, d))""",
     )
-    + """SELECT *, round((tone_spike + theme_surge + complaint_spike + emergency_ratio_score + alert_severity) / 5, 2) AS stress_score
+    + """SELECT *, round_even((tone_spike + theme_surge + complaint_spike + emergency_ratio_score + alert_severity) / 5, 2) AS stress_score
 FROM five""",
     *_FIVE, "stress_score",
 )
@@ -136,7 +136,7 @@ ORACLE["d10_legacy_profile"] = final(
   coalesce(CASE WHEN g.avg_tone IS NOT NULL THEN least(100.0::DOUBLE, greatest(0.0::DOUBLE, abs(g.avg_tone) / 8 * 100)) END, 50.0::DOUBLE) AS ctx
   FROM sig s LEFT JOIN cw USING (city, d) LEFT JOIN gdelt g ON g.city = s.city AND g.obs_date = s.d)""",
     )
-    + """SELECT city, d AS score_date, anomaly_score, round(heat, 2) AS heat_score, round(ctx, 2) AS context_score,
- round(anomaly_score * 0.40::DOUBLE + heat * 0.35::DOUBLE + ctx * 0.25::DOUBLE, 2) AS composite FROM leg""",
+    + """SELECT city, d AS score_date, anomaly_score, round_even(heat, 2) AS heat_score, round_even(ctx, 2) AS context_score,
+ round_even(anomaly_score * 0.40::DOUBLE + heat * 0.35::DOUBLE + ctx * 0.25::DOUBLE, 2) AS composite FROM leg""",
     "anomaly_score", "heat_score", "context_score", "composite",
 )

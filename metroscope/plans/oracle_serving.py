@@ -1,7 +1,7 @@
 """DuckDB oracle SQL for metric cards, serving queries, merges, collectors and checks."""
 from __future__ import annotations
 
-from metroscope.plans.oracle import CITY, ORACLE, final, with_, xmean
+from metroscope.plans.oracle import CITY, ORACLE, final, pyround, with_, xmean
 from metroscope.plans.oracle_daily import (
     F_ALERTS, F_REQ_RAW, F_REQUESTS, F_STATIONS, F_WEATHER, NEWS, SCORED, _f1,
 )
@@ -15,7 +15,7 @@ mc AS (SELECT city, CAST(requested_datetime AS DATE) AS d, {xmean('resolution_hr
 tc AS (SELECT city, d, service_name AS top_category FROM (
   SELECT city, CAST(requested_datetime AS DATE) AS d, service_name, count(*) AS cnt FROM requests GROUP BY 1, 2, 3)
  QUALIFY row_number() OVER (PARTITION BY city, d ORDER BY cnt DESC, service_name) = 1),
-tx AS (SELECT c.city, w.obs_date AS d, round(max(w.tmax), 1) AS tmax FROM weather w JOIN stations c USING (station_id) GROUP BY 1, 2),
+tx AS (SELECT c.city, w.obs_date AS d, {pyround('max(w.tmax)', 1)} AS tmax FROM weather w JOIN stations c USING (station_id) GROUP BY 1, 2),
 wr AS (SELECT station_id, obs_date, row_number() OVER (PARTITION BY station_id ORDER BY obs_date) AS rn,
   coalesce(heat_index_max > 40, false) OR coalesce(tmax > 35, false) AS hot FROM weather),
 ws AS (SELECT station_id, obs_date, rn - coalesce(max(CASE WHEN NOT hot THEN rn END)
@@ -28,10 +28,10 @@ streak AS (SELECT sp.city, sp.d, CAST(coalesce(max(st.streak), 0) AS INTEGER) AS
  FROM st_spine sp LEFT JOIN st_streak st USING (station_id, d) GROUP BY 1, 2),
 st_precip AS (SELECT sd.station_id, sd.d, (SELECT sum(w.precip_6hr_max) FROM weather w
   WHERE w.station_id = sd.station_id AND w.obs_date BETWEEN sd.d - 2 AND sd.d) AS p FROM st_days sd),
-precip AS (SELECT sp.city, sp.d, round(coalesce(max(pr.p), 0.0::DOUBLE), 2) AS precip_72hr_mm
+precip AS (SELECT sp.city, sp.d, {pyround('coalesce(max(pr.p), 0.0::DOUBLE)', 2)} AS precip_72hr_mm
  FROM st_spine sp LEFT JOIN st_precip pr USING (station_id, d) GROUP BY 1, 2),
 wide AS (SELECT s.city, s.d, ob.open_backlog, mc.mean_close_hrs, tc.top_category, tx.tmax, st.heat_streak_days,
-  round(g.avg_tone_7d, 3) AS media_tone_7d, g.protest_event_count AS protest_mentions, g.city IS NOT NULL AS has_news,
+  {pyround('g.avg_tone_7d', 3)} AS media_tone_7d, g.protest_event_count AS protest_mentions, g.city IS NOT NULL AS has_news,
   pr.precip_72hr_mm
  FROM spine s LEFT JOIN ob USING (city, d) LEFT JOIN mc USING (city, d) LEFT JOIN tc USING (city, d)
   LEFT JOIN tx USING (city, d) LEFT JOIN streak st USING (city, d) LEFT JOIN precip pr USING (city, d)
@@ -47,7 +47,7 @@ def _cards_sql(lo: str) -> str:
 
     def delta(x: str, b: str, need_x: bool) -> str:
         cond = ok(b) + (f" AND ({x} IS NOT NULL AND {x} <> 0)" if need_x else "")
-        return f"CASE WHEN {cond} THEN round(({x} - {b}) / {b} * 100, 2) ELSE 0.0::DOUBLE END"
+        return f"CASE WHEN {cond} THEN {pyround(f'({x} - {b}) / {b} * 100', 2)} ELSE 0.0::DOUBLE END"
 
     def base(x: str, b: str) -> str:
         return f"CASE WHEN {ok(b)} THEN {b} ELSE CAST({x} AS DOUBLE) END"

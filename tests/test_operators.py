@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metroscope.functions import verdict as vd
-from metroscope.functions.columns import clip, mean_rounded, parse_timestamp, rnd
+from metroscope.functions.columns import clip, mean_rounded, parse_timestamp, pyround, rnd
 from metroscope.operators import baselines as bl
 from metroscope.operators import cards as cd
 from metroscope.operators import collectors as co
@@ -22,17 +22,30 @@ def one(df, col):
     return [r[col] for r in df.collect()]
 
 
-def test_rounding_half_away_on_binary_value(spark):
+def test_rounding_half_even_on_scaled_value(spark):
     df = spark.createDataFrame([(2.675,), (1.005,), (-0.0001,), (0.125,), (None,)], "x double")
-    assert one(df.select(rnd(F.col("x"), 2).alias("r")), "r")[:2] == [2.68, 1.0]
+    assert one(df.select(rnd(F.col("x"), 2).alias("r")), "r")[:2] == [2.68, 1.0]  # scaled double 267.5 -> even 268
     assert one(df.select(rnd(F.col("x"), 3).alias("r")), "r")[2] == 0.0
-    assert one(df.select(rnd(F.col("x"), 2).alias("r")), "r")[3:] == [0.13, None]
+    assert one(df.select(rnd(F.col("x"), 2).alias("r")), "r")[3:] == [0.12, None]  # exact tie -> even
+
+
+def test_pyround_equals_python_round(spark):
+    import random
+
+    random.seed(11)
+    vals = ([round(random.uniform(-500, 500), random.choice([1, 2, 3, 4])) for _ in range(4000)]
+            + [x / 100 for x in range(-2000, 2000)] + [random.uniform(-1e4, 1e4) for _ in range(2000)]
+            + [27.85, 2.675, 13.25, 1.005, 0.125, -2.5, 2.5, 0.0, -0.0])
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for d in (0, 1, 2, 3):
+        got = one(df.select(pyround(F.col("x"), d).alias("r")), "r")
+        assert got == [round(v, d) for v in vals]
 
 
 def test_exact_mean_resolves_decimal_ties(spark):
     df = spark.createDataFrame([("a", 1.25), ("a", 1.30), ("b", 2.675), ("c", None)], "k string, v double")
     out = {r.k: r.m for r in df.groupBy("k").agg(mean_rounded(F.col("v"), 2).alias("m")).collect()}
-    assert out == {"a": 1.28, "b": 2.68, "c": None}
+    assert out == {"a": 1.27, "b": 2.67, "c": None}  # float mean, then Python's round (exact binary value)
 
 
 def test_clip_keeps_null(spark):
