@@ -148,14 +148,18 @@ BRONZE_COLUMNS = (
 )
 
 
-def flatten_records(raw: DataFrame, manifests: DataFrame) -> DataFrame:
+MAX_BROADCAST_MANIFESTS = 1_000_000
+
+
+def flatten_records(raw: DataFrame, manifests: DataFrame, manifest_rows: int | None = None) -> DataFrame:
     """E1 / P1 + S2: one bronze row per raw record, stamped with its batch manifest.
 
     Alternative keys resolve first-present-wins (``lat``/``latitude``,
     ``long``/``lon``/``longitude``); with a fixed schema a present null cannot be told
     from an absent key, so this is ``coalesce`` (Q18). The original record is kept as
     JSON text in ``raw_payload``. Manifests are one row per batch and are joined on
-    ``batch_id``."""
+    ``batch_id``; with a known manifest count within bound they are broadcast, so a batch
+    holding a third of all records never lands in one shuffle partition."""
     def pick(*names: str):
         cols = [F.col(n) for n in names if n in raw.columns]
         return F.coalesce(*cols) if cols else F.lit(None)
@@ -171,6 +175,8 @@ def flatten_records(raw: DataFrame, manifests: DataFrame) -> DataFrame:
         pick("lat", "latitude").cast("double").alias("lat"), pick("long", "lon", "longitude").cast("double").alias("lon"),
         pick("media_url").cast("string").alias("media_url"), payload.alias("raw_payload"),
     )
+    if manifest_rows is not None and manifest_rows <= MAX_BROADCAST_MANIFESTS:
+        manifests = F.broadcast(manifests)
     return rec.join(manifests, "batch_id").select(
         F.lit("open311").alias("source"), "city", "batch_id", "ingested_at_utc", *BRONZE_COLUMNS[4:],
     )

@@ -507,8 +507,11 @@ def e1_bronze_jsonl(spark, sf):
     )
     landing = scratch_path(spark, "raw-311")
     io.write_jsonl(raw, landing)
-    manifests = b.select("city", "batch_id", F.date_format("ingested_at_utc", _ISO).alias("ingested_at_utc")).distinct()
-    bronze = lk.flatten_records(io.read_jsonl(spark, landing, RAW_RECORD_SCHEMA), manifests)
+    manifest_root = scratch_path(spark, "manifests")
+    b.select("city", "batch_id", F.date_format("ingested_at_utc", _ISO).alias("ingested_at_utc")).distinct().write.json(manifest_root)
+    manifests = io.read_manifests(spark, manifest_root, one_document_per_file=False)
+    n_manifests = manifests.count()  # one row per batch: the size check behind the broadcast
+    bronze = lk.flatten_records(io.read_jsonl(spark, landing, RAW_RECORD_SCHEMA), manifests, n_manifests)
     out = scratch_path(spark, "bronze-311")
     io.write_jsonl(lk.bronze_partition_columns(bronze.withColumn("ingested_at_utc", F.to_timestamp("ingested_at_utc"))),
                    out, ["year", "month", "day", "city", "batch_id"])
@@ -621,3 +624,16 @@ def w4_baseline_validity(spark, sf):
     b = lake.hourly_baselines(spark, sf)
     return finish(b.select("city", "window_start", *[f"{m}_{x}" for m in bl.METRICS for x in ("history_points", "baseline_valid")],
                            "baseline_history_points", "baseline_is_valid"))
+
+
+@query("s11_landing_json")
+def s11_landing_json(spark, sf):
+    """Raw payloads landed as JSON under ``source=/date=`` folders and read back."""
+    b = fixtures.open311_api_rows(spark, sf)
+    root = scratch_path(spark, "landing-json")
+    rows = b.select(F.lit("open311").alias("source"), F.to_date("requested_datetime").alias("date"),
+                    "service_request_id", "service_code", "status")
+    io.write_jsonl(rows, root, ["source", "date"])
+    back = spark.read.json(root)
+    return finish(back.select(F.col("source").cast("string").alias("source"), F.col("date").cast("date").alias("date"),
+                              "service_request_id", "service_code", "status"))

@@ -52,3 +52,10 @@ _M = ("total_requests", "infrastructure_requests", "emergency_ratio")
 ORACLE["w4_baseline_validity"] = f"""SELECT city, window_start,
  {", ".join(f"{m}_history_points, {m}_baseline_valid" for m in _M)}, baseline_history_points, baseline_is_valid
 FROM ({ORACLE['w1_baseline_168h']}) AS b"""
+
+ORACLE["s11_landing_json"] = """SELECT 'open311' AS source, CAST(ts AS DATE) AS date,
+ CASE WHEN event_id % 23 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS service_request_id,
+ CASE WHEN user_id % 10 = 0 THEN NULL WHEN user_id % 10 = 1 THEN 'dept' || CAST(user_id % 4 AS VARCHAR)
+  ELSE 'dept' || CAST(user_id % 4 AS VARCHAR) || ':' || event_type END AS service_code,
+ CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 'Open' WHEN event_id % 3 = 1 THEN 'closed' ELSE 'in progress' END AS status
+FROM events"""

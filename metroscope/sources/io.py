@@ -32,10 +32,11 @@ def read_json_batch(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 MANIFEST_FIELDS = ("city", "batch_id", "ingested_at_utc")
 
 
-def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest files; every one must carry city, batch_id and ingested_at_utc."""
+def read_manifests(spark: SparkSession, path: str, one_document_per_file: bool = True) -> DataFrame:
+    """Manifest files (one JSON document per file, or JSON lines); every manifest must
+    carry city, batch_id and ingested_at_utc."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in MANIFEST_FIELDS])
-    m = spark.read.schema(schema).option("multiLine", True).json(path)
+    m = spark.read.schema(schema).option("multiLine", one_document_per_file).json(path)
     bad = m.filter(F.col("batch_id").isNull() | F.col("city").isNull() | F.col("ingested_at_utc").isNull())
     if not bad.isEmpty():
         raise ValueError("manifest.json is missing required fields: " + ", ".join(MANIFEST_FIELDS))
