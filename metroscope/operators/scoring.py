@@ -34,12 +34,17 @@ def daily_request_counts(requests: DataFrame) -> DataFrame:
 
 def anomaly_scores(counts: DataFrame, history_rows: int = 30) -> DataFrame:
     """today's count against the mean of the previous ``history_rows`` days *with data*;
-    ``clip(pct*80+50)`` rounded to 2, 50 without history or with a zero baseline."""
+    ``clip(pct*80+50)`` rounded to 2, 50 without history or with a zero baseline.
+
+    The raw value is projected first so the rounding reads a column, not a copy of the
+    window expression."""
     w = Window.partitionBy("city").orderBy("d").rowsBetween(-history_rows, -1)
-    b = F.avg("cnt").over(w)
-    pct = (F.col("cnt") - b) / b
-    score = F.when(b.isNull() | (b == 0), F.lit(50.0)).otherwise(pyround(clip(pct * 80 + 50), 2))
-    return counts.select("city", "d", score.alias("anomaly_score"))
+    b = F.col("_b")
+    raw = counts.select("city", "d", "cnt", F.avg("cnt").over(w).alias("_b")).select(
+        "city", "d", b, F.when(b.isNotNull() & (b != 0), clip((F.col("cnt") - b) / b * 80 + 50)).alias("_raw")
+    )
+    score = F.when(b.isNull() | (b == 0), F.lit(50.0)).otherwise(pyround(F.col("_raw"), 2))
+    return raw.select("city", "d", score.alias("anomaly_score"))
 
 
 def heat_scores_by_station(weather: DataFrame, history_rows: int = 30) -> DataFrame:
@@ -57,11 +62,11 @@ def heat_scores_by_station(weather: DataFrame, history_rows: int = 30) -> DataFr
     )
     mean = F.when(F.col("_hi"), F.col("_mh")).otherwise(F.col("_mt"))
     std = F.when(F.col("_hi"), F.col("_sh")).otherwise(F.col("_st"))
-    z = (F.col("_v") - mean) / std
-    score = F.when(F.col("_v").isNull() | mean.isNull() | std.isNull() | (std == 0), F.lit(50.0)).otherwise(
-        pyround(clip(z * 15 + 50), 2)
-    )
-    return stats.select("station_id", "obs_date", score.alias("heat_score"))
+    missing = F.col("_v").isNull() | mean.isNull() | std.isNull() | (std == 0)
+    raw = stats.select("station_id", "obs_date", missing.alias("_missing"),
+                       F.when(~missing, clip((F.col("_v") - mean) / std * 15 + 50)).alias("_raw"))
+    score = F.when(F.col("_missing"), F.lit(50.0)).otherwise(pyround(F.col("_raw"), 2))
+    return raw.select("station_id", "obs_date", score.alias("heat_score"))
 
 
 def heat_scores(weather: DataFrame, station_cities: DataFrame) -> DataFrame:
@@ -94,11 +99,18 @@ def context_score_expr(tone: Column, protests: Column) -> Column:
     return F.when(tone.isNull(), F.lit(50.0)).otherwise(pyround(tone_s * 0.7 + prot_s * 0.3, 2))
 
 
+def context_raw(tone: Column, protests: Column) -> Column:
+    """X8 before rounding (null when the tone is null)."""
+    tone_s = F.least(F.lit(100.0), F.abs(tone) / 8 * 100)
+    # least() skips nulls, so the null case is handled before it
+    prot_s = F.when(protests.isNotNull(), F.least(F.lit(100.0), protests / 20 * 100)).otherwise(F.lit(0.0))
+    return F.when(tone.isNotNull(), tone_s * 0.7 + prot_s * 0.3)
+
+
 def context_scores(gdelt: DataFrame) -> DataFrame:
-    return gdelt.select(
-        "city", F.col("obs_date").alias("d"),
-        context_score_expr(F.col("avg_tone_7d"), F.col("protest_event_count")).alias("context_score"),
-    )
+    raw = gdelt.select("city", F.col("obs_date").alias("d"),
+                       context_raw(F.col("avg_tone_7d"), F.col("protest_event_count")).alias("_raw"))
+    return raw.select("city", "d", F.coalesce(pyround(F.col("_raw"), 2), F.lit(50.0)).alias("context_score"))
 
 
 def date_spine(*city_days: DataFrame) -> DataFrame:
@@ -117,13 +129,15 @@ def assemble(spine: DataFrame, anomaly: DataFrame, heat: DataFrame, alert: DataF
     return g.select("city", "d", *[F.coalesce(F.col(s), F.lit(NEUTRAL[s])).alias(s) for s in SIGNALS])
 
 
+def composite_raw() -> Column:
+    """X9 before rounding: the weighted sum."""
+    return (F.col("anomaly_score") * WEIGHTS["anomaly"] + F.col("heat_score") * WEIGHTS["heat"]
+            + F.col("alert_score") * WEIGHTS["alert"] + F.col("context_score") * WEIGHTS["context"])
+
+
 def composite_expr() -> Column:
-    """Weighted sum rounded to 2."""
-    return pyround(
-        F.col("anomaly_score") * WEIGHTS["anomaly"] + F.col("heat_score") * WEIGHTS["heat"]
-        + F.col("alert_score") * WEIGHTS["alert"] + F.col("context_score") * WEIGHTS["context"],
-        2,
-    )
+    """Weighted sum rounded to 2 (apply to a frame where the four scores are columns)."""
+    return pyround(composite_raw(), 2)
 
 
 def readiness_expr(composite: Column, baseline: Column) -> Column:
@@ -136,7 +150,7 @@ def with_composite(signals: DataFrame, history_rows: int = 30) -> DataFrame:
     """X9 + W9 + X7: composite, mean of the previous 30 composites (rounded, falls back
     to today's), readiness mode."""
     w = Window.partitionBy("city").orderBy("d").rowsBetween(-history_rows, -1)
-    s = signals.withColumn("composite", composite_expr())
+    s = signals.withColumn("_raw", composite_raw()).withColumn("composite", pyround(F.col("_raw"), 2)).drop("_raw")
     s = s.withColumn("composite_baseline_30d", F.coalesce(mean_rounded(F.col("composite"), 2, over=w), F.col("composite")))
     return s.withColumn("readiness_mode", readiness_expr(F.col("composite"), F.col("composite_baseline_30d")))
 
