@@ -182,6 +182,15 @@ def flatten_records(raw: DataFrame, manifests: DataFrame, manifest_rows: int | N
     )
 
 
+BRONZE_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in (
+        "source", "ingested_at_utc", "service_request_id", "status", "service_name", "service_code",
+        "description", "requested_datetime", "updated_datetime", "closed_datetime", "address")]
+    + [T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())]
+    + [T.StructField(c, T.StringType()) for c in ("media_url", "raw_payload")]
+)
+
+
 def bronze_partition_columns(bronze: DataFrame) -> DataFrame:
     """Year / month / day from the ingest time, plus city and batch_id, as partition keys."""
     ing = F.col("ingested_at_utc").cast("timestamp")

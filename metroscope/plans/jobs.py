@@ -17,6 +17,35 @@ from metroscope.plans import daily
 from metroscope.sources import io
 
 INGEST_PARTITIONS = ["ingest_year", "ingest_month", "ingest_day", "city"]
+BRONZE_PARTITIONS = ["year", "month", "day", "city", "batch_id"]
+
+
+def bronze_job(spark: SparkSession, raw_path: str, manifest_path: str, bronze_root: str, record_schema) -> int:
+    """Raw JSON-array batches (S1) + their manifests (S2) -> flattened bronze records
+    (P1) written as JSON lines under year/month/day/city/batch_id (S3, S4).
+
+    Each raw file must carry its ``batch_id`` column (the landing folder's batch); the
+    manifests are joined on it, broadcast behind a count check."""
+    raw = io.read_json_batch(spark, raw_path, record_schema)
+    manifests = io.read_manifests(spark, manifest_path)
+    bronze = lk.flatten_records(raw, manifests, manifests.count())
+    io.write_jsonl(lk.bronze_partition_columns(bronze.withColumn("ingested_at_utc", F.to_timestamp("ingested_at_utc"))),
+                   bronze_root, BRONZE_PARTITIONS)
+    return spark.read.json(bronze_root).count()
+
+
+def silver_job(spark: SparkSession, bronze_root: str, mapping_csv: str, silver_root: str) -> int:
+    """Bronze JSON lines (S3, FAILFAST) + mapping CSV (S10) -> silver parquet
+    partitioned by ingest day and city, dynamic overwrite."""
+    # explicit schema: the JSON writer omits null fields, so inference could drop a column
+    bronze = io.read_jsonl(spark, bronze_root, lk.BRONZE_SCHEMA)
+    bronze = bronze.withColumns({"city": F.col("city").cast("string"), "batch_id": F.col("batch_id").cast("string")})
+    io.require_columns(bronze, ("city", "batch_id", "ingested_at_utc", "service_name", "requested_datetime",
+                                "updated_datetime", "closed_datetime"), "Bronze input")
+    mapping = io.read_mapping_csv(spark, mapping_csv)
+    silver = lk.to_silver(bronze, mapping, mapping.count())
+    io.write_partitioned(lk.bronze_partition_columns(silver), silver_root, ["year", "month", "day", "city"])
+    return spark.read.parquet(silver_root).count()
 
 
 def aggregate_job(spark: SparkSession, silver_path: str, hourly_root: str, daily_root: str, category_root: str) -> dict:

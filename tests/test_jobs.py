@@ -32,3 +32,33 @@ def test_daily_job_is_idempotent(spark):
     bounds = scores.agg(*[F.min(c).alias(f"lo_{c}") for c in ("composite", "anomaly_score", "heat_score")],
                         *[F.max(c).alias(f"hi_{c}") for c in ("composite", "anomaly_score", "heat_score")]).first()
     assert all(0 <= bounds[f"lo_{c}"] and bounds[f"hi_{c}"] <= 100 for c in ("composite", "anomaly_score", "heat_score"))
+
+
+def test_bronze_and_silver_jobs_from_landed_files(spark, tmp_path):
+    import json as _json
+
+    from pyspark.sql import types as T
+
+    from metroscope.sources import fixtures
+
+    raw_dir, man_dir = tmp_path / "raw", tmp_path / "manifests"
+    raw_dir.mkdir()
+    man_dir.mkdir()
+    recs = [{"batch_id": "b1", "service_request_id": "1", "service_name": "Pothole", "status": "Open",
+             "requested_datetime": "2024-01-01T10:00:00Z", "updated_datetime": "", "latitude": 42.3},
+            {"batch_id": "b1", "service_request_id": "2", "service_name": "Unknown thing", "status": "closed",
+             "requested_datetime": "garbage", "long": -71.1}]
+    (raw_dir / "response.json").write_text(_json.dumps(recs))
+    (man_dir / "manifest.json").write_text(_json.dumps({"city": "boston", "batch_id": "b1", "ingested_at_utc": "2024-01-01T11:00:00Z"}))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (
+        "batch_id", "service_request_id", "service_name", "status", "requested_datetime", "updated_datetime",
+        "closed_datetime")] + [T.StructField(n, T.DoubleType()) for n in ("lat", "latitude", "long", "lon", "longitude")])
+    bronze_root = scratch_path(spark, "bronze-job")
+    assert jobs.bronze_job(spark, str(raw_dir), str(man_dir), bronze_root, schema) == 2
+    mapping = scratch_path(spark, "mapping")
+    fixtures.category_mapping(spark).coalesce(1).write.option("header", True).csv(mapping)
+    silver_root = scratch_path(spark, "silver-job2")
+    assert jobs.silver_job(spark, bronze_root, mapping, silver_root) == 2
+    rows = {r.service_request_id: r for r in spark.read.parquet(silver_root).collect()}
+    assert rows["1"].normalized_category == "Road Infrastructure" and rows["1"].lat == 42.3
+    assert rows["2"].normalized_category == "Other" and rows["2"].requested_at_utc is None and rows["2"].lon == -71.1
