@@ -528,7 +528,8 @@ def e12_news_tsv(spark, sf):
     """E12 on files: the export landed as headerless 58-column TSV (S8), city rows written
     as CSV by day (S9), then P6 / F2 / F4 / A6 / W6 into the daily news table."""
     ev = fixtures.news_events(spark, sf)
-    full = ev.select(*[(F.col(c) if c in ev.columns else F.lit(None).cast("string")).alias(c) for c in io.NEWS_COLUMNS])
+    full = ev.select(*[(F.col(c).cast("string") if c in ev.columns else F.lit(None).cast("string")).alias(c)
+                       for c in io.NEWS_COLUMNS])
     landing = scratch_path(spark, "news-tsv")
     full.write.option("sep", "\t").option("header", False).csv(landing)
     read = io.read_news_tsv(spark, landing)

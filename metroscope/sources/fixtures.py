@@ -183,18 +183,19 @@ def alert_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def news_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """News-event export rows (string typed, as read from TSV) from ``lineitem``."""
+    """News-event export rows from ``lineitem`` (numeric fields typed; the TSV path,
+    ``e12_news_tsv``, lands them as text and parses them back)."""
     li = tables.read(spark, sf_dir, "lineitem")
     geo = lambda k: F.when(k == 0, F.lit(GEO_NAMES[0])).when(k == 1, F.lit(GEO_NAMES[1])).otherwise(F.lit(GEO_NAMES[2]))
     ln = F.col("l_linenumber")
     return li.select(
         F.date_format("l_shipdate", "yyyyMMdd").alias("SQLDATE"),
         F.when(ln == 4, F.lit("14")).otherwise(F.lpad(ln.cast("string"), 2, "0")).alias("EventRootCode"),
-        ((F.col("l_tax") - F.col("l_discount")) * 100).cast("string").alias("AvgTone"),
-        (F.col("l_quantity") / 5 - 5).cast("string").alias("GoldsteinScale"),
-        F.col("l_quantity").cast("bigint").cast("string").alias("NumMentions"),
-        ln.cast("string").alias("NumSources"),
-        (F.col("l_quantity").cast("bigint") + ln).cast("string").alias("NumArticles"),
+        ((F.col("l_tax") - F.col("l_discount")) * 100).alias("AvgTone"),
+        (F.col("l_quantity") / 5 - 5).alias("GoldsteinScale"),
+        F.col("l_quantity").cast("bigint").cast("double").alias("NumMentions"),
+        ln.cast("double").alias("NumSources"),
+        (F.col("l_quantity").cast("bigint") + ln).cast("double").alias("NumArticles"),
         F.when(F.col("l_partkey") % 5 == 0, F.lit(None).cast("string"))
         .otherwise(geo(F.col("l_suppkey") % 2))
         .alias("Actor1Geo_FullName"),
