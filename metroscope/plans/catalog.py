@@ -346,8 +346,10 @@ def j4_source_fallback(spark, sf):
 
 @query("p11_run_log")
 def p11_run_log(spark, sf):
-    """Run log rows; the insert clock used for events without a stop time is masked (null)."""
-    return finish(co.normalize_runs(fixtures.run_events(spark, sf), now=F.lit(None).cast("timestamp")))
+    """Run log rows; the insert clock used for events without a stop time is masked (null).
+    ``duration_secs`` is nullable, so it leaves as double (one value type in every client)."""
+    r = co.normalize_runs(fixtures.run_events(spark, sf), now=F.lit(None).cast("timestamp"))
+    return finish(r.withColumn("duration_secs", F.col("duration_secs").cast("double")))
 
 
 def _validation_counts(spark, sf):

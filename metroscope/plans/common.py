@@ -9,11 +9,13 @@ from pyspark.sql import types as T
 
 
 def finish(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Timestamps leave as timestamp_ntz; doubles are rounded so engines compare equal."""
+    """Timestamps and dates leave as timestamp_ntz (dates at midnight: the given tables
+    carry dates the same way, and both engines then hand back the same value type);
+    doubles are rounded so engines compare equal."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.TimestampType):
+        if isinstance(f.dataType, (T.TimestampType, T.DateType)):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, T.DoubleType):
             c = rnd(c, digits) + F.lit(0.0)  # + 0.0 turns -0.0 into 0.0

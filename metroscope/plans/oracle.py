@@ -165,3 +165,10 @@ FROM base GROUP BY city, hour_window"""
 ORACLE["r2_stream_dedup"] = with_(F_MAPPING, F_BRONZE, F_SILVER) + """SELECT service_request_id, city, status,
  requested_at_utc, is_infrastructure, is_emergency_type FROM silver"""
 from metroscope.plans import oracle_sources  # noqa: E402,F401  (file round trips)
+
+# Result edge: DATE columns leave as midnight TIMESTAMP (mirrors ``plans.common.finish``).
+from metroscope.plans.oracle_dates import DATE_COLUMNS  # noqa: E402
+
+for _name, _cols in DATE_COLUMNS.items():
+    _rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in _cols)
+    ORACLE[_name] = f"SELECT * REPLACE ({_rep}) FROM ({ORACLE[_name]}) AS dq"

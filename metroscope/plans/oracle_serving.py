@@ -140,7 +140,7 @@ runs AS (
     THEN trim(coalesce(error, '') || ': ' || coalesce(cause, ''), ': ') ELSE status END END AS error_message
  FROM run_events)"""
 
-ORACLE["p11_run_log"] = with_(F_RUN_EVENTS) + "SELECT * FROM runs"
+ORACLE["p11_run_log"] = with_(F_RUN_EVENTS) + "SELECT * REPLACE (CAST(duration_secs AS DOUBLE) AS duration_secs) FROM runs"
 ORACLE["e10_last_updated"] = with_(*SCORED, F_RUN_EVENTS) + """SELECT p.city,
  CASE WHEN r.last_run IS NOT NULL THEN strftime(r.last_run, '%Y-%m-%d %H:%M') || ' UTC'
   WHEN p.last_score IS NOT NULL THEN CAST(p.last_score AS VARCHAR) || ' (last scored date)' ELSE 'N/A' END AS last_updated,
