@@ -68,8 +68,9 @@ def top_category(rdays: DataFrame) -> DataFrame:
 
 
 def station_spine(spine: DataFrame, station_cities: DataFrame) -> DataFrame:
-    """(station, city, d) for each spine day; the station dimension is small and fixed."""
-    return spine.join(F.broadcast(station_cities), "city")
+    """(station, city, d) for each spine day. The station dimension is a small configured
+    table; Spark picks the broadcast from its size estimate (no unchecked hint)."""
+    return spine.join(station_cities, "city")
 
 
 def heat_streak(weather: DataFrame, st_spine: DataFrame, hot_index: float = 40.0, hot_tmax: float = 35.0) -> DataFrame:
@@ -112,7 +113,7 @@ def precip_72h(weather: DataFrame, st_spine: DataFrame) -> DataFrame:
 
 def city_tmax(weather: DataFrame, station_cities: DataFrame) -> DataFrame:
     """tmax card: the city's warmest station reading on d, rounded to 1."""
-    j = weather.join(F.broadcast(station_cities), "station_id")
+    j = weather.join(station_cities, "station_id")
     return j.groupBy("city", F.col("obs_date").alias("d")).agg(pyround(F.max("tmax"), 1).alias("tmax"))
 
 

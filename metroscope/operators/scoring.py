@@ -72,10 +72,11 @@ def heat_scores_by_station(weather: DataFrame, history_rows: int = 30) -> DataFr
 def heat_scores(weather: DataFrame, station_cities: DataFrame) -> DataFrame:
     """Q21: one series per station, then the max per city and day.
 
-    ``station_cities`` is a configured dimension (a handful of rows per city) and is
-    broadcast; its size does not grow with the data."""
+    ``station_cities`` is a configured dimension (a handful of rows per city). No hint
+    is forced: Spark broadcasts it from its size estimate (``autoBroadcastJoinThreshold``,
+    AQE runtime statistics) and falls back to a shuffle join if it were ever large."""
     per_station = heat_scores_by_station(weather)
-    j = per_station.join(F.broadcast(station_cities), "station_id")
+    j = per_station.join(station_cities, "station_id")
     return j.groupBy("city", F.col("obs_date").alias("d")).agg(F.max("heat_score").alias("heat_score"))
 
 

@@ -123,7 +123,7 @@ def today_view(requests: DataFrame, weather: DataFrame, station_cities: DataFram
         mean_rounded(F.when(F.col("status") == "closed", hrs), 1).alias("mean_close_hrs"),
         F.mode("service_name", deterministic=True).alias("top_category"),
     )
-    wx = weather.join(F.broadcast(station_cities), "station_id").groupBy("city", F.col("obs_date").alias("d")).agg(
+    wx = weather.join(station_cities, "station_id").groupBy("city", F.col("obs_date").alias("d")).agg(
         F.min_by(F.struct("tmax", F.col("precip_6hr_max").alias("prcp")), "station_id").alias("_w")
     )
     g = gdelt.select("city", F.col("obs_date").alias("d"), "avg_tone", F.col("protest_event_count").alias("protest_count"))

@@ -34,7 +34,7 @@ def stations(spark: SparkSession) -> DataFrame:
 
 def city_weather(spark: SparkSession, sf: str) -> DataFrame:
     """Weather per (city, day): the city's stations folded with max (Q21)."""
-    j = weather(spark, sf).join(F.broadcast(stations(spark)), "station_id")
+    j = weather(spark, sf).join(stations(spark), "station_id")
     return j.groupBy("city", "obs_date").agg(F.max("tmax").alias("tmax"), F.max("heat_index_max").alias("heat_index_max"))
 
 
@@ -83,7 +83,7 @@ def inputs(spark: SparkSession, sf: str) -> DailyInputs:
     gd = materialize(spark, gdelt(spark, sf), "news-daily")
     st = stations(spark)
     counts = cd.daily_counts(rdays)
-    heat_days = wx.join(F.broadcast(st), "station_id").select("city", F.col("obs_date").alias("d"))
+    heat_days = wx.join(st, "station_id").select("city", F.col("obs_date").alias("d"))
     spine = materialize(spark, sc.date_spine(counts, heat_days, al, gd.select("city", F.col("obs_date").alias("d"))), "spine")
     return DailyInputs(rdays, counts, wx, st, al, gd, spine)
 
@@ -103,7 +103,7 @@ def cards(spark: SparkSession, sf: str, baseline_rows: int | None = None, di: Da
 
 
 def city_weather_of(wx: DataFrame, st: DataFrame) -> DataFrame:
-    j = wx.join(F.broadcast(st), "station_id")
+    j = wx.join(st, "station_id")
     return j.groupBy("city", "obs_date").agg(F.max("tmax").alias("tmax"), F.max("heat_index_max").alias("heat_index_max"))
 
 
