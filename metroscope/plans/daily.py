@@ -77,10 +77,21 @@ class DailyInputs:
 
 
 def inputs(spark: SparkSession, sf: str) -> DailyInputs:
-    rdays = materialize(spark, cd.request_days(requests(spark, sf)), "request-days")
-    wx = materialize(spark, weather(spark, sf), "weather-daily")
-    al = materialize(spark, sc.alert_scores(alerts(spark, sf)), "alert-daily")
-    gd = materialize(spark, gdelt(spark, sf), "news-daily")
+    """Build the four per-day tables. They are independent, so their jobs are submitted
+    concurrently from driver threads (Spark schedules them side by side on the cluster);
+    the calendar spine follows once they exist."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    plans = {
+        "request-days": lambda: cd.request_days(requests(spark, sf)),
+        "weather-daily": lambda: weather(spark, sf),
+        "alert-daily": lambda: sc.alert_scores(alerts(spark, sf)),
+        "news-daily": lambda: gdelt(spark, sf),
+    }
+    with ThreadPoolExecutor(max_workers=len(plans)) as pool:
+        futures = {k: pool.submit(lambda k=k, f=f: materialize(spark, f(), k)) for k, f in plans.items()}
+        done = {k: fut.result() for k, fut in futures.items()}
+    rdays, wx, al, gd = done["request-days"], done["weather-daily"], done["alert-daily"], done["news-daily"]
     st = stations(spark)
     counts = cd.daily_counts(rdays)
     heat_days = wx.join(st, "station_id").select("city", F.col("obs_date").alias("d"))
