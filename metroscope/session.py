@@ -23,6 +23,11 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", os.environ.get("METROSCOPE_DRIVER_MEMORY", "12g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # long test / bench sessions: keep little job and SQL-execution history in the driver
+        .config("spark.sql.ui.retainedExecutions", "50")
+        .config("spark.ui.retainedJobs", "200")
+        .config("spark.ui.retainedStages", "200")
+        .config("spark.ui.retainedTasks", "20000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
