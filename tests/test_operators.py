@@ -273,3 +273,27 @@ def test_required_columns_message(spark):
     df = spark.createDataFrame([(1,)], "city int")
     with pytest.raises(ValueError, match="missing required columns: batch_id, status"):
         io.require_columns(df, ["status", "city", "batch_id"], "Silver input")
+
+
+def test_pyround_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False, allow_infinity=False), min_size=1, max_size=200),
+           st.integers(min_value=0, max_value=4))
+    def check(values, digits):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        assert one(df.select(pyround(F.col("x"), digits).alias("r")), "r") == [round(v, digits) for v in values]
+
+    check()
+
+
+def test_zone_join_shuffle_path_matches_broadcast(spark):
+    zones = spark.createDataFrame([("sq", [0.0, 1.0, 1.0, 0.0], [0.0, 0.0, 1.0, 1.0]), ("tri", [2.0, 3.0, 2.0], [0.0, 0.0, 1.0])],
+                                  "zone_id string, xs array<double>, ys array<double>")
+    pts = spark.range(400).select(F.col("id").cast("string").alias("id"), (F.col("id") % 40 / 10.0).alias("lon"),
+                                  (F.floor(F.col("id") / 40) / 10.0).alias("lat"))
+    a = sorted(geo.assign_zones(pts, zones, cell_size=0.5, zone_cell_rows=10).collect())
+    b = sorted(geo.assign_zones(pts, zones, cell_size=0.5, zone_cell_rows=None).collect())
+    assert a == b and any(r.zone_id == "tri" for r in a) and any(r.zone_id is None for r in a)
