@@ -18,10 +18,6 @@ CARD_NAMES = (
 )
 
 
-def _per_day(df: DataFrame, cols: list[Column]) -> DataFrame:
-    return df.select("city", "d", *cols)
-
-
 def request_days(requests: DataFrame) -> DataFrame:
     """The one pass over raw requests the cards and scores need: per (city, day,
     service, status) the request count and the fixed-point sum / count of resolution

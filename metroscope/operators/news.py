@@ -87,13 +87,6 @@ def daily_rollup_distinct(matched: DataFrame, approximate: bool = False) -> Data
     )
 
 
-def file_day_spine(events: DataFrame, cities: Sequence[str]) -> DataFrame:
-    """(city, obs_date) for every downloaded file day: days come from a distinct
-    aggregate, cities from a literal array (no join)."""
-    days = events.select("obs_date").where(F.col("obs_date").isNotNull()).distinct()
-    return days.withColumn("city", F.explode(F.array(*[F.lit(c) for c in cities])))
-
-
 def rollup_with_empty_days(events: DataFrame, cities: Sequence[str]) -> DataFrame:
     """A6 as the reference writes it: a downloaded day with no matching event still gets
     a row (tone null, counts 0).
