@@ -465,13 +465,14 @@ def _land_with_redeliveries(spark, sf):
 @query("r1_stream_hourly")
 def r1_stream_hourly(spark, sf):
     landing, schema = _land_with_redeliveries(spark, sf)
-    return finish(hs.run_hourly_pipeline(spark, landing, schema))
+    # state store sized for the fixture-scale stream (a cluster job sizes it to its state)
+    return finish(hs.run_hourly_pipeline(spark, landing, schema, state_partitions=8))
 
 
 @query("r2_stream_dedup")
 def r2_stream_dedup(spark, sf):
     landing, schema = _land_with_redeliveries(spark, sf)
-    return finish(hs.run_dedup_pipeline(spark, landing, schema))
+    return finish(hs.run_dedup_pipeline(spark, landing, schema, state_partitions=8))
 
 
 # ---------------------------------------------------------------- sources and sinks on landed files

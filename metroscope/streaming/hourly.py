@@ -77,22 +77,42 @@ def run_hourly_pipeline(
     target: str | None = None,
     delay: str = "2 days",
     max_files: int | None = None,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """R1 + R2 + R3 end to end with ``availableNow``: processes every landed file, then
-    returns the merged hourly table."""
+    returns the merged hourly table.
+
+    ``state_partitions`` sizes the state store (fixed in the checkpoint at the first
+    start; defaults to the session's shuffle partitions)."""
     target = target or scratch_path(spark, "r1-hourly")
     ckpt = scratch_path(spark, "r1-checkpoint")
     counts = hourly_counts(dedup_requests(request_stream(spark, landing, schema, max_files), delay))
-    q = (counts.writeStream.outputMode("update").foreachBatch(upsert_sink(spark, target))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    writer = (counts.writeStream.outputMode("update").foreachBatch(upsert_sink(spark, target))
+              .option("checkpointLocation", ckpt).trigger(availableNow=True))
+    q = _start(spark, writer, state_partitions)
     q.awaitTermination()
     return spark.read.parquet(target).drop("window_day")
 
 
-def run_dedup_pipeline(spark: SparkSession, landing: str, schema: T.StructType, delay: str = "2 days") -> DataFrame:
+def _start(spark: SparkSession, writer, state_partitions: int | None):
+    """Start a stream with a chosen state partition count; the session setting is restored."""
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
+def run_dedup_pipeline(spark: SparkSession, landing: str, schema: T.StructType, delay: str = "2 days",
+                       state_partitions: int | None = None) -> DataFrame:
     """R2 alone into an append-only parquet sink; returns what the sink holds."""
     out, ckpt = scratch_path(spark, "r2-dedup"), scratch_path(spark, "r2-checkpoint")
-    q = (dedup_requests(request_stream(spark, landing, schema), delay).writeStream.outputMode("append")
-         .format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    writer = (dedup_requests(request_stream(spark, landing, schema), delay).writeStream.outputMode("append")
+              .format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True))
+    q = _start(spark, writer, state_partitions)
     q.awaitTermination()
     return spark.read.schema(schema).parquet(out)
