@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroscope.llm import quality_cnn, simhash
+from metroscope.llm import decontaminate, pieces, quality_cnn, simhash, surrogates
 from metroscope.llm.common import crc_mod, documents
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_private(documents(spark, sf_dir), count_col="n_replaced").select("doc_id", "n_replaced", "text")
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(documents(spark, sf_dir), pieces.read_model(), with_ids=False)
+
+
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
@@ -23,6 +35,9 @@ def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_surrogates": op1_surrogates,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_winnowing": op5_winnowing,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op10_quality_cnn": op10_quality_cnn,
 }
