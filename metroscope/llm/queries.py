@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroscope.llm import decontaminate, pieces, quality_cnn, simhash, surrogates
+from metroscope.llm import (
+    decontaminate, licenses, pieces, quality_cnn, redirects, simhash, surrogates, thresholds,
+)
 from metroscope.llm.common import crc_mod, documents
 
 
@@ -15,6 +17,15 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_private(documents(spark, sf_dir), count_col="n_replaced").select("doc_id", "n_replaced", "text")
 
 
+def op2_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redirects.judge_urls(documents(spark, sf_dir, "pages")).drop("component")
+
+
+def op3_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return thresholds.adaptive_rules(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir), pieces.read_model(), with_ids=False)
 
@@ -23,6 +34,10 @@ def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
@@ -36,8 +51,11 @@ def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": op1_surrogates,
+    "op2_redirects": op2_redirects,
+    "op3_adaptive_rules": op3_adaptive_rules,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_winnowing": op5_winnowing,
+    "op6_licenses": op6_licenses,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op10_quality_cnn": op10_quality_cnn,
 }
