@@ -60,14 +60,15 @@ def normal_text(text: Column) -> Column:
 
 
 def template_grams(spark: SparkSession, templates=TEMPLATES, k: int = K) -> DataFrame:
-    """``hash``, ``tmpl``, ``label``, ``t_pos``, ``t_len`` and the gram's words."""
+    """``hash``, ``tmpl``, ``label``, ``t_pos``, ``t_len`` and the ``gram`` (a space after each word)."""
     rows = [(i, label, text) for i, (label, text) in enumerate(templates)]
     t = spark.createDataFrame(rows, "tmpl int, label string, text string")
     t = t.select("tmpl", "label", F.split(normal_text(F.col("text")), " ").alias("words"))
     t = t.select("tmpl", "label", "words", F.size("words").alias("t_len"),
                  F.explode(F.sequence(F.lit(0), F.size("words") - k)).alias("t_pos"))
-    words = [F.get("words", F.col("t_pos") + i).alias(f"t{i}") for i in range(k)]
-    return t.select("tmpl", "label", "t_len", "t_pos", *words, F.xxhash64(*[F.get("words", F.col("t_pos") + i) for i in range(k)]).alias("hash"))
+    words = [F.get("words", F.col("t_pos") + i) for i in range(k)]
+    gram = F.concat(*[F.concat(w, F.lit(" ")) for w in words])
+    return t.select("tmpl", "label", "t_len", "t_pos", gram.alias("gram"), F.xxhash64(*words).alias("hash"))
 
 
 def hits(texts: DataFrame, grams: DataFrame, k: int = K) -> DataFrame:
@@ -75,11 +76,12 @@ def hits(texts: DataFrame, grams: DataFrame, k: int = K) -> DataFrame:
     split = texts.select("doc_id", "text_hash", F.split("norm", " ").alias("words"))
     hashed = split.select("doc_id", "text_hash", "words", F.transform(
         "words", lambda w, i: F.xxhash64(w, *[F.get("words", i + j) for j in range(1, k)])).alias("hashes"))
-    rolled = hashed.select("doc_id", "text_hash", "words", F.posexplode("hashes").alias("pos", "h"))
-    same = F.col("h") == F.col("hash")
-    for j in range(k):
-        same = same & (F.get("words", F.col("pos") + j) == F.col(f"t{j}"))
-    return rolled.join(F.broadcast(grams), same).select("doc_id", "text_hash", "tmpl", "label", "t_len", "pos", "t_pos")
+    # the outer form keeps the optimizer from testing the whole array's size at the scan
+    rolled = hashed.select("doc_id", "text_hash", "words", F.posexplode_outer("hashes").alias("pos", "h"))
+    said = F.concat(*[F.concat(F.get("words", F.col("pos") + j), F.lit(" ")) for j in range(k)])
+    # a prefix test, so that only the hash is a join key; the gram ends with a space
+    return rolled.join(F.broadcast(grams), (F.col("h") == F.col("hash")) & said.startswith(F.col("gram"))).select(
+        "doc_id", "text_hash", "tmpl", "label", "t_len", "pos", "t_pos")
 
 
 def spans(votes: DataFrame, k: int = K, max_shift: int = MAX_SHIFT, max_gap: int = MAX_GAP) -> DataFrame:
