@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroscope.llm import (
-    decontaminate, licenses, pieces, quality_cnn, redirects, simhash, surrogates, thresholds,
+    chat, decontaminate, licenses, pieces, quality_cnn, redirects, simhash, surrogates, thresholds,
 )
 from metroscope.llm.common import crc_mod, documents
 
@@ -42,6 +42,14 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.digests(turns.unionByName(extra))
+
+
 def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality_cnn.train(docs, documents(spark, sf_dir, "labels"))
@@ -57,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_winnowing": op5_winnowing,
     "op6_licenses": op6_licenses,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_chat_template": op8_chat_template,
     "op10_quality_cnn": op10_quality_cnn,
 }

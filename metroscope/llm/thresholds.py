@@ -30,7 +30,7 @@ SKETCH_K = 2048           # KLL accuracy: a rank error of about 0.1 %; exact bel
 MIN_GROUP = 200           # documents from which a group's own sketch is used
 REACH = 3.0               # fence distance in quartile ranges
 # rate -> least distance of a fence from its quartile
-ABOVE = {"repeat_rate": 0.2, "symbol_rate": 0.1, "dup_line_rate": 0.05, "mean_word": 4.0}
+ABOVE = {"repeat_rate": 0.35, "symbol_rate": 0.1, "dup_line_rate": 0.05, "mean_word": 4.0}
 BELOW = {"mean_word": 2.0}
 _SYMBOLS = b"#*$%&|<>"
 _NOT_CONTINUATION = bytes(b for b in range(256) if b & 0xC0 != 0x80)
