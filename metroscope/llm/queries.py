@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroscope.llm import (
-    chat, decontaminate, licenses, pieces, quality_cnn, redirects, simhash, surrogates, thresholds,
+    chat, decontaminate, interpolation, licenses, pieces, quality_cnn, redirects, simhash, surrogates, thresholds,
 )
 from metroscope.llm.common import crc_mod, documents
 
@@ -50,6 +50,10 @@ def op8_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(turns.unionByName(extra))
 
 
+def op9_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score_documents(documents(spark, sf_dir))
+
+
 def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality_cnn.train(docs, documents(spark, sf_dir, "labels"))
@@ -66,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licenses": op6_licenses,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_chat_template": op8_chat_template,
+    "op9_interpolation": op9_interpolation,
     "op10_quality_cnn": op10_quality_cnn,
 }
