@@ -1,4 +1,141 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from metroscope.llm import redirects, thresholds
+from metroscope.llm.common import ALNUM_WORD, LOWER_ASCII, SPACE_WORD, UPPER_ASCII
+
+_LOWER = f"'{UPPER_ASCII}', '{LOWER_ASCII}'"
+
+# --- op2: recursion over link edges ----------------------------------------------------
+_RULES = ", ".join(f"('{r.verdict}', '{r.text}', '{r.host}', '{r.path}')" for r in redirects.RULES)
+
+
+def _plain(url: str) -> str:
+    host = f"translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), {_LOWER})"
+    path = f"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+    query = f"regexp_extract({url}, '(?s)^[^?#]*\\?([^#]*)', 1)"
+    kept = (f"list_sort(list_filter(string_split({query}, '&'), lambda q: q <> '' "
+            f"AND NOT regexp_matches(q, '^{redirects.TRACKING}(?:=|$)')))")
+    return (f"CASE WHEN contains({url}, '://') THEN regexp_replace({host}, '^(?:www|m)\\.', '') || "
+            f"regexp_replace(regexp_replace({path}, '/index\\.(?:html?|php)$', '/'), '/+$', '') || "
+            f"CASE WHEN len({kept}) > 0 THEN '?' || array_to_string({kept}, '&') ELSE '' END END")
+
+
+OP2 = f"""
+WITH RECURSIVE rules(verdict, text, host, path) AS (VALUES {_RULES}),
+p AS (SELECT page_id, url, coalesce(html, '') AS html,
+        coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {_LOWER}), '') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, {_plain('url')} AS node FROM pages),
+best AS (SELECT p.page_id, p.host, p.path, p.node, p.html,
+        (SELECT r.text FROM rules r WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+         ORDER BY length(r.text) DESC, r.text LIMIT 1) AS rule FROM p),
+tags AS (SELECT node, unnest(list_concat(
+        list_transform(list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*>'),
+                       lambda t: regexp_matches(t, '(?i)\\brel\\s*=\\s*["'']?canonical\\b')),
+                       lambda t: regexp_extract(t, '(?i)\\bhref\\s*=\\s*["'']([^"''>]+)', 1)),
+        list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\\b[^>]*>'),
+                       lambda t: regexp_matches(t, '(?i)http-equiv\\s*=\\s*["'']?refresh\\b')),
+                       lambda t: regexp_extract(t, '(?i)url\\s*=\\s*["'']?([^"''> ]+)', 1)))) AS target FROM best WHERE node IS NOT NULL),
+links AS (SELECT DISTINCT node AS a, {_plain('target')} AS b FROM tags WHERE contains(target, '://')),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(node, other) AS (SELECT DISTINCT node, node FROM best WHERE node IS NOT NULL
+        UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a),
+decided AS (SELECT b.node, r.verdict FROM best b JOIN rules r ON b.rule = r.text),
+grouped AS (SELECT reach.node, bool_or(d.verdict = 'allow') AS a, bool_or(d.verdict = 'block') AS b
+        FROM reach JOIN decided d ON d.node = reach.other GROUP BY reach.node)
+SELECT best.page_id, best.host, best.path, best.rule,
+       coalesce((SELECT verdict FROM rules r WHERE r.text = best.rule),
+                CASE WHEN g.a THEN 'allow' WHEN g.b THEN 'block' ELSE 'allow' END) AS verdict
+FROM best LEFT JOIN grouped g ON g.node = best.node
+"""
+
+# --- op3: exact quartiles (a sketch of fewer documents than its size is exact) -------------
+_RATES = ("repeat_rate", "symbol_rate", "dup_line_rate", "mean_word")
+
+
+def _quartile(rate: str, p: float) -> str:
+    return f"list_sort(list({rate}))[CAST(ceil({p} * count(*)) AS INTEGER)]"
+
+
+_QUARTILES = ", ".join(f"{_quartile(r, p)} AS {r}_{n}" for r in _RATES for p, n in ((0.25, "q1"), (0.75, "q3")))
+_QCOLS = [f"{r}_{n}" for r in _RATES for n in ("q1", "q3")]
+_PICKED = ", ".join(f"CASE WHEN g.n >= {thresholds.MIN_GROUP} THEN g.{c} WHEN l.n >= {thresholds.MIN_GROUP} THEN l.{c} "
+                    f"ELSE o.{c} END AS {c}" for c in _QCOLS)
+_INSIDE = " AND ".join(
+    [f"{r} <= {r}_q3 + greatest(({r}_q3 - {r}_q1) * {thresholds.REACH}, {s})" for r, s in thresholds.ABOVE.items()]
+    + [f"{r} >= {r}_q1 - greatest(({r}_q3 - {r}_q1) * {thresholds.REACH}, {s})" for r, s in thresholds.BELOW.items()])
+
+OP3 = f"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{SPACE_WORD}') AS w FROM documents),
+grams AS (SELECT doc_id, unnest(range(0, len(w) - 2)) AS p, w FROM d WHERE len(w) >= 3),
+keyed AS (SELECT doc_id, p, struct_pack(a := w[p + 1], b := w[p + 2], c := w[p + 3]) AS g FROM grams),
+often AS (SELECT doc_id, p FROM keyed QUALIFY count(*) OVER (PARTITION BY doc_id, g) >= 2),
+rep AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(p, p + 3)) AS x FROM often) GROUP BY doc_id),
+m AS (SELECT d.doc_id, d.lang, d.source, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{SPACE_WORD}')))
+             - len(list_distinct(list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{SPACE_WORD}')))) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id),
+r AS (SELECT *, n_words < {thresholds.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS repeat_rate,
+        CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS symbol_rate,
+        CASE WHEN n_words > 0 THEN n_dup_lines / n_words ELSE 0 END AS dup_line_rate,
+        CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word FROM m),
+ok AS (SELECT * FROM r WHERE NOT base_failed),
+g AS (SELECT lang, source, count(*) AS n, {_QUARTILES} FROM ok GROUP BY lang, source),
+l AS (SELECT lang, count(*) AS n, {_QUARTILES} FROM ok GROUP BY lang),
+o AS (SELECT count(*) AS n, {_QUARTILES} FROM ok),
+lim AS (SELECT g.lang, g.source, {_PICKED} FROM g JOIN l ON l.lang IS NOT DISTINCT FROM g.lang CROSS JOIN o)
+SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce({_INSIDE}, false) AS kept
+FROM r LEFT JOIN lim ON lim.lang IS NOT DISTINCT FROM r.lang AND lim.source IS NOT DISTINCT FROM r.source
+"""
+
+# --- op5: all windows of all texts -----------------------------------------------------
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{ALNUM_WORD}')"
+
+OP5 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+iw AS (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(0, len(w) - least(13, len(w)) + 1)) AS p FROM i WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[p + 1:p + n], ' ') AS t FROM iw),
+sizes AS (SELECT DISTINCT n FROM windows),
+dp AS (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS p FROM d, sizes WHERE len(w) >= n),
+hit AS (SELECT dp.doc_id, dp.p, dp.n, item_id FROM dp JOIN windows x ON x.n = dp.n AND x.t = array_to_string(dp.w[p + 1:p + dp.n], ' ')),
+words AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS x FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+        FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
+# --- op8: the read-back output equals the input; lengths follow from the template ----------
+_CONTROL = r"(\\|\[/INST\]|\[/ROLE\]|\[INST\]|\[ROLE\]|</s>|<s>)"
+
+
+def _escaped(c: str) -> str:
+    return f"length(regexp_replace({c}, '{_CONTROL}', '\\\\\\1', 'g'))"
+
+
+OP8 = f"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r, text AS x FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, x NULLS FIRST)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, x NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({_escaped('text')} + CASE WHEN role = 'user' THEN 18 WHEN role = 'assistant' THEN 7
+                ELSE 20 + {_escaped('role')} END) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_redirects": OP2,
+    "op3_adaptive_rules": OP3,
+    "op5_winnowing": OP5,
+    "op8_chat_template": OP8,
+}
