@@ -22,7 +22,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ from metroscope.llm.common import bounded
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 THREADS = 2
+KNOWN_WORDS = 300_000     # words that a task remembers
+BATCH_TEXTS = 10_000      # texts or words given to the library at once
 # Piece types and model types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -127,6 +131,11 @@ def merges_of(m: PieceModel) -> list[tuple[str, str]]:
     return [(x[4], x[5]) for x in sorted(found)]
 
 
+def words_stand_alone(m: PieceModel) -> bool:
+    """No piece reaches over the start of a word."""
+    return not any(MARK in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER_DEFINED))
+
+
 def build_tokenizer(m: PieceModel):
     """The equal ``tokenizers.Tokenizer``."""
     from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -135,13 +144,16 @@ def build_tokenizer(m: PieceModel):
         raise ValueError("only unigram and BPE models with a metaspace prefix marker are supported")
     unk = next((i for i, p in enumerate(m.pieces) if p[2] == UNKNOWN), None)
     if m.model_type == UNIGRAM:
-        # control pieces and unused pieces can never be chosen for a text
-        vocab = [(p, s if kind in (NORMAL, USER_DEFINED) else -1e9) for p, s, kind in m.pieces]
+        # pieces that a text can never match get a name that texts do not hold; byte pieces
+        # must keep theirs, so a text that spells one out can differ (and is then corrected)
+        lowest = min((s for _, s, kind in m.pieces if kind in (NORMAL, USER_DEFINED)), default=0.0)
+        vocab = [(p, s) if kind in (NORMAL, USER_DEFINED) else (p, lowest) if kind == BYTE
+                 else (f"\U0010FFFE{i}\U0010FFFE", lowest) for i, (p, s, kind) in enumerate(m.pieces)]
         model = models.Unigram(vocab, unk, byte_fallback=m.byte_fallback)
     else:
         model = models.BPE({p: i for i, (p, _, _) in enumerate(m.pieces)}, merges_of(m),
                            unk_token=m.pieces[unk][0] if unk is not None else None, fuse_unk=True,
-                           byte_fallback=m.byte_fallback, cache_capacity=100_000)
+                           byte_fallback=m.byte_fallback)
     t = Tokenizer(model)
     steps = [normalizers.Precompiled(m.charsmap)] if m.charsmap else []
     if m.squeeze_spaces:
@@ -149,8 +161,7 @@ def build_tokenizer(m: PieceModel):
     if m.dummy_prefix:
         steps.append(normalizers.Prepend(MARK))
     t.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
-    if not any(MARK in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER_DEFINED)):
-        # no piece reaches over the start of a word: words can be encoded one by one
+    if words_stand_alone(m):
         t.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), "isolated")
     if own := [p for p, _, kind in m.pieces if kind == USER_DEFINED]:
         t.add_tokens([AddedToken(p, normalized=True) for p in own])
@@ -160,7 +171,13 @@ def build_tokenizer(m: PieceModel):
 
 
 class Coder:
-    """Encoder and decoder of one task (building it takes a fraction of a second)."""
+    """Encoder and decoder of one task (building it takes a fraction of a second).
+
+    Where no piece can reach over the start of a word and the normaliser leaves characters
+    alone, the ids of a text are those of its words one after another. Then only words not
+    met before are encoded (in batches, on the library's threads) and checked against
+    sentencepiece; a bounded table remembers them. Other texts - with runs of spaces or the
+    marker itself - and other models are encoded whole."""
 
     def __init__(self, model: bytes, threads: int = THREADS) -> None:
         import sentencepiece
@@ -168,14 +185,39 @@ class Coder:
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         self.threads = threads
-        self.tokenizer = build_tokenizer(parse_model(model))
+        parsed = parse_model(model)
+        self.tokenizer = build_tokenizer(parsed)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.by_word = (words_stand_alone(parsed) and parsed.dummy_prefix and not parsed.squeeze_spaces
+                        and not parsed.charsmap and parsed.byte_fallback)
+        self.known: dict[str, bytes] = {}    # ids as little-endian 32-bit numbers
+        self.odd: set[str] = set()           # known words without parity
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], bool]]:
+    def whole(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """(ids, parity) of each text; the ids are always those that sentencepiece gives."""
-        ours = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        truth = self.reference.encode(texts, num_threads=self.threads) if texts else []
-        return [(b, a == b) for a, b in zip(ours, truth)]
+        out: list[tuple[bytes, bool]] = []
+        for at in range(0, len(texts), BATCH_TEXTS):
+            part = texts[at:at + BATCH_TEXTS]
+            ours = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            truth = self.reference.encode(part, num_threads=self.threads)
+            out += [(np.array(b, "<i4").tobytes(), a == b) for a, b in zip(ours, truth)]
+        return out
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
+        """(ids as little-endian 32-bit numbers, parity) of each text."""
+        plain = [self.by_word and bool(t) and t[0] != " " and t[-1] != " " and "  " not in t and MARK not in t for t in texts]
+        split = [t.split(" ") if p else None for t, p in zip(texts, plain)]
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+            self.odd.clear()
+        new = list({w for words in split if words for w in words} - self.known.keys())
+        for word, (ids, same) in zip(new, self.whole(new)):
+            self.known[word] = ids
+            if not same:
+                self.odd.add(word)
+        rest = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
+        get = self.known.__getitem__
+        return [next(rest) if words is None else (b"".join(map(get, words)), self.odd.isdisjoint(words)) for words in split]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
@@ -197,24 +239,22 @@ def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one file of bounded size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        import xxhash
-
         coder = Coder(shared.value)
         for b in bounded(batches, "text", 1 << 20):
             texts = b.column("text").to_pylist()
             some = [t for t in texts if t is not None]
             coded = coder.encode(some)
-            back = coder.decode([ids for ids, _ in coded])
-            done = iter(zip(coded, (d == t for d, t in zip(back, some))))
-            rows = [(None, None, None) if t is None else ((c := next(done))[0][0], c[0][1], c[1]) for t in texts]
-            arrays = [None if r[0] is None else np.array(r[0], "<i4") for r in rows]
-            cols = [b.column("doc_id"), pa.array([0 if a is None else len(a) for a in arrays], pa.int64()),
+            arrays = [np.frombuffer(ids, "<i4") for ids, _ in coded]
+            back = coder.decode([a.tolist() for a in arrays])
+            done = iter(zip(arrays, coded, (d == t for d, t in zip(back, some))))
+            rows = [(None, None, None, None) if t is None else ((d := next(done))[0], d[1][1], d[2], xxhash.xxh64_hexdigest(d[1][0]))
+                    for t in texts]
+            cols = [b.column("doc_id"), pa.array([0 if r[0] is None else len(r[0]) for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.bool_()),
-                    pa.array([None if a is None else xxhash.xxh64_hexdigest(a.tobytes()) for a in arrays], pa.string())]
+                    pa.array([r[3] for r in rows], pa.string())]
             names = ["doc_id", "n_tokens", "parity", "round_trip", "ids_xxh64"]
             if with_ids:
-                cols.append(pa.array(arrays, pa.list_(pa.int32())))
+                cols.append(pa.array([r[0] for r in rows], pa.list_(pa.int32())))
                 names.append("token_ids")
             yield pa.RecordBatch.from_arrays(cols, names)
 
