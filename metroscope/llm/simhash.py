@@ -169,7 +169,8 @@ def fingerprint_components(prints: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE_WORDS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``text_hash``, ``fingerprint`` (16 hex
-    digits), ``component_id`` (smallest id reachable).
+    digits), ``component_id`` (smallest id reachable), ``root`` (smallest fingerprint of the
+    component as a signed number; tells components apart where ids repeat).
 
     Null, empty and word-free texts have fingerprint zero and link like any other.
     Repeated rows share their fingerprint. A null id takes part and never becomes a
@@ -179,9 +180,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     per_fp = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     rooted = per_fp.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = rooted.select("fp", "root").join(lowest, "root").select("fp", "component_id")
+    by_fp = rooted.select("fp", "root").join(lowest, "root").select("fp", "root", "component_id")
     return prints.join(by_fp, "fp").select(
-        "doc_id", "text_hash", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", "text_hash", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -189,8 +190,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """All columns of ``docs``, one row of each component: the one with the smallest id
     (a null id only where there is no other), of repeated ids the smallest text hash."""
     found = near_duplicates(docs, id_col, text_col, shingle)
-    group = F.coalesce(F.col("component_id").cast("string"), F.col("fingerprint"))
-    kept = found.groupBy(group.alias("g"), F.col("component_id").isNull().alias("no_id")).agg(
+    kept = found.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash")).alias("k"))
     ident, th = free_name(docs, "kept_id"), free_name(docs, "kept_hash")
     kept = kept.select(F.col("k.doc_id").alias(ident), F.col("k.text_hash").alias(th))

@@ -171,10 +171,15 @@ class _Expression:
         return left
 
     def joined(self) -> Any:
+        left = self.added()
+        while self.take("~"):
+            left = Op("~", (left, self.added()))
+        return left
+
+    def added(self) -> Any:
         left = self.filtered()
-        while (op := self.peek()) in ("+", "~"):
-            self.at += 1
-            left = Op(op, (left, self.filtered()))
+        while self.take("+"):
+            left = Op("+", (left, self.filtered()))
         return left
 
     def filtered(self) -> Any:
@@ -341,6 +346,12 @@ def fold(tree: tuple, functions: dict[str, Callable[..., Any]]) -> tuple:
             return Op(e.name, args)
         return e
 
+    def add(out: list[Any], n: Any) -> None:
+        if isinstance(n, Text) and out and isinstance(out[-1], Text):
+            out[-1] = Text(out[-1].value + n.value)
+        elif not (isinstance(n, Text) and not n.value):
+            out.append(n)
+
     def body(nodes: tuple, top: bool = False) -> tuple:
         out: list[Any] = []
         for n in nodes:
@@ -367,13 +378,11 @@ def fold(tree: tuple, functions: dict[str, Callable[..., Any]]) -> tuple:
                         otherwise = b
                         break
                 if not tests:
-                    out.extend(otherwise)
+                    for inner in otherwise:
+                        add(out, inner)
                     continue
                 n = If(tuple(tests), otherwise)
-            if isinstance(n, Text) and out and isinstance(out[-1], Text):
-                out[-1] = Text(out[-1].value + n.value)
-            elif not (isinstance(n, Text) and not n.value):
-                out.append(n)
+            add(out, n)
         return tuple(out)
 
     return body(tree, top=True)
