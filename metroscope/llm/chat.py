@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from metroscope.llm.common import map_batches
 from metroscope.llm.templates import Controls, Piece, compile_template
 
 CONTROLS = Controls(("<s>", "</s>", "[INST]", "[/INST]", "[ROLE]", "[/ROLE]"))
@@ -138,7 +139,7 @@ def _per_conversation(turns: DataFrame, template: str, one: Callable[[Any, Itera
             yield flush()
 
     ordered = src.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInArrow(run, result)
+    return map_batches(ordered, run, result)
 
 
 def format_conversations(turns: DataFrame, template: str = TEMPLATE, conv_col: str = "conv_id", turn_col: str = "turn",

@@ -15,6 +15,9 @@ SPACE_WORD = r"[^\x20\x09-\x0D]+"
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ALNUM_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
+
 UPPER_ASCII = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_ASCII = UPPER_ASCII.lower()
 
@@ -64,6 +67,21 @@ def space_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with small Arrow batches.
+
+    Spark cuts batches by rows (10,000 unless set), which for long texts is far more memory
+    than a task needs, on both sides of the pipe. The session's limits are lowered to
+    ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes where they are higher, never raised."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(key).rstrip("b")
+        if now.lstrip("-").isdigit() and not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return df.mapInArrow(run, schema)
+
+
 def bounded(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Re-cut Arrow batches so that each holds at most about ``limit`` bytes of text (one
     row at least), so that memory does not depend on how long the documents are."""

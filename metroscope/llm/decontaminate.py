@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroscope.llm.common import bounded, free_name, written
+from metroscope.llm.common import bounded, free_name, map_batches, written
 from metroscope.llm.wordhash import ALNUM, grams, hash_words
 
 SPAN = 13                 # words in a window
@@ -78,7 +78,7 @@ def item_classes(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
                  pa.array(joined, pa.binary()), pa.array([len(w) for w in words], pa.int32())],
                 ["item_id", "class", "words", "size"])
 
-    return src.mapInArrow(run, "item_id string, class string, words binary, size int").filter("size > 0")
+    return map_batches(src, run, "item_id string, class string, words binary, size int").filter("size > 0")
 
 
 def class_prints(classes: DataFrame, span: int, k: int) -> DataFrame:
@@ -93,7 +93,7 @@ def class_prints(classes: DataFrame, span: int, k: int) -> DataFrame:
                 h = np.unique(h).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array([name] * len(h), pa.string())], ["hash", "class"])
 
-    return classes.mapInArrow(run, "hash long, class string")
+    return map_batches(classes, run, "hash long, class string")
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, bitmap: np.ndarray, sizes: list[int],
@@ -133,7 +133,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, bitmap: np.ndarray,
                 ["doc_id", "text_hash", "n_words", "spots", "text"])
 
     doc_kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {doc_kind}, text_hash long, n_words long, "
+    return map_batches(src, run, f"doc_id {doc_kind}, text_hash long, n_words long, "
                                "spots array<struct<hash:long,pos:int,size:int>>, text string")
 
 
@@ -198,8 +198,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  pa.array([d[1] for d in done], pa.list_(pa.string()))], [*ident, "n_hit", "found"])
 
     doc_kind = base.schema["doc_id"].dataType.simpleString()
-    hit = both.select("p.doc_id", "p.text_hash", "spots", "classes", "text").mapInArrow(
-        run, f"doc_id {doc_kind}, text_hash long, n_hit long, found array<string>").filter("n_hit > 0")
+    hit = map_batches(
+        both.select("p.doc_id", "p.text_hash", "spots", "classes", "text"), run, f"doc_id {doc_kind}, text_hash long, n_hit long, found array<string>").filter("n_hit > 0")
     hit = written(hit, "decon-hits")
     listed = (
         hit.select(*ident, F.explode("found").alias("class"))

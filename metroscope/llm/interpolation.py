@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from metroscope.llm.common import crc_mod, written
+from metroscope.llm.common import crc_mod, map_batches, written
 from metroscope.llm.wordhash import SPACE, combine, hash_words
 
-BLOCK_BYTES = 12 << 20       # text in a block (one document at least)
+BLOCK_BYTES = 5 << 20        # text in a block (one document at least)
 HASH_BYTES = 2 << 20         # text hashed at once
-RANGE_BYTES = 16 << 20       # questions counted at once
+RANGE_BYTES = 8 << 20       # questions counted at once
 DEV_PART = 1                 # training documents with this remainder are the deleted part
 END = np.uint64(0x1D8E4E27C47D124F)
 START = np.uint64(0xEB44ACCAB455D165)
@@ -122,7 +122,7 @@ def make_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield flush(dev)
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"block long, dev boolean, train_tokens long, train_docs long, ids array<{kind}>, "
+    return map_batches(src, run, f"block long, dev boolean, train_tokens long, train_docs long, ids array<{kind}>, "
                                "parts binary, bounds binary, words binary, tokens binary")
 
 
@@ -171,7 +171,7 @@ def questions(blocks: DataFrame, ranges: int) -> DataFrame:
                         pa.array([pack(dev[p].astype(np.uint32)) for p in parts], pa.binary())],
                         ["kind", "range", "block", "keys", "kept", "dev"])
 
-    return blocks.mapInArrow(run, "kind int, range int, block long, keys binary, kept binary, dev binary")
+    return map_batches(blocks, run, "kind int, range int, block long, keys binary, kept binary, dev binary")
 
 
 def answers(asked: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroscope.llm.common import bounded
+from metroscope.llm.common import bounded, map_batches
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -259,7 +259,7 @@ def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays(cols, names)
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, n_tokens long, parity boolean, round_trip boolean, ids_xxh64 string"
+    return map_batches(src, run, f"doc_id {kind}, n_tokens long, parity boolean, round_trip boolean, ids_xxh64 string"
                           + (", token_ids array<int>" if with_ids else ""))
 
 
@@ -277,4 +277,4 @@ def decode_documents(encoded: DataFrame, model: bytes, ids_col: str = "token_ids
                 ["doc_id", "text"])
 
     src = encoded.select("doc_id", F.col(ids_col).alias("ids"))
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text string")
+    return map_batches(src, run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text string")

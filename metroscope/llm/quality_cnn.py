@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroscope.llm.common import bounded, crc_mod
+from metroscope.llm.common import bounded, crc_mod, map_batches
 
 MAX_TRAIN_DOCS = 3000      # documented bound of the labelled sample
 MAX_TRAIN_CHUNKS = 12      # chunks per sampled document, spread over its whole length
@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     schema = "_id long, _y int, _chunks array<binary>, _order long"
     sample = (
-        rows.withColumn("_id", F.col("_id").cast("long")).mapInArrow(cut, schema)
+        map_batches(rows.withColumn("_id", F.col("_id").cast("long")), cut, schema)
         .groupBy("_id").agg(F.min_by(F.struct("_y", "_chunks"), "_order").alias("r"))
         .select("_id", "r._y", "r._chunks").toPandas().sort_values("_id")
     )
@@ -245,7 +245,7 @@ def score_documents(docs: DataFrame, model: ByteCnn | ConstantModel, id_col: str
                  pa.array([int(s >= threshold) for s in scores], pa.int32())], ["doc_id", "score", "predicted"])
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    return map_batches(src, run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: ByteCnn | ConstantModel, text_col: str = "text",
@@ -256,4 +256,4 @@ def keep_good(docs: DataFrame, model: ByteCnn | ConstantModel, text_col: str = "
         for b in bounded(batches, text_col):
             yield b.filter(pa.array([model.score(t.as_py()) >= threshold for t in b.column(text_col)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

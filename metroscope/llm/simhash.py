@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroscope.llm.common import bounded, free_name, space_words, written
+from metroscope.llm.common import bounded, free_name, map_batches, space_words, written
 from metroscope.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                              ["doc_id", "text_hash", "fp"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, text_hash long, fp long")
+    return map_batches(src, run, f"doc_id {kind}, text_hash long, fp long")
 
 
 def _half(fp: Column, which: int) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metroscope.llm.common import bounded, written
+from metroscope.llm.common import bounded, map_batches, written
 
 MIN_WORDS = 50
 SKETCH_K = 2048           # KLL accuracy: a rank error of about 0.1 %; exact below 2048 documents
@@ -78,7 +78,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                 ["doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
 
     kinds = ", ".join(f"{c} {src.schema[c].dataType.simpleString()}" for c in ("doc_id", "lang", "source"))
-    out = src.mapInArrow(run, f"{kinds}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+    out = map_batches(src, run, f"{kinds}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                           | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50))
 
