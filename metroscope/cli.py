@@ -1,9 +1,12 @@
 """Command line for the batch jobs, with the parameters the reference's jobs take.
 
+    python -m metroscope.cli bronze --landing-root L --bronze-root R
+    python -m metroscope.cli silver --bronze-root R --mapping-file M --silver-root S [--from-day D]
     python -m metroscope.cli aggregate --silver-file S --hourly-output-root H --daily-output-root D --category-output-root C
     python -m metroscope.cli baselines --input-root H --output-root B [--lookback-hours 168] [--min-history-points 24]
-    python -m metroscope.cli silver --bronze-root R --mapping-file M --silver-root S
-    python -m metroscope.cli daily --tables-dir T --output-root O
+    python -m metroscope.cli news --export-path E --cities boston chicago --events-root V --news-root N
+    python -m metroscope.cli daily --requests-root Q --weather-root W --alerts-root A --news-root N --stations-csv T
+                                   --output-root O [--start D] [--end D]
 
 Under spark-submit the cluster's master and settings apply; ``--spark-master`` and
 ``--shuffle-partitions`` only fill in what the session does not set.
@@ -16,6 +19,7 @@ import json
 from pyspark.sql import SparkSession
 
 from metroscope.plans import jobs
+from metroscope.sources import io
 
 
 def session(args: argparse.Namespace) -> SparkSession:
@@ -36,34 +40,60 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--spark-master", default=None)
     ap.add_argument("--shuffle-partitions", type=int, default=0)
     sub = ap.add_subparsers(dest="job", required=True)
+    z = sub.add_parser("bronze")
+    z.add_argument("--landing-root", required=True)
+    z.add_argument("--bronze-root", required=True)
+    s = sub.add_parser("silver")
+    s.add_argument("--bronze-root", required=True)
+    s.add_argument("--mapping-file", required=True)
+    s.add_argument("--silver-root", required=True)
+    s.add_argument("--from-day", default=None)
     a = sub.add_parser("aggregate")
     a.add_argument("--silver-file", required=True)
     a.add_argument("--hourly-output-root", required=True)
     a.add_argument("--daily-output-root", required=True)
     a.add_argument("--category-output-root", required=True)
+    a.add_argument("--from-day", default=None)
+    a.add_argument("--lookback-days", type=int, default=7)
     b = sub.add_parser("baselines")
     b.add_argument("--input-root", required=True)
     b.add_argument("--output-root", required=True)
     b.add_argument("--lookback-hours", type=int, default=24 * 7)
     b.add_argument("--min-history-points", type=int, default=24)
-    s = sub.add_parser("silver")
-    s.add_argument("--bronze-root", required=True)
-    s.add_argument("--mapping-file", required=True)
-    s.add_argument("--silver-root", required=True)
+    b.add_argument("--output-partitions", type=int, default=0)
+    b.add_argument("--from-day", default=None)
     d = sub.add_parser("daily")
-    d.add_argument("--tables-dir", required=True)
+    for name in ("requests", "weather", "alerts", "news"):
+        d.add_argument(f"--{name}-root", required=True)
+    d.add_argument("--stations-csv", required=True)
     d.add_argument("--output-root", required=True)
+    d.add_argument("--start", default=None)
+    d.add_argument("--end", default=None)
+    n = sub.add_parser("news")
+    n.add_argument("--export-path", required=True)
+    n.add_argument("--cities", nargs="+", required=True)
+    n.add_argument("--events-root", required=True)
+    n.add_argument("--news-root", required=True)
     args = ap.parse_args(argv)
     spark = session(args)
-    if args.job == "aggregate":
+    if args.job == "bronze":
+        out = {"bronze_rows": jobs.bronze_job(spark, args.landing_root, args.bronze_root, io.OPEN311_SCHEMA)}
+    elif args.job == "silver":
+        out = {"silver_rows": jobs.silver_job(spark, args.bronze_root, args.mapping_file, args.silver_root, args.from_day)}
+    elif args.job == "aggregate":
         out = jobs.aggregate_job(spark, args.silver_file, args.hourly_output_root, args.daily_output_root,
-                                 args.category_output_root)
+                                 args.category_output_root, args.from_day, args.lookback_days)
     elif args.job == "baselines":
-        out = jobs.baseline_job(spark, args.input_root, args.output_root, args.lookback_hours, args.min_history_points)
-    elif args.job == "silver":
-        out = {"silver_rows": jobs.silver_job(spark, args.bronze_root, args.mapping_file, args.silver_root)}
+        out = jobs.baseline_job(spark, args.input_root, args.output_root, args.lookback_hours, args.min_history_points,
+                                args.output_partitions, args.from_day)
+    elif args.job == "news":
+        out = {"news_days": jobs.news_job(spark, args.export_path, args.cities, args.events_root, args.news_root).count()}
     else:
-        out = {k: v.count() for k, v in jobs.daily_job(spark, args.tables_dir, args.output_root).items()}
+        read = {n: spark.read.parquet(getattr(args, f"{n}_root")) for n in ("requests", "weather", "alerts", "news")}
+        stations = spark.read.option("header", True).schema("station_id string, city string").csv(args.stations_csv)
+        done = jobs.daily_job(spark, read["requests"], read["weather"], read["alerts"], read["news"], stations,
+                              args.output_root, args.start, args.end)
+        out = {k: v.count() for k, v in done.items()}
     print(json.dumps(out, default=str))
 
 

@@ -38,7 +38,7 @@ ALERT_TEXT = (
     "Active NWS extreme or severe weather alert in effect — declared emergency conditions.",
     "Active NWS moderate weather alert in effect — conditions exceed normal thresholds.",
     "Minor NWS advisory in effect — monitor conditions.",
-    "No active NWS weather alerts for the Boston area.",
+    "No active NWS weather alerts for the {place} area.",
 )
 CONTEXT_TEXT = (
     "Media tone is strongly negative with elevated protest activity — significant social tension reported.",
@@ -46,6 +46,7 @@ CONTEXT_TEXT = (
     "Media tone is neutral to positive — no unusual social tension in coverage.",
     "Media tone and protest activity are within normal range.",
 )
+# The overall sentence by readiness mode, and the closing line.
 OVERALL_HIGH = "Urban stress conditions are significantly elevated — composite index is {c} ({d} pts above the 30-day baseline of {b})."
 OVERALL_ELEVATED = "Urban stress conditions are moderately above baseline — composite index is {c} ({d} pts above the 30-day baseline of {b})."
 OVERALL_NORMAL = "Urban stress conditions are within normal range — composite index is {c} ({d} pts relative to the 30-day baseline of {b})."
@@ -63,8 +64,11 @@ def band_anomaly_heat(score: Column, texts) -> Column:
 
 
 def band_alert(score: Column) -> Column:
+    """The no-alert sentence names the row's own ``city``."""
     t = ALERT_TEXT
-    return F.when(score >= 75, t[0]).when(score >= 40, t[1]).when(score > 0, t[2]).otherwise(t[3])
+    head, tail = t[3].split("{place}")
+    none = F.concat(F.lit(head), F.initcap("city"), F.lit(tail))
+    return F.when(score >= 75, t[0]).when(score >= 40, t[1]).when(score > 0, t[2]).otherwise(none)
 
 
 def band_context(score: Column) -> Column:

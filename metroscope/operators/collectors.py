@@ -67,6 +67,7 @@ def parse_socrata(raw: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ alerts
 
+# Alert table column and the feature property it comes from.
 ALERT_COLUMNS = (
     ("event_type", "event"), ("severity", "severity"), ("urgency", "urgency"), ("certainty", "certainty"),
     ("response_type", "response"), ("category", "category"), ("onset", "onset"), ("expires", "expires"),
@@ -75,6 +76,13 @@ ALERT_COLUMNS = (
 )
 
 
+def explode_features(collections: DataFrame) -> DataFrame:
+    """One row per feature of a FeatureCollection (``features``: array of id + properties);
+    an empty or missing array gives none."""
+    rest = [c for c in collections.columns if c != "features"]
+    return collections.select(*rest, F.explode("features").alias("f")).select(*rest, "f.id", "f.properties")
+
+
 def parse_alerts(features: DataFrame) -> DataFrame:
     """Alert features (``id`` + nested ``properties``) -> 15-column ``nws_alerts`` rows;
     features without an id are dropped."""

@@ -9,32 +9,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metroscope.functions.columns import rnd
-from metroscope.session import scratch_path
+from metroscope.session import remove_scratch, scratch_path
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per key, the greatest ``order`` wins (nulls lose); remaining ties are
     broken by the rest of the row so the pick is deterministic under task retries.
 
-    A struct ``max`` is an ordinary aggregate: it pre-aggregates map-side, so a key that
-    holds a third of all rows is folded before the shuffle instead of landing in one task.
-    """
+    ``row_number() = 1`` plans as a group limit before and after the shuffle: a key that
+    holds a third of all rows leaves each task as one row."""
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest]).alias("_r")
-    out = df.groupBy(*keys).agg(F.max(packed).alias("_r"))
-    return out.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in (*order, *rest)])
+    place = next(n for n in ("place", "place_", "place__") if n not in df.columns)
+    return df.withColumn(place, F.row_number().over(newest)).filter(F.col(place) == 1).drop(place)
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """M1: a new row replaces every non-key column of the old row with the same key.
 
     A key repeated inside the batch is first reduced to one row (W13 rule)."""
-    batch = keep_latest(new, keys, order) if order else new.dropDuplicates(list(keys))
-    batch = batch.select(*existing.columns)
+    batch = keep_latest(new, keys, order or ()).select(*existing.columns)
     kept = existing.join(batch.select(*keys), list(keys), "left_anti")
     return kept.unionByName(batch)
 
@@ -74,6 +73,11 @@ def resolution_hours(requests: DataFrame) -> DataFrame:
     )
 
 
+def _absent(error: AnalysisException) -> bool:
+    """The path does not exist, or holds nothing yet. Anything else must surface."""
+    return (error.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def merge_into_path(
     spark: SparkSession,
     root: str,
@@ -84,25 +88,32 @@ def merge_into_path(
 ) -> None:
     """M1 on files: merge ``new`` into the partitioned parquet table at ``root``.
 
-    Only partitions the batch touches are read, merged, staged under the shared
-    checkpoint folder and then dynamically overwritten; other partitions are untouched.
-    """
-    from pyspark.sql.utils import AnalysisException
-
-    if new.isEmpty():
-        return
+    The batch is computed once, reduced to one row per key and staged under the shared
+    checkpoint folder. Only partitions it touches are read (with the batch's schema, so
+    a text key ``01`` stays text), merged, staged and then dynamically overwritten,
+    clustered by partition. Staging is removed at the end."""
+    parts = list(partition_cols)
+    batch_path, stage = scratch_path(spark, "merge-batch"), scratch_path(spark, "merge-stage")
     try:
-        current = spark.read.parquet(root)
-    except AnalysisException:
-        current = None
-    if current is None:
-        merged = keep_latest(new, keys, order) if order else new.dropDuplicates(list(keys))
-    else:
-        touched = new.select(*partition_cols).distinct()
-        scope = current.join(touched, list(partition_cols), "left_semi")
-        merged = upsert(scope, new.select(*current.columns), keys, order)
-    stage = scratch_path(spark, "merge-stage")
-    merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(stage)
-    staged = spark.read.parquet(stage)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(root))
+        keep_latest(new, keys, order or ()).write.parquet(batch_path)
+        batch = spark.read.schema(new.schema).parquet(batch_path)
+        touched = batch.select(*parts).distinct()
+        if touched.isEmpty():
+            return
+        try:
+            current = spark.read.schema(new.schema).parquet(root)
+            current.isEmpty()  # an unreadable table surfaces here, not after the overwrite
+        except AnalysisException as e:
+            if not _absent(e):
+                raise
+            merged = batch
+        else:
+            scope = current.join(touched, parts, "left_semi").select(*new.columns)
+            kept = scope.join(batch.select(*keys), list(keys), "left_anti")
+            merged = kept.unionByName(batch)
+        merged.write.parquet(stage)
+        (spark.read.schema(new.schema).parquet(stage).hint("rebalance", *parts).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(root))
+    finally:
+        remove_scratch(spark, batch_path)
+        remove_scratch(spark, stage)

@@ -48,12 +48,15 @@ def verdicts(scores: DataFrame, model_id: str = "rule-based-v1") -> DataFrame:
     )
 
 
-def last_updated(runs: DataFrame, scores: DataFrame) -> DataFrame:
-    """A17 + E10 fallbacks per city: newest successful run ('success' or 'SUCCEEDED', Q13);
+def last_updated(runs: DataFrame, scores: DataFrame, cities: DataFrame | None = None) -> DataFrame:
+    """A17 + E10 fallbacks, one row for every city of ``cities`` (or of the scores): newest successful run ('success' or 'SUCCEEDED', Q13);
     else the newest score date; else yesterday."""
     last_run = runs.filter(F.col("status").isin("success", "SUCCEEDED")).agg(F.max("run_at")).scalar()
     # a scalar subquery: evaluated once, attached as a value (no join)
-    j = scores.groupBy("city").agg(F.max("score_date").alias("last_score")).withColumn("last_run", last_run)
+    per_city = scores.groupBy("city").agg(F.max("score_date").alias("last_score"))
+    if cities is not None:
+        per_city = cities.select("city").distinct().join(per_city, "city", "left")
+    j = per_city.withColumn("last_run", last_run)
     text = F.when(
         F.col("last_run").isNotNull(), F.concat(F.date_format("last_run", "yyyy-MM-dd HH:mm"), F.lit(" UTC"))
     ).when(F.col("last_score").isNotNull(), F.concat(F.col("last_score").cast("string"), F.lit(" (last scored date)"))).otherwise(F.lit("N/A"))

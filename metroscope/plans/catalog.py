@@ -240,7 +240,7 @@ def e10_latest_verdict(spark, sf):
 
 @query("e10_last_updated")
 def e10_last_updated(spark, sf):
-    return finish(sv.last_updated(daily.runs(spark, sf), daily.scores(spark, sf)))
+    return finish(sv.last_updated(daily.runs(spark, sf), daily.scores(spark, sf), daily.city_list(spark)))
 
 
 @query("j2_history_month")
@@ -264,7 +264,7 @@ def _existing_and_new_requests(spark, sf):
     base = fixtures.requests_daily(spark, sf)
     key = F.col("service_request_id").cast("long")
     existing = base.filter(key % 2 == 0)
-    new = base.filter(key % 3 == 0).withColumns(
+    new = base.filter((key % 3 == 0) | (key % 2 == 1)).withColumns(
         {"status": F.lit("closed"), "updated_datetime": F.col("updated_datetime") + F.expr("INTERVAL 1 DAY")}
     )
     return existing, new
@@ -277,10 +277,10 @@ def m1_upsert(spark, sf):
 
 
 def _existing_and_new_news(spark, sf):
-    g = daily.gdelt(spark, sf).withColumn("polarity", F.lit(0.25))
+    g = daily.materialize(spark, daily.gdelt(spark, sf), "news-days").withColumn("polarity", F.lit(0.25))
     dom = F.dayofmonth("obs_date")
     existing = g.filter(dom % 2 == 0)
-    new = g.filter(dom % 3 == 0).withColumns(
+    new = g.filter((dom % 3 == 0) | (dom % 2 == 1)).withColumns(
         {"num_articles": F.col("num_articles") + 1, "avg_tone_7d": F.lit(None).cast("double"),
          "polarity": F.lit(None).cast("double")}
     )
@@ -518,7 +518,7 @@ def e1_bronze_jsonl(spark, sf):
     out = scratch_path(spark, "bronze-311")
     io.write_jsonl(lk.bronze_partition_columns(bronze.withColumn("ingested_at_utc", F.to_timestamp("ingested_at_utc"))),
                    out, ["year", "month", "day", "city", "batch_id"])
-    back = spark.read.option("mode", "FAILFAST").json(out)
+    back = io.read_jsonl(spark, out, lk.BRONZE_SCHEMA)
     return finish(back.select(
         "source", "city", F.col("batch_id").cast("string").alias("batch_id"), F.col("service_request_id").cast("string").alias("service_request_id"),
         "status", "service_name", "service_code", F.col("lat").cast("double").alias("lat"),
@@ -537,11 +537,23 @@ def e12_news_tsv(spark, sf):
     full.write.option("sep", "\t").option("header", False).csv(landing)
     read = io.read_news_tsv(spark, landing)
     matched = nw.match_cities(nw.with_obs_date(nw.coerce(read)), fixtures.CITIES)
-    io.write_news_csv(matched.select("obs_date", "city", "SQLDATE", "EventRootCode", "AvgTone", "SOURCEURL"),
-                      scratch_path(spark, "news-csv"))
+    io.write_news_csv(matched.select("obs_date", "city", *io.NEWS_COLUMNS), scratch_path(spark, "news-csv"))
     return finish(nw.gdelt_daily(read, fixtures.CITIES))
 
 
+@query("s9_news_csv")
+def s9_news_csv(spark, sf):
+    """City events written as CSV with all export columns under ``obs_date=`` and read back."""
+    ev = fixtures.news_events(spark, sf)
+    full = ev.select(*[(F.col(c).cast("string") if c in ev.columns else F.lit(None).cast("string")).alias(c)
+                       for c in io.NEWS_COLUMNS])
+    matched = nw.match_cities(nw.with_obs_date(full), fixtures.CITIES)
+    events = scratch_path(spark, "news-csv")
+    io.write_news_csv(matched.select("obs_date", "city", *io.NEWS_COLUMNS), events)
+    back = io.read_news_csv(spark, events)
+    return finish(back.select("obs_date", "city", "SQLDATE", "EventRootCode", "ActionGeo_FullName", "Actor2Geo_FullName", "SOURCEURL"))
+
+
 @query("s6_silver_roundtrip")
 def s6_silver_roundtrip(spark, sf):
     """S5 + S7 + S6: silver written as parquet partitioned by ingest day and city (dynamic
@@ -576,8 +588,10 @@ def s12_date_range(spark, sf, start: str = "1996-01-01", end: str = "1996-02-01"
 
 @query("a16_run_summary")
 def a16_run_summary(spark, sf):
-    """Row counts of the three aggregates and the number of valid baselines (one agg each)."""
-    h, d, c = lake.hourly(spark, sf), lake.daily(spark, sf), lake.category_hourly(spark, sf)
+    """Row counts of the three aggregates and the number of valid baselines, all from the
+    one written cell table."""
+    cells = daily.materialize(spark, lake.cells(spark, sf), "lake-cells")
+    h, d, c = lk.hourly(cells), lk.daily(cells), lk.category_hourly(cells)
     b = bl.hourly_baselines(h)
     parts = [
         h.agg(F.count(F.lit(1)).alias("n")).select(F.lit("hourly_rows").alias("metric"), "n"),
@@ -638,6 +652,6 @@ def s11_landing_json(spark, sf):
     rows = b.select(F.lit("open311").alias("source"), F.to_date("requested_datetime").alias("date"),
                     "service_request_id", "service_code", "status")
     io.write_jsonl(rows, root, ["source", "date"])
-    back = spark.read.json(root)
+    back = io.read_jsonl(spark, root, T.StructType([rows.schema[c] for c in ("service_request_id", "service_code", "status", "source", "date")]))
     return finish(back.select(F.col("source").cast("string").alias("source"), F.col("date").cast("date").alias("date"),
                               "service_request_id", "service_code", "status"))

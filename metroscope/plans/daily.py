@@ -32,6 +32,11 @@ def stations(spark: SparkSession) -> DataFrame:
     return fx.station_cities(spark)
 
 
+def city_list(spark: SparkSession) -> DataFrame:
+    """The configured cities, with or without data."""
+    return spark.createDataFrame([(c,) for c in CITIES], "city string")
+
+
 def city_weather(spark: SparkSession, sf: str) -> DataFrame:
     """Weather per (city, day): the city's stations folded with max (Q21)."""
     j = weather(spark, sf).join(stations(spark), "station_id")
@@ -46,18 +51,11 @@ def gdelt(spark: SparkSession, sf: str) -> DataFrame:
     return nw.gdelt_daily(fx.news_events(spark, sf), CITIES)
 
 
-MATERIALIZE = "table"  # "table": parquet under spark.checkpoint.dir; "cache": persist(MEMORY_AND_DISK)
-
-
 def materialize(spark: SparkSession, df: DataFrame, name: str = "daily") -> DataFrame:
     """Cut lineage: write a small daily table as parquet under the shared checkpoint
     folder once (one job; ``checkpoint(eager=True)`` would compute it twice), so every
     consumer reads it instead of re-scanning the raw tables. A lost executor never
     forces a recomputation from raw data."""
-    if MATERIALIZE == "cache":
-        from pyspark import StorageLevel
-
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
@@ -77,22 +75,27 @@ class DailyInputs:
 
 
 def inputs(spark: SparkSession, sf: str) -> DailyInputs:
-    """Build the four per-day tables. They are independent, so their jobs are submitted
+    return inputs_of(spark, requests(spark, sf), weather(spark, sf), alerts(spark, sf), gdelt(spark, sf), stations(spark))
+
+
+def inputs_of(spark: SparkSession, requests: DataFrame, weather: DataFrame, alerts: DataFrame, news: DataFrame,
+              stations: DataFrame) -> DailyInputs:
+    """Build the four per-day tables from request, weather, alert and news rows. They are independent, so their jobs are submitted
     concurrently from driver threads (Spark schedules them side by side on the cluster);
     the calendar spine follows once they exist."""
     from concurrent.futures import ThreadPoolExecutor
 
     plans = {
-        "request-days": lambda: cd.request_days(requests(spark, sf)),
-        "weather-daily": lambda: weather(spark, sf),
-        "alert-daily": lambda: sc.alert_scores(alerts(spark, sf)),
-        "news-daily": lambda: gdelt(spark, sf),
+        "request-days": lambda: cd.request_days(requests),
+        "weather-daily": lambda: weather,
+        "alert-daily": lambda: sc.alert_scores(alerts),
+        "news-daily": lambda: news,
     }
     with ThreadPoolExecutor(max_workers=len(plans)) as pool:
         futures = {k: pool.submit(lambda k=k, f=f: materialize(spark, f(), k)) for k, f in plans.items()}
         done = {k: fut.result() for k, fut in futures.items()}
     rdays, wx, al, gd = done["request-days"], done["weather-daily"], done["alert-daily"], done["news-daily"]
-    st = stations(spark)
+    st = stations
     counts = cd.daily_counts(rdays)
     heat_days = wx.join(st, "station_id").select("city", F.col("obs_date").alias("d"))
     spine = materialize(spark, sc.date_spine(counts, heat_days, al, gd.select("city", F.col("obs_date").alias("d"))), "spine")
@@ -100,7 +103,10 @@ def inputs(spark: SparkSession, sf: str) -> DailyInputs:
 
 
 def scores(spark: SparkSession, sf: str, di: DailyInputs | None = None) -> DataFrame:
-    di = di or inputs(spark, sf)
+    return scores_of(di or inputs(spark, sf))
+
+
+def scores_of(di: DailyInputs) -> DataFrame:
     return sc.score_daily(di.counts, di.weather, di.stations, di.alert_daily, di.gdelt, di.spine)
 
 
@@ -109,7 +115,10 @@ def spine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cards(spark: SparkSession, sf: str, baseline_rows: int | None = None, di: DailyInputs | None = None) -> DataFrame:
-    di = di or inputs(spark, sf)
+    return cards_of(di or inputs(spark, sf), baseline_rows)
+
+
+def cards_of(di: DailyInputs, baseline_rows: int | None = None) -> DataFrame:
     return cd.metric_cards(di.spine, di.rdays, di.weather, di.stations, di.gdelt, baseline_rows)
 
 

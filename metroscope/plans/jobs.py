@@ -1,87 +1,226 @@
-"""Batch jobs a user runs (the reference's aggregate, baseline and daily jobs), as one
-Spark application each and for every city and date at once (E3, E4, E17).
+"""Batch jobs a user runs, each as one Spark application for every city and date at once.
 
 Outputs are written with dynamic partition overwrite or keyed merges, so a re-run for
-the same input replaces exactly what it recomputes.
+the same input replaces exactly what it recomputes. Counts that a job returns are those
+of the rows it wrote in this run.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metroscope.operators import baselines as bl
+from metroscope.operators import collectors as co
 from metroscope.operators import lake as lk
 from metroscope.operators import merge as mg
+from metroscope.operators import news as nw
 from metroscope.operators import serving as sv
 from metroscope.plans import daily
+from metroscope.session import remove_scratch, scratch_path
 from metroscope.sources import io
 
 INGEST_PARTITIONS = ["ingest_year", "ingest_month", "ingest_day", "city"]
 BRONZE_PARTITIONS = ["year", "month", "day", "city", "batch_id"]
+SILVER_PARTITIONS = ["year", "month", "day", "city"]
+
 
+# ---------------------------------------------------------------- lake path
 
-def bronze_job(spark: SparkSession, raw_path: str, manifest_path: str, bronze_root: str, record_schema) -> int:
-    """Raw JSON-array batches (S1) + their manifests (S2) -> flattened bronze records
-    (P1) written as JSON lines under year/month/day/city/batch_id (S3, S4).
 
-    Each raw file must carry its ``batch_id`` column (the landing folder's batch); the
-    manifests are joined on it, broadcast behind a count check."""
-    raw = io.read_json_batch(spark, raw_path, record_schema)
-    manifests = io.read_manifests(spark, manifest_path)
+def bronze_job(spark: SparkSession, landing_root: str, bronze_root: str, record_schema: T.StructType) -> int:
+    """The landing folders (``batch_id=<id>/response.json`` beside ``manifest.json``,
+    at any depth) -> flattened bronze records (P1) as JSON lines under
+    year/month/day/city/batch_id (S3, S4). Batches written before stay."""
+    raw, manifests = io.read_landing(spark, landing_root, record_schema)
     bronze = lk.flatten_records(raw, manifests, manifests.count())
-    io.write_jsonl(lk.bronze_partition_columns(bronze.withColumn("ingested_at_utc", F.to_timestamp("ingested_at_utc"))),
-                   bronze_root, BRONZE_PARTITIONS)
-    return spark.read.json(bronze_root).count()
+    rows = lk.bronze_partition_columns(bronze.withColumn("ingested_at_utc", F.to_timestamp("ingested_at_utc")))
+    stage = scratch_path(spark, "bronze")
+    try:
+        rows.write.parquet(stage)  # the records are flattened once, for the count and the write
+        staged = spark.read.schema(rows.schema).parquet(stage)
+        io.write_jsonl(staged, bronze_root, BRONZE_PARTITIONS)
+        return staged.count()
+    finally:
+        remove_scratch(spark, stage)
+
+
+def _bronze_schema() -> T.StructType:
+    keys = [T.StructField(c, T.StringType()) for c in BRONZE_PARTITIONS]
+    return T.StructType([*lk.BRONZE_SCHEMA.fields, *keys])
+
+
+def _day(*cols: str) -> Column:
+    return F.make_date(*[F.col(c).cast("int") for c in cols])
 
 
-def silver_job(spark: SparkSession, bronze_root: str, mapping_csv: str, silver_root: str) -> int:
+def silver_job(spark: SparkSession, bronze_root: str, mapping_csv: str, silver_root: str, from_day: str | None = None) -> int:
     """Bronze JSON lines (S3, FAILFAST) + mapping CSV (S10) -> silver parquet
-    partitioned by ingest day and city, dynamic overwrite."""
-    # explicit schema: the JSON writer omits null fields, so inference could drop a column
-    bronze = io.read_jsonl(spark, bronze_root, lk.BRONZE_SCHEMA)
-    bronze = bronze.withColumns({"city": F.col("city").cast("string"), "batch_id": F.col("batch_id").cast("string")})
-    io.require_columns(bronze, ("city", "batch_id", "ingested_at_utc", "service_name", "requested_datetime",
-                                "updated_datetime", "closed_datetime"), "Bronze input")
+    partitioned by ingest day and city.
+
+    Every partition it writes is rebuilt from **all** bronze rows of that day and city, so
+    a later batch of a day never erases an earlier one (Q3). ``from_day`` (yyyy-mm-dd) limits
+    the run to ingest days from there on; partition pruning keeps the rest unread."""
+    bronze = io.read_jsonl(spark, bronze_root, _bronze_schema())  # explicit: text keys such as 01 stay text
+    if from_day:
+        bronze = bronze.filter(_day("year", "month", "day") >= F.lit(from_day).cast("date"))
     mapping = io.read_mapping_csv(spark, mapping_csv)
     silver = lk.to_silver(bronze, mapping, mapping.count())
-    io.write_partitioned(lk.bronze_partition_columns(silver), silver_root, ["year", "month", "day", "city"])
-    return spark.read.parquet(silver_root).count()
+    io.write_partitioned(silver, silver_root, SILVER_PARTITIONS)
+    return bronze.count()
 
 
-def aggregate_job(spark: SparkSession, silver_path: str, hourly_root: str, daily_root: str, category_root: str) -> dict:
-    """Silver parquet -> hourly, daily and category-hourly aggregates.
+def aggregate_job(spark: SparkSession, silver_path: str, hourly_root: str, daily_root: str, category_root: str,
+                  from_day: str | None = None, lookback_days: int = 7) -> dict[str, int]:
+    """Silver parquet -> hourly, daily and category-hourly aggregates (S6, P8, F5, Q20,
+    A1-A4, S7). Silver is read once, into the small cell table behind all three.
 
-    The prepared base is read once per output; counts come from one aggregate each."""
+    ``from_day`` recomputes the partitions of ingest days from ``lookback_days`` before it:
+    a request delivered again within that time moves from the earlier day's counts to the
+    later one's."""
     silver = io.read_parquet_required(spark, silver_path, lk.SILVER_REQUIRED, "Silver input")
-    base = lk.assert_not_empty(lk.prepare_base(silver))
-    outputs = {"hourly": (lk.hourly(base), hourly_root), "daily": (lk.daily(base), daily_root),
-               "category_hourly": (lk.category_hourly(base), category_root)}
-    for df, root in outputs.values():
-        io.write_partitioned(df, root, INGEST_PARTITIONS)
-    return {k: spark.read.parquet(root).count() for k, (_, root) in outputs.items()}
-
-
-def baseline_job(spark: SparkSession, hourly_root: str, out_root: str, lookback_hours: int = 168, min_points: int = 24) -> dict:
-    """Hourly aggregates -> trailing baselines (S6, Q4 re-sum, W1-W5, P10, A15, S7)."""
+    if from_day:
+        since = F.date_sub(F.lit(from_day).cast("date"), lookback_days)
+        silver = silver.filter(_day("year", "month", "day") >= since)
+    path = scratch_path(spark, "lake-cells")
+    try:
+        cells = lk.category_cells(lk.latest_deliveries(lk.request_facts(silver)))
+        cells.write.parquet(path)
+        cells = spark.read.schema(cells.schema).parquet(path)
+        if cells.isEmpty():
+            raise RuntimeError("the silver input has no row with a readable request and ingest time")
+        outputs = {"hourly": (lk.hourly(cells), hourly_root), "daily": (lk.daily(cells), daily_root),
+                   "category_hourly": (lk.category_hourly(cells), category_root)}
+        for df, root in outputs.values():
+            io.write_partitioned(df, root, INGEST_PARTITIONS)
+        return {name: df.count() for name, (df, _) in outputs.items()}
+    finally:
+        remove_scratch(spark, path)
+
+
+def baseline_job(spark: SparkSession, hourly_root: str, out_root: str, lookback_hours: int = bl.DEFAULT_LOOKBACK_HOURS,
+                 min_points: int = bl.DEFAULT_MIN_POINTS, output_partitions: int = 0, from_day: str | None = None) -> dict[str, int]:
+    """Hourly aggregates -> trailing baselines (S6, Q4 re-sum, W1-W5, P10, A15, S7).
+
+    With ``from_day`` only hours from there on are written; only the history that their
+    windows reach is read (an hour is never ingested before it happened, so the ingest
+    partitions prune). ``output_partitions`` 0 clusters by partition."""
     hourly = io.read_parquet_required(spark, hourly_root, bl.HOURLY_REQUIRED, "Hourly aggregate input")
+    start = F.lit(from_day).cast("timestamp") if from_day else None
+    if start is not None:
+        reach = start - F.make_interval(hours=F.lit(lookback_hours))
+        hourly = hourly.filter((F.col("window_start") >= reach)
+                               & (_day("ingest_year", "ingest_month", "ingest_day") >= F.to_date(reach)))
     out = bl.hourly_baselines(hourly, lookback_hours, min_points)
-    bl.assert_unique_city_windows(out)
-    io.write_partitioned(out, out_root, INGEST_PARTITIONS)
-    written = spark.read.parquet(out_root)
-    return written.agg(F.count(F.lit(1)).alias("rows"), F.count_if("baseline_is_valid").alias("valid")).first().asDict()
-
-
-def daily_job(spark: SparkSession, sf_dir: str, out_root: str) -> dict[str, DataFrame]:
-    """E5-E9 + E17: one set-based pass over all dates - scores, metric cards, verdicts and
-    the news daily table - merged by key into ``out_root/<table>`` (partitioned by city)."""
-    di = daily.inputs(spark, sf_dir)
-    scores = daily.scores(spark, sf_dir, di)
+    if start is not None:
+        out = out.filter(F.col("window_start") >= start)
+    path = scratch_path(spark, "baselines")
+    try:
+        out.write.parquet(path)
+        out = spark.read.schema(out.schema).parquet(path)
+        if out.isEmpty():
+            raise RuntimeError("the hourly input has no row with a readable hour")
+        bl.assert_unique_city_windows(out)
+        io.write_partitioned(out, out_root, INGEST_PARTITIONS, output_partitions or None)
+        return out.agg(F.count(F.lit(1)).alias("rows"), F.count_if("baseline_is_valid").alias("valid")).first().asDict()
+    finally:
+        remove_scratch(spark, path)
+
+
+# ---------------------------------------------------------------- daily path
+
+
+def daily_job(spark: SparkSession, requests: DataFrame, weather: DataFrame, alerts: DataFrame, news: DataFrame,
+              stations: DataFrame, out_root: str, start: str | None = None, end: str | None = None) -> dict[str, DataFrame]:
+    """E5-E9 + E17 on a user's own tables (``requests_311``, ``weather_daily``, ``nws_alerts``,
+    ``gdelt_daily`` and the station -> city dimension): scores, metric cards and verdicts of
+    all dates, or of ``start`` to ``end`` (both included), merged by key into
+    ``out_root/<table>``, which is partitioned by city and month.
+
+    A window run reads the whole history (open backlog and trailing windows reach back)
+    and writes the same rows as a full run has for its dates."""
+    latest = mg.resolution_hours(mg.keep_latest(requests, ["service_request_id"], ["updated_datetime"]))
+    di = daily.inputs_of(spark, latest, weather, alerts, news, stations)
+    scores = daily.scores_of(di)
     tables = {
-        "signal_scores": (scores, ["city", "score_date"]),
-        "signal_metrics": (daily.cards(spark, sf_dir, di=di), ["city", "metric_date", "metric_name"]),
-        "verdicts": (sv.verdicts(scores).withColumn("generated_at", F.current_timestamp()), ["city", "verdict_date"]),
-        "gdelt_daily": (di.gdelt, ["city", "obs_date"]),
+        "signal_scores": (scores, "score_date", ["city", "score_date"]),
+        "signal_metrics": (daily.cards_of(di), "metric_date", ["city", "metric_date", "metric_name"]),
+        "verdicts": (sv.verdicts(scores).withColumn("generated_at", F.current_timestamp()), "verdict_date", ["city", "verdict_date"]),
     }
-    for name, (df, keys) in tables.items():
-        mg.merge_into_path(spark, f"{out_root.rstrip('/')}/{name}", df, keys, ["city"])
+    for name, (df, date, keys) in tables.items():
+        if start:
+            df = df.filter(F.col(date) >= F.lit(start).cast("date"))
+        if end:
+            df = df.filter(F.col(date) <= F.lit(end).cast("date"))
+        monthly = df.withColumn("month", F.date_format(date, "yyyy-MM"))
+        mg.merge_into_path(spark, f"{out_root.rstrip('/')}/{name}", monthly, keys, ["city", "month"])
     return {name: spark.read.parquet(f"{out_root.rstrip('/')}/{name}") for name in tables}
+
+
+# ---------------------------------------------------------------- ingest jobs
+
+
+def _stored(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
+    """The table at ``root``, or no rows where there is none yet."""
+    try:
+        return spark.read.schema(like.schema).parquet(root).select(*like.columns)
+    except AnalysisException as e:
+        if (e.getCondition() or "") != "PATH_NOT_FOUND":
+            raise
+        return like.limit(0)
+
+
+def news_job(spark: SparkSession, export_path: str, cities: Sequence[str], events_root: str, news_root: str) -> DataFrame:
+    """The daily news export (S8) -> city events as CSV (S9) and the daily news table
+    (P6, F2-F4, A6), merged so that a known day keeps its stored tone average and polarity
+    (M2); the 7-day tone is then set anew on every day (M5, W6)."""
+    events = nw.with_obs_date(nw.coerce(io.read_news_tsv(spark, export_path)))
+    io.write_news_csv(nw.match_cities(events, cities).select("obs_date", "city", *io.NEWS_COLUMNS), events_root)
+    new = nw.rollup_with_empty_days(events, cities).withColumns(
+        {"avg_tone_7d": F.lit(None).cast("double"), "polarity": F.lit(None).cast("double")})
+    merged = mg.partial_upsert(_stored(spark, news_root, new), new, ["city", "obs_date"], ["avg_tone_7d", "polarity"])
+    table = nw.tone_7d(merged).select(*new.columns).withColumn("month", F.date_format("obs_date", "yyyy-MM"))
+    mg.merge_into_path(spark, news_root, table, ["city", "obs_date"], ["city", "month"])
+    return spark.read.parquet(news_root)
+
+
+def weather_job(spark: SparkSession, observations: DataFrame, daily_values: DataFrame, weather_root: str) -> DataFrame:
+    """Station observations (P5, F6, A5), the daily climate values where a day has none
+    (A12, P12, J4), merged by station and day (M1)."""
+    primary = daily.materialize(spark, co.weather_from_observations(co.parse_observations(observations)), "observations")
+    fallback = co.weather_from_daily_values(co.pivot_daily_values(daily_values))
+    rows = co.prefer_primary(primary, fallback).withColumn("month", F.date_format("obs_date", "yyyy-MM"))
+    mg.merge_into_path(spark, weather_root, rows, ["station_id", "obs_date"], ["month"])
+    return spark.read.parquet(weather_root)
+
+
+def alerts_job(spark: SparkSession, collections: DataFrame, alerts_root: str) -> DataFrame:
+    """Feature collections (one row each: ``city``, ``obs_date``, ``features`` array) or
+    single features -> alert rows (P4), merged by alert id (M1)."""
+    features = co.explode_features(collections) if "features" in collections.columns else collections
+    rows = co.parse_alerts(features).withColumn("month", F.date_format("obs_date", "yyyy-MM"))
+    mg.merge_into_path(spark, alerts_root, rows, ["alert_id"], ["month"])
+    return spark.read.parquet(alerts_root)
+
+
+def requests_job(spark: SparkSession, records: DataFrame, city: str, requests_root: str, socrata: bool = False) -> DataFrame:
+    """Service requests of one source (P2, or P3 for Socrata rows), the latest delivery
+    of an id, merged by id (M1), resolution hours set (M4). Stored by request month."""
+    parsed = (co.parse_socrata if socrata else co.parse_requests)(records).withColumns(
+        {c: F.col(c).try_cast("timestamp") for c in ("requested_datetime", "updated_datetime")})
+    rows = mg.resolution_hours(parsed).withColumns(
+        {"city": F.lit(city), "month": F.ifnull(F.date_format("requested_datetime", "yyyy-MM"), F.lit("unknown"))})
+    mg.merge_into_path(spark, requests_root, rows, ["service_request_id"], ["city", "month"], ["updated_datetime"])
+    return spark.read.parquet(requests_root)
+
+
+def run_log_job(spark: SparkSession, events: DataFrame, log_root: str) -> DataFrame:
+    """Pipeline status events (P11) added to the run log; an execution's status that is
+    there already is not added again."""
+    rows = co.normalize_runs(events).withColumn("month", F.date_format("run_at", "yyyy-MM"))
+    fresh = rows.join(_stored(spark, log_root, rows).select("execution_arn", "status"), ["execution_arn", "status"], "left_anti")
+    fresh.select(*rows.columns).write.mode("append").partitionBy("month").parquet(log_root)
+    return spark.read.parquet(log_root)

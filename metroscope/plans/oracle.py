@@ -43,6 +43,15 @@ F_SILVER = """silver AS (
   coalesce(m.is_infrastructure, 0) AS is_infrastructure, coalesce(m.is_emergency_type, 0) AS is_emergency_type
  FROM bronze_requests b LEFT JOIN category_mapping m ON b.service_name = m.raw_category)"""
 
+# Every third request is delivered again two days later, updated and closed; the latest counts.
+F_DELIVERIES = """deliveries AS (SELECT * FROM silver UNION ALL
+ SELECT * REPLACE (ingested_at_utc + INTERVAL 2 DAY AS ingested_at_utc, 'closed' AS status,
+   updated_at_utc + INTERVAL 2 DAY AS updated_at_utc, updated_datetime + INTERVAL 2 DAY AS updated_datetime,
+   strftime(ingested_at_utc + INTERVAL 2 DAY, '%Y%m%d') || substr(batch_id, 9) AS batch_id)
+ FROM silver WHERE CAST(service_request_id AS BIGINT) % 3 = 0)"""
+F_LATEST = """latest AS (SELECT * FROM deliveries
+ QUALIFY row_number() OVER (PARTITION BY city, service_request_id ORDER BY updated_at_utc DESC, ingested_at_utc DESC) = 1)"""
+
 F_BASE = """base AS (
  SELECT city, service_request_id, requested_at_utc AS requested_ts, ingested_at_utc AS ingested_ts,
   CASE WHEN lower(coalesce(status, '')) = 'open' THEN 1 ELSE 0 END AS is_open,
@@ -103,7 +112,8 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-LAKE = (F_MAPPING, F_BRONZE, F_SILVER, F_BASE)
+LAKE = (F_MAPPING, F_BRONZE, F_SILVER, F_DELIVERIES, F_LATEST, F_BASE.replace("FROM silver", "FROM latest"))
+LAKE_ONCE = (F_MAPPING, F_BRONZE, F_SILVER, F_BASE)
 F_HOURLY = f"hourly AS ({_agg('hour_window')})"
 
 ORACLE["j1_category_mapping"] = with_(F_MAPPING, F_BRONZE, F_SILVER) + """SELECT service_request_id, service_name,
@@ -158,7 +168,7 @@ from metroscope.plans import oracle_daily  # noqa: E402,F401  (registers daily-p
 from metroscope.plans import oracle_serving  # noqa: E402,F401  (cards, serving, merges, collectors)
 from metroscope.plans import oracle_media  # noqa: E402,F401  (documented-only operators)
 
-ORACLE["r1_stream_hourly"] = with_(*LAKE) + """SELECT city, hour_window AS window_start, count(service_request_id) AS total_requests,
+ORACLE["r1_stream_hourly"] = with_(*LAKE_ONCE) + """SELECT city, hour_window AS window_start, count(service_request_id) AS total_requests,
  CAST(sum(is_open) AS BIGINT) AS open_requests, CAST(sum(is_closed) AS BIGINT) AS closed_requests,
  CAST(sum(is_infrastructure_int) AS BIGINT) AS infrastructure_requests, CAST(sum(is_emergency_type_int) AS BIGINT) AS emergency_requests
 FROM base GROUP BY city, hour_window"""

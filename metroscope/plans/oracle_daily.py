@@ -36,7 +36,7 @@ F_ALERTS = f"""alerts AS (
   'Monitor' AS response_type, 'Met' AS category, o_orderdate AS onset, o_orderdate + INTERVAL 1 DAY AS expires,
   'alert ' || CAST(o_orderkey AS VARCHAR) AS headline, CAST(NULL AS VARCHAR) AS description,
   CAST(NULL AS VARCHAR) AS instruction, CAST(NULL AS VARCHAR) AS area_desc
- FROM orders WHERE o_custkey % 5 = 0)"""
+ FROM orders)"""
 
 _GEO = ("CASE {k} WHEN 0 THEN 'Boston, Massachusetts, United States' WHEN 1 THEN 'Chicago, Illinois, United States' "
         "ELSE 'New York, New York, United States' END")
@@ -212,7 +212,8 @@ F_VERDICT = f"""vt AS (
    CASE WHEN alert_score >= 75 THEN 'Active NWS extreme or severe weather alert in effect — declared emergency conditions.'
     WHEN alert_score >= 40 THEN 'Active NWS moderate weather alert in effect — conditions exceed normal thresholds.'
     WHEN alert_score > 0 THEN 'Minor NWS advisory in effect — monitor conditions.'
-    ELSE 'No active NWS weather alerts for the Boston area.' END,
+    ELSE 'No active NWS weather alerts for the '
+     || CASE city WHEN 'boston' THEN 'Boston' WHEN 'chicago' THEN 'Chicago' WHEN 'new york' THEN 'New York' END || ' area.' END,
    CASE WHEN context_score >= 70 THEN 'Media tone is strongly negative with elevated protest activity — significant social tension reported.'
     WHEN context_score >= 50 THEN 'Media tone is moderately negative — above-average tension in news coverage.'
     WHEN context_score <= 20 THEN 'Media tone is neutral to positive — no unusual social tension in coverage.'

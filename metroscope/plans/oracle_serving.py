@@ -196,7 +196,7 @@ ORACLE["j3_history_year"] = final(
 
 _EXIST_NEW_REQ = """existing AS (SELECT * FROM req_raw WHERE CAST(service_request_id AS BIGINT) % 2 = 0),
 new AS (SELECT service_request_id, city, 'closed' AS status, service_name, requested_datetime,
- updated_datetime + INTERVAL 1 DAY AS updated_datetime FROM req_raw WHERE CAST(service_request_id AS BIGINT) % 3 = 0)"""
+ updated_datetime + INTERVAL 1 DAY AS updated_datetime FROM req_raw WHERE CAST(service_request_id AS BIGINT) % 3 = 0 OR CAST(service_request_id AS BIGINT) % 2 = 1)"""
 ORACLE["m1_upsert"] = with_(F_REQ_RAW, _EXIST_NEW_REQ) + """SELECT * FROM existing
  WHERE service_request_id NOT IN (SELECT service_request_id FROM new) UNION ALL SELECT * FROM new"""
 
@@ -204,7 +204,7 @@ _EXIST_NEW_NEWS = """g2 AS (SELECT city, obs_date, avg_tone, protest_event_count
  source_count, avg_tone_7d, 0.25::DOUBLE AS polarity FROM gdelt),
 existing AS (SELECT * FROM g2 WHERE day(obs_date) % 2 = 0),
 new AS (SELECT city, obs_date, avg_tone, protest_event_count, protest_mention_sum, goldstein_avg, num_articles + 1 AS num_articles,
- source_count, CAST(NULL AS DOUBLE) AS avg_tone_7d, CAST(NULL AS DOUBLE) AS polarity FROM g2 WHERE day(obs_date) % 3 = 0)"""
+ source_count, CAST(NULL AS DOUBLE) AS avg_tone_7d, CAST(NULL AS DOUBLE) AS polarity FROM g2 WHERE day(obs_date) % 3 = 0 OR day(obs_date) % 2 = 1)"""
 _NEWS_DOUBLES = ("avg_tone", "goldstein_avg", "avg_tone_7d", "polarity")
 ORACLE["m2_partial_upsert"] = final(
     with_(*NEWS, _EXIST_NEW_NEWS) + """SELECT coalesce(o.city, n.city) AS city, coalesce(o.obs_date, n.obs_date) AS obs_date,

@@ -14,6 +14,8 @@ ORACLE["e1_bronze_jsonl"] = final(
 ORACLE["e12_news_tsv"] = final(
     with_(*NEWS) + "SELECT * FROM gdelt", "avg_tone", "goldstein_avg", "avg_tone_7d", "polarity",
 )
+ORACLE["s9_news_csv"] = with_(*NEWS) + """SELECT CAST(obs_date AS TIMESTAMP) AS obs_date, city, strftime(obs_date, '%Y%m%d') AS "SQLDATE",
+ root AS "EventRootCode", action_geo AS "ActionGeo_FullName", actor2_geo AS "Actor2Geo_FullName", url AS "SOURCEURL" FROM news_m"""
 ORACLE["s6_silver_roundtrip"] = with_(F_MAPPING, F_BRONZE, F_SILVER) + """SELECT service_request_id, city, batch_id,
  normalized_category, is_infrastructure, is_emergency_type, requested_at_utc, ingested_at_utc FROM silver"""
 ORACLE["s10_mapping_csv"] = with_(F_MAPPING, F_BRONZE, F_SILVER) + """SELECT normalized_category, is_infrastructure,

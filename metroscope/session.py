@@ -38,7 +38,8 @@ def shared_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and stream state.
 
     Taken from the cluster's ``spark.checkpoint.dir``. Only when the session has
-    none (local tests) is a private folder created and registered.
+    none and the master is local (tests) is a private folder created and registered; on a
+    cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,12 +47,20 @@ def shared_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="metroscope-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared root (never reused, never deleted by us)."""
+    """A fresh, unique path below the shared root (never reused)."""
     root = shared_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path that nothing reads any more (absent: nothing happens)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

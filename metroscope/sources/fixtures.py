@@ -88,6 +88,19 @@ def bronze_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delivered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze records with re-deliveries: every third request arrives again, updated and
+    closed, in a batch ingested two days later (Q20)."""
+    first = bronze_requests(spark, sf_dir)
+    later = first["ingested_at_utc"] + F.expr("INTERVAL 2 DAYS")
+    again = first.filter(F.col("service_request_id").cast("long") % 3 == 0).withColumns({
+        "ingested_at_utc": later, "status": F.lit("closed"),
+        "updated_datetime": F.col("updated_datetime") + F.expr("INTERVAL 2 DAYS"),
+        "batch_id": F.concat(F.date_format(later, "yyyyMMdd"), F.substring("batch_id", 9, 100)),
+    })
+    return first.unionByName(again)
+
+
 # The 14-row category mapping (raw, normalized, infrastructure, emergency).
 CATEGORY_MAPPING = (
     ("Broken Sidewalk", "Sidewalk Infrastructure", 1, 0),
@@ -159,7 +172,7 @@ CERTAINTY_BY_MOD4 = ((0, "Observed"), (1, "Likely"), (2, "Possible"), (3, "Unlik
 
 def alert_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert GeoJSON-like features (id + nested properties) from ``orders``."""
-    o = tables.read(spark, sf_dir, "orders").filter(F.col("o_custkey") % 5 == 0)
+    o = tables.read(spark, sf_dir, "orders")
     props = F.struct(
         F.col("o_orderpriority").alias("event"),
         _lookup(F.substring("o_orderpriority", 1, 1), SEVERITY_BY_PRIORITY).alias("severity"),

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,55 +16,102 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str) -> DataFr
     """Fail with the sorted list of missing columns (schema only, no job)."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"{what} is missing required columns: {', '.join(missing)}")
+        raise ValueError(f"{what}: no column {', '.join(missing)}")
     return df
 
 
 def read_json_batch(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A JSON-array payload file; a non-list payload or non-object record fails.
-
-    Spark reads a top-level array as one row per element; anything it cannot map to
-    the schema lands in ``_corrupt_record`` and fails the read (FAILFAST).
-    """
+    """JSON-array payload files; a non-list payload or non-object record fails.
+
+    Spark reads a top-level array as one row per element, but also takes a single object
+    for one row, so the first character of every payload is checked before (an action; a
+    payload is one service response). Elements that do not fit the schema fail the read."""
+    not_a_list = _whole_files(spark, path).filter(~F.ltrim(F.regexp_replace("value", r"[\s\uFEFF]+", " ")).startswith("["))
+    wrong = [r.file for r in not_a_list.select("file").limit(10).collect()]
+    if wrong:
+        raise ValueError("payload is not a JSON list: " + ", ".join(wrong))
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def _whole_files(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    reader = spark.read.option("wholetext", True)
+    if name:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", name)
+    return reader.text(path).withColumn("file", F.input_file_name())
+
+
+def read_landing(spark: SparkSession, root: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """S1 + S2 on the landing layout: below ``root``, every ``batch_id=<id>`` folder holds the
+    payload ``response.json`` beside its ``manifest.json``. Returns the records, stamped
+    with the folder's batch id, and the manifests."""
+    files = _whole_files(spark, root, "response.json").filter(
+        ~F.ltrim(F.regexp_replace("value", r"[\s\uFEFF]+", " ")).startswith("["))
+    wrong = [r.file for r in files.select("file").limit(10).collect()]
+    if wrong:
+        raise ValueError("payload is not a JSON list: " + ", ".join(wrong))
+    batch = F.url_decode(F.regexp_extract(F.input_file_name(), "batch_id=([^/]+)/", 1))
+    records = (spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").option("recursiveFileLookup", True)
+               .option("pathGlobFilter", "response.json").json(root).withColumn("batch_id", batch))
+    return records, read_manifests(spark, root, name="manifest.json")
+
+
+# Fields of a 311 API record, with their alternative names.
+OPEN311_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in (
+        "service_request_id", "status", "service_name", "service_code", "description", "requested_datetime",
+        "updated_datetime", "closed_datetime", "address", "media_url")]
+    + [T.StructField(c, T.DoubleType()) for c in ("lat", "latitude", "long", "lon", "longitude")]
+)
+
+# The fields of a manifest.
 MANIFEST_FIELDS = ("city", "batch_id", "ingested_at_utc")
 
 
-def read_manifests(spark: SparkSession, path: str, one_document_per_file: bool = True) -> DataFrame:
-    """Manifest files (one JSON document per file, or JSON lines); every manifest must
-    carry city, batch_id and ingested_at_utc."""
+def read_manifests(spark: SparkSession, path: str, one_document_per_file: bool = True, name: str | None = None) -> DataFrame:
+    """Manifest files (one JSON document per file, or JSON lines; only files called
+    ``name``, at any depth, if given). Each must carry its three fields, and a batch has one
+    manifest: two different ones fail, exact repeats count once."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in MANIFEST_FIELDS])
-    m = spark.read.schema(schema).option("multiLine", one_document_per_file).json(path)
-    bad = m.filter(F.col("batch_id").isNull() | F.col("city").isNull() | F.col("ingested_at_utc").isNull())
-    if not bad.isEmpty():
-        raise ValueError("manifest.json is missing required fields: " + ", ".join(MANIFEST_FIELDS))
+    reader = spark.read.schema(schema).option("multiLine", one_document_per_file)
+    if name:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", name)
+    m = reader.json(path).distinct()
+    incomplete = F.greatest(*[F.col(c).isNull() for c in MANIFEST_FIELDS])
+    checks = m.groupBy("batch_id").agg(F.max(incomplete).alias("incomplete"), F.count(F.lit(1)).alias("n"))
+    wrong = checks.filter("incomplete or n > 1").limit(10).collect()
+    if wrong:
+        raise ValueError("manifests without " + ", ".join(MANIFEST_FIELDS) + " or more than one for a batch: "
+                         + ", ".join(str(r.batch_id) for r in wrong))
     return m
 
 
 def write_jsonl(df: DataFrame, path: str, partition_cols: Iterable[str] = ()) -> None:
-    """One JSON object per line, partitioned (year/month/day/city/batch_id)."""
-    w = df.write.mode("overwrite")
+    """One JSON object per line, partitioned (year/month/day/city/batch_id).
+
+    With partition columns only the partitions in ``df`` are replaced, whatever the
+    session's overwrite mode; without, the folder is."""
     cols = list(partition_cols)
+    w = (df.hint("rebalance", *cols) if cols else df).write.mode("overwrite")
     if cols:
-        w = w.partitionBy(*cols)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*cols)
     w.json(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """S3: a malformed line fails the read (FAILFAST names the bad record)."""
+    """S3: a malformed line fails the read (FAILFAST names the file and the bad record)."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def write_partitioned(df: DataFrame, root: str, partition_cols: Iterable[str], files_per_partition: int | None = None) -> None:
     """Parquet, dynamic partition overwrite (only touched partitions replaced).
 
-    Rows are clustered by the partition columns first so each task writes few files;
-    no global sort is used.
+    Rows are clustered by the partition columns first so each task writes few files; a
+    partition that holds a third of all rows is split over several tasks and files
+    (``rebalance``). No global sort is used. ``files_per_partition`` merges into that many
+    output tasks instead.
     """
     cols = list(partition_cols)
-    out = df.repartition(*[F.col(c) for c in cols]) if files_per_partition is None else df.coalesce(files_per_partition)
+    out = df.hint("rebalance", *cols) if files_per_partition is None else df.coalesce(files_per_partition)
     (
         out.sortWithinPartitions(*cols)
         .write.mode("overwrite")
@@ -102,26 +149,38 @@ NEWS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in NEWS_COLUM
 
 
 def read_news_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless 58-column TSV, all text; lines that do not fit are skipped.
-
-    Files are split by Spark, so no chunking is needed for 1-2 GB daily exports.
+    """Headerless 58-column TSV, all text: a line with fewer fields is padded with nulls,
+    a line with more is skipped, a blank line is no row. Lines are cut here rather than by
+    the CSV reader, whose idea of a malformed line changes with the selected columns. A
+    field may be quoted as a whole (no tab inside). Files are split by Spark, so no chunking
+    is needed for 1-2 GB daily exports.
     """
-    return (
-        spark.read.schema(NEWS_SCHEMA)
-        .option("sep", "\t").option("header", False).option("mode", "DROPMALFORMED")
-        .option("enforceSchema", True).csv(path)
-    )
+    fields = F.split("value", "\t", -1)
+    lines = spark.read.text(path).filter((F.trim("value") != "") & (F.size(fields) <= len(NEWS_COLUMNS)))
+    quoted = r'^"(.*)"$'
+
+    def plain(i: int) -> Column:
+        c = F.get(fields, F.lit(i))
+        inner = F.when(c.rlike(quoted), F.replace(F.regexp_extract(c, quoted, 1), F.lit('""'), F.lit('"'))).otherwise(c)
+        return F.nullif(inner, F.lit(""))
+
+    return lines.select(*[plain(i).alias(c) for i, c in enumerate(NEWS_COLUMNS)])
 
 
 def write_news_csv(df: DataFrame, root: str) -> None:
     """Filtered events as CSV with header under ``obs_date=`` partitions.
 
-    Rows are clustered by day first, so each day is one file (one task), not one file
-    per task and day."""
-    (df.repartition("obs_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    Rows are clustered by day, and a large day is split over several files."""
+    (df.hint("rebalance", "obs_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("header", True).partitionBy("obs_date").csv(root))
 
 
+def read_news_csv(spark: SparkSession, root: str) -> DataFrame:
+    """The files of ``write_news_csv``: ``obs_date``, ``city`` and the export columns."""
+    schema = T.StructType([T.StructField("city", T.StringType()), *NEWS_SCHEMA.fields, T.StructField("obs_date", T.DateType())])
+    return spark.read.schema(schema).option("header", True).csv(root)
+
+
 def read_mapping_csv(spark: SparkSession, path: str) -> DataFrame:
     """Mapping CSV with header and the four required columns."""
     schema = "raw_category string, normalized_category string, is_infrastructure int, is_emergency_type int"

@@ -64,8 +64,9 @@ def upsert_sink(spark: SparkSession, target: str):
     (partitioned by city and window day; only touched partitions are rewritten)."""
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
+        # the merge stages the batch as its first action, so the stateful plan runs once
         rows = batch.withColumn("window_day", F.date_format("window_start", "yyyy-MM-dd"))
-        merge_into_path(spark, target, rows, KEYS, ["city", "window_day"])
+        merge_into_path(batch.sparkSession, target, rows, KEYS, ["city", "window_day"])
 
     return merge
 
