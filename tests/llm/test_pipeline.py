@@ -2,8 +2,8 @@
 import importlib.util
 
 import sentencepiece
-from test_decontaminate import brute as slow_contamination
-from test_simhash import roots, slow_fingerprint
+from llm.test_decontaminate import brute as slow_contamination
+from llm.test_simhash import roots, slow_fingerprint
 
 import corpus_pipeline as C
 from metroscope.llm import pieces, quality_cnn
