@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Any
@@ -33,7 +34,7 @@ from metroscope.llm.common import bounded, map_batches
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 THREADS = 2
-KNOWN_WORDS = 300_000     # words that a task remembers
+KNOWN_WORDS = 600_000     # words that a task remembers
 BATCH_TEXTS = 10_000      # texts or words given to the library at once
 # Piece types and model types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -176,11 +177,12 @@ class Coder:
     Where no piece can reach over the start of a word and the normaliser leaves characters
     alone, the ids of a text are those of its words one after another. Then only words not
     met before are encoded (in batches, on the library's threads) and checked against
-    sentencepiece; a bounded table remembers them. Other texts - with runs of spaces or the
+    sentencepiece and decoded again; a bounded table remembers them. Other texts - with runs of spaces or the
     marker itself - and other models are encoded whole."""
 
     def __init__(self, model: bytes, threads: int = THREADS) -> None:
         import sentencepiece
+        from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
@@ -190,34 +192,42 @@ class Coder:
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.by_word = (words_stand_alone(parsed) and parsed.dummy_prefix and not parsed.squeeze_spaces
                         and not parsed.charsmap and parsed.byte_fallback)
-        self.known: dict[str, bytes] = {}    # ids as little-endian 32-bit numbers
-        self.odd: set[str] = set()           # known words without parity
-
-    def whole(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """(ids, parity) of each text; the ids are always those that sentencepiece gives."""
-        out: list[tuple[bytes, bool]] = []
+        self.bare = Tokenizer(self.tokenizer.model)  # for single words, marker put on by hand
+        self.known: dict[str, bytes] = {}            # ids as little-endian 32-bit numbers
+        self.odd: set[str] = set()                   # known words without parity
+        self.lossy: set[str] = set()                 # known words that do not read back
+
+    def _run(self, texts: list[str], words: bool) -> Iterator[tuple[bytes, bool, bool]]:
+        """(ids, parity, round trip) of each text or word; the ids are always those that
+        sentencepiece gives."""
         for at in range(0, len(texts), BATCH_TEXTS):
             part = texts[at:at + BATCH_TEXTS]
-            ours = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            coder, given = (self.bare, [MARK + w for w in part]) if words else (self.tokenizer, part)
+            ours = coder.encode_batch_fast(given, add_special_tokens=False)
             truth = self.reference.encode(part, num_threads=self.threads)
-            out += [(np.array(b, "<i4").tobytes(), a == b) for a, b in zip(ours, truth)]
-        return out
+            back = self.decode(truth)
+            for text, e, ids, again in zip(part, ours, truth, back):
+                yield array("i", ids).tobytes(), e.ids == ids, again == text
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """(ids as little-endian 32-bit numbers, parity) of each text."""
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
+        """(ids as little-endian 32-bit numbers, parity, round trip) of each text."""
         plain = [self.by_word and bool(t) and t[0] != " " and t[-1] != " " and "  " not in t and MARK not in t for t in texts]
         split = [t.split(" ") if p else None for t, p in zip(texts, plain)]
         if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-            self.odd.clear()
+            for table in (self.known, self.odd, self.lossy):
+                table.clear()
         new = list({w for words in split if words for w in words} - self.known.keys())
-        for word, (ids, same) in zip(new, self.whole(new)):
+        for word, (ids, same, back) in zip(new, self._run(new, True)):
             self.known[word] = ids
             if not same:
                 self.odd.add(word)
-        rest = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
-        get = self.known.__getitem__
-        return [next(rest) if words is None else (b"".join(map(get, words)), self.odd.isdisjoint(words)) for words in split]
+            if not back:
+                self.lossy.add(word)
+        rest = self._run([t for t, p in zip(texts, plain) if not p], False)
+        get, odd, lossy = self.known.__getitem__, self.odd, self.lossy
+        return [next(rest) if words is None else
+                (b"".join(map(get, words)), not odd or odd.isdisjoint(words), not lossy or lossy.isdisjoint(words))
+                for words in split]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
@@ -244,11 +254,9 @@ def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text
             texts = b.column("text").to_pylist()
             some = [t for t in texts if t is not None]
             coded = coder.encode(some)
-            arrays = [np.frombuffer(ids, "<i4") for ids, _ in coded]
-            back = coder.decode([a.tolist() for a in arrays])
-            done = iter(zip(arrays, coded, (d == t for d, t in zip(back, some))))
-            rows = [(None, None, None, None) if t is None else ((d := next(done))[0], d[1][1], d[2], xxhash.xxh64_hexdigest(d[1][0]))
-                    for t in texts]
+            done = iter(coded)
+            rows = [(None, None, None, None) if t is None else
+                    (np.frombuffer((c := next(done))[0], "<i4"), c[1], c[2], xxhash.xxh64_hexdigest(c[0])) for t in texts]
             cols = [b.column("doc_id"), pa.array([0 if r[0] is None else len(r[0]) for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.bool_()),
                     pa.array([r[3] for r in rows], pa.string())]

@@ -61,7 +61,7 @@ def test_parse_agrees_with_the_library():
 def test_parity(model):
     coder = P.Coder(model)
     texts = TEXTS + ["abc ab a b c the he", "cab the  abcabc", "xyz ab"]
-    for text, (ids, same) in zip(texts, coder.encode(texts)):
+    for text, (ids, same, _) in zip(texts, coder.encode(texts)):
         assert same or "<0x" in text, text
         assert np.frombuffer(ids, "<i4").tolist() == coder.reference.encode(text)
 
@@ -69,7 +69,8 @@ def test_parity(model):
 def test_round_trip():
     coder = P.Coder(P.read_model())
     texts = [t for t in TEXTS if P.MARK not in t]  # the marker itself reads back as a space
-    assert coder.decode([np.frombuffer(ids, "<i4").tolist() for ids, _ in coder.encode(texts)]) == texts
+    assert coder.decode([np.frombuffer(ids, "<i4").tolist() for ids, _, _ in coder.encode(texts)]) == texts
+    assert all(back for _, _, back in coder.encode(texts))
 
 
 def test_unsupported_models_are_refused():
