@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metroscope.functions.columns import falsy_or
+from metroscope.operators.merge import insert_absent
 
 # ------------------------------------------------------------------ 311
 
@@ -174,8 +175,7 @@ def weather_from_daily_values(wide: DataFrame) -> DataFrame:
 
 def prefer_primary(primary: DataFrame, fallback: DataFrame, keys=("station_id", "obs_date")) -> DataFrame:
     """The observation row where there is one, otherwise the daily-climate row."""
-    keys = list(keys)
-    return primary.unionByName(fallback.select(*primary.columns).join(primary.select(*keys), keys, "left_anti"))
+    return insert_absent(primary, fallback, list(keys))
 
 
 # ------------------------------------------------------------------ run log

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def combine(keys: Sequence[str], spine: DataFrame, parts: Sequence[DataFrame]) -> DataFrame:
-    """Left-join several keyed parts onto a spine in one exchange.
+def combine(keys: Sequence[str], spine: DataFrame | None, parts: Sequence[DataFrame]) -> DataFrame:
+    """Left-join several keyed parts onto a spine in one exchange (no spine: full join).
 
     Each part holds at most one row per key (they are aggregates). Instead of a chain
     of joins (one shuffle each), every input is widened to the common column set,
@@ -30,6 +30,9 @@ def combine(keys: Sequence[str], spine: DataFrame, parts: Sequence[DataFrame]) -
             F.lit(is_spine).alias("_spine"),
         )
 
+    if spine is None:
+        u = reduce(DataFrame.unionByName, [widen(p, True) for p in parts])
+        return u.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
     u = reduce(DataFrame.unionByName, [widen(spine, True)] + [widen(p, False) for p in parts])
     g = u.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols], F.max("_spine").alias("_spine"))
     return g.filter(F.col("_spine")).drop("_spine")

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast the cell table only while it stays this small (rows are cheap structs).
-MAX_BROADCAST_CELLS = 200_000
+# Broadcast the cell table only while its polygons hold this many vertices in all
+# (16 bytes each, a polygon counted in every cell it touches): 32 MB.
+MAX_BROADCAST_VERTICES = 2_000_000
 
 
 def contains(x: Column, y: Column, xs: Column, ys: Column) -> Column:
@@ -49,10 +50,15 @@ def zone_cells(zones: DataFrame, cell_size: float) -> DataFrame:
 
 
 def assign_zones(points: DataFrame, zones: DataFrame, x: str = "lon", y: str = "lat", cell_size: float = 0.1,
-                 zone_cell_rows: int | None = None) -> DataFrame:
-    """Adds ``zone_id`` (first containing zone by id, else null) to every point."""
+                 max_broadcast_vertices: int = MAX_BROADCAST_VERTICES) -> DataFrame:
+    """Adds ``zone_id`` (first containing zone by id, else null) to every point.
+
+    The size of the cell table is counted (a small job over the zones) before it is
+    broadcast; beyond the bound both sides shuffle on the cell."""
     cells = zone_cells(zones, cell_size)
-    if zone_cell_rows is not None and zone_cell_rows <= MAX_BROADCAST_CELLS:
+    vertices = F.aggregate("candidates", F.lit(0).cast("long"), lambda n, z: n + F.size(z["xs"]))
+    total = cells.agg(F.sum(vertices)).first()[0] or 0
+    if total <= max_broadcast_vertices:
         cells = F.broadcast(cells)
     p = points.withColumns({"cx": _cell(F.col(x), cell_size), "cy": _cell(F.col(y), cell_size)})
     j = p.join(cells, ["cx", "cy"], "left")

@@ -110,11 +110,7 @@ def five_signals(news_daily: DataFrame, city_articles: DataFrame, lake_daily: Da
         trailing_z_score(lake, "er").alias("emergency_ratio_score"),
     )
     alerts = alert_scores.select("city", "d", F.col("alert_score").alias("alert_severity"))
-    parts = [tone, arts, lake, alerts]
-    spine = parts[0].select("city", "d")
-    for p in parts[1:]:
-        spine = spine.unionByName(p.select("city", "d"))
-    wide = combine(["city", "d"], spine, parts)  # duplicate spine keys fold in the same aggregate
+    wide = combine(["city", "d"], None, [tone, arts, lake, alerts])  # each input is read once
     vals = [F.coalesce(F.col(c), F.lit(FIVE_NEUTRAL[c])).alias(c) for c in FIVE]
     out = wide.select("city", "d", *vals)
     mean = sum((F.col(c) for c in FIVE[1:]), F.col(FIVE[0])) / len(FIVE)

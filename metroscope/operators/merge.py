@@ -8,6 +8,7 @@ plan is never done.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -29,38 +30,37 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -
     return df.withColumn(place, F.row_number().over(newest)).filter(F.col(place) == 1).drop(place)
 
 
+def _first_side(sides: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key over several tables, taken from the first table that has the key."""
+    rank = next(n for n in ("rank", "rank_", "rank__") if n not in sides[0].columns)
+    ranked = [df.withColumn(rank, F.lit(-i)) for i, df in enumerate(sides)]
+    return keep_latest(reduce(DataFrame.unionByName, ranked), keys, [rank, *order]).drop(rank)
+
+
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """M1: a new row replaces every non-key column of the old row with the same key.
 
-    A key repeated inside the batch is first reduced to one row (W13 rule)."""
-    batch = keep_latest(new, keys, order or ()).select(*existing.columns)
-    kept = existing.join(batch.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(batch)
+    A key repeated inside the batch is reduced to one row (W13 rule). ``existing`` holds a key
+    once. One exchange: both sides are one union, the batch ahead of the table."""
+    return _first_side([new.select(*existing.columns), existing], keys, order or ())
 
 
 def partial_upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], keep_old: Sequence[str]) -> DataFrame:
     """M2: like M1, but on a match the ``keep_old`` columns keep the old value."""
-    o = existing.alias("o")
-    n = new.select(*existing.columns).alias("n")
-    cond = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys]
-    j = o.join(n, cond, "full_outer")
-    matched_old = F.col(f"o.{keys[0]}").isNotNull()
-    matched_new = F.col(f"n.{keys[0]}").isNotNull()
-    cols = []
-    for c in existing.columns:
-        if c in keys:
-            cols.append(F.coalesce(F.col(f"o.{c}"), F.col(f"n.{c}")).alias(c))
-        elif c in keep_old:
-            cols.append(F.when(matched_old, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")).alias(c))
-        else:
-            cols.append(F.when(matched_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c))
-    return j.select(*cols)
+    values = [c for c in existing.columns if c not in keys]
+    side = lambda df, name: df.select(*keys, F.struct(*values).alias(name))
+    # one exchange: the two sides of a key meet in one group
+    both = side(existing, "old").unionByName(side(new, "new"), allowMissingColumns=True)
+    met = both.groupBy(*keys).agg(F.max("old").alias("old"), F.max("new").alias("new"))
+    pick = lambda c: (("old", "new") if c in keep_old else ("new", "old"))
+    return met.select(*[
+        F.col(c) if c in keys else F.when(F.col(pick(c)[0]).isNotNull(), F.col(f"{pick(c)[0]}.{c}")).otherwise(
+            F.col(f"{pick(c)[1]}.{c}")).alias(c) for c in existing.columns])
 
 
 def insert_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """M3: add only rows whose key is not there yet (``ON CONFLICT DO NOTHING``)."""
-    fresh = new.select(*existing.columns).join(existing.select(*keys), list(keys), "left_anti")
-    return existing.unionByName(fresh)
+    return _first_side([existing, new.select(*existing.columns)], keys)
 
 
 def resolution_hours(requests: DataFrame) -> DataFrame:

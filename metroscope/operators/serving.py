@@ -12,7 +12,7 @@ from metroscope.functions.verdict import verdict_text
 
 
 def composite_view(scores: DataFrame) -> DataFrame:
-    """T4: scores with ``delta = composite - baseline`` (ordered by city, newest first when read)."""
+    """T4: scores with ``delta = composite - baseline``; ``newest_first`` puts the view in order."""
     return scores.select(
         "city", "score_date", "composite", "composite_baseline_30d",
         (F.col("composite") - F.col("composite_baseline_30d")).alias("delta"),
@@ -20,6 +20,11 @@ def composite_view(scores: DataFrame) -> DataFrame:
     )
 
 
+def newest_first(view: DataFrame, date_col: str = "score_date") -> DataFrame:
+    """T4: the read order of the score view (city, newest day first)."""
+    return view.orderBy("city", F.desc(date_col))
+
+
 def latest_per_city(df: DataFrame, date_col: str) -> DataFrame:
     """The newest row per city (``max_by`` over a struct: one aggregate, map-side combined)."""
     rest = [c for c in df.columns if c != "city"]
@@ -27,10 +32,17 @@ def latest_per_city(df: DataFrame, date_col: str) -> DataFrame:
     return g.select("city", *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def latest_composite(scores: DataFrame) -> DataFrame:
-    """Composite, baseline, delta, mode and date of each city's newest score."""
+def latest_composite(scores: DataFrame, cities: DataFrame | None = None) -> DataFrame:
+    """Composite, baseline, delta, mode and date of each city's newest score. A city of
+    ``cities`` without scores gets zeros, mode Normal and today's date."""
     v = composite_view(scores).select("city", "score_date", "composite", "composite_baseline_30d", "delta", "readiness_mode")
-    return latest_per_city(v, "score_date")
+    latest = latest_per_city(v, "score_date")
+    if cities is None:
+        return latest
+    joined = cities.select("city").distinct().join(latest, "city", "left")
+    numbers = [F.ifnull(c, F.lit(0.0)).alias(c) for c in ("composite", "composite_baseline_30d", "delta")]
+    return joined.select("city", F.ifnull("score_date", F.current_date()).alias("score_date"), *numbers,
+                         F.ifnull("readiness_mode", F.lit("Normal")).alias("readiness_mode"))
 
 
 def latest_metrics(cards: DataFrame) -> DataFrame:
@@ -87,7 +99,7 @@ def history_month(scores: DataFrame, city_weather: DataFrame, gdelt: DataFrame,
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ("composite", "comp_base", "tmax", "tone")],
         F.coalesce(F.col("vol_311"), F.lit(0)).alias("vol_311"),
         F.coalesce(F.col("base_311"), F.lit(0.0)).alias("base_311"),
-    )
+    ).orderBy("city", "date")  # T2: at most n rows a city, oldest first
 
 
 def _by_month(df: DataFrame, date_col: str, aggs) -> DataFrame:

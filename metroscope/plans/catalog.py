@@ -39,17 +39,17 @@ def j1_category_mapping(spark, sf):
 
 @query("a1_hourly")
 def a1_hourly(spark, sf):
-    return finish(lake.hourly(spark, sf))
+    return finish(lk.sorted_for_read(lake.hourly(spark, sf)))
 
 
 @query("a2_daily")
 def a2_daily(spark, sf):
-    return finish(lake.daily(spark, sf))
+    return finish(lk.sorted_for_read(lake.daily(spark, sf)))
 
 
 @query("a3_category_hourly")
 def a3_category_hourly(spark, sf):
-    return finish(lake.category_hourly(spark, sf))
+    return finish(lk.sorted_for_read(lake.category_hourly(spark, sf), "normalized_category"))
 
 
 @query("w1_baseline_168h")
@@ -225,12 +225,12 @@ def x13_display_value(spark, sf):
 
 @query("t4_composite_delta")
 def t4_composite_delta(spark, sf):
-    return finish(sv.composite_view(daily.scores(spark, sf)))
+    return finish(sv.newest_first(sv.composite_view(daily.scores(spark, sf))))
 
 
 @query("e10_latest_composite")
 def e10_latest_composite(spark, sf):
-    return finish(sv.latest_composite(daily.scores(spark, sf)))
+    return finish(sv.latest_composite(daily.scores(spark, sf), daily.city_list(spark)))
 
 
 @query("e10_latest_verdict")
@@ -421,7 +421,7 @@ def d5_today_view(spark, sf):
 def d6_zone_join(spark, sf):
     zones = spark.createDataFrame(list(ZONES), "zone_id string, xs array<double>, ys array<double>")
     pts = fixtures.bronze_requests(spark, sf).select("service_request_id", "lat", "lon")
-    return finish(geo.assign_zones(pts, zones, zone_cell_rows=len(ZONES) * 100))
+    return finish(geo.assign_zones(pts, zones))
 
 
 @query("d7_five_signals")

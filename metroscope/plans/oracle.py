@@ -170,10 +170,11 @@ from metroscope.plans import oracle_media  # noqa: E402,F401  (documented-only o
 
 ORACLE["r1_stream_hourly"] = with_(*LAKE_ONCE) + """SELECT city, hour_window AS window_start, count(service_request_id) AS total_requests,
  CAST(sum(is_open) AS BIGINT) AS open_requests, CAST(sum(is_closed) AS BIGINT) AS closed_requests,
- CAST(sum(is_infrastructure_int) AS BIGINT) AS infrastructure_requests, CAST(sum(is_emergency_type_int) AS BIGINT) AS emergency_requests
+ CAST(sum(is_infrastructure_int) AS BIGINT) AS infrastructure_requests, CAST(sum(is_emergency_type_int) AS BIGINT) AS emergency_requests,
+ count(DISTINCT category) AS distinct_categories
 FROM base GROUP BY city, hour_window"""
 ORACLE["r2_stream_dedup"] = with_(F_MAPPING, F_BRONZE, F_SILVER) + """SELECT service_request_id, city, status,
- requested_at_utc, is_infrastructure, is_emergency_type FROM silver"""
+ requested_at_utc, is_infrastructure, is_emergency_type, normalized_category FROM silver"""
 from metroscope.plans import oracle_sources  # noqa: E402,F401  (file round trips)
 
 # Result edge: DATE columns leave as midnight TIMESTAMP (mirrors ``plans.common.finish``).

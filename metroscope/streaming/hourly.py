@@ -17,8 +17,10 @@ from metroscope.session import scratch_path
 
 STREAM_COLUMNS = (
     "service_request_id", "city", "status", "requested_at_utc", "is_infrastructure", "is_emergency_type",
+    "normalized_category",
 )
-KEYS = ["city", "window_start"]
+KEYS = ["city", "window_start", "category"]
+COUNTS = ("total_requests", "open_requests", "closed_requests", "infrastructure_requests", "emergency_requests")
 
 
 def stream_schema(silver: DataFrame) -> T.StructType:
@@ -43,20 +45,27 @@ def dedup_requests(stream: DataFrame, delay: str = "2 days") -> DataFrame:
 
 
 def hourly_counts(stream: DataFrame) -> DataFrame:
-    """Per (city, event-time hour) counts; watermark-bounded state.
+    """Per (city, event-time hour, category) counts; watermark-bounded state.
 
-    ``countDistinct`` is not allowed in a streaming aggregate, so the distinct-category
-    count stays in the batch job (A1)."""
+    ``countDistinct`` is not allowed in a streaming aggregate; with the category as a key the
+    merged table holds the category counts (A3), and the hourly counts with their number
+    of categories (A1) are its roll-up, ``roll_up``."""
     st = F.lower(F.coalesce(F.col("status"), F.lit("")))
-    g = stream.groupBy(F.window("requested_at_utc", "1 hour").alias("w"), "city").agg(
+    g = stream.groupBy(F.window("requested_at_utc", "1 hour").alias("w"), "city",
+                       F.ifnull("normalized_category", F.lit("Other")).alias("category")).agg(
         F.count("service_request_id").alias("total_requests"),
         F.sum(F.when(st == "open", 1).otherwise(0)).cast("long").alias("open_requests"),
         F.sum(F.when(st == "closed", 1).otherwise(0)).cast("long").alias("closed_requests"),
         F.sum(F.coalesce(F.col("is_infrastructure").cast("int"), F.lit(0))).cast("long").alias("infrastructure_requests"),
         F.sum(F.coalesce(F.col("is_emergency_type").cast("int"), F.lit(0))).cast("long").alias("emergency_requests"),
     )
-    return g.select("city", F.col("w.start").alias("window_start"), "total_requests", "open_requests",
-                    "closed_requests", "infrastructure_requests", "emergency_requests")
+    return g.select("city", F.col("w.start").alias("window_start"), "category", *COUNTS)
+
+
+def roll_up(cells: DataFrame) -> DataFrame:
+    """Hourly counts and the number of categories from the merged category table."""
+    return cells.groupBy("city", "window_start").agg(
+        *[F.sum(c).alias(c) for c in COUNTS], F.count_distinct("category").alias("distinct_categories"))
 
 
 def upsert_sink(spark: SparkSession, target: str):
@@ -92,7 +101,7 @@ def run_hourly_pipeline(
               .option("checkpointLocation", ckpt).trigger(availableNow=True))
     q = _start(spark, writer, state_partitions)
     q.awaitTermination()
-    return spark.read.parquet(target).drop("window_day")
+    return roll_up(spark.read.parquet(target))
 
 
 def _start(spark: SparkSession, writer, state_partitions: int | None):

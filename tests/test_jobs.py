@@ -233,9 +233,11 @@ def test_ingest_jobs_are_idempotent(spark, tmp_path, static_overwrite):
     assert n == jobs.weather_job(spark, obs, tall, weather).count() > 0
 
 
-def test_last_update_of_a_city_without_scores(spark):
+def test_serving_a_city_without_scores(spark):
     runs = daily.runs(spark, SMALL_SF)
     none = daily.scores(spark, SMALL_SF).limit(0)
     cities = daily.city_list(spark)
     assert {r.city for r in sv.last_updated(runs, none, cities).collect()} == set(daily.CITIES)
     assert {r.last_updated for r in sv.last_updated(runs.limit(0), none, cities).collect()} == {"N/A"}
+    rows = sv.latest_composite(none, cities).collect()
+    assert {r.city for r in rows} == set(daily.CITIES) and all((r.composite, r.delta, r.readiness_mode) == (0.0, 0.0, "Normal") for r in rows)
