@@ -28,7 +28,7 @@ def written(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> DataF
     Cuts the lineage: a lost executor costs a re-read, not a recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from metroscope.llm.common import crc_mod, map_batches, written
 from metroscope.llm.wordhash import SPACE, combine, hash_words
 
-BLOCK_BYTES = 5 << 20        # text in a block (one document at least)
+BLOCK_BYTES = 8 << 20        # text in a block (one document at least)
 HASH_BYTES = 2 << 20         # text hashed at once
 RANGE_BYTES = 8 << 20       # questions counted at once
 DEV_PART = 1                 # training documents with this remainder are the deleted part
@@ -176,7 +176,8 @@ def questions(blocks: DataFrame, ranges: int) -> DataFrame:
 
 def answers(asked: DataFrame) -> DataFrame:
     """Corpus counts for every question, in the question's order: ``block``, ``kind``,
-    ``range``, ``kept``, ``dev``, and ``types`` (distinct training keys, told once a range)."""
+    ``range``, ``kept`` (without the deleted part), ``whole``, and ``types`` (distinct training
+    keys, told once a range)."""
 
     def count(group: pa.Table) -> pa.Table:
         blocks = group.column("block").to_pylist()
@@ -187,23 +188,23 @@ def answers(asked: DataFrame) -> DataFrame:
         for part in ("kept", "dev"):
             own = np.concatenate([unpack(c, np.uint32) for c in group.column(part).to_pylist()])
             total[part] = np.bincount(where, weights=own).astype(np.uint32)
-        types = int((total["kept"] + total["dev"] > 0).sum())
+        whole = total["kept"] + total["dev"]
         slices = [where[sizes[i]:sizes[i + 1]] for i in range(len(blocks))]
         return pa.table({
             "block": pa.array(blocks, pa.int64()), "kind": group.column("kind"), "range": group.column("range"),
             "kept": pa.array([pack(total["kept"][s]) for s in slices], pa.binary()),
-            "dev": pa.array([pack(total["dev"][s]) for s in slices], pa.binary()),
-            "types": pa.array([types] + [0] * (len(blocks) - 1), pa.int64())})
+            "whole": pa.array([pack(whole[s]) for s in slices], pa.binary()),
+            "types": pa.array([int((whole > 0).sum())] + [0] * (len(blocks) - 1), pa.int64())})
 
     return asked.groupBy("kind", "range").applyInArrow(
-        count, "block long, kind int, range int, kept binary, dev binary, types long")
+        count, "block long, kind int, range int, kept binary, whole binary, types long")
 
 
-def _answered(answer: pa.Table) -> dict[tuple[int, str], np.ndarray]:
-    """(kind, part) -> counts in key order."""
-    rows = sorted(answer.select(["kind", "range", "kept", "dev"]).to_pylist(), key=lambda r: (r["kind"], r["range"]))
-    return {(k, p): np.concatenate([unpack(r[p], np.uint32) for r in rows if r["kind"] == k]).astype(np.float64)
-            for k in (0, 1) for p in ("kept", "dev")}
+def _answered(answer: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the block's words and of its pairs, in key order."""
+    rows = sorted(answer.select(["kind", "range", "n"]).to_pylist(), key=lambda r: (r["kind"], r["range"]))
+    words, pairs = (np.concatenate([unpack(r["n"], np.uint32) for r in rows if r["kind"] == k]).astype(np.float64) for k in (0, 1))
+    return words, pairs
 
 
 def _bucket(contexts: np.ndarray) -> np.ndarray:
@@ -228,16 +229,16 @@ def held_out_histogram(blocks: DataFrame, answer: DataFrame, kept_tokens: int, k
         rows = left.to_pylist()
         if not rows:
             return pa.table({c: pa.array([], t) for c, t in (("bucket", pa.int32()), ("s2", pa.int32()), ("s1", pa.int32()), ("n", pa.int64()))})
-        block, c = Block(rows[0]), _answered(right)
-        context = np.where(block.opens, float(kept_docs), c[0, "kept"][block.before])
-        p2 = _divided(c[1, "kept"][block.pair_of], context)
-        p1 = _divided(c[0, "kept"][block.tokens], float(kept_tokens))
+        block, (words, pairs) = Block(rows[0]), _answered(right)
+        context = np.where(block.opens, float(kept_docs), words[block.before])
+        p2 = _divided(pairs[block.pair_of], context)
+        p1 = _divided(words[block.tokens], float(kept_tokens))
         cells, n = np.unique(np.stack([_bucket(context), _step(p2), _step(p1)], axis=1), axis=0, return_counts=True)
         return pa.table({"bucket": pa.array(cells[:, 0].astype(np.int32)), "s2": pa.array(cells[:, 1].astype(np.int32)),
                          "s1": pa.array(cells[:, 2].astype(np.int32)), "n": pa.array(n.astype(np.int64))})
 
     dev = blocks.filter("dev")
-    mine = answer.join(dev.select("block"), "block", "left_semi")
+    mine = answer.join(dev.select("block"), "block", "left_semi").select("block", "kind", "range", F.col("kept").alias("n"))
     return dev.groupBy("block").cogroup(mine.groupBy("block")).applyInArrow(
         run, "bucket int, s2 int, s1 int, n long").groupBy("bucket", "s2", "s1").agg(F.sum("n").alias("n"))
 
@@ -273,8 +274,7 @@ def score_blocks(blocks: DataFrame, answer: DataFrame, id_type: str, n: int, n_d
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        block, c = Block(row), _answered(right)
-        words, pairs = c[0, "kept"] + c[0, "dev"], c[1, "kept"] + c[1, "dev"]
+        block, (words, pairs) = Block(row), _answered(right)
         context = np.where(block.opens, float(n_docs), words[block.before])
         w = weights[_bucket(context)]
         own = words[block.tokens]
@@ -288,7 +288,8 @@ def score_blocks(blocks: DataFrame, answer: DataFrame, id_type: str, n: int, n_d
             "train_tokens": pa.array(np.full(size, n, np.int64)), "base_score": pa.array(np.add.reduceat(base, first)),
             "score": pa.array(np.add.reduceat(np.log10(p), first))})
 
-    return blocks.groupBy("block").cogroup(answer.groupBy("block")).applyInArrow(
+    mine = answer.select("block", "kind", "range", F.col("whole").alias("n"))
+    return blocks.groupBy("block").cogroup(mine.groupBy("block")).applyInArrow(
         run, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
