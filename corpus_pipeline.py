@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroscope.llm import decontaminate, pieces, quality_cnn, simhash, surrogates
-from metroscope.llm.common import documents, written
+from metroscope.llm.common import documents, drop_written, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, given = documents(spark, sf_dir), True
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        result = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if not given:
+            drop_written(docs)  # the stage before; nothing reads it any more
+        docs, given = result, False
     return docs

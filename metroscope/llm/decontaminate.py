@@ -96,6 +96,18 @@ def class_prints(classes: DataFrame, span: int, k: int) -> DataFrame:
     return map_batches(classes, run, "hash long, class string")
 
 
+def hash_bitmap(prints: DataFrame) -> np.ndarray:
+    """One bit for each of the low FILTER_BITS hash values that occurs, as bytes. Spark
+    builds it in pieces of 4 KiB; only the finished pieces (512 KiB in all) are fetched."""
+    low = F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1))
+    pieces = prints.groupBy(F.shiftright(low, 15).alias("piece")).agg(
+        F.bitmap_construct_agg(low.bitwiseAND(F.lit(32767))).alias("bits")).collect()
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for p in pieces:
+        out[p.piece * 4096:(p.piece + 1) * 4096] = np.frombuffer(p.bits, np.uint8)
+    return out
+
+
 def candidates(docs: DataFrame, id_col: str, text_col: str, bitmap: np.ndarray, sizes: list[int],
                span: int, k: int) -> DataFrame:
     """Per document: ``doc_id``, ``text_hash``, ``n_words``, ``spots`` (fingerprints that
@@ -171,10 +183,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = written(item_classes(benchmark, item_id, item_text), "decon-items")
     classes = items.groupBy("class").agg(F.first("words").alias("words"), F.first("size").alias("size"))
     prints = written(class_prints(classes.select("class", "words"), span, k), "decon-prints")
-    low = prints.select(F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("b")).distinct().collect()  # <= FILTER_BITS
-    bitmap = np.zeros(FILTER_BITS // 8, np.uint8)
-    bits = np.array([r.b for r in low], np.int64)
-    np.bitwise_or.at(bitmap, bits >> 3, np.left_shift(1, bits & 7).astype(np.uint8))
+    bitmap = hash_bitmap(prints)
     sizes = sorted(r["size"] for r in classes.filter(F.col("size") < span).select("size").distinct().collect())  # < span
     base = written(candidates(docs, id_col, text_col, bitmap, sizes, span, k), "decon-docs")
 
