@@ -65,28 +65,32 @@ def pyround(c: Column, digits: int = 0) -> Column:
     return r / F.lit(m)
 
 
-def to_units(c: Column, unit_digits: int = 6) -> Column:
-    """Fixed-point units (value x 10^unit_digits as long) for exact sums of short decimals."""
-    return rnd(c.cast("double") * F.lit(float(10 ** unit_digits)), 0).cast("long")
-
-
-def exact_mean(units_sum: Column, n: Column, digits: int, unit_digits: int = 6, python_round: bool = True) -> Column:
-    """Mean of fixed-point values as one correctly rounded division of the exact integer
-    sum, then ``rnd``: the float mean a database AVG would hand back, rounded like the
-    reference, but independent of summation order (so ties resolve the same in every
-    engine and on every task retry). ``n = 0`` gives null. ``python_round`` picks
-    Python's ``round`` (the reference's scalar code) over pandas' (``rnd``)."""
-    mean = units_sum.cast("double") / (n * F.lit(10 ** unit_digits)).cast("double")
+UNIT_DIGITS = 12  # fixed-point digits of exact means; real tones and hours need fewer
+
+
+def to_units(c: Column) -> Column:
+    """Fixed-point units (value x 10^12) as a wide decimal: sums of any number of rows are
+    exact and cannot overflow."""
+    return rnd(c.cast("double") * F.lit(10.0 ** UNIT_DIGITS), 0).cast("decimal(38,0)")
+
+
+def exact_mean(units_sum: Column, n: Column, digits: int, python_round: bool = True) -> Column:
+    """Mean of fixed-point values as one correctly rounded division of the exact sum, then
+    rounded: the float mean a database AVG would hand back, rounded like the reference,
+    but independent of summation order (so ties resolve the same in every engine and on
+    every task retry). ``n = 0`` gives null. ``python_round`` picks Python's ``round`` (the
+    reference's scalar code) over pandas' (``rnd``)."""
+    mean = units_sum.cast("double") / (n.cast("double") * F.lit(10.0 ** UNIT_DIGITS))
     return F.when(n > 0, (pyround if python_round else rnd)(mean, digits))
 
 
-def mean_rounded(c: Column, digits: int, unit_digits: int = 6, over=None, python_round: bool = True) -> Column:
+def mean_rounded(c: Column, digits: int, over=None, python_round: bool = True) -> Column:
     """``round(avg(c), digits)`` computed exactly (see ``exact_mean``); works as a
     grouped aggregate or, with ``over``, as a window aggregate."""
-    s, n = F.sum(to_units(c, unit_digits)), F.count(c)
+    s, n = F.sum(to_units(c)), F.count(c)
     if over is not None:
         s, n = s.over(over), n.over(over)
-    return exact_mean(s, n, digits, unit_digits, python_round)
+    return exact_mean(s, n, digits, python_round)
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

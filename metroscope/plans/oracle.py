@@ -90,12 +90,12 @@ def pyround(expr: str, digits: int) -> str:
             f"WHEN ({p} - {fl}) = 0.5 AND {err} < 0 THEN {fl} ELSE round_even({p}, 0) END) / {m!r})")
 
 
-def xmean(col: str, digits: int, over: str | None = None, u: int = 6, py: bool = True) -> str:
+def xmean(col: str, digits: int, over: str | None = None, py: bool = True) -> str:
     """``round(avg(col), digits)`` from exact integer units (mirrors ``columns.mean_rounded``)."""
-    units = f"CAST(round_even(({col}) * 1e{u}, 0) AS BIGINT)"
+    units = f"CAST(round_even(({col}) * 1e12, 0) AS HUGEINT)"
     w = f" OVER {over}" if over else ""
     s, n = f"sum({units}){w}", f"count({col}){w}"
-    mean = f"CAST({s} AS DOUBLE) / CAST(({n}) * {10 ** u} AS DOUBLE)"
+    mean = f"CAST({s} AS DOUBLE) / (CAST({n} AS DOUBLE) * 1e12)"
     rounded = pyround(mean, digits) if py else f"round_even({mean}, {digits})"
     return f"(CASE WHEN {n} > 0 THEN {rounded} END)"
 

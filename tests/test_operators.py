@@ -297,3 +297,12 @@ def test_zone_join_shuffle_path_matches_broadcast(spark):
     a = sorted(geo.assign_zones(pts, zones, cell_size=0.5).collect())
     b = sorted(geo.assign_zones(pts, zones, cell_size=0.5, max_broadcast_vertices=-1).collect())
     assert a == b and any(r.zone_id == "tri" for r in a) and any(r.zone_id is None for r in a)
+
+
+def test_means_keep_more_than_six_decimals(spark):
+    from metroscope.functions.columns import mean_rounded
+
+    for values, digits, want in (([0.0004999999], 3, 0.0), ([0.0005000001], 3, 0.001), ([1.00049, 1.00050, 1.000511], 3, round(3.001501 / 3, 3)),
+                                 ([1e7, 1e7 + 0.25], 2, 10000000.12), ([None], 2, None)):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        assert one(df.agg(mean_rounded(F.col("x"), digits).alias("r")), "r") == [want]
