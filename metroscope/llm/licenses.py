@@ -101,12 +101,11 @@ def spans(votes: DataFrame, k: int = K, max_shift: int = MAX_SHIFT, max_gap: int
     ).select("doc_id", "text_hash", "tmpl", "label", "first", "last", "coverage")
 
 
-def base(norm: Column, phrases: dict[str, str] | None = None) -> dict[str, Column]:
-    """Exact phrase counts over a normal text."""
+def base(padded: Column, phrases: dict[str, str] | None = None) -> dict[str, Column]:
+    """Exact phrase counts over a normal text with a space before and after."""
     phrases = PHRASES if phrases is None else phrases
     spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
-    n_words = F.when(norm == "", 0).otherwise(spaces(norm) + 1).cast("long")
-    padded = F.concat(F.lit(" "), norm, F.lit(" "))
+    n_words = F.when(padded == "  ", 0).otherwise(spaces(padded) - 1).cast("long")
     count, firsts, lasts, labels = F.lit(0), [], [], []
     for p, label in phrases.items():
         has = F.instr(padded, f" {p} ") > 0
@@ -132,7 +131,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         F.max(F.least("coverage", F.lit(1.0))).alias("best"),
         F.collect_set(F.when(F.col("coverage") >= coverage, F.col("label"))).alias("found"))
     best = best.select(F.col("doc_id").alias("b_id"), F.col("text_hash").alias("b_hash"), "best", "found")
-    counted = named.select("doc_id", "text_hash", *[c.alias(n) for n, c in base(F.col("norm")).items()])
+    # a column of its own, so that the many uses below do not each build the string
+    padded = named.select("doc_id", "text_hash", F.concat(F.lit(" "), "norm", F.lit(" ")).alias("padded"))
+    counted = padded.select("doc_id", "text_hash", *[c.alias(n) for n, c in base(F.col("padded")).items()])
     text_of = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
     return counted.join(
         best, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("text_hash") == F.col("b_hash")), "left",
