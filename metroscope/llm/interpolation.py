@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from metroscope.llm.common import crc_mod, map_batches, written
 from metroscope.llm.wordhash import SPACE, combine, hash_words
 
-BLOCK_BYTES = 8 << 20        # text in a block (one document at least)
+BLOCK_BYTES = 4 << 20        # text in a block (one document at least)
 HASH_BYTES = 2 << 20         # text hashed at once
 RANGE_BYTES = 8 << 20       # questions counted at once
 DEV_PART = 1                 # training documents with this remainder are the deleted part
