@@ -69,42 +69,39 @@ def station_spine(spine: DataFrame, station_cities: DataFrame) -> DataFrame:
     return spine.join(station_cities, "city")
 
 
-def heat_streak(weather: DataFrame, st_spine: DataFrame, hot_index: float = 40.0, hot_tmax: float = 35.0) -> DataFrame:
-    """Consecutive station rows back from d (inclusive) with heat index > 40 or
-    tmax > 35, counted in rows (Q10); for a day without a row, the streak of the
-    latest row before it. Gaps-and-islands + an as-of fill (union + last ignore nulls)."""
-    hot = F.coalesce(F.col("heat_index_max") > hot_index, F.lit(False)) | F.coalesce(F.col("tmax") > hot_tmax, F.lit(False))
-    w_rows = Window.partitionBy("station_id").orderBy("obs_date")
-    rn = F.row_number().over(w_rows)
-    s = weather.select("station_id", "obs_date", rn.alias("rn"), hot.alias("hot"))
-    w_run = w_rows.rowsBetween(Window.unboundedPreceding, 0)
-    s = s.select("station_id", "obs_date", (F.col("rn") - F.coalesce(F.max(F.when(~F.col("hot"), F.col("rn"))).over(w_run), F.lit(0))).alias("streak"))
-    days = st_spine.select("station_id", F.col("d").alias("obs_date")).distinct()
-    u = s.select("station_id", "obs_date", "streak", F.lit(0).alias("_k")).unionByName(
-        days.select("station_id", "obs_date", F.lit(None).cast("int").alias("streak"), F.lit(1).alias("_k"))
-    )
-    w_fill = Window.partitionBy("station_id").orderBy("obs_date", "_k").rowsBetween(Window.unboundedPreceding, 0)
-    filled = u.select("station_id", "obs_date", "_k", F.last("streak", ignorenulls=True).over(w_fill).alias("streak"))
-    per_station = filled.filter(F.col("_k") == 1).select("station_id", F.col("obs_date").alias("d"), F.coalesce("streak", F.lit(0)).alias("streak"))
-    return st_spine.join(per_station, ["station_id", "d"], "left").groupBy("city", "d").agg(
-        F.coalesce(F.max("streak"), F.lit(0)).alias("heat_streak_days")
-    )
+def station_cards(weather: DataFrame, st_spine: DataFrame, hot_index: float = 40.0, hot_tmax: float = 35.0) -> DataFrame:
+    """W11 + W12 per (city, d), the largest of the city's stations, from one pass over the
+    station days:
+
+    ``heat_streak_days``: consecutive station rows back from d (inclusive) with heat index
+    > 40 or tmax > 35, counted in rows (Q10); a day without a row has the streak of the
+    latest row before it. ``precip_72hr_mm``: precipitation of the days [d-2, d], null -> 0,
+    rounded to 2.
+
+    Readings and calendar days meet in one group per station and day; both cards are
+    then windows over the same partition and order (one exchange, one sort)."""
+    readings = weather.select("station_id", F.col("obs_date").alias("d"), "tmax", "heat_index_max", "precip_6hr_max", F.lit(1).alias("row"))
+    days = st_spine.select("station_id", "d").unionByName(readings, allowMissingColumns=True).groupBy("station_id", "d").agg(
+        *[F.max(c).alias(c) for c in ("tmax", "heat_index_max", "precip_6hr_max")], F.ifnull(F.max("row"), F.lit(0)).alias("row"))
+    hot = F.ifnull((F.col("heat_index_max") > hot_index), F.lit(False)) | F.ifnull((F.col("tmax") > hot_tmax), F.lit(False))
+    by_day = Window.partitionBy("station_id").orderBy(F.datediff("d", F.lit("1970-01-01")))
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    counted = days.select("station_id", "d", (~hot & (F.col("row") == 1)).alias("cold"), F.sum("row").over(so_far).alias("rows"),
+                          F.sum("precip_6hr_max").over(by_day.rangeBetween(-2, 0)).alias("rain"))
+    last_cold = F.max(F.when(F.col("cold"), F.col("rows"))).over(so_far)
+    per_station = counted.select("station_id", "d", (F.col("rows") - F.ifnull(last_cold, F.lit(0))).alias("streak"), "rain")
+    return st_spine.join(per_station, ["station_id", "d"]).groupBy("city", "d").agg(
+        F.max("streak").cast("int").alias("heat_streak_days"), pyround(F.ifnull(F.max("rain"), F.lit(0.0)), 2).alias("precip_72hr_mm"))
+
+
+def heat_streak(weather: DataFrame, st_spine: DataFrame) -> DataFrame:
+    """W11 alone."""
+    return station_cards(weather, st_spine).select("city", "d", "heat_streak_days")
 
 
 def precip_72h(weather: DataFrame, st_spine: DataFrame) -> DataFrame:
-    """Precipitation summed over [d-2, d] per station (null -> 0, rounded to 2);
-    max over the city's stations. RANGE frame on the day number covers missing days."""
-    dn = F.datediff(F.col("obs_date"), F.lit("1970-01-01"))
-    days = st_spine.select("station_id", F.col("d").alias("obs_date")).distinct()
-    u = weather.select("station_id", "obs_date", "precip_6hr_max", F.lit(False).alias("_s")).unionByName(
-        days.select("station_id", "obs_date", F.lit(None).cast("double").alias("precip_6hr_max"), F.lit(True).alias("_s"))
-    )
-    w = Window.partitionBy("station_id").orderBy(dn).rangeBetween(-2, 0)
-    sums = u.select("station_id", "obs_date", "_s", F.sum("precip_6hr_max").over(w).alias("p")).filter("_s")
-    per_station = sums.select("station_id", F.col("obs_date").alias("d"), "p")
-    return st_spine.join(per_station, ["station_id", "d"], "left").groupBy("city", "d").agg(
-        pyround(F.coalesce(F.max("p"), F.lit(0.0)), 2).alias("precip_72hr_mm")
-    )
+    """W12 alone."""
+    return station_cards(weather, st_spine).select("city", "d", "precip_72hr_mm")
 
 
 def city_tmax(weather: DataFrame, station_cities: DataFrame) -> DataFrame:
@@ -145,10 +142,9 @@ def metric_cards(
         mean_close_hours(rdays),
         top_category(rdays),
         city_tmax(weather, station_cities),
-        heat_streak(weather, st),
+        station_cards(weather, st),
         gdelt.select("city", F.col("obs_date").alias("d"), pyround(F.col("avg_tone_7d"), 3).alias("media_tone_7d"),
                      F.col("protest_event_count").alias("protest_mentions")),
-        precip_72h(weather, st),
     ]
     news = gdelt.select("city", F.col("obs_date").alias("d"), F.lit(True).alias("_has_news"))
     wide = combine(["city", "d"], spine.select("city", "d"), parts + [news]).withColumn(

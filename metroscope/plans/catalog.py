@@ -116,7 +116,7 @@ def a7_news_daily_distinct(spark, sf):
 
 @query("w7_anomaly_score")
 def w7_anomaly_score(spark, sf):
-    counts = daily.inputs(spark, sf).counts
+    counts = daily.materialize(spark, cd.daily_counts(cd.request_days(daily.requests(spark, sf))), "request-counts")
     return finish(sc.anomaly_scores(counts).join(counts, ["city", "d"]))
 
 
@@ -469,6 +469,23 @@ def r1_stream_hourly(spark, sf):
     return finish(hs.run_hourly_pipeline(spark, landing, schema, state_partitions=8))
 
 
+@query("r1_stream_late_rows")
+def r1_stream_late_rows(spark, sf):
+    """R1 over three triggers: the earlier half of the month, the later half with re-deliveries,
+    and new requests far older than the watermark, which must not change any count."""
+    silver = lake.silver(spark, sf)
+    middle = silver.agg(F.date_trunc("day", F.timestamp_micros(
+        ((F.unix_micros(F.min("requested_at_utc")) + F.unix_micros(F.max("requested_at_utc"))) / 2).cast("long")))).first()[0]
+    early = F.col("requested_at_utc") < F.lit(middle)
+    ids = F.col("service_request_id").cast("long")
+    late = silver.filter((F.col("requested_at_utc") < F.lit(middle) - F.expr("INTERVAL 5 DAYS")) & (ids % 11 == 0))
+    landing = scratch_path(spark, "landing-late")
+    for batch in (silver.filter(early), silver.filter(~early).unionByName(silver.filter(~early & (ids % 7 == 0))),
+                  late.withColumn("service_request_id", F.concat(F.lit("late-"), "service_request_id"))):
+        hs.land(batch.coalesce(1), landing)  # one file a batch: one trigger each
+    return finish(hs.run_hourly_pipeline(spark, landing, hs.stream_schema(silver), max_files=1, state_partitions=8))
+
+
 @query("r2_stream_dedup")
 def r2_stream_dedup(spark, sf):
     landing, schema = _land_with_redeliveries(spark, sf)

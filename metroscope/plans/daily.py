@@ -80,9 +80,9 @@ def inputs(spark: SparkSession, sf: str) -> DailyInputs:
 
 def inputs_of(spark: SparkSession, requests: DataFrame, weather: DataFrame, alerts: DataFrame, news: DataFrame,
               stations: DataFrame) -> DailyInputs:
-    """Build the four per-day tables from request, weather, alert and news rows. They are independent, so their jobs are submitted
-    concurrently from driver threads (Spark schedules them side by side on the cluster);
-    the calendar spine follows once they exist."""
+    """Build the four per-day tables from request, weather, alert and news rows. They are
+    independent, so their jobs are submitted concurrently from driver threads (Spark
+    schedules them side by side on the cluster); the calendar spine follows once they exist."""
     from concurrent.futures import ThreadPoolExecutor
 
     plans = {

@@ -173,6 +173,7 @@ ORACLE["r1_stream_hourly"] = with_(*LAKE_ONCE) + """SELECT city, hour_window AS
  CAST(sum(is_infrastructure_int) AS BIGINT) AS infrastructure_requests, CAST(sum(is_emergency_type_int) AS BIGINT) AS emergency_requests,
  count(DISTINCT category) AS distinct_categories
 FROM base GROUP BY city, hour_window"""
+ORACLE["r1_stream_late_rows"] = ORACLE["r1_stream_hourly"]
 ORACLE["r2_stream_dedup"] = with_(F_MAPPING, F_BRONZE, F_SILVER) + """SELECT service_request_id, city, status,
  requested_at_utc, is_infrastructure, is_emergency_type, normalized_category FROM silver"""
 from metroscope.plans import oracle_sources  # noqa: E402,F401  (file round trips)
