@@ -79,7 +79,7 @@ def longest_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) ->
 def plain_form(url: Column) -> Column:
     """The address without what a redirect strips; null without ``://``."""
     host = F.regexp_replace(host_of(url), r"^(?:www|m)\.", "")
-    path = F.regexp_replace(F.regexp_replace(path_of(url), r"/index\.(?:html?|php)$", "/"), r"/+$", "")
+    path = F.rtrim(F.regexp_replace(path_of(url), r"/index\.(?:html?|php)$", "/"), F.lit("/"))
     query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
     kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(f"^{TRACKING}(?:=|$)")))
     return F.when(F.instr(url, "://") > 0, F.concat(host, path, F.when(
@@ -87,9 +87,10 @@ def plain_form(url: Column) -> Column:
 
 
 def link_targets(html: Column) -> Column:
-    """Canonical-link and meta-refresh targets in the html (absolute addresses only)."""
-    link = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']([^\"'>]+)"
-    refresh = r"(?is)<meta\b(?=[^>]*http-equiv\s*=\s*[\"']?refresh\b)[^>]*url\s*=\s*[\"']?([^\"'> ]+)"
+    """Canonical-link and meta-refresh targets in the html. A tag is read up to 4,000
+    characters, so that html that never closes its tags costs linear time."""
+    link = r"(?is)<link\b(?=[^>]{0,4000}?\brel\s*=\s*[\"']?canonical\b)[^>]{0,4000}?\bhref\s*=\s*[\"']([^\"'>]+)"
+    refresh = r"(?is)<meta\b(?=[^>]{0,4000}?http-equiv\s*=\s*[\"']?refresh\b)[^>]{0,4000}?url\s*=\s*[\"']?([^\"'> ]+)"
     return F.concat(F.regexp_extract_all(html, F.lit(link), F.lit(1)), F.regexp_extract_all(html, F.lit(refresh), F.lit(1)))
 
 

@@ -47,9 +47,11 @@ SYLLABLES = {
 }
 
 _EDGE = r"(?<![\p{L}\p{N}])"
-_CAP = r"\p{Lu}[\p{L}'’-]+"
+_CAP = r"\p{Lu}[\p{L}'’-]{1,40}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-EMAIL = r"[\p{L}0-9._%+-]++@(?:[\p{L}0-9-]+\.)+\p{L}{2,}"
+# Every repetition is bounded (64 characters before the @, as addresses are): hostile texts
+# cost linear time, and the engine's recursion over repeated groups stays shallow.
+EMAIL = r"[\p{L}0-9._%+-]{1,64}+@(?:[\p{L}0-9-]{1,63}\.){1,9}\p{L}{2,24}"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])|\+[0-9]{8,15}(?![0-9])"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
 IPV4 = rf"(?<![0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])"

@@ -97,5 +97,12 @@ def test_long_chains_and_hubs(spark):
     assert got.pop(500) == "allow" and set(got.values()) == {"block"}
 
 
+def test_hostile_addresses_and_html(spark):
+    rows = [(1, "http://a.org/" + "/" * 200_000 + "x", "<link " * 20_000), (2, "://" * 50_000, "<meta " * 20_000), (3, "x" * 300_000, None),
+            (4, "http://b.net/es/?" + "a&" * 50_000, '<link rel="canonical" href="' + "y" * 100_000)]
+    got = {r[0]: r[4] for r in judged(spark, rows)}
+    assert got == {1: "allow", 2: "allow", 3: "allow", 4: "block"}
+
+
 def test_empty_table(spark):
     assert R.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0

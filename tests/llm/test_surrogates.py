@@ -83,6 +83,14 @@ def test_awkward_rows(docs_of, awkward):
     assert S.replace_private(docs_of([])).count() == 0
 
 
+def test_hostile_texts(docs_of):
+    """Texts that make careless patterns recurse or backtrack without end."""
+    rows = [(1, "x@" + "a." * 60_000), (2, "1-" * 100_000), (3, "a@" * 100_000), (4, "1.2." * 50_000), (5, "0" * 300_000),
+            (6, "Mr. " * 50_000), (7, "f" * 200_000), (8, "(" * 100_000 + "+1 " * 50_000), (9, "a@b.org " * 20_000)]
+    out = replaced(docs_of(rows))
+    assert len(out) == len(rows) and "a@b.org" not in out[9] and out[5] == rows[4][1]
+
+
 def test_no_python_in_the_plan(spark, sf):
     plan = S.replace_private(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
