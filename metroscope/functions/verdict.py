@@ -63,11 +63,11 @@ def band_anomaly_heat(score: Column, texts) -> Column:
     return F.when(score >= 80, texts[0]).when(score >= 60, texts[1]).when(score <= 30, texts[2]).otherwise(texts[3])
 
 
-def band_alert(score: Column) -> Column:
-    """The no-alert sentence names the row's own ``city``."""
+def band_alert(score: Column, city: Column | None = None) -> Column:
+    """The no-alert sentence names the city (Boston if none is given)."""
     t = ALERT_TEXT
     head, tail = t[3].split("{place}")
-    none = F.concat(F.lit(head), F.initcap("city"), F.lit(tail))
+    none = F.concat(F.lit(head), F.initcap(F.lit("boston") if city is None else city), F.lit(tail))
     return F.when(score >= 75, t[0]).when(score >= 40, t[1]).when(score > 0, t[2]).otherwise(none)
 
 
@@ -106,7 +106,7 @@ def _overall(template: str) -> Column:
     return F.concat(F.lit(head), c, F.lit(mid), d, F.lit(mid2), b, F.lit(tail))
 
 
-def verdict_text() -> Column:
+def verdict_text(city: Column | None = None) -> Column:
     """X11: overall sentence, driver sentence, four band sentences, closing line."""
     mode = F.col("readiness_mode")
     overall = F.when(mode == "High", _overall(OVERALL_HIGH)).when(
@@ -122,7 +122,7 @@ def verdict_text() -> Column:
         " ", overall, driver_line,
         band_anomaly_heat(F.col("anomaly_score"), ANOMALY_TEXT),
         band_anomaly_heat(F.col("heat_score"), HEAT_TEXT),
-        band_alert(F.col("alert_score")),
+        band_alert(F.col("alert_score"), city),
         band_context(F.col("context_score")),
         F.lit(CLOSING),
     )

@@ -80,7 +80,8 @@ def station_cards(weather: DataFrame, st_spine: DataFrame, hot_index: float = 40
 
     Readings and calendar days meet in one group per station and day; both cards are
     then windows over the same partition and order (one exchange, one sort)."""
-    readings = weather.select("station_id", F.col("obs_date").alias("d"), "tmax", "heat_index_max", "precip_6hr_max", F.lit(1).alias("row"))
+    measured = [F.col(c) if c in weather.columns else F.lit(None).cast("double").alias(c) for c in ("tmax", "heat_index_max", "precip_6hr_max")]
+    readings = weather.select("station_id", F.col("obs_date").alias("d"), *measured, F.lit(1).alias("row"))
     days = st_spine.select("station_id", "d").unionByName(readings, allowMissingColumns=True).groupBy("station_id", "d").agg(
         *[F.max(c).alias(c) for c in ("tmax", "heat_index_max", "precip_6hr_max")], F.ifnull(F.max("row"), F.lit(0)).alias("row"))
     hot = F.ifnull((F.col("heat_index_max") > hot_index), F.lit(False)) | F.ifnull((F.col("tmax") > hot_tmax), F.lit(False))

@@ -25,6 +25,8 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -
     ``row_number() = 1`` plans as a group limit before and after the shuffle: a key that
     holds a third of all rows leaves each task as one row."""
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if not rest and not order:
+        return df.dropDuplicates(list(keys))  # the key is the whole row
     newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in (*order, *rest)])
     place = next(n for n in ("place", "place_", "place__") if n not in df.columns)
     return df.withColumn(place, F.row_number().over(newest)).filter(F.col(place) == 1).drop(place)

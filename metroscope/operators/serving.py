@@ -55,7 +55,7 @@ def latest_metrics(cards: DataFrame) -> DataFrame:
 def verdicts(scores: DataFrame, model_id: str = "rule-based-v1") -> DataFrame:
     """One verdict row per (city, day) from its score row."""
     return scores.select(
-        "city", F.col("score_date").alias("verdict_date"), verdict_text().alias("verdict_text"),
+        "city", F.col("score_date").alias("verdict_date"), verdict_text(F.col("city")).alias("verdict_text"),
         F.col("composite").alias("composite_score"), "readiness_mode", F.lit(model_id).alias("model_id"),
     )
 

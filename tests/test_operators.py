@@ -95,7 +95,7 @@ def test_baseline_zero_std_is_invalid(spark):
 
 def test_duplicate_city_windows_guard(spark):
     df = _hours(spark, 3).unionByName(_hours(spark, 1))
-    with pytest.raises(RuntimeError, match="Duplicate baseline rows"):
+    with pytest.raises(RuntimeError, match="more than one baseline per city and hour"):
         bl.assert_unique_city_windows(df)
 
 
@@ -122,7 +122,7 @@ def test_anomaly_bands(spark, score, text):
 @pytest.mark.parametrize("score,idx", [(75.0, 0), (40.0, 1), (0.01, 2), (0.0, 3)])
 def test_alert_bands(spark, score, idx):
     df = spark.createDataFrame([(score,)], "s double")
-    assert one(df.select(vd.band_alert(F.col("s")).alias("t")), "t")[0] == vd.ALERT_TEXT[idx]
+    assert one(df.select(vd.band_alert(F.col("s")).alias("t")), "t")[0] == vd.ALERT_TEXT[idx].format(place="Boston")
 
 
 @pytest.mark.parametrize("score,idx", [(70.0, 0), (50.0, 1), (20.0, 2), (20.01, 3)])
@@ -299,6 +299,14 @@ def test_zone_join_shuffle_path_matches_broadcast(spark):
     assert a == b and any(r.zone_id == "tri" for r in a) and any(r.zone_id is None for r in a)
 
 
+def test_keep_latest_edges(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 2, "y"), (None, 5, "z"), (None, 4, "z")], "k string, v int, t string")
+    assert {tuple(r) for r in mg.keep_latest(df, ["k"], ("v",)).collect()} == {("a", 2, "y"), (None, 5, "z")}
+    assert sorted(r.k or "" for r in mg.keep_latest(df.select("k"), ["k"]).collect()) == ["", "a"]
+    plan = mg.keep_latest(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2  # before and after the exchange: a hot key leaves a task as one row
+
+
 def test_means_keep_more_than_six_decimals(spark):
     from metroscope.functions.columns import mean_rounded
 
