@@ -1,7 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 from __future__ import annotations
 
-from metroscope.llm import redirects, thresholds
+from metroscope.llm import licenses, redirects, thresholds
 from metroscope.llm.common import ALNUM_WORD, LOWER_ASCII, SPACE_WORD, UPPER_ASCII
 
 _LOWER = f"'{UPPER_ASCII}', '{LOWER_ASCII}'"
@@ -112,6 +112,39 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """
 
+# --- op6: phrases by word place, templates by diagonal ------------------------------------
+_TEMPLATES = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(licenses.TEMPLATES))
+_PHRASES = " UNION ALL ".join(
+    f"SELECT doc_id, p, '{label}' AS label FROM places WHERE w[p + 1:p + {len(ph.split())}] = {ph.split()!r}"
+    for ph, label in licenses.PHRASES.items())
+
+OP6 = f"""
+WITH tmpl(id, label, text) AS (VALUES {_TEMPLATES}),
+tw AS (SELECT id, label, {_WORDS} AS w FROM tmpl),
+tp AS (SELECT id, label, w, len(w) AS n, unnest(range(0, len(w) - 2)) AS t FROM tw),
+tg AS (SELECT id, label, n, t, w[t + 1] AS a, w[t + 2] AS b, w[t + 3] AS c FROM tp),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(0, len(w))) AS p FROM d WHERE len(w) > 0),
+hit AS (SELECT doc_id, id, label, n, p, t FROM places JOIN tg ON w[p + 1] = a AND w[p + 2] = b AND w[p + 3] = c),
+diagonal AS (SELECT doc_id, id, label, n, p - t AS dg, min(p) AS lo, max(p) + 3 AS hi FROM hit GROUP BY doc_id, id, label, n, p - t),
+marked AS (SELECT *, CASE WHEN abs(dg - lag(dg) OVER o) <= {licenses.MAX_SHIFT}
+        AND lo - max(hi) OVER (PARTITION BY doc_id, id ORDER BY lo, dg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= {licenses.MAX_GAP}
+        THEN 0 ELSE 1 END AS apart FROM diagonal WINDOW o AS (PARTITION BY doc_id, id ORDER BY lo, dg)),
+runs AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, id ORDER BY lo, dg) AS run FROM marked),
+covered AS (SELECT r.doc_id, r.label, r.n, r.id, r.run, count(DISTINCT h.x) / r.n AS share
+        FROM runs r JOIN (SELECT doc_id, id, p - t AS dg, unnest([t, t + 1, t + 2]) AS x FROM hit) h
+          ON h.doc_id = r.doc_id AND h.id = r.id AND h.dg = r.dg
+        GROUP BY r.doc_id, r.label, r.n, r.id, r.run),
+best AS (SELECT doc_id, max(least(share, 1.0)) AS score, list(label) FILTER (share >= {licenses.COVERAGE}) AS found FROM covered GROUP BY doc_id),
+phrases AS ({_PHRASES}),
+base AS (SELECT doc_id, count(*) AS n, min(p) AS lo, max(p) AS hi, list(label) AS labels FROM phrases GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, CAST(lo AS BIGINT) AS first_word,
+       CAST(hi AS BIGINT) AS last_word, array_to_string(list_sort(list_distinct(coalesce(base.labels, []))), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found, [])))), ',') AS labels,
+       CAST(coalesce(score, 0.0) AS DOUBLE) AS score
+FROM d LEFT JOIN base ON base.doc_id = d.doc_id LEFT JOIN best ON best.doc_id = d.doc_id
+"""
+
 # --- op8: the read-back output equals the input; lengths follow from the template ----------
 _CONTROL = r"(\\|\[/INST\]|\[/ROLE\]|\[INST\]|\[ROLE\]|</s>|<s>)"
 
@@ -137,5 +170,6 @@ ORACLE: dict[str, str] = {
     "op2_redirects": OP2,
     "op3_adaptive_rules": OP3,
     "op5_winnowing": OP5,
+    "op6_licenses": OP6,
     "op8_chat_template": OP8,
 }
