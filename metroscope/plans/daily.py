@@ -82,7 +82,7 @@ def inputs_of(spark: SparkSession, requests: DataFrame, weather: DataFrame, aler
               stations: DataFrame) -> DailyInputs:
     """Build the four per-day tables from request, weather, alert and news rows. They are
     independent, so their jobs are submitted concurrently from driver threads (Spark
-    schedules them side by side on the cluster); the calendar spine follows once they exist."""
+    schedules them side by side on the cluster); the calendar spine derives from them."""
     from concurrent.futures import ThreadPoolExecutor
 
     plans = {
@@ -98,7 +98,8 @@ def inputs_of(spark: SparkSession, requests: DataFrame, weather: DataFrame, aler
     st = stations
     counts = cd.daily_counts(rdays)
     heat_days = wx.join(st, "station_id").select("city", F.col("obs_date").alias("d"))
-    spine = materialize(spark, sc.date_spine(counts, heat_days, al, gd.select("city", F.col("obs_date").alias("d"))), "spine")
+    # a few thousand rows from the four small tables: scores read it once, cards write it first
+    spine = sc.date_spine(counts, heat_days, al, gd.select("city", F.col("obs_date").alias("d")))
     return DailyInputs(rdays, counts, wx, st, al, gd, spine)
 
 
@@ -119,7 +120,8 @@ def cards(spark: SparkSession, sf: str, baseline_rows: int | None = None, di: Da
 
 
 def cards_of(di: DailyInputs, baseline_rows: int | None = None) -> DataFrame:
-    return cd.metric_cards(di.spine, di.rdays, di.weather, di.stations, di.gdelt, baseline_rows)
+    spine = materialize(di.spine.sparkSession, di.spine, "spine")
+    return cd.metric_cards(spine, di.rdays, di.weather, di.stations, di.gdelt, baseline_rows)
 
 
 def city_weather_of(wx: DataFrame, st: DataFrame) -> DataFrame:
