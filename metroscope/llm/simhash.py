@@ -35,6 +35,7 @@ from metroscope.llm.components import connected_components
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
+LISTED_ROWS = 50_000       # fingerprints listed by one task
 DENSE_ROWS = 64            # a cell is dense above this many rows plus 4 times its chance load
 
 _LOW = 0x55555555          # the low bit of each two-bit field
@@ -127,7 +128,9 @@ def links(distinct_fps: DataFrame, total: int, dense_rows: int = DENSE_ROWS) ->
     """Pairs (``a``, ``b``) of different fingerprints (column ``fp``, no repeats) at 4 or
     fewer differing bits: every such pair outside the dense cells; inside, enough pairs
     to connect the same fingerprints."""
-    listed = distinct_fps.select("fp", F.explode(_cells(F.col("fp"))).alias("cell")).filter("cell is not null")
+    # eight bytes become some fifty cells: spread by rows, not by the small size before
+    spread = distinct_fps.repartition(1 + total // LISTED_ROWS, "fp")
+    listed = spread.select("fp", F.explode(_cells(F.col("fp"))).alias("cell")).filter("cell is not null")
     listed = listed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("cell"))).filter("n > 1")
     dense = F.col("n") > F.lit(dense_rows) + F.lit(4.0 * total) * _chance(F.col("cell"))
     a = listed.filter(~dense).select(F.col("cell"), F.col("fp").alias("a"))
