@@ -129,7 +129,8 @@ def links(distinct_fps: DataFrame, total: int, dense_rows: int = DENSE_ROWS) ->
     fewer differing bits: every such pair outside the dense cells; inside, enough pairs
     to connect the same fingerprints."""
     # eight bytes become some fifty cells: spread by rows, not by the small size before
-    spread = distinct_fps.repartition(1 + total // LISTED_ROWS, "fp")
+    # (two tasks at least: a single one would also take the whole join)
+    spread = distinct_fps.repartition(2 + total // LISTED_ROWS, "fp")
     listed = spread.select("fp", F.explode(_cells(F.col("fp"))).alias("cell")).filter("cell is not null")
     listed = listed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("cell"))).filter("n > 1")
     dense = F.col("n") > F.lit(dense_rows) + F.lit(4.0 * total) * _chance(F.col("cell"))
