@@ -14,6 +14,10 @@ the corpus, is kept by at most one of them; the others draw again with the next
 number until all replacements are distinct. The entity table is corpus-wide and grows
 with the input; it is only ever joined and grouped, never collected.
 
+Numbers that stand beside one another (a card and its check value, two phones, a date and
+a card) are told apart: everything with a form of its own ends a run of digit groups, and
+inside a run every Luhn-valid stretch of whole groups is a card.
+
 Defined results: null and empty texts stay; a card-like number that fails Luhn, an address
 with a part over 255 and a name without title or listed given name stay; repeated rows
 are changed alike; without entities the rows come back unchanged.
@@ -55,11 +59,17 @@ EMAIL = r"[\p{L}0-9._%+-]{1,64}+@(?:[\p{L}0-9-]{1,63}\.){1,9}\p{L}{2,24}"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])|\+[0-9]{8,15}(?![0-9])"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
 IPV4 = rf"(?<![0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])"
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 SECRET = r"(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])"
+# Digit groups with single separators, as far as they go: the cards are looked for inside.
+# A group that starts something else, or is longer than a card, ends the run.
+RUN = rf"(?![0-9]{{20}})(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++(?:[ -](?![0-9]{{20}}|{EMAIL}|{IPV4}|{SSN}|{SECRET}|{PHONE})[0-9]++)*+"
+# Usual groupings of a card; they go before any other cut of a run.
+CARD_FORM = "[0-9]{13,19}|[0-9]{4}(?:-[0-9]{4}){3}(?:-[0-9]{1,3})?|[0-9]{4}-[0-9]{6}-[0-9]{4,5}"
 _GIVEN = "|".join(n for names in NAMES.values() for n in names)
+TITLE = rf"^((?:{'|'.join(TITLES_M + TITLES_F)})[.]? )"
 NAME = (rf"(?:{'|'.join(TITLES_M + TITLES_F)})\.? {_CAP}(?: {_CAP})?|(?:{_GIVEN}) {_CAP}")
-PATTERN = rf"(?:(?:{_EDGE}(?:{EMAIL}|{IPV4}|{SSN}|{CARD}|{SECRET}|{NAME}))|(?<![\p{{L}}\p{{N}}(+])(?:{PHONE}))"
+PATTERN = (rf"(?:{_EDGE}(?:{EMAIL}|{IPV4}|{SSN}|{SECRET})|(?<![\p{{L}}\p{{N}}(+])(?:{PHONE})"
+           rf"|{_EDGE}(?:{RUN}|{NAME}))")
 
 
 def _sql(text: str) -> str:
@@ -84,14 +94,40 @@ def _kind() -> Column:
     return (
         F.when(m.rlike(whole(EMAIL)), "email").when(m.rlike(whole(IPV4)), "ip").when(m.rlike(whole(SSN)), "ssn")
         .when(m.rlike(whole(PHONE)), "phone")
-        .when(m.rlike(whole(CARD)), F.when(F.expr(f"{_luhn_sum(_digits('mention'), 1)} % 10 = 0"), "card"))
-        .when(m.rlike(whole(SECRET)), "secret").when(m.rlike(whole(NAME)), "name")
+        .when(m.rlike(whole(SECRET)), "secret").when(m.rlike(whole(RUN)), "card").when(m.rlike(whole(NAME)), "name")
     )
 
 
+def _cards() -> Column:
+    """The cards of a run from left to right, as (``lead``, ``word``, ``tail``) whose texts
+    give the run again: Luhn-valid stretches of whole groups with 13 to 19 digits, those of
+    a card's usual form first, then the longest that leave these alone. Empty without one."""
+    def let(name: str, value: str, body: str) -> str:
+        return f"transform(array({value}), {name} -> {body})[0]"
+
+    stretches = (  # from group i, shortest first
+        "filter(transform(sequence(1, least(19, size(g) - i + 1)), k -> named_struct('k', k, 'd', array_join(slice(g, i, k), ''))), "
+        f"c -> length(c.d) between 13 and 19 and {_luhn_sum('c.d', 1)} % 10 = 0)")
+    usual = f"filter(cs, c -> array_join(slice(g, i, c.k), '-') rlike '^(?:{CARD_FORM})$')"
+    starts = ("transform(sequence(1, size(g)), i -> "
+              + let("cs", stretches, f"named_struct('a', coalesce(get({usual}, 0).k, 0), 'b', transform(cs, c -> c.k))") + ")")
+    other = "coalesce(array_max(filter(s[i - 1].b, k -> not exists(slice(s, i, k), x -> x.a > 0))), 0)"
+    lengths = f"transform(sequence(1, size(g)), i -> if(s[i - 1].a > 0, s[i - 1].a, {other}))"
+    taken = ("aggregate(sequence(1, size(g)), named_struct('e', 1, 'o', cast(array() as array<struct<i:int,e:int>>)), (t, i) -> "
+             "if(i >= t.e and n[i - 1] > 0, named_struct('e', i + n[i - 1], 'o', "
+             "concat(t.o, array(named_struct('i', i, 'e', i + n[i - 1])))), t)).o")
+    text = lambda a, b: f"array_join(slice(gs, {a}, {b} - {a}), '')"
+    cut = (f"transform(o, (x, j) -> named_struct('lead', {text('if(j = 0, 1, o[j - 1].e)', 'x.i')}, "
+           f"'word', rtrim(' -', {text('x.i', 'x.e')}), 'tail', concat(regexp_extract(gs[x.e - 2], '[ -]$', 0), "
+           f"if(j = size(o) - 1, {text('x.e', '(size(gs) + 1)')}, ''))))")
+    return F.expr(let("gs", "regexp_extract_all(mention, '[0-9]+[ -]?', 0)", let(
+        "g", "transform(gs, x -> rtrim(' -', x))", let("s", starts, let("n", lengths, let("o", taken, cut))))))
+
+
 def parts(mentions: DataFrame) -> DataFrame:
     """Column ``mention`` -> one row per entity in it: ``mention``, ``kind``, ``part`` (place),
-    ``type`` (of the entity), ``norm`` (its one normal form)."""
+    ``type`` (of the entity), ``norm`` (its one normal form), ``word`` (its text) and the
+    texts round it, ``lead`` and ``tail``."""
     typed = mentions.withColumn("kind", _kind()).filter("kind is not null")
     title = f"regexp_extract(mention, {_sql('^(' + '|'.join(TITLES_M + TITLES_F) + ')[.]? ')}, 1)"
     cyr = r"mention rlike '\\p{IsCyrillic}'"
@@ -102,17 +138,22 @@ def parts(mentions: DataFrame) -> DataFrame:
     gender = (f"case when {has(TITLES_M) % title} or ({title} = '' and {has(men) % first}) then 'm' "
               f"when {has(TITLES_F) % title} or {has(women) % first} then 'f' else 'm' end")
     words = f"split(regexp_replace(mention, {_sql('^(?:' + '|'.join(TITLES_M + TITLES_F) + ')[.]? ')}, ''), ' ')"
-    single = typed.filter("kind != 'name'").select(
+    none = F.lit("")
+    single = typed.filter("kind not in ('name', 'card')").select(
         "mention", "kind", F.lit(0).alias("part"), F.col("kind").alias("type"),
         F.expr(f"case when kind in ('email', 'secret') then lower(mention) when kind = 'ip' then mention "
-               f"else {_digits('mention')} end").alias("norm"))
+               f"else {_digits('mention')} end").alias("norm"), none.alias("lead"), F.col("mention").alias("word"), none.alias("tail"))
+    cards = typed.filter("kind = 'card'").select("mention", "kind", F.posexplode(_cards()).alias("part", "c")).select(
+        "mention", "kind", "part", F.col("kind").alias("type"), F.expr(_digits("c.word")).alias("norm"), "c.lead", "c.word", "c.tail")
     names = typed.filter("kind = 'name'").withColumn("words", F.expr(words)).withColumn("g", F.expr(gender)).select(
-        "mention", "kind", "g", "words", F.posexplode("words").alias("part", "word"))
+        "mention", "kind", "g", "words", F.regexp_extract("mention", TITLE, 1).alias("title"),
+        F.posexplode("words").alias("part", "word"))
     script = f"if({cyr}, 'cyrillic', 'latin')"
-    return single.unionByName(names.select(
+    return single.unionByName(cards).unionByName(names.select(
         "mention", "kind", "part",
         F.expr(f"concat(if(part = size(words) - 1, 'surname', concat('given-', g)), '-', {script})").alias("type"),
-        F.lower("word").alias("norm")))
+        F.lower("word").alias("norm"), F.expr("if(part = 0, title, '')").alias("lead"), "word",
+        F.expr("if(part < size(words) - 1, ' ', '')").alias("tail")))
 
 
 def _draw(key: str) -> Column:
@@ -194,17 +235,15 @@ def _reformat() -> Column:
 
 
 def mapping(mentions: DataFrame, key: str = KEY) -> DataFrame:
-    """Distinct ``mention`` -> ``surrogate`` text (look-alikes are left out)."""
-    titles = F.regexp_extract("mention", "^((?:" + "|".join(TITLES_M + TITLES_F) + ")[.]? )", 1)
+    """Distinct ``mention`` -> ``surrogate`` text and the number ``n`` of replaced entities, a
+    name counting once (look-alikes are left out)."""
     p = written(parts(mentions), "surrogate-parts")
     table = assign(p.select("type", "norm").distinct(), key)
-    word = F.when(F.col("kind") == "name", F.expr(
-        "element_at(split(substr(mention, 1 + length(title)), ' '), part + 1)")).otherwise(F.col("mention"))
-    joined = p.join(table, ["type", "norm"]).withColumn("title", F.when(F.col("kind") == "name", titles).otherwise("")) \
-        .withColumn("word", word).withColumn("new", _reformat())
-    return joined.groupBy("mention").agg(
-        F.first("title").alias("title"), F.array_sort(F.collect_list(F.struct("part", "new"))).alias("news")
-    ).select("mention", F.concat("title", F.array_join(F.transform("news", lambda x: x["new"]), " ")).alias("surrogate"))
+    new = F.struct("part", F.concat("lead", _reformat(), "tail").alias("new"))
+    return p.join(table, ["type", "norm"]).groupBy("mention").agg(
+        F.first("kind").alias("kind"), F.array_sort(F.collect_list(new)).alias("news")
+    ).select("mention", F.array_join(F.transform("news", lambda x: x["new"]), "").alias("surrogate"),
+             F.when(F.col("kind") == "name", 1).otherwise(F.size("news")).alias("n"))
 
 
 def replace_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY,
@@ -219,17 +258,17 @@ def replace_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     per_doc = found.select("k_id", "k_hash", F.explode("mentions").alias("mention")).distinct()
     table = written(mapping(per_doc.select("mention").distinct(), key), "private-map")
     renamed = per_doc.join(table, "mention").groupBy("k_id", "k_hash").agg(
-        F.map_from_entries(F.collect_list(F.struct("mention", "surrogate"))).alias("renames"))
+        F.map_from_entries(F.collect_list(F.struct("mention", F.struct("surrogate", "n")))).alias("renames"))
     names = {c: free_name(docs, c) for c in ("k_id", "k_hash", "renames")}
     renamed = renamed.select(*[F.col(c).alias(n) for c, n in names.items()])
     text, new = F.col(text_col), F.col(names["renames"])
     joined = docs.join(renamed, F.col(id_col).eqNullSafe(F.col(names["k_id"]))
                        & (F.xxhash64(text) == F.col(names["k_hash"])), "left")
     said = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    swapped = F.transform(said, lambda m: F.coalesce(new[m], m))
+    swapped = F.transform(said, lambda m: F.coalesce(new[m]["surrogate"], m))
     rebuilt = F.array_join(F.zip_with(F.split(text, PATTERN), swapped, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     out = [F.when(new.isNull(), text).otherwise(rebuilt).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     if count_col:
-        n = F.when(new.isNull(), F.lit(0)).otherwise(F.size(F.filter(said, lambda m: new[m].isNotNull())))
+        n = F.when(new.isNull(), F.lit(0)).otherwise(F.aggregate(said, F.lit(0), lambda n, m: n + F.coalesce(new[m]["n"], F.lit(0))))
         out.append(n.cast("long").alias(count_col))
     return joined.select(*out)

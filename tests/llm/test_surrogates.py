@@ -94,3 +94,25 @@ def test_hostile_texts(docs_of):
 def test_no_python_in_the_plan(spark, sf):
     plan = S.replace_private(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_numbers_beside_numbers(docs_of):
+    """A card, phone or social security number is found whatever number stands beside it."""
+    card, other, amex = "4111111111111111", "5500005555555559", "3782 822463 10005"
+    spaced = "4111 1111 1111 1111"
+    rows = [f"{card} 123", f"12/27 {card}", "706-555-3138 706-555-3139", "706-555-3138 2024", f"12 34 {spaced}", f"{spaced} {other} 99",
+            "2024 706-555-3138", "2024 123-45-6789", f"{card} 10.1.2.3", f"{card} 12ab@x.org", f"7 {amex} 1 {spaced}-2",
+            f"{card}-706-555-3138", f"{card} " + "1234567890123" + "abcdef0" * 4, f"{card} {card}", f"41 11 11 11 11 11 11 11 {spaced}"]
+    private = [card, other, amex, spaced, "706-555-3138", "706-555-3139", "123-45-6789", "10.1.2.3", "12ab@x.org",
+               "1234567890123" + "abcdef0" * 4, "41 11 11 11 11 11 11 11"]
+    out = {r.doc_id: r for r in S.replace_private(docs_of(list(enumerate(rows))), count_col="n").collect()}
+    for i, text in enumerate(rows):
+        assert not [p for p in private if p in out[i].text], (text, out[i].text)
+        assert re.sub("[0-9a-z]", "", out[i].text) == re.sub("[0-9a-z]", "", text)
+    assert [out[i].n for i in range(len(rows))] == [1, 1, 2, 1, 1, 2, 1, 1, 2, 2, 2, 2, 2, 2, 2]
+    new = out[0].text.split()[0]
+    assert luhn(new) and out[0].text == f"{new} 123" and out[1].text == f"12/27 {new}" and out[13].text == f"{new} {new}"
+    assert out[4].text.replace(" ", "") == f"1234{new}" and out[10].text.startswith("7 ") and out[10].text.endswith("-2")
+    assert out[3].text.endswith(" 2024") and out[2].text.split()[0] == out[3].text.split()[0] == out[6].text.split()[1]
+    kept = [(1, "4111111111111112 123"), (2, "1234 5678 9012 3456 7"[:14]), (3, "0" * 40 + "g"), (4, None)]
+    assert replaced(docs_of(kept)) == dict(kept)
