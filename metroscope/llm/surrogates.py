@@ -2,11 +2,13 @@
 
 Detection finds e-mail addresses, phone numbers, payment cards (Luhn-valid), social
 security numbers, IPv4 addresses, hexadecimal secrets and names (after a title or a
-listed given name). Every distinct entity of the corpus gets one keyed replacement of its
+listed given name). Phones are 3-3-4 digits with or without a country code, or ``+`` and 8
+to 15 digits in any groups; names without a title or a listed given name are not found, nor
+are national numbers of another form. Every distinct entity of the corpus gets one keyed replacement of its
 own type: digits stay digits in the same places and grouping, a card stays Luhn-valid
-and keeps its first digit, an address stays an address, a name keeps its gender, script
-and capitals. The written forms of one entity (``+1 706-555-3138`` and
-``+1 (706) 555-3138``; ``Mr. Smith`` and ``John Smith``'s surname) share a replacement, so
+and keeps its first digit, an address stays an address, a name keeps its gender (after a
+title of either gender that of a listed given name, else male), script and capitals. The
+written forms of one entity (``706-555-3138``, ``+1 706-555-3138`` and ``+1 (706) 555-3138``; ``Mr. Smith`` and ``John Smith``'s surname) share a replacement, so
 coreference holds over the whole corpus.
 
 Collision check: a replacement that two entities drew, or that is itself a real entity of
@@ -37,6 +39,7 @@ MAX_ATTEMPTS = 40
 # the first choice as replacements), by script and gender.
 TITLES_M = ("Mr", "Herr", "Monsieur", "Señor", "Г-н", "Господин")
 TITLES_F = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Г-жа", "Госпожа")
+TITLES = ("Dr", "Prof", "Professor", "Doktor", "Docteur", "Д-р", "Доктор", "Проф", "Профессор")  # of either gender
 NAMES = {
     ("latin", "m"): ("James", "John", "Robert", "Michael", "William", "David", "Thomas", "Daniel", "Peter", "Hans",
                      "Jürgen", "Pierre", "François", "Carlos", "José", "Miguel"),
@@ -56,9 +59,15 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # Every repetition is bounded (64 characters before the @, as addresses are): hostile texts
 # cost linear time, and the engine's recursion over repeated groups stays shallow.
 EMAIL = r"[\p{L}0-9._%+-]{1,64}+@(?:[\p{L}0-9-]{1,63}\.){1,9}\p{L}{2,24}"
-PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])|\+[0-9]{8,15}(?![0-9])"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
 IPV4 = rf"(?<![0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])"
+# A phone is 3-3-4 digits, with or without a country code, or + and 8 to 15 digits whose
+# groups stand apart by one separator or brackets; what starts another number is no group.
+_LOCAL = r"[0-9]{3}(?:\)[ .-]?|[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+_CODED = rf"\+[0-9]{{1,3}}[ .-]?\(?{_LOCAL}"
+_OTHER = rf"{_LOCAL}|{SSN}|{IPV4}|{EMAIL}|[0-9]{{4}}[ -](?:[0-9]{{4}}[ -][0-9]{{4}}[ -][0-9]{{4}}|[0-9]{{6}}[ -][0-9]{{4}})"
+_ABROAD = rf"\+[0-9](?:(?:(?:[ .-]?\(|\)[ .-]?|[ .-])(?!{_OTHER}))?[0-9]){{7,14}}(?![0-9])"
+PHONE = rf"{_CODED}|{_ABROAD}|\(?{_LOCAL}"
 SECRET = r"(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])"
 # Digit groups with single separators, as far as they go: the cards are looked for inside.
 # A group that starts something else, or is longer than a card, ends the run.
@@ -66,9 +75,10 @@ RUN = rf"(?![0-9]{{20}})(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++(?:[ -](?![0-9]{{20}
 # Usual groupings of a card; they go before any other cut of a run.
 CARD_FORM = "[0-9]{13,19}|[0-9]{4}(?:-[0-9]{4}){3}(?:-[0-9]{1,3})?|[0-9]{4}-[0-9]{6}-[0-9]{4,5}"
 _GIVEN = "|".join(n for names in NAMES.values() for n in names)
-TITLE = rf"^((?:{'|'.join(TITLES_M + TITLES_F)})[.]? )"
-NAME = (rf"(?:{'|'.join(TITLES_M + TITLES_F)})\.? {_CAP}(?: {_CAP})?|(?:{_GIVEN}) {_CAP}")
-PATTERN = (rf"(?:{_EDGE}(?:{EMAIL}|{IPV4}|{SSN}|{SECRET})|(?<![\p{{L}}\p{{N}}(+])(?:{PHONE})"
+_TITLES = rf"(?:(?:{'|'.join(TITLES_M + TITLES_F + TITLES)})[.]? ){{1,3}}+"
+TITLE = f"^({_TITLES})"
+NAME = rf"{_TITLES}{_CAP}(?: {_CAP})?|(?:{_GIVEN}) {_CAP}"
+PATTERN = (rf"(?:{_EDGE}(?:{EMAIL}|{IPV4}|{SSN}|{SECRET})|(?<![\p{{L}}\p{{N}}])(?:{_CODED}|{_ABROAD})|(?<![\p{{L}}\p{{N}}+])\(?{_LOCAL}"
            rf"|{_EDGE}(?:{RUN}|{NAME}))")
 
 
@@ -129,7 +139,8 @@ def parts(mentions: DataFrame) -> DataFrame:
     ``type`` (of the entity), ``norm`` (its one normal form), ``word`` (its text) and the
     texts round it, ``lead`` and ``tail``."""
     typed = mentions.withColumn("kind", _kind()).filter("kind is not null")
-    title = f"regexp_extract(mention, {_sql('^(' + '|'.join(TITLES_M + TITLES_F) + ')[.]? ')}, 1)"
+    either, gendered = "|".join(TITLES), "|".join(TITLES_M + TITLES_F)
+    title = f"regexp_extract(mention, {_sql(f'^(?:(?:{either})[.]? )*({gendered})[.]? ')}, 1)"
     cyr = r"mention rlike '\\p{IsCyrillic}'"
     has = lambda names: f"array_contains(array({', '.join(map(_sql, names))}), %s)"
     men = [n for (_, g), names in NAMES.items() if g == "m" for n in names]
@@ -137,11 +148,12 @@ def parts(mentions: DataFrame) -> DataFrame:
     first = "element_at(words, 1)"
     gender = (f"case when {has(TITLES_M) % title} or ({title} = '' and {has(men) % first}) then 'm' "
               f"when {has(TITLES_F) % title} or {has(women) % first} then 'f' else 'm' end")
-    words = f"split(regexp_replace(mention, {_sql('^(?:' + '|'.join(TITLES_M + TITLES_F) + ')[.]? ')}, ''), ' ')"
+    words = f"split(regexp_replace(mention, {_sql(TITLE)}, ''), ' ')"
     none = F.lit("")
     single = typed.filter("kind not in ('name', 'card')").select(
         "mention", "kind", F.lit(0).alias("part"), F.col("kind").alias("type"),
         F.expr(f"case when kind in ('email', 'secret') then lower(mention) when kind = 'ip' then mention "
+               f"when kind = 'phone' then regexp_replace({_digits('mention')}, if(mention like '+1%', '^1(?=[0-9]{{10}}$)', '^$'), '') "
                f"else {_digits('mention')} end").alias("norm"), none.alias("lead"), F.col("mention").alias("word"), none.alias("tail"))
     cards = typed.filter("kind = 'card'").select("mention", "kind", F.posexplode(_cards()).alias("part", "c")).select(
         "mention", "kind", "part", F.col("kind").alias("type"), F.expr(_digits("c.word")).alias("norm"), "c.lead", "c.word", "c.tail")
@@ -176,7 +188,9 @@ def _draw(key: str) -> Column:
     host = f"sha2(concat_ws('|', {_sql(key)}, 'domain', substring_index(norm, '@', -1)), 256)"
     host = f"concat({host}, {host})"
     email = f"concat({swapped(local, hexes)}, '@', {swapped(domain, host)}, '.', substring_index(norm, '.', -1))"
-    area = f"concat(substr(norm, 1, 1), translate(substr({digs}, 1, 1), '01', '27'), substr({digs}, 2, length(norm) - 2))"
+    lead = f"translate(substr({digs}, 1, 1), '01', '27')"
+    area = (f"if(length(norm) = 10, concat({lead}, substr({digs}, 2, 9)), "
+            f"concat(substr(norm, 1, 1), {lead}, substr({digs}, 2, length(norm) - 2)))")
     body = f"concat(substr(norm, 1, 1), substr({digs}, 1, length(norm) - 2))"
     check = f"cast((10 - {_luhn_sum(body, 0)} % 10) % 10 as string)"
     octets = ", ".join([f"1 + {byte(hexes, 1)} % 223", *[byte(hexes, i) for i in (2, 3, 4)]])
@@ -228,8 +242,9 @@ def _reformat() -> Column:
     nth = "length(regexp_replace(substr(word, 1, i), '[^0-9]', ''))"
     in_places = (f"array_join(transform(sequence(1, length(word)), i -> if({ch} rlike '[0-9]', "
                  f"substr(surrogate, {nth}, 1), {ch})), '')")
+    coded = f"type = 'phone' and length({_digits('word')}) > length(surrogate)"  # +1 stays before the ten digits
     return F.expr(
-        f"case when type in ('phone', 'card', 'ssn') then {in_places} when type = 'ip' then surrogate "
+        f"case when {coded} then {in_places.replace('substr(surrogate,', "substr(concat('1', surrogate),")} when type in ('phone', 'card', 'ssn') then {in_places} when type = 'ip' then surrogate "
         "when word = upper(word) and word != lower(word) then upper(surrogate) "
         "when type like 'given%' or type like 'surname%' then initcap(surrogate) else surrogate end")
 

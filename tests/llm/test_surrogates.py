@@ -116,3 +116,21 @@ def test_numbers_beside_numbers(docs_of):
     assert out[3].text.endswith(" 2024") and out[2].text.split()[0] == out[3].text.split()[0] == out[6].text.split()[1]
     kept = [(1, "4111111111111112 123"), (2, "1234 5678 9012 3456 7"[:14]), (3, "0" * 40 + "g"), (4, None)]
     assert replaced(docs_of(kept)) == dict(kept)
+
+
+def test_phones_of_other_countries_and_titles_of_either_gender(docs_of):
+    phones = ["+44 20 7946 0958", "+33 1 23 45 67 89", "+49 30 1234567", "(706)555-3138", "+49 (30) 1234567", "+7 495 123-45-67", "+442079460958"]
+    rows = [f"call ({p}), or {p} 706-555-3139 now" for p in phones]
+    rows += ["+1 706-555-3138 and 706-555-3138 and (706)555-3138, +17065553138", "+49 30 1234567 4111 1111 1111 1111",
+             "Dr. Smith, Prof. Dr. Mary Jones, Herr Dr. Smith, Mary Jones; Д-р Каренина", "+49 30 1234567 10.1.2.3 a", "+1234567 +12 34 a"]
+    out = replaced(docs_of(list(enumerate(rows))))
+    for i, p in enumerate(phones):
+        assert p not in out[i] and "706-555-3139" not in out[i], out[i]
+        assert re.sub("[0-9]", "", out[i]) == re.sub("[0-9]", "", rows[i])
+    assert re.sub(r"\D", "", out[0][:24]) == re.sub(r"\D", "", out[6][:20])
+    same = re.fullmatch(r"\+1 (\d{3}-\d{3}-\d{4}) and (\d{3}-\d{3}-\d{4}) and (\(\d{3}\)\d{3}-\d{4}), \+1(\d{10})", out[7])
+    assert same and len({re.sub(r"\D", "", g) for g in same.groups()}) == 1 and same[1] != "706-555-3138"
+    assert "4567" not in out[8] and "1111" not in out[8] and luhn(re.sub(r"\D", "", out[8])[-16:])
+    names = re.fullmatch(r"Dr\. (\w+), Prof\. Dr\. (\w+) (\w+), Herr Dr\. (\w+), (\w+) (\w+); Д-р ([А-Я][а-я]+)", out[9])
+    assert names and names[1] == names[4] != "Smith" and names.group(2, 3) == names.group(5, 6) and names[7] != "Каренина"
+    assert names[2] != "Mary" and names[3] != "Jones" and "10.1.2.3" not in out[10] and out[11] == rows[11]
