@@ -15,8 +15,10 @@ Rules are a small configured list and are matched inside the scan (the suffixes
 host are compared, not a join).
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no
-rule and has no aliases: it is allowed. Null html has no links. Repeated rows are judged
-alike.
+rule and has no aliases: it is allowed. Null html has no links. A target is taken with its
+character references (numbers and the five of XML) read and relative to the page's url
+(``<base>`` is not read); one of another scheme (``mailto:``) is no link. Rules are applied to
+the addresses of pages only. Repeated rows are judged alike.
 """
 from __future__ import annotations
 
@@ -31,6 +33,8 @@ from metroscope.llm.components import connected_components
 # Query parameters that never change the page.
 TRACKING = r"(?:utm_[a-z]+|ref|gclid|fbclid|mc_cid|mc_eid|sessionid)"
 
+ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -87,11 +91,53 @@ def plain_form(url: Column) -> Column:
 
 
 def link_targets(html: Column) -> Column:
-    """Canonical-link and meta-refresh targets in the html. A tag is read up to 4,000
-    characters, so that html that never closes its tags costs linear time."""
-    link = r"(?is)<link\b(?=[^>]{0,4000}?\brel\s*=\s*[\"']?canonical\b)[^>]{0,4000}?\bhref\s*=\s*[\"']([^\"'>]+)"
-    refresh = r"(?is)<meta\b(?=[^>]{0,4000}?http-equiv\s*=\s*[\"']?refresh\b)[^>]{0,4000}?url\s*=\s*[\"']?([^\"'> ]+)"
-    return F.concat(F.regexp_extract_all(html, F.lit(link), F.lit(1)), F.regexp_extract_all(html, F.lit(refresh), F.lit(1)))
+    """Canonical-link and meta-refresh targets as written in the html. Each tag is taken up to
+    its ``>`` and read as a whole; one that never closes ends the search, so that such html
+    costs linear time."""
+    def tags(name: str, marked: str) -> Column:
+        found = F.regexp_extract_all(html, F.lit(rf"(?i)<{name}\b[^>]*+(?:>|\z)"), F.lit(0))
+        return F.filter(found, lambda t: t.endswith(">") & t.rlike(marked))
+
+    def value(pattern: str):
+        return lambda t: F.concat(F.regexp_extract(t, pattern, 1), F.regexp_extract(t, pattern, 2))
+
+    href = r"(?i)\bhref\s*+=\s*+(?:[\"']([^\"'>]+)|([^\"'>\s]+))"
+    return F.concat(
+        F.transform(tags("link", r"(?i)\brel\s*+=\s*+[\"']?canonical\b"), value(href)),
+        F.transform(tags("meta", r"(?i)http-equiv\s*+=\s*+[\"']?refresh\b"), value(r"(?i)url\s*+=\s*+[\"']?([^\"'> ]+)()")))
+
+
+def decoded(text: Column) -> Column:
+    """``text`` with its character references read, each once."""
+    def char(ref: Column) -> Column:
+        n = F.when(ref.rlike("^&#[xX]"), F.conv(F.regexp_extract(ref, "[xX]([^;]+)", 1), 16, 10)).otherwise(
+            F.regexp_extract(ref, "&#([0-9]+)", 1))
+        n = F.when(ref.startswith("&#"), n).cast("long")
+        out = F.when(n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+        for name, said in ENTITIES.items():
+            out = out.when(F.lower(ref) == f"&{name};", said)
+        return out.otherwise(ref)
+
+    pattern = rf"(?i)&(?:{'|'.join(ENTITIES)}|#x[0-9a-f]{{1,6}}|#[0-9]{{1,7}});"
+    chars = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), char)
+    whole = F.array_join(F.zip_with(F.split(text, pattern), chars, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(F.instr(text, "&") > 0, whole).otherwise(text)
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The address that ``target`` means on the page ``url``; null where it is none."""
+    t = F.regexp_replace(decoded(target), r"^[\x00-\x20]++|(?<![\x00-\x20])[\x00-\x20]++$", "")
+    origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    folder = F.concat(F.regexp_extract(path_of(url), r"(?s)^(.*)/", 1), F.lit("/"))
+    path, rest = F.regexp_extract(t, r"(?s)^([^?#]*)", 1), F.regexp_extract(t, r"(?s)^[^?#]*(.*)$", 1)
+    path = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
+    steps = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), lambda done, x: F.when(x == ".", done).when(
+        x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(F.concat(done, F.array(x))))
+    path = F.when(path.rlike(r"/\.\.?(?:/|$)"), F.array_join(steps, "/")).otherwise(path)
+    return (F.when(t == "", F.lit(None).cast("string")).when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*+://"), t)
+            .when(t.startswith("//"), F.concat(F.lit("http:"), t))
+            .when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*+:"), F.lit(None).cast("string"))
+            .when(t.rlike(r"^[?#]"), F.concat(origin, path_of(url), t)).otherwise(F.concat(origin, path, rest)))
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -100,7 +146,7 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     ``component`` (null without an address)."""
     url = F.col(url_col)
     verdict_of = {r.text: r.verdict for r in rules}
-    targets = F.filter(link_targets(F.col(html_col)), lambda t: F.instr(t, "://") > 0)
+    targets = F.filter(F.transform(link_targets(F.col(html_col)), lambda t: resolved(t, url)), lambda t: t.isNotNull())
     rows = pages.select(
         F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"),
         F.xxhash64(plain_form(url)).alias("hash"), plain_form(url).isNotNull().alias("real"),

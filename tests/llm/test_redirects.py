@@ -106,3 +106,21 @@ def test_hostile_addresses_and_html(spark):
 
 def test_empty_table(spark):
     assert R.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_all_forms_of_links(spark):
+    """Relative, protocol-relative, unquoted and encoded targets, and tags of any length."""
+    page, long = "http://z.net/es/", "x" * 10_000
+    links = [
+        ("http://a.org/1", f"{page}1", "<link rel=canonical href=http://z.net/es/1>"), ("http://a.org/2", f"{page}2", '<link rel="canonical" href="//z.net/es/2">'),
+        ("http://a.org/3", f"{page}3?a=1&b=2", '<link rel="canonical" href="http://z.net/es/3?a=1&amp;b=2">'),
+        ("http://a.org/4", f"{page}4", f'<link title="{long}" href="http://z.net/es/4" data-x="{long}" rel="canonical">'),
+        ("http://z.net/a/b", f"{page}5", '<link rel="canonical" href="/es/5">'), ("http://z.net/a/b/c?q=/", f"{page}6", "<link rel=canonical href=../../es/6>"),
+        ("http://z.net", f"{page}7", "<meta http-equiv=refresh content='0; url=es/./7'>"), ("http://a.org/8", f"{page}ж", '<link rel=canonical href="&#104;ttp://z.net/es/&#x436;">'),
+    ]
+    rows = [(i, a, html) for i, (a, _, html) in enumerate(links)] + [(100 + i, b, None) for i, (_, b, _) in enumerate(links)]
+    rows += [(200, "http://b.org/1", '<link rel=canonical href="/go?to=http://z.net/es/1">'), (201, "http://b.org/2", '<link rel=canonical href="mailto:a@z.net">'),
+             (202, "http://b.org/3", '<link rel=canonical href="#top"><link rel=canonical href="">&#xD800;<link rel=canonical href="http://q.org/&#xD800;&#9999999;">'),
+             (203, "http://b.org/4", '<link rel=canonical href="http://z.net/es/1"')]
+    got = {r[0]: r[4] for r in judged(spark, rows)}
+    assert [i for i, v in got.items() if v != "block"] == [200, 201, 202, 203]
