@@ -1,4 +1,4 @@
-"""Operators for training-data pipelines: ten independent operators plus shared helpers.
+"""Operators for training-data pipelines: thirteen independent operators plus shared helpers.
 
 Nothing outside this subpackage imports it. Each operator module keeps a general
 DataFrame interface; ``queries.py`` holds the thin registered queries and ``oracle.py``

@@ -1,7 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 from __future__ import annotations
 
-from metroscope.llm import licenses, redirects, thresholds
+from metroscope.llm import epsilon_grid, licenses, redirects, resampling, thresholds
 from metroscope.llm.common import ALNUM_WORD, LOWER_ASCII, SPACE_WORD, UPPER_ASCII
 
 _LOWER = f"'{UPPER_ASCII}', '{LOWER_ASCII}'"
@@ -166,10 +166,61 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+# --- op11: crc32 by its own table, once per distinct word --------------------------------
+_CRC_STEP = "CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END"
+
+OP11 = f"""
+WITH one AS (SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: {_CRC_STEP}) AS v FROM range(256) r(i)),
+crc AS (SELECT list(v ORDER BY i) AS t FROM one),
+d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT {_WORDS} AS w FROM benchmark),
+dw AS (SELECT row, word, count(*) AS n FROM (SELECT row, unnest(w) AS word FROM d) GROUP BY row, word),
+bw AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM b) GROUP BY word),
+words AS (SELECT word, hex(word) AS x FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+bytes AS (SELECT word, list_transform(range(1, length(x), 2), lambda i:
+        CAST(16 * (instr('0123456789ABCDEF', substr(x, i, 1)) - 1) + instr('0123456789ABCDEF', substr(x, i + 1, 1)) - 1 AS BIGINT)) AS l FROM words),
+bucket AS (SELECT word, xor(list_reduce(list_concat([4294967295], l), lambda c, y: xor(c // 256, t[xor(c, y) % 256 + 1])), 4294967295)
+        % {resampling.BUCKETS} AS k FROM bytes, crc),
+s AS (SELECT k, sum(n) AS n FROM dw JOIN bucket USING (word) GROUP BY k),
+t AS (SELECT k, sum(n) AS n FROM bw JOIN bucket USING (word) GROUP BY k),
+gain AS (SELECT s.k, CAST(floor(1000 * ln((CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * ((SELECT CAST(sum(n) AS DOUBLE) FROM s) + {resampling.BUCKETS})
+        / ((CAST(s.n AS DOUBLE) + 1) * (coalesce((SELECT CAST(sum(n) AS DOUBLE) FROM t), 0) + {resampling.BUCKETS})))) AS BIGINT) AS g
+        FROM s LEFT JOIN t ON s.k = t.k),
+weights AS (SELECT row, CAST(sum(dw.n * g) AS BIGINT) AS weight FROM dw JOIN bucket USING (word) JOIN gain USING (k) GROUP BY row),
+h AS (SELECT row, doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        list_reduce(list_concat([0], list_transform(range(1, 9), lambda i: CAST(instr('0123456789abcdef',
+        substr(sha256('{resampling.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), i, 1)) - 1 AS BIGINT))), lambda a, y: 16 * a + y) AS h
+        FROM d LEFT JOIN weights USING (row)),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST(h AS DOUBLE) + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM h),
+placed AS (SELECT row, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, weight DESC, n_features) AS place FROM scored
+        WHERE n_features >= {resampling.MIN_WORDS})
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= {resampling.PERCENT} * (SELECT count(*) FROM placed) // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (row)
+"""
+
+# --- op12: all pairs ---------------------------------------------------------------------
+OP12 = f"""
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS row, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+good AS (SELECT * FROM e WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(v, lambda x: x <> 0)) > 0),
+dim AS (SELECT len(v) AS n FROM good GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+u AS (SELECT row, vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM good WHERE len(v) = (SELECT n FROM dim)),
+links AS (SELECT a.row AS a, b.row AS b FROM u a JOIN u b ON a.row <> b.row
+        WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= {epsilon_grid.MIN_COSINE}),
+reach(row, other) AS (SELECT row, row FROM e UNION SELECT r.row, l.b FROM reach r JOIN links l ON r.other = l.a),
+comp AS (SELECT reach.row, min(o.vec_id) AS component_id FROM reach JOIN e o ON o.row = reach.other GROUP BY reach.row),
+n AS (SELECT a AS row, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, e.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM e JOIN comp USING (row) LEFT JOIN n USING (row)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_redirects": OP2,
     "op3_adaptive_rules": OP3,
     "op5_winnowing": OP5,
     "op6_licenses": OP6,
     "op8_chat_template": OP8,
+    "op11_resampling": OP11,
+    "op12_epsilon_grid": OP12,
 }

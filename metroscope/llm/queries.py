@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroscope.llm import (
-    chat, decontaminate, interpolation, licenses, pieces, quality_cnn, redirects, simhash, surrogates, thresholds,
+    chat, decontaminate, epsilon_grid, interpolation, licenses, pieces, quality_cnn, redirects, resampling, runs, simhash,
+    surrogates, thresholds,
 )
 from metroscope.llm.common import crc_mod, documents
 
@@ -61,6 +62,18 @@ def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op12_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epsilon_grid.near_duplicates(documents(spark, sf_dir, "embeddings"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(documents(spark, sf_dir), prepare=runs.planted).drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": op1_surrogates,
     "op2_redirects": op2_redirects,
@@ -72,4 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_template": op8_chat_template,
     "op9_interpolation": op9_interpolation,
     "op10_quality_cnn": op10_quality_cnn,
+    "op11_resampling": op11_resampling,
+    "op12_epsilon_grid": op12_epsilon_grid,
+    "op13_runs": op13_runs,
 }
