@@ -3,6 +3,7 @@
     python -m metroscope.cli bronze --landing-root L --bronze-root R
     python -m metroscope.cli silver --bronze-root R --mapping-file M --silver-root S [--from-day D]
     python -m metroscope.cli aggregate --silver-file S --hourly-output-root H --daily-output-root D --category-output-root C
+                                       [--from-day D] [--state-root T]
     python -m metroscope.cli baselines --input-root H --output-root B [--lookback-hours 168] [--min-history-points 24]
     python -m metroscope.cli news --export-path E --cities boston chicago --events-root V --news-root N
     python -m metroscope.cli daily --requests-root Q --weather-root W --alerts-root A --news-root N --stations-csv T
@@ -54,7 +55,7 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--daily-output-root", required=True)
     a.add_argument("--category-output-root", required=True)
     a.add_argument("--from-day", default=None)
-    a.add_argument("--lookback-days", type=int, default=7)
+    a.add_argument("--state-root", default=None)
     b = sub.add_parser("baselines")
     b.add_argument("--input-root", required=True)
     b.add_argument("--output-root", required=True)
@@ -82,7 +83,7 @@ def main(argv: list[str] | None = None) -> None:
         out = {"silver_rows": jobs.silver_job(spark, args.bronze_root, args.mapping_file, args.silver_root, args.from_day)}
     elif args.job == "aggregate":
         out = jobs.aggregate_job(spark, args.silver_file, args.hourly_output_root, args.daily_output_root,
-                                 args.category_output_root, args.from_day, args.lookback_days)
+                                 args.category_output_root, args.from_day, args.state_root)
     elif args.job == "baselines":
         out = jobs.baseline_job(spark, args.input_root, args.output_root, args.lookback_hours, args.min_history_points,
                                 args.output_partitions, args.from_day)

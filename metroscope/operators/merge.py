@@ -1,22 +1,24 @@
 """Keyed merges (M1-M5) and keep-latest dedup.
 
 Without a table format, a merge is: dedup the batch, anti-join the old rows on the
-key, union, and (for files) write to a fresh staging path before a dynamic partition
-overwrite of only the touched partitions. Reading and overwriting one path in the same
-plan is never done.
+key, union, and (for files) stage before an overwrite of only the touched partitions.
+Reading and overwriting one path in the same plan is never done.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metroscope.functions.columns import rnd
+from metroscope.operators import staged
 from metroscope.session import remove_scratch, scratch_path
 
+LOCATOR = "_keys"      # folder of the key -> partition index beside a table (Spark's readers skip it)
+LOCATOR_BUCKETS = 64   # fixed for the life of a table
+
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per key, the greatest ``order`` wins (nulls lose); remaining ties are
@@ -75,9 +77,18 @@ def resolution_hours(requests: DataFrame) -> DataFrame:
     )
 
 
-def _absent(error: AnalysisException) -> bool:
-    """The path does not exist, or holds nothing yet. Anything else must surface."""
-    return (error.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _locator(spark: SparkSession, root: str, table: DataFrame | None, keys: list[str], parts: list[str], like: DataFrame) -> DataFrame | None:
+    """The stored key -> partition index (``bucket``, keys, ``at``); built from the table where
+    a table has none yet."""
+    empty = like.select(*keys, F.struct(*parts).alias("at")).withColumn("bucket", key_bucket(keys, LOCATOR_BUCKETS))
+    found = staged.stored(spark, f"{root}/{LOCATOR}", empty)
+    if found is not None or table is None:
+        return found
+    return table.select(*keys, F.struct(*parts).alias("at")).withColumn("bucket", key_bucket(keys, LOCATOR_BUCKETS))
 
 
 def merge_into_path(
@@ -87,35 +98,54 @@ def merge_into_path(
     keys: Sequence[str],
     partition_cols: Sequence[str],
     order: Sequence[str] | None = None,
+    moving: bool = False,
+    also: Sequence[staged.Change] = (),
 ) -> None:
     """M1 on files: merge ``new`` into the partitioned parquet table at ``root``.
 
     The batch is computed once, reduced to one row per key and staged under the shared
     checkpoint folder. Only partitions it touches are read (with the batch's schema, so
-    a text key ``01`` stays text), merged, staged and then dynamically overwritten,
-    clustered by partition. Staging is removed at the end."""
-    parts = list(partition_cols)
-    batch_path, stage = scratch_path(spark, "merge-batch"), scratch_path(spark, "merge-stage")
+    a text key ``01`` stays text), merged, staged and then overwritten as one step
+    (``staged.commit``), clustered by partition.
+
+    ``moving`` says that a key's partition can change between deliveries (a month taken
+    from a date that is no part of the key). The table then keeps an index from key to
+    partition beside it, in buckets by key hash: the partitions where the batch's keys stand
+    now are touched too, and the old rows go. Of an indexed table only the buckets of the
+    batch's keys are read and rewritten."""
+    keys, parts, root = list(keys), list(partition_cols), root.rstrip("/")
+    staged.recover(spark, root)
+    batch_path = scratch_path(spark, "merge-batch")
     try:
         keep_latest(new, keys, order or ()).write.parquet(batch_path)
         batch = spark.read.schema(new.schema).parquet(batch_path)
         touched = batch.select(*parts).distinct()
         if touched.isEmpty():
+            if also:
+                staged.commit(spark, root, also)
             return
-        try:
-            current = spark.read.schema(new.schema).parquet(root)
-            current.isEmpty()  # an unreadable table surfaces here, not after the overwrite
-        except AnalysisException as e:
-            if not _absent(e):
-                raise
-            merged = batch
-        else:
-            scope = current.join(touched, parts, "left_semi").select(*new.columns)
-            kept = scope.join(batch.select(*keys), list(keys), "left_anti")
-            merged = kept.unionByName(batch)
-        merged.write.parquet(stage)
-        (spark.read.schema(new.schema).parquet(stage).hint("rebalance", *parts).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(root))
+        current = staged.stored(spark, root, new)
+        changes = list(also)
+        if moving:
+            index = _locator(spark, root, current, keys, parts, new)
+            entries = batch.select(*keys, F.struct(*parts).alias("at")).withColumn("bucket", key_bucket(keys, LOCATOR_BUCKETS))
+            first = current is not None and staged.stored(spark, f"{root}/{LOCATOR}", entries) is None
+            merged = entries
+            if index is not None:
+                # an index built just now is written whole
+                scope = index if first else staged.in_scope(index, entries.select("bucket").distinct(), ["bucket"])
+                known = batch.select(*keys)
+                stay = scope.join(known, staged.same(scope, known, keys), "left_anti")
+                merged = stay.unionByName(entries)
+                moved = scope.join(known, staged.same(scope, known, keys), "left_semi")
+                touched = touched.union(moved.select(*[F.col(f"at.{p}").alias(p) for p in parts])).distinct()
+            changes.append(staged.Change("keys", f"{root}/{LOCATOR}", ("bucket",), merged))
+        rows = batch
+        if current is not None:
+            known = batch.select(*keys)
+            scope = staged.in_scope(current, touched, parts)
+            rows = scope.join(known, staged.same(scope, known, keys), "left_anti").unionByName(batch)
+        changes.append(staged.Change("rows", root, tuple(parts), rows.select(*new.columns), touched if moving else None))
+        staged.commit(spark, root, changes)
     finally:
         remove_scratch(spark, batch_path)
-        remove_scratch(spark, stage)

@@ -479,11 +479,42 @@ def r1_stream_late_rows(spark, sf):
     early = F.col("requested_at_utc") < F.lit(middle)
     ids = F.col("service_request_id").cast("long")
     late = silver.filter((F.col("requested_at_utc") < F.lit(middle) - F.expr("INTERVAL 5 DAYS")) & (ids % 11 == 0))
-    landing = scratch_path(spark, "landing-late")
+    landing, target, checkpoint = (scratch_path(spark, n) for n in ("landing-late", "late-hourly", "late-checkpoint"))
     for batch in (silver.filter(early), silver.filter(~early).unionByName(silver.filter(~early & (ids % 7 == 0))),
                   late.withColumn("service_request_id", F.concat(F.lit("late-"), "service_request_id"))):
-        hs.land(batch.coalesce(1), landing)  # one file a batch: one trigger each
-    return finish(hs.run_hourly_pipeline(spark, landing, hs.stream_schema(silver), max_files=1, state_partitions=8))
+        hs.land(batch, landing)
+        hs.run_hourly_stream(spark, landing, hs.stream_schema(silver), target, checkpoint, state_partitions=8)
+    return finish(hs.merged_counts(spark, target))
+
+
+@query("r1_resume")
+def r1_resume(spark, sf):
+    """R1-R3 resumed: the requests land in three parts by ingest day, each with re-deliveries of
+    the day before it; the stream is started on the same checkpoint and target after each."""
+    silver = lake.silver(spark, sf)
+    day = F.to_date("ingested_at_utc")
+    first, last = silver.agg(F.min(day), F.max(day)).first()
+    third = (last - first) / 3
+    cuts = [first, first + third, first + 2 * third, last + (last - first)]
+    landing, target, checkpoint = (scratch_path(spark, n) for n in ("landing-resume", "resume-hourly", "resume-checkpoint"))
+    for lo, hi in zip(cuts, cuts[1:]):
+        part = silver.filter((day >= F.lit(lo)) & (day < F.lit(hi)))
+        again = silver.filter((day == F.date_sub(F.lit(lo), 1)) & (F.col("service_request_id").cast("long") % 2 == 0))
+        hs.land(part.unionByName(again), landing)
+        hs.run_hourly_stream(spark, landing, hs.stream_schema(silver), target, checkpoint, delay="3 days", state_partitions=8)
+    return finish(hs.merged_counts(spark, target))
+
+
+@query("r2_two_cities")
+def r2_two_cities(spark, sf):
+    """R2 where two cities number their requests alike: every request also lands, under the
+    same id, for a city of its own, and both are delivered twice."""
+    silver = lake.silver(spark, sf)
+    twin = silver.withColumn("city", F.concat(F.lit("twin of "), "city"))
+    landing = scratch_path(spark, "landing-twins")
+    for _ in range(2):
+        hs.land(silver.unionByName(twin), landing)
+    return finish(hs.run_dedup_pipeline(spark, landing, hs.stream_schema(silver), state_partitions=8))
 
 
 @query("r2_stream_dedup")
@@ -672,3 +703,85 @@ def s11_landing_json(spark, sf):
     back = io.read_jsonl(spark, root, T.StructType([rows.schema[c] for c in ("service_request_id", "service_code", "status", "source", "date")]))
     return finish(back.select(F.col("source").cast("string").alias("source"), F.col("date").cast("date").alias("date"),
                               "service_request_id", "service_code", "status"))
+
+
+# ---------------------------------------------------------------- jobs over several runs
+
+from metroscope.plans import jobs  # noqa: E402
+
+
+@query("e3_incremental")
+def e3_incremental(spark, sf):
+    """E3 over three runs: silver lands by ingest day in three parts, some requests delivered
+    again 2, 12 and 20 days later; each run reads only its own days (``from_day``), and the
+    stored hourly table must hold what one run over everything holds."""
+    mapping = fixtures.category_mapping(spark)
+    rows = daily.materialize(spark, lk.bronze_partition_columns(lk.to_silver(
+        fixtures.late_deliveries(spark, sf), mapping, mapping_rows=len(fixtures.CATEGORY_MAPPING))), "late-silver")
+    day = F.to_date("ingested_at_utc")
+    first, last = rows.agg(F.min(day), F.max(day)).first()
+    third = (last - first) / 3
+    cuts = [first, first + third, first + 2 * third, last + (last - first)]
+    silver, *roots = (scratch_path(spark, f"e3-{n}") for n in ("silver", "hourly", "daily", "category"))
+    for lo, hi in zip(cuts, cuts[1:]):
+        io.write_partitioned(rows.filter((day >= F.lit(lo)) & (day < F.lit(hi))), silver, jobs.SILVER_PARTITIONS)
+        jobs.aggregate_job(spark, silver, *roots, from_day=str(lo))
+    keys = ["ingest_year", "ingest_month", "ingest_day"]  # 01 stays text
+    out = spark.read.schema(lk.hourly(lake.cells(spark, sf)).schema).parquet(roots[0])
+    return finish(out.select(*lk.AGG_COLUMNS).withColumns({k: F.col(k).cast("string") for k in keys}))
+
+
+@query("m1_moving_key")
+def m1_moving_key(spark, sf):
+    """M1 on files where a key changes its partition: requests stored by request month; a
+    second batch moves every third by 45 days, a third batch moves every sixth back."""
+    base = fixtures.requests_daily(spark, sf)
+    key = F.col("service_request_id").cast("long")
+    root = scratch_path(spark, "moving-requests")
+    moved = base.filter(key % 3 == 0).withColumn("requested_datetime", F.col("requested_datetime") + F.expr("INTERVAL 45 DAYS"))
+    back = base.filter(key % 6 == 0).withColumn("status", F.lit("reopened"))
+    for batch in (base, moved, back):
+        monthly = batch.withColumn("month", F.date_format("requested_datetime", "yyyy-MM"))
+        mg.merge_into_path(spark, root, monthly, ["service_request_id"], ["month"], ["updated_datetime"], moving=True)
+    return finish(spark.read.schema(monthly.schema).parquet(root))
+
+
+@query("e14_alerts")
+def e14_alerts(spark, sf):
+    """E14 twice: all alerts as feature collections, then every fourth seen again 20 days later
+    (many of them in another month)."""
+    feats = fixtures.alert_features(spark, sf)
+    root = scratch_path(spark, "alerts")
+    jobs.alerts_job(spark, feats.groupBy("city", "obs_date").agg(F.collect_list(F.struct("id", "properties")).alias("features")), root)
+    again = feats.filter(F.col("id").cast("long") % 4 == 0).withColumn("obs_date", F.date_add("obs_date", 20))
+    return finish(jobs.alerts_job(spark, again, root).drop("month"))
+
+
+@query("e15_requests")
+def e15_requests(spark, sf):
+    """E15 for two cities that number their requests alike; in Boston every third request is
+    delivered again with another request time, and some have none at first."""
+    raw = fixtures.open311_api_rows(spark, sf).withColumns(
+        {c: F.date_format(c, _ISO) for c in ("requested_datetime", "updated_datetime")})
+    eid = F.col("service_request_id").cast("long")
+    root = scratch_path(spark, "requests")
+    unread = F.when(eid % 10 == 0, F.lit("soon")).otherwise(F.col("requested_datetime"))
+    jobs.requests_job(spark, raw.withColumn("requested_datetime", unread), "boston", root)
+    jobs.requests_job(spark, raw, "chicago", root)
+    later = F.date_format(F.to_timestamp("requested_datetime") + F.expr("INTERVAL 40 DAYS"), _ISO)
+    again = raw.filter(eid % 3 == 0).withColumns({"requested_datetime": later, "status": F.lit("open")})
+    out = jobs.requests_job(spark, again, "boston", root)
+    return finish(out.select("city", F.col("service_request_id").cast("string").alias("service_request_id"), "status", "requested_datetime",
+                             "updated_datetime", "resolution_hrs"))
+
+
+@query("e16_run_log")
+def e16_run_log(spark, sf):
+    """E16 twice: a batch that holds every event twice, then all events again. Events without a
+    stop time take a fixed clock."""
+    events = fixtures.run_events(spark, sf)
+    root, clock = scratch_path(spark, "run-log"), F.lit("2000-01-01 00:00:00").cast("timestamp")
+    first = events.filter(F.col("status") != "TIMED_OUT")
+    jobs.run_log_job(spark, first.unionByName(first), root, clock)
+    out = jobs.run_log_job(spark, events, root, clock)
+    return finish(out.drop("month").withColumn("duration_secs", F.col("duration_secs").cast("double")))

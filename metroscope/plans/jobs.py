@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 from metroscope.operators import baselines as bl
 from metroscope.operators import collectors as co
 from metroscope.operators import lake as lk
+from metroscope.operators import ledger as lg
 from metroscope.operators import merge as mg
 from metroscope.operators import news as nw
 from metroscope.operators import serving as sv
+from metroscope.operators import staged
 from metroscope.plans import daily
 from metroscope.session import remove_scratch, scratch_path
 from metroscope.sources import io
@@ -74,31 +76,22 @@ def silver_job(spark: SparkSession, bronze_root: str, mapping_csv: str, silver_r
 
 
 def aggregate_job(spark: SparkSession, silver_path: str, hourly_root: str, daily_root: str, category_root: str,
-                  from_day: str | None = None, lookback_days: int = 7) -> dict[str, int]:
+                  from_day: str | None = None, state_root: str | None = None) -> dict[str, int]:
     """Silver parquet -> hourly, daily and category-hourly aggregates (S6, P8, F5, Q20,
     A1-A4, S7). Silver is read once, into the small cell table behind all three.
 
-    ``from_day`` recomputes the partitions of ingest days from ``lookback_days`` before it:
-    a request delivered again within that time moves from the earlier day's counts to the
-    later one's."""
+    ``from_day`` reads the ingest days from there on. A request delivered again then moves
+    from the count of its earlier day, however old, to that of the later one: the delivery
+    ledger under ``state_root`` (beside the hourly table unless given) knows where it counted
+    (``operators.ledger``). Any sequence of runs that read every day equals one full run."""
     silver = io.read_parquet_required(spark, silver_path, lk.SILVER_REQUIRED, "Silver input")
     if from_day:
-        since = F.date_sub(F.lit(from_day).cast("date"), lookback_days)
-        silver = silver.filter(_day("year", "month", "day") >= since)
-    path = scratch_path(spark, "lake-cells")
-    try:
-        cells = lk.category_cells(lk.latest_deliveries(lk.request_facts(silver)))
-        cells.write.parquet(path)
-        cells = spark.read.schema(cells.schema).parquet(path)
-        if cells.isEmpty():
-            raise RuntimeError("the silver input has no row with a readable request and ingest time")
-        outputs = {"hourly": (lk.hourly(cells), hourly_root), "daily": (lk.daily(cells), daily_root),
-                   "category_hourly": (lk.category_hourly(cells), category_root)}
-        for df, root in outputs.values():
-            io.write_partitioned(df, root, INGEST_PARTITIONS)
-        return {name: df.count() for name, (df, _) in outputs.items()}
-    finally:
-        remove_scratch(spark, path)
+        silver = silver.filter(_day("year", "month", "day") >= F.lit(from_day).cast("date"))
+    state = state_root or f"{hourly_root.rstrip('/')}/_state"
+    outputs = (hourly_root, daily_root, category_root)
+    run = lg.apply_deliveries(spark, silver, state, outputs, whole=from_day is None)
+    names = ("hourly", "daily", "category_hourly")
+    return {n: spark.read.parquet(r).count() for n, r in zip(names, outputs)} | run
 
 
 def baseline_job(spark: SparkSession, hourly_root: str, out_root: str, lookback_hours: int = bl.DEFAULT_LOOKBACK_HOURS,
@@ -142,7 +135,7 @@ def daily_job(spark: SparkSession, requests: DataFrame, weather: DataFrame, aler
 
     A window run reads the whole history (open backlog and trailing windows reach back)
     and writes the same rows as a full run has for its dates."""
-    latest = mg.resolution_hours(mg.keep_latest(requests, ["service_request_id"], ["updated_datetime"]))
+    latest = mg.resolution_hours(mg.keep_latest(requests, ["city", "service_request_id"], ["updated_datetime"]))
     di = daily.inputs_of(spark, latest, weather, alerts, news, stations)
     scores = daily.scores_of(di)
     tables = {
@@ -199,28 +192,46 @@ def weather_job(spark: SparkSession, observations: DataFrame, daily_values: Data
 
 def alerts_job(spark: SparkSession, collections: DataFrame, alerts_root: str) -> DataFrame:
     """Feature collections (one row each: ``city``, ``obs_date``, ``features`` array) or
-    single features -> alert rows (P4), merged by alert id (M1)."""
+    single features -> alert rows (P4), merged by alert id (M1): an alert that is seen again in
+    another month moves there."""
     features = co.explode_features(collections) if "features" in collections.columns else collections
     rows = co.parse_alerts(features).withColumn("month", F.date_format("obs_date", "yyyy-MM"))
-    mg.merge_into_path(spark, alerts_root, rows, ["alert_id"], ["month"])
+    mg.merge_into_path(spark, alerts_root, rows, ["alert_id"], ["month"], ["obs_date"], moving=True)
     return spark.read.parquet(alerts_root)
 
 
 def requests_job(spark: SparkSession, records: DataFrame, city: str, requests_root: str, socrata: bool = False) -> DataFrame:
     """Service requests of one source (P2, or P3 for Socrata rows), the latest delivery
-    of an id, merged by id (M1), resolution hours set (M4). Stored by request month."""
+    of an id, merged by city and id (M1), resolution hours set (M4). Stored by request month;
+    a request whose request time changes moves to its new month."""
     parsed = (co.parse_socrata if socrata else co.parse_requests)(records).withColumns(
         {c: F.col(c).try_cast("timestamp") for c in ("requested_datetime", "updated_datetime")})
     rows = mg.resolution_hours(parsed).withColumns(
         {"city": F.lit(city), "month": F.ifnull(F.date_format("requested_datetime", "yyyy-MM"), F.lit("unknown"))})
-    mg.merge_into_path(spark, requests_root, rows, ["service_request_id"], ["city", "month"], ["updated_datetime"])
+    mg.merge_into_path(spark, requests_root, rows, ["city", "service_request_id"], ["city", "month"], ["updated_datetime"], moving=True)
     return spark.read.parquet(requests_root)
 
 
-def run_log_job(spark: SparkSession, events: DataFrame, log_root: str) -> DataFrame:
-    """Pipeline status events (P11) added to the run log; an execution's status that is
-    there already is not added again."""
-    rows = co.normalize_runs(events).withColumn("month", F.date_format("run_at", "yyyy-MM"))
-    fresh = rows.join(_stored(spark, log_root, rows).select("execution_arn", "status"), ["execution_arn", "status"], "left_anti")
-    fresh.select(*rows.columns).write.mode("append").partitionBy("month").parquet(log_root)
+def run_log_job(spark: SparkSession, events: DataFrame, log_root: str, now: Column | None = None) -> DataFrame:
+    """Pipeline status events (P11) added to the run log. An execution's status is logged
+    once: of repeats in the batch the latest run time counts, and one that is there already is
+    not added again. The new rows are put in place in one step, by partition of the run's
+    month, so a run that dies half-way leaves nothing or everything."""
+    rows = co.normalize_runs(events, now).withColumn("month", F.date_format("run_at", "yyyy-MM"))
+    keys = ["execution_arn", "status"]
+    log_root = log_root.rstrip("/")
+    staged.recover(spark, log_root)
+    path = scratch_path(spark, "run-log")
+    try:
+        mg.keep_latest(rows, keys, ["run_at"]).write.parquet(path)
+        once = spark.read.schema(rows.schema).parquet(path)
+        log = staged.stored(spark, log_root, rows)
+        if log is not None:
+            known = log.select(*keys)
+            fresh = once.join(known, staged.same(once, known, keys), "left_anti")
+            months = fresh.select("month").distinct()
+            once = staged.in_scope(log, months, ["month"]).unionByName(fresh)
+        staged.commit(spark, log_root, [staged.Change("runs", log_root, ("month",), once)])
+    finally:
+        remove_scratch(spark, path)
     return spark.read.parquet(log_root)

@@ -177,6 +177,7 @@ ORACLE["r1_stream_late_rows"] = ORACLE["r1_stream_hourly"]
 ORACLE["r2_stream_dedup"] = with_(F_MAPPING, F_BRONZE, F_SILVER) + """SELECT service_request_id, city, status,
  requested_at_utc, is_infrastructure, is_emergency_type, normalized_category FROM silver"""
 from metroscope.plans import oracle_sources  # noqa: E402,F401  (file round trips)
+from metroscope.plans import oracle_jobs  # noqa: E402,F401  (jobs over several runs)
 
 # Result edge: DATE columns leave as midnight TIMESTAMP (mirrors ``plans.common.finish``).
 from metroscope.plans.oracle_dates import DATE_COLUMNS  # noqa: E402

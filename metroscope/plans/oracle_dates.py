@@ -19,6 +19,7 @@ DATE_COLUMNS = {
     'e10_latest_composite': ('score_date',),
     'e10_latest_verdict': ('verdict_date',),
     'e12_news_tsv': ('obs_date',),
+    'e14_alerts': ('obs_date',),
     'e7_signal_scores': ('score_date',),
     'f1_validate_counts': ('obs_date',),
     'f2_city_filter': ('obs_date',),

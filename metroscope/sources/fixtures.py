@@ -101,6 +101,24 @@ def delivered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
+def late_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``delivered_requests`` with deliveries older than a week: every fifth request arrives once
+    more 12 days later, and all Boston requests of the first ingest day 20 days later, so that
+    this day's Boston partition ends without a row."""
+    every = delivered_requests(spark, sf_dir)
+    first = bronze_requests(spark, sf_dir)
+
+    def again(rows: DataFrame, days: int, status: str, updated: str) -> DataFrame:
+        later = F.col("ingested_at_utc") + F.expr(f"INTERVAL {days} DAYS")
+        return rows.withColumns({"ingested_at_utc": later, "status": F.lit(status), "updated_datetime": F.col("updated_datetime") + F.expr(updated),
+                                 "batch_id": F.concat(F.date_format(later, "yyyyMMdd"), F.substring("batch_id", 9, 100))})
+
+    start = first.filter(F.col("city") == CITIES[0]).agg(F.min("ingested_at_utc")).first()[0]
+    emptied = first.filter((F.col("city") == CITIES[0]) & (F.col("ingested_at_utc") == F.lit(start)))
+    fifth = first.filter(F.col("service_request_id").cast("long") % 5 == 1)
+    return every.unionByName(again(fifth, 12, "open", "INTERVAL 12 DAYS")).unionByName(again(emptied, 20, "closed", "INTERVAL 400 DAYS"))
+
+
 # The 14-row category mapping (raw, normalized, infrastructure, emergency).
 CATEGORY_MAPPING = (
     ("Broken Sidewalk", "Sidewalk Infrastructure", 1, 0),
