@@ -74,6 +74,23 @@ def to_units(c: Column) -> Column:
     return rnd(c.cast("double") * F.lit(10.0 ** UNIT_DIGITS), 0).cast("decimal(38,0)")
 
 
+_LOW_BITS = 30
+
+
+def sum_units(c: Column) -> Column:
+    """Exact grouped sum of ``to_units`` (null without values). Values below 4.6 million are
+    summed as two longs per row, high and low bits apart, and only the group's result
+    becomes a wide decimal; larger ones are summed as wide decimals."""
+    units = rnd(c.cast("double") * F.lit(10.0 ** UNIT_DIGITS), 0)
+    narrow = F.abs(units) < F.lit(float(2 ** 62))
+    whole = F.when(narrow, units.cast("long"))
+    high, low = F.sum(F.shiftright(whole, _LOW_BITS)), F.sum(whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    wide = F.sum(F.when(~narrow, units.cast("decimal(38,0)")))
+    joined = high.cast("decimal(38,0)") * F.lit(1 << _LOW_BITS).cast("decimal(38,0)") + low.cast("decimal(38,0)")
+    zero = F.lit(0).cast("decimal(38,0)")
+    return F.when(high.isNotNull() | wide.isNotNull(), F.coalesce(joined, zero) + F.coalesce(wide, zero)).cast("decimal(38,0)")
+
+
 def exact_mean(units_sum: Column, n: Column, digits: int, python_round: bool = True) -> Column:
     """Mean of fixed-point values as one correctly rounded division of the exact sum, then
     rounded: the float mean a database AVG would hand back, rounded like the reference,
@@ -87,9 +104,10 @@ def exact_mean(units_sum: Column, n: Column, digits: int, python_round: bool = T
 def mean_rounded(c: Column, digits: int, over=None, python_round: bool = True) -> Column:
     """``round(avg(c), digits)`` computed exactly (see ``exact_mean``); works as a
     grouped aggregate or, with ``over``, as a window aggregate."""
-    s, n = F.sum(to_units(c)), F.count(c)
-    if over is not None:
-        s, n = s.over(over), n.over(over)
+    if over is None:
+        s, n = sum_units(c), F.count(c)
+    else:
+        s, n = F.sum(to_units(c)).over(over), F.count(c).over(over)
     return exact_mean(s, n, digits, python_round)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroscope.functions.columns import exact_mean, mean_rounded, pyround, to_units
+from metroscope.functions.columns import exact_mean, mean_rounded, pyround, sum_units
 
 from metroscope.operators.frames import combine
 
@@ -24,7 +24,7 @@ def request_days(requests: DataFrame) -> DataFrame:
     hours. Everything downstream reads this small table."""
     return requests.groupBy("city", F.to_date("requested_datetime").alias("d"), "service_name", "status").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(to_units(F.col("resolution_hrs"))).alias("close_units"),
+        sum_units(F.col("resolution_hrs")).alias("close_units"),
         F.count("resolution_hrs").alias("close_n"),
     )
 
@@ -34,16 +34,30 @@ def daily_counts(rdays: DataFrame) -> DataFrame:
     return rdays.groupBy("city", "d").agg(F.sum("n").alias("cnt"))
 
 
-def open_backlog(spine: DataFrame, rdays: DataFrame) -> DataFrame:
-    """Open requests requested on or before d (current status, Q8): daily open
-    counts and a running sum on the spine (union + window, no range join)."""
-    opens = rdays.filter(F.col("status") == "open").groupBy("city", "d").agg(F.sum("n").alias("n"))
-    u = spine.select("city", "d", F.lit(0).cast("long").alias("n"), F.lit(True).alias("_s")).unionByName(
-        opens.select("city", "d", "n", F.lit(False).alias("_s"))
-    )
-    g = u.groupBy("city", "d").agg(F.sum("n").alias("n"), F.max("_s").alias("_s"))
-    w = Window.partitionBy("city").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
-    return g.select("city", "d", "_s", F.sum("n").over(w).alias("open_backlog")).filter("_s").drop("_s")
+def city_days(rdays: DataFrame) -> DataFrame:
+    """One row per (city, day) of everything cards and scores need of the requests: ``cnt`` (A8),
+    ``opened`` (open requests filed that day), ``mean_close_hrs`` (A10), ``top_category`` (A11)."""
+    day_rows = rdays.repartition("city", "d")  # both aggregates below stay within it
+    closed = F.col("status") == "closed"
+    per_service = day_rows.groupBy("city", "d", "service_name").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("status") == "open", F.col("n"))).alias("opened"),
+        F.sum(F.when(closed, F.col("close_units"))).alias("close_units"), F.sum(F.when(closed, F.col("close_n"))).alias("close_n"))
+    return per_service.groupBy("city", "d").agg(
+        F.sum("n").alias("cnt"), F.ifnull(F.sum("opened"), F.lit(0)).alias("opened"),
+        exact_mean(F.sum("close_units"), F.sum("close_n"), 2).alias("mean_close_hrs"),
+        F.min_by("service_name", F.struct((-F.col("n")).alias("k"), F.col("service_name").alias("s"))).alias("top_category"))
+
+
+def backlog_of(days: Column) -> Column:
+    """A9 as a window: running sum of the open requests filed up to each day (current status, Q8)."""
+    so_far = Window.partitionBy("city").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    return F.sum(F.ifnull(days, F.lit(0))).over(so_far)
+
+
+def open_backlog(spine: DataFrame, days: DataFrame) -> DataFrame:
+    """Open requests requested on or before d, on the spine (union + window, no range join)."""
+    known = combine(["city", "d"], spine.select("city", "d"), [days.select("city", "d", "opened")])
+    return known.select("city", "d", backlog_of(F.col("opened")).alias("open_backlog"))
 
 
 def mean_close_hours(rdays: DataFrame) -> DataFrame:
@@ -70,13 +84,13 @@ def station_spine(spine: DataFrame, station_cities: DataFrame) -> DataFrame:
 
 
 def station_cards(weather: DataFrame, st_spine: DataFrame, hot_index: float = 40.0, hot_tmax: float = 35.0) -> DataFrame:
-    """W11 + W12 per (city, d), the largest of the city's stations, from one pass over the
+    """W11, W12 and the tmax card per (city, d), the largest of the city's stations, from one pass over the
     station days:
 
     ``heat_streak_days``: consecutive station rows back from d (inclusive) with heat index
     > 40 or tmax > 35, counted in rows (Q10); a day without a row has the streak of the
     latest row before it. ``precip_72hr_mm``: precipitation of the days [d-2, d], null -> 0,
-    rounded to 2.
+    rounded to 2; ``tmax``: the warmest reading on d, rounded to 1.
 
     Readings and calendar days meet in one group per station and day; both cards are
     then windows over the same partition and order (one exchange, one sort)."""
@@ -87,12 +101,13 @@ def station_cards(weather: DataFrame, st_spine: DataFrame, hot_index: float = 40
     hot = F.ifnull((F.col("heat_index_max") > hot_index), F.lit(False)) | F.ifnull((F.col("tmax") > hot_tmax), F.lit(False))
     by_day = Window.partitionBy("station_id").orderBy(F.datediff("d", F.lit("1970-01-01")))
     so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
-    counted = days.select("station_id", "d", (~hot & (F.col("row") == 1)).alias("cold"), F.sum("row").over(so_far).alias("rows"),
+    counted = days.select("station_id", "d", "tmax", (~hot & (F.col("row") == 1)).alias("cold"), F.sum("row").over(so_far).alias("rows"),
                           F.sum("precip_6hr_max").over(by_day.rangeBetween(-2, 0)).alias("rain"))
     last_cold = F.max(F.when(F.col("cold"), F.col("rows"))).over(so_far)
-    per_station = counted.select("station_id", "d", (F.col("rows") - F.ifnull(last_cold, F.lit(0))).alias("streak"), "rain")
+    per_station = counted.select("station_id", "d", "tmax", (F.col("rows") - F.ifnull(last_cold, F.lit(0))).alias("streak"), "rain")
     return st_spine.join(per_station, ["station_id", "d"]).groupBy("city", "d").agg(
-        F.max("streak").cast("int").alias("heat_streak_days"), pyround(F.ifnull(F.max("rain"), F.lit(0.0)), 2).alias("precip_72hr_mm"))
+        F.max("streak").cast("int").alias("heat_streak_days"), pyround(F.ifnull(F.max("rain"), F.lit(0.0)), 2).alias("precip_72hr_mm"),
+        pyround(F.max("tmax"), 1).alias("tmax"))
 
 
 def heat_streak(weather: DataFrame, st_spine: DataFrame) -> DataFrame:
@@ -105,12 +120,6 @@ def precip_72h(weather: DataFrame, st_spine: DataFrame) -> DataFrame:
     return station_cards(weather, st_spine).select("city", "d", "precip_72hr_mm")
 
 
-def city_tmax(weather: DataFrame, station_cities: DataFrame) -> DataFrame:
-    """tmax card: the city's warmest station reading on d, rounded to 1."""
-    j = weather.join(station_cities, "station_id")
-    return j.groupBy("city", F.col("obs_date").alias("d")).agg(pyround(F.max("tmax"), 1).alias("tmax"))
-
-
 def _truthy_num(c: Column) -> Column:
     return c.isNotNull() & (c != 0)
 
@@ -126,31 +135,23 @@ def card_baseline(value: Column, prior_mean: Column, need_value: bool) -> tuple[
 
 def metric_cards(
     spine: DataFrame,
-    rdays: DataFrame,
+    days: DataFrame,
     weather: DataFrame,
     station_cities: DataFrame,
     gdelt: DataFrame,
     baseline_rows: int | None = None,
 ) -> DataFrame:
     """The eight cards per (city, day) in tall form, from the per-day request table
-    (``request_days``), the weather and news daily tables.
+    (``city_days``), the weather and news daily tables.
 
     ``baseline_rows=None`` averages all earlier stored values (Q6 default); an int
     limits the card baseline to that many earlier days."""
     st = station_spine(spine, station_cities)
-    parts = [
-        open_backlog(spine, rdays),
-        mean_close_hours(rdays),
-        top_category(rdays),
-        city_tmax(weather, station_cities),
-        station_cards(weather, st),
-        gdelt.select("city", F.col("obs_date").alias("d"), pyround(F.col("avg_tone_7d"), 3).alias("media_tone_7d"),
-                     F.col("protest_event_count").alias("protest_mentions")),
-    ]
-    news = gdelt.select("city", F.col("obs_date").alias("d"), F.lit(True).alias("_has_news"))
-    wide = combine(["city", "d"], spine.select("city", "d"), parts + [news]).withColumn(
-        "_has_news", F.coalesce("_has_news", F.lit(False))
-    )
+    news = gdelt.select("city", F.col("obs_date").alias("d"), pyround(F.col("avg_tone_7d"), 3).alias("media_tone_7d"),
+                        F.col("protest_event_count").alias("protest_mentions"), F.lit(True).alias("_has_news"))
+    wide = combine(["city", "d"], spine.select("city", "d"),
+                   [days.select("city", "d", "opened", "mean_close_hrs", "top_category"), station_cards(weather, st), news])
+    wide = wide.withColumns({"_has_news": F.coalesce("_has_news", F.lit(False)), "open_backlog": backlog_of(F.col("opened"))})
     lo = Window.unboundedPreceding if baseline_rows is None else -baseline_rows
     w = Window.partitionBy("city").orderBy("d").rowsBetween(lo, -1)
     wide = wide.select(

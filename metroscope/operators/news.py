@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroscope.functions.columns import mean_rounded
+from metroscope.functions.columns import exact_mean, mean_rounded, sum_units
 
 NUMERIC = ("GoldsteinScale", "NumMentions", "NumSources", "NumArticles", "AvgTone")
 GEO_COLUMNS = ("ActionGeo_FullName", "Actor1Geo_FullName", "Actor2Geo_FullName")
@@ -28,7 +28,7 @@ def coerce(events: DataFrame) -> DataFrame:
 
 def with_obs_date(events: DataFrame, date_col: str = "SQLDATE") -> DataFrame:
     """Daily file date as ``obs_date`` (yyyyMMdd text; unparsable -> null)."""
-    return events.withColumn("obs_date", F.try_to_timestamp(F.col(date_col), F.lit("yyyyMMdd")).cast("date"))
+    return events.withColumn("obs_date", _parsed_date(F.col(date_col)))
 
 
 def match_cities(events: DataFrame, cities: Sequence[str], keep_unmatched: bool = False) -> DataFrame:
@@ -59,18 +59,38 @@ def is_protest(root: Column | None = None) -> Column:
     return (F.col("EventRootCode") if root is None else root) == F.lit("14")
 
 
-def daily_rollup(matched: DataFrame) -> DataFrame:
-    """Per (city, obs_date): mean tone and Goldstein rounded to 3, protest count and
-    mention sum, article and source sums (sums of nothing are 0)."""
+def _parsed_date(text: Column) -> Column:
+    return F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date")
+
+
+# Mergeable parts of a day's roll-up.
+_DAY_PARTS = ("tone_units", "tone_n", "gold_units", "gold_n", "protests", "mentions", "articles", "sources")
+
+
+def _day_parts(matched: DataFrame, *keys: str) -> DataFrame:
     p = is_protest()
-    return matched.groupBy("city", "obs_date").agg(
-        mean_rounded(F.col("AvgTone"), 3).alias("avg_tone"),
-        F.count_if(p).alias("protest_event_count"),
-        F.coalesce(F.sum(F.when(p, F.col("NumMentions"))), F.lit(0.0)).cast("long").alias("protest_mention_sum"),
-        mean_rounded(F.col("GoldsteinScale"), 3).alias("goldstein_avg"),
-        F.coalesce(F.sum("NumArticles"), F.lit(0.0)).cast("long").alias("num_articles"),
-        F.coalesce(F.sum("NumSources"), F.lit(0.0)).cast("long").alias("source_count"),
-    )
+    return matched.groupBy(*keys).agg(
+        sum_units(F.col("AvgTone")).alias("tone_units"), F.count("AvgTone").alias("tone_n"),
+        sum_units(F.col("GoldsteinScale")).alias("gold_units"), F.count("GoldsteinScale").alias("gold_n"),
+        F.count_if(p).alias("protests"), F.sum(F.when(p, F.col("NumMentions"))).alias("mentions"),
+        F.sum("NumArticles").alias("articles"), F.sum("NumSources").alias("sources"))
+
+
+def _rolled_days(parts: DataFrame, count_type: str) -> DataFrame:
+    """A6 per (city, obs_date) from parts that are merged here: mean tone and Goldstein rounded
+    to 3, protest count and mention sum, article and source sums (sums of nothing are 0)."""
+    whole = lambda c: F.coalesce(F.sum(c), F.lit(0.0)).cast(count_type)
+    return parts.groupBy("city", "obs_date").agg(
+        exact_mean(F.sum("tone_units"), F.sum("tone_n"), 3).alias("avg_tone"),
+        F.coalesce(F.sum("protests"), F.lit(0)).cast(count_type).alias("protest_event_count"),
+        whole("mentions").alias("protest_mention_sum"),
+        exact_mean(F.sum("gold_units"), F.sum("gold_n"), 3).alias("goldstein_avg"),
+        whole("articles").alias("num_articles"), whole("sources").alias("source_count"))
+
+
+def daily_rollup(matched: DataFrame) -> DataFrame:
+    """Per (city, obs_date)."""
+    return _rolled_days(_day_parts(matched, "city", "obs_date"), "long")
 
 
 def daily_rollup_distinct(matched: DataFrame, approximate: bool = False) -> DataFrame:
@@ -87,33 +107,20 @@ def daily_rollup_distinct(matched: DataFrame, approximate: bool = False) -> Data
     )
 
 
-def rollup_with_empty_days(events: DataFrame, cities: Sequence[str]) -> DataFrame:
+def rollup_with_empty_days(events: DataFrame, cities: Sequence[str], date_col: str = "SQLDATE") -> DataFrame:
     """A6 as the reference writes it: a downloaded day with no matching event still gets
     a row (tone null, counts 0).
 
-    One pass over the raw events: unmatched events are kept with a null city, so the
-    aggregate itself knows every file day. The (day x city) spine is then built from
-    that small aggregate (the shared exchange is reused) and folded in with one more
-    group-by on the small data - no second scan, no join."""
-    agg = daily_rollup(match_cities(events, cities, keep_unmatched=True))
-    days = agg.select("obs_date").where(F.col("obs_date").isNotNull()).distinct()
+    One pass over the raw events: they are folded per city and date *text*, and only the
+    folded rows are parsed. Unmatched events are kept with a null city, so the fold itself
+    knows every file day; the (day x city) spine is built from it and meets it in the second
+    group-by - no second scan, no join."""
+    parts = _day_parts(match_cities(events, cities, keep_unmatched=True), "city", date_col).select(
+        "city", _parsed_date(F.col(date_col)).alias("obs_date"), *_DAY_PARTS)
+    days = parts.select("obs_date").where(F.col("obs_date").isNotNull()).distinct()
     spine = days.withColumn("city", F.explode(F.array(*[F.lit(c) for c in cities])))
-    filler = spine.select(
-        "city", "obs_date",
-        *[F.lit(None).cast(t).alias(c) for c, t in (
-            ("avg_tone", "double"), ("protest_event_count", "long"), ("protest_mention_sum", "long"),
-            ("goldstein_avg", "double"), ("num_articles", "long"), ("source_count", "long"),
-        )],
-    )
-    both = agg.where(F.col("city").isNotNull()).unionByName(filler)
-    return both.groupBy("city", "obs_date").agg(
-        F.max("avg_tone").alias("avg_tone"),
-        F.coalesce(F.max("protest_event_count"), F.lit(0)).cast("int").alias("protest_event_count"),
-        F.coalesce(F.max("protest_mention_sum"), F.lit(0)).cast("int").alias("protest_mention_sum"),
-        F.max("goldstein_avg").alias("goldstein_avg"),
-        F.coalesce(F.max("num_articles"), F.lit(0)).cast("int").alias("num_articles"),
-        F.coalesce(F.max("source_count"), F.lit(0)).cast("int").alias("source_count"),
-    )
+    both = parts.where(F.col("city").isNotNull()).unionByName(spine, allowMissingColumns=True)
+    return _rolled_days(both, "int")
 
 
 def tone_7d(daily: DataFrame) -> DataFrame:
@@ -125,6 +132,5 @@ def tone_7d(daily: DataFrame) -> DataFrame:
 
 def gdelt_daily(raw_events: DataFrame, cities: Sequence[str]) -> DataFrame:
     """E12 result table keyed by (city, obs_date) with avg_tone_7d and polarity."""
-    ev = with_obs_date(coerce(raw_events))
-    daily = rollup_with_empty_days(ev, cities).withColumn("polarity", F.lit(None).cast("double"))
+    daily = rollup_with_empty_days(coerce(raw_events), cities).withColumn("polarity", F.lit(None).cast("double"))
     return tone_7d(daily)

@@ -162,7 +162,7 @@ from metroscope.operators import quality as qa  # noqa: E402
 
 def _card_inputs(spark, sf):
     di = daily.inputs(spark, sf)
-    return di.spine, di.rdays, di.weather, di.stations
+    return di.spine, di.days, di.weather, di.stations
 
 
 @query("u2_metric_cards")
@@ -172,8 +172,8 @@ def u2_metric_cards(spark, sf):
 
 @query("a9_open_backlog")
 def a9_open_backlog(spark, sf):
-    spine, req, _, _ = _card_inputs(spark, sf)
-    return finish(cd.open_backlog(spine, req))
+    spine, days, _, _ = _card_inputs(spark, sf)
+    return finish(cd.open_backlog(spine, days))
 
 
 @query("a10_mean_close")

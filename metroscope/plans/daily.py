@@ -65,7 +65,7 @@ def materialize(spark: SparkSession, df: DataFrame, name: str = "daily") -> Data
 class DailyInputs:
     """Per-(city | station, day) inputs of the daily path. Each raw table is read once."""
 
-    rdays: DataFrame  # requests per (city, day, service, status)
+    days: DataFrame  # requests folded to one row per (city, day)
     counts: DataFrame  # requests per (city, day)
     weather: DataFrame  # per (station, day)
     stations: DataFrame
@@ -86,7 +86,7 @@ def inputs_of(spark: SparkSession, requests: DataFrame, weather: DataFrame, aler
     from concurrent.futures import ThreadPoolExecutor
 
     plans = {
-        "request-days": lambda: cd.request_days(requests),
+        "city-days": lambda: cd.city_days(cd.request_days(requests)),
         "weather-daily": lambda: weather,
         "alert-daily": lambda: sc.alert_scores(alerts),
         "news-daily": lambda: news,
@@ -94,13 +94,13 @@ def inputs_of(spark: SparkSession, requests: DataFrame, weather: DataFrame, aler
     with ThreadPoolExecutor(max_workers=len(plans)) as pool:
         futures = {k: pool.submit(lambda k=k, f=f: materialize(spark, f(), k)) for k, f in plans.items()}
         done = {k: fut.result() for k, fut in futures.items()}
-    rdays, wx, al, gd = done["request-days"], done["weather-daily"], done["alert-daily"], done["news-daily"]
+    days, wx, al, gd = done["city-days"], done["weather-daily"], done["alert-daily"], done["news-daily"]
     st = stations
-    counts = cd.daily_counts(rdays)
+    counts = days.select("city", "d", "cnt")
     heat_days = wx.join(st, "station_id").select("city", F.col("obs_date").alias("d"))
     # a few thousand rows from the four small tables: scores read it once, cards write it first
     spine = sc.date_spine(counts, heat_days, al, gd.select("city", F.col("obs_date").alias("d")))
-    return DailyInputs(rdays, counts, wx, st, al, gd, spine)
+    return DailyInputs(days, counts, wx, st, al, gd, spine)
 
 
 def scores(spark: SparkSession, sf: str, di: DailyInputs | None = None) -> DataFrame:
@@ -121,7 +121,7 @@ def cards(spark: SparkSession, sf: str, baseline_rows: int | None = None, di: Da
 
 def cards_of(di: DailyInputs, baseline_rows: int | None = None) -> DataFrame:
     spine = materialize(di.spine.sparkSession, di.spine, "spine")
-    return cd.metric_cards(spine, di.rdays, di.weather, di.stations, di.gdelt, baseline_rows)
+    return cd.metric_cards(spine, di.days, di.weather, di.stations, di.gdelt, baseline_rows)
 
 
 def city_weather_of(wx: DataFrame, st: DataFrame) -> DataFrame:
