@@ -1,8 +1,8 @@
 """News events (E12): P6 coercion, F2/F3 city filters, F4 protests, A6/A7 daily roll-ups, W6.
 
-City matching runs as one higher-order ``filter`` over a literal array of configured
-city names followed by ``explode`` - no join, no Python, and an event that names two
-cities counts for both (as running the reference once per city would).
+City matching is one projection for a short list of names and a gram index over the
+distinct geo texts for a long one; an event that names two cities counts for both (as
+running the reference once per city would).
 """
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metroscope.functions.columns import exact_mean, mean_rounded, sum_units
+from metroscope.operators import staged
+from metroscope.operators.merge import partial_upsert
 
 NUMERIC = ("GoldsteinScale", "NumMentions", "NumSources", "NumArticles", "AvgTone")
 GEO_COLUMNS = ("ActionGeo_FullName", "Actor1Geo_FullName", "Actor2Geo_FullName")
@@ -31,20 +33,87 @@ def with_obs_date(events: DataFrame, date_col: str = "SQLDATE") -> DataFrame:
     return events.withColumn("obs_date", _parsed_date(F.col(date_col)))
 
 
+INLINE_CITIES = 40  # names compared one by one in a projection; more go through the gram index
+GRAM = 3
+
+
 def match_cities(events: DataFrame, cities: Sequence[str], keep_unmatched: bool = False) -> DataFrame:
     """case-insensitive substring of a city name in any of three geo columns; null never matches.
 
-    Adds ``city`` (one row per matched city). One ``contains`` per (city, column) in a
-    single codegen'd projection, then ``array_compact`` + ``explode`` - no lambdas, no
-    join. Meant for a configured city list (tens of names); the lower-cased geo text is
-    a common subexpression evaluated once per row."""
-    geos = [F.lower(F.col(g)) for g in GEO_COLUMNS]
+    Adds ``city`` (one row per matched city). A short list is one ``contains`` per (city,
+    column) in a single codegen'd projection, then ``array_compact`` + ``explode`` - no join; a
+    longer one is looked up with ``match_city_names``."""
+    cities = list(dict.fromkeys(cities))
+    if len(cities) > INLINE_CITIES:
+        names = events.sparkSession.createDataFrame([(c,) for c in cities], "city string")
+        return match_city_names(events, names, keep_unmatched)
+    geo = _free(events, "geo")
+    # the folded texts are a step of their own: each is lower-cased once per row
+    folded = events.withColumn(geo, F.struct(*[F.lower(F.col(g)).alias(f"g{i}") for i, g in enumerate(GEO_COLUMNS)]))
+    texts = [F.col(f"{geo}.g{i}") for i in range(len(GEO_COLUMNS))]
     hits = [
-        F.when(reduce(lambda a, b: a | b, [F.coalesce(g.contains(c.lower()), F.lit(False)) for g in geos]), F.lit(c))
+        F.when(reduce(lambda a, b: a | b, [F.coalesce(g.contains(c.lower()), F.lit(False)) for g in texts]), F.lit(c))
         for c in cities
     ]
     explode = F.explode_outer if keep_unmatched else F.explode
-    return events.withColumn("city", explode(F.array_compact(F.array(*hits))))
+    return folded.withColumn("city", explode(F.array_compact(F.array(*hits)))).drop(geo)
+
+
+def _free(df: DataFrame, base: str) -> str:
+    name = base
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def _grams(text: Column, sizes: Sequence[int]) -> Column:
+    """Distinct substrings of ``text`` of the given sizes."""
+    def of(n: int) -> Column:
+        last = F.char_length(text) - (n - 1)
+        return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substr(text, i, F.lit(n)))).otherwise(F.array())
+
+    return F.array_distinct(F.concat(*[of(n) for n in sizes]))
+
+
+def names_in_texts(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """``text``, ``city`` for every name of ``names`` (``city``) that ``text`` contains, case
+    ignored, for a table of distinct lower-cased texts.
+
+    Every name is posted once, under the one of its grams (three letters; a shorter name
+    is its own gram) that the fewest texts hold; a text that contains the name holds the
+    gram. Texts meet postings by gram and are then searched for the few names posted there. An
+    empty name is in every text that is not null."""
+    posted = names.select("city", F.lower("city").alias("name")).where(F.col("name").isNotNull()).distinct()
+    sizes = list(range(1, GRAM + 1))
+    held = texts.where(F.col("text").isNotNull()).select("text", F.explode(_grams(F.col("text"), sizes)).alias("gram"))
+    often = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    own = F.filter(_grams(F.col("name"), sizes), lambda g: F.char_length(g) == F.least(F.char_length("name"), F.lit(GRAM)))
+    # a name with a gram that no text holds is in no text: such grams count 0 and win
+    choices = posted.select("city", "name", F.explode(own).alias("gram")).join(often, "gram", "left")
+    place = choices.groupBy("city", "name").agg(F.min_by("gram", F.struct(F.ifnull("n", F.lit(0)), "gram")).alias("gram"))
+    found = held.join(place, "gram").filter(F.contains("text", "name")).select("text", "city")
+    everywhere = posted.filter("name = ''").select("city")
+    return found.unionByName(texts.where(F.col("text").isNotNull()).join(everywhere).select("text", "city"))
+
+
+def match_city_names(events: DataFrame, names: DataFrame, keep_unmatched: bool = False) -> DataFrame:
+    """F2 for any number of names (a ``city`` column): the same rows as ``match_cities``.
+
+    The work per name is done on the distinct geo texts, not on the events: texts are searched
+    through a gram index, and events get their cities back by one join on their distinct
+    combination of geo texts."""
+    geos = [F.lower(F.col(g)).alias(f"g{i}") for i, g in enumerate(GEO_COLUMNS)]
+    geo, found = _free(events, "geo"), _free(events, "found")
+    places = events.select(*geos).distinct()
+    keys = [f"g{i}" for i in range(len(GEO_COLUMNS))]
+    each = places.select(*keys, F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("text"))
+    pairs = names_in_texts(each.select("text").distinct(), names)
+    cities = each.join(pairs, "text").groupBy(*keys).agg(F.sort_array(F.collect_set("city")).alias(found))
+    folded = events.withColumn(geo, F.struct(*geos))
+    met = folded.join(cities, reduce(lambda a, b: a & b, [F.col(f"{geo}.{k}").eqNullSafe(cities[k]) for k in keys]),
+                      "left" if keep_unmatched else "inner")
+    explode = F.explode_outer if keep_unmatched else F.explode
+    return met.select(*events.columns, explode(found).alias("city"))
 
 
 def match_cities_strict(events: DataFrame, patterns: Sequence[tuple[str, str]]) -> DataFrame:
@@ -130,6 +199,54 @@ def tone_7d(daily: DataFrame) -> DataFrame:
     return daily.withColumn("avg_tone_7d", mean_rounded(F.col("avg_tone"), 3, over=w, python_round=False))  # pandas .round(3)
 
 
+WINDOW_ROWS = 7
+
+
+def month_tails(rows: DataFrame) -> DataFrame:
+    """Per (city, month): ``n`` rows, and ``tail``, the last six (obs_date, avg_tone) up to its
+    end - what the next month's 7-row means need of the past."""
+    back = Window.partitionBy("city").orderBy("obs_date").rowsBetween(2 - WINDOW_ROWS, 0)
+    tails = rows.select("city", "month", "obs_date", F.collect_list(F.struct("obs_date", "avg_tone")).over(back).alias("tail"))
+    return tails.groupBy("city", "month").agg(F.count(F.lit(1)).alias("n"), F.max_by("tail", "obs_date").alias("tail"))
+
+
+def reached_months(changed: DataFrame, tails: DataFrame) -> DataFrame:
+    """(city, month) of ``changed`` (with ``last``, its last changed day there) and of the later
+    stored months that a change can reach: those with fewer than six stored rows between."""
+    keys = ["city", "month"]
+    after = F.ifnull(F.size(F.filter("tail", lambda t: t["obs_date"] > F.col("last"))), F.lit(0))
+    source = changed.join(tails.select(*keys, "tail"), keys, "left").select("city", F.col("month").alias("source"), after.alias("after"))
+    later = source.join(tails.select(*keys, "n"), "city").filter("month > source")
+    before = Window.partitionBy("city", "source").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    between = F.col("after") + F.ifnull(F.sum("n").over(before), F.lit(0))
+    near = later.withColumn("between", between).filter(F.col("between") < WINDOW_ROWS - 1)
+    return changed.select(*keys).union(near.select(*keys)).distinct()
+
+
+def rewritten_months(stored: DataFrame | None, tails: DataFrame | None, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """W6 + M5 for a batch of days: the new rows of every month the batch touches or reaches,
+    and the new tails of the batch's cities. Months that no change reaches are not read."""
+    changed = batch.groupBy("city", "month").agg(F.max("obs_date").alias("last"))
+    if stored is None or tails is None:
+        rows = tone_7d(batch.withColumns({c: F.lit(None).cast("double") for c in ("avg_tone_7d", "polarity")}))
+        return rows.select(*batch.columns), month_tails(rows)
+    dirty = reached_months(changed, tails)
+    keys = ["city", "month"]
+    old = staged.in_scope(stored, dirty, keys)
+    merged = partial_upsert(old, batch, ["city", "obs_date"], ["avg_tone_7d", "polarity"])
+    # six earlier rows for each dirty month, from the nearest month before it that stays as it is
+    clean = tails.join(dirty, keys, "left_anti").join(changed.select("city").distinct(), "city", "left_semi")
+    nearest = dirty.join(clean.select("city", F.col("month").alias("before"), "tail"), "city").filter("before < month")
+    context = nearest.groupBy("city", "month").agg(F.max_by("tail", "before").alias("tail")).select("city", F.explode("tail").alias("t")).select(
+        "city", "t.obs_date", "t.avg_tone").distinct()
+    context = context.join(merged.select("city", "obs_date"), ["city", "obs_date"], "left_anti")
+    both = merged.withColumn("own", F.lit(True)).unionByName(context.withColumn("own", F.lit(False)), allowMissingColumns=True)
+    timed = tone_7d(both)
+    new_tails = month_tails(timed.withColumn("month", F.when(F.col("own"), F.col("month")))).filter("month is not null")
+    kept = tails.join(changed.select("city").distinct(), "city", "left_semi").join(dirty, keys, "left_anti")
+    return timed.filter("own").select(*batch.columns), kept.unionByName(new_tails)
+
+
 def gdelt_daily(raw_events: DataFrame, cities: Sequence[str]) -> DataFrame:
     """E12 result table keyed by (city, obs_date) with avg_tone_7d and polarity."""
     daily = rollup_with_empty_days(coerce(raw_events), cities).withColumn("polarity", F.lit(None).cast("double"))

@@ -98,6 +98,15 @@ def f2_city_filter(spark, sf):
     return finish(m.select("city", "obs_date", "SOURCEURL", "EventRootCode", "AvgTone", nw.is_protest().alias("is_protest")))
 
 
+@query("f2_many_cities")
+def f2_many_cities(spark, sf):
+    """F2 with every customer, nation and region as a name: matches per name through the gram
+    index over the distinct geo texts."""
+    m = nw.match_city_names(fixtures.place_events(spark, sf), fixtures.place_names(spark, sf))
+    return finish(m.groupBy("city").agg(F.count(F.lit(1)).alias("events"), F.sum("l_orderkey").alias("order_sum"),
+                                        F.sum("l_linenumber").cast("long").alias("line_sum")))
+
+
 @query("a6_news_daily")
 def a6_news_daily(spark, sf):
     return finish(daily.gdelt(spark, sf).drop("avg_tone_7d", "polarity"))
@@ -707,7 +716,7 @@ def s11_landing_json(spark, sf):
 
 # ---------------------------------------------------------------- jobs over several runs
 
-from metroscope.plans import jobs  # noqa: E402
+from metroscope.plans import jobs, update  # noqa: E402
 
 
 @query("e3_incremental")
@@ -746,6 +755,58 @@ def m1_moving_key(spark, sf):
     return finish(spark.read.schema(monthly.schema).parquet(root))
 
 
+def _middle_news_day(events: DataFrame) -> str:
+    """The day in the middle of the export, as text."""
+    days = events.agg(F.min("SQLDATE").alias("lo"), F.max("SQLDATE").alias("hi")).select(
+        *[F.to_date(c, "yyyyMMdd").alias(c) for c in ("lo", "hi")])
+    return days.select(F.date_format(F.expr("date_add(lo, cast(datediff(hi, lo) / 2 as int))"), "yyyyMMdd")).first()[0]
+
+
+@query("e12_news_job")
+def e12_news_job(spark, sf):
+    """E12 three times: the export without its middle day, that day alone, and that day again
+    with every tone one higher."""
+    ev = fixtures.news_events(spark, sf)
+    middle = F.col("SQLDATE") == _middle_news_day(ev)
+    root, events_root = scratch_path(spark, "news-table"), scratch_path(spark, "news-events")
+    higher = ev.filter(middle).withColumn("AvgTone", F.col("AvgTone") + 1)
+    for batch in (ev.filter(~middle), ev.filter(middle), higher):
+        landing = scratch_path(spark, "news-export")
+        batch.select(*[(F.col(c).cast("string") if c in ev.columns else F.lit(None).cast("string")).alias(c)
+                       for c in io.NEWS_COLUMNS]).write.option("sep", "\t").option("header", False).csv(landing)
+        out = jobs.news_job(spark, landing, fixtures.CITIES, events_root, root)
+    return finish(out.drop("month"))
+
+
+@query("e17_window")
+def e17_window(spark, sf):
+    """E17 for one changed day: the datamart is built while the middle request day is still
+    incomplete (all its requests open, none of its alerts there), then that day is ingested
+    and only its cells are brought up to date. Returns all cards and, as one more, the scores."""
+    requests, alerts = fixtures.requests_daily(spark, sf), fixtures.alert_features(spark, sf)
+    day = requests.agg(F.to_date(F.timestamp_micros(((F.unix_micros(F.min("requested_datetime")) + F.unix_micros(F.max("requested_datetime"))) / 2
+                                                     ).cast("long")))).first()[0]
+    roots = {n: scratch_path(spark, f"e17-{n}") for n in ("requests", "alerts", "datamart")}
+
+    def ingest(rows, feats):
+        monthly = mg.resolution_hours(rows).withColumn("month", F.date_format("requested_datetime", "yyyy-MM"))
+        mg.merge_into_path(spark, roots["requests"], monthly, ["city", "service_request_id"], ["city", "month"], ["updated_datetime"], moving=True)
+        jobs.alerts_job(spark, feats, roots["alerts"])
+        return [spark.read.parquet(roots["requests"]), spark.read.parquet(roots["alerts"])]
+
+    on_day = F.to_date("requested_datetime") == F.lit(day)
+    r, a = ingest(requests.withColumn("status", F.when(on_day, "open").otherwise(F.col("status"))), alerts.filter(F.col("obs_date") != F.lit(day)))
+    weather, news = (daily.materialize(spark, t, "e17-days") for t in (daily.weather(spark, sf), daily.gdelt(spark, sf)))
+    jobs.daily_job(spark, r, weather, a, news, daily.stations(spark), roots["datamart"])
+    r, a = ingest(requests.filter(on_day), alerts.filter(F.col("obs_date") == F.lit(day)))
+    changed = daily.city_list(spark).withColumn("d", F.lit(day))
+    done = update.update_job(spark, r, weather, a, news, daily.stations(spark), roots["datamart"], changed)
+    scores = done["signal_scores"].select(
+        "city", F.col("score_date").alias("metric_date"), F.lit("composite").alias("metric_name"), F.col("composite").alias("value_num"),
+        F.col("readiness_mode").alias("value_text"), F.col("anomaly_score").alias("delta_pct"), F.col("composite_baseline_30d").alias("baseline"))
+    return finish(done["signal_metrics"].select(*scores.columns).unionByName(scores))
+
+
 @query("e14_alerts")
 def e14_alerts(spark, sf):
     """E14 twice: all alerts as feature collections, then every fourth seen again 20 days later

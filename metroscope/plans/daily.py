@@ -94,8 +94,16 @@ def inputs_of(spark: SparkSession, requests: DataFrame, weather: DataFrame, aler
     with ThreadPoolExecutor(max_workers=len(plans)) as pool:
         futures = {k: pool.submit(lambda k=k, f=f: materialize(spark, f(), k)) for k, f in plans.items()}
         done = {k: fut.result() for k, fut in futures.items()}
-    days, wx, al, gd = done["city-days"], done["weather-daily"], done["alert-daily"], done["news-daily"]
-    st = stations
+    return _inputs(done["city-days"], done["weather-daily"], done["alert-daily"], done["news-daily"], stations)
+
+
+def inputs_of_days(spark: SparkSession, days: DataFrame, weather: DataFrame, alert_days: DataFrame, news: DataFrame,
+                   stations: DataFrame) -> DailyInputs:
+    """The same from tables that are folded to days already."""
+    return _inputs(days, weather, alert_days, news, stations)
+
+
+def _inputs(days: DataFrame, wx: DataFrame, al: DataFrame, gd: DataFrame, st: DataFrame) -> DailyInputs:
     counts = days.select("city", "d", "cnt")
     heat_days = wx.join(st, "station_id").select("city", F.col("obs_date").alias("d"))
     # a few thousand rows from the four small tables: scores read it once, cards write it first

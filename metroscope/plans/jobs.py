@@ -19,15 +19,16 @@ from metroscope.operators import lake as lk
 from metroscope.operators import ledger as lg
 from metroscope.operators import merge as mg
 from metroscope.operators import news as nw
-from metroscope.operators import serving as sv
 from metroscope.operators import staged
 from metroscope.plans import daily
+from metroscope.plans import update as up
 from metroscope.session import remove_scratch, scratch_path
 from metroscope.sources import io
 
 INGEST_PARTITIONS = ["ingest_year", "ingest_month", "ingest_day", "city"]
 BRONZE_PARTITIONS = ["year", "month", "day", "city", "batch_id"]
 SILVER_PARTITIONS = ["year", "month", "day", "city"]
+MONTH_TAILS = "_tails"  # beside the daily news table
 
 
 # ---------------------------------------------------------------- lake path
@@ -133,24 +134,18 @@ def daily_job(spark: SparkSession, requests: DataFrame, weather: DataFrame, aler
     all dates, or of ``start`` to ``end`` (both included), merged by key into
     ``out_root/<table>``, which is partitioned by city and month.
 
-    A window run reads the whole history (open backlog and trailing windows reach back)
-    and writes the same rows as a full run has for its dates."""
+    Reads the raw tables whole and keeps their folded days beside the outputs; a later run for
+    some changed days is ``update.update_job``, which reads only their raw partitions."""
     latest = mg.resolution_hours(mg.keep_latest(requests, ["city", "service_request_id"], ["updated_datetime"]))
     di = daily.inputs_of(spark, latest, weather, alerts, news, stations)
-    scores = daily.scores_of(di)
-    tables = {
-        "signal_scores": (scores, "score_date", ["city", "score_date"]),
-        "signal_metrics": (daily.cards_of(di), "metric_date", ["city", "metric_date", "metric_name"]),
-        "verdicts": (sv.verdicts(scores).withColumn("generated_at", F.current_timestamp()), "verdict_date", ["city", "verdict_date"]),
-    }
-    for name, (df, date, keys) in tables.items():
+    up.keep_days(spark, out_root, di.days, di.alert_daily)
+
+    def window(df: DataFrame, date: str) -> DataFrame:
         if start:
             df = df.filter(F.col(date) >= F.lit(start).cast("date"))
-        if end:
-            df = df.filter(F.col(date) <= F.lit(end).cast("date"))
-        monthly = df.withColumn("month", F.date_format(date, "yyyy-MM"))
-        mg.merge_into_path(spark, f"{out_root.rstrip('/')}/{name}", monthly, keys, ["city", "month"])
-    return {name: spark.read.parquet(f"{out_root.rstrip('/')}/{name}") for name in tables}
+        return df.filter(F.col(date) <= F.lit(end).cast("date")) if end else df
+
+    return up.merge_outputs(spark, out_root, window(daily.scores_of(di), "score_date"), window(daily.cards_of(di), "metric_date"))
 
 
 # ---------------------------------------------------------------- ingest jobs
@@ -168,16 +163,34 @@ def _stored(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
 
 def news_job(spark: SparkSession, export_path: str, cities: Sequence[str], events_root: str, news_root: str) -> DataFrame:
     """The daily news export (S8) -> city events as CSV (S9) and the daily news table
-    (P6, F2-F4, A6), merged so that a known day keeps its stored tone average and polarity
-    (M2); the 7-day tone is then set anew on every day (M5, W6)."""
-    events = nw.with_obs_date(nw.coerce(io.read_news_tsv(spark, export_path)))
-    io.write_news_csv(nw.match_cities(events, cities).select("obs_date", "city", *io.NEWS_COLUMNS), events_root)
-    new = nw.rollup_with_empty_days(events, cities).withColumns(
-        {"avg_tone_7d": F.lit(None).cast("double"), "polarity": F.lit(None).cast("double")})
-    merged = mg.partial_upsert(_stored(spark, news_root, new), new, ["city", "obs_date"], ["avg_tone_7d", "polarity"])
-    table = nw.tone_7d(merged).select(*new.columns).withColumn("month", F.date_format("obs_date", "yyyy-MM"))
-    mg.merge_into_path(spark, news_root, table, ["city", "obs_date"], ["city", "month"])
-    return spark.read.parquet(news_root)
+    (P6, F2-F4, A6), merged so that a known day keeps its polarity (M2) and the 7-day tone is
+    set anew on the days it covers (M5, W6).
+
+    Stored by city and month. Beside the table stand each month's row count and last six
+    tones (``news.month_tails``), so a run reads and writes only the months of its own days and
+    those their six following rows reach; all other files stay as they are."""
+    events = nw.coerce(io.read_news_tsv(spark, export_path))
+    io.write_news_csv(nw.match_cities(nw.with_obs_date(events), cities).select("obs_date", "city", *io.NEWS_COLUMNS), events_root)
+    news_root = news_root.rstrip("/")
+    staged.recover(spark, news_root)
+    path = scratch_path(spark, "news-days")
+    try:
+        days = nw.rollup_with_empty_days(events, cities).withColumns(
+            {"avg_tone_7d": F.lit(None).cast("double"), "polarity": F.lit(None).cast("double"), "month": F.date_format("obs_date", "yyyy-MM")})
+        days.filter("obs_date is not null").write.parquet(path)
+        batch = spark.read.schema(days.schema).parquet(path)
+        if not batch.isEmpty():
+            stored = staged.stored(spark, news_root, batch)
+            tails = staged.stored(spark, f"{news_root}/{MONTH_TAILS}", nw.month_tails(batch))
+            if stored is not None and tails is None:
+                tails = nw.month_tails(stored)  # a table from before the tails were kept
+            rows, new_tails = nw.rewritten_months(stored, tails, batch)
+            staged.commit(spark, news_root, [
+                staged.Change("rows", news_root, ("city", "month"), rows),
+                staged.Change("tails", f"{news_root}/{MONTH_TAILS}", ("city",), new_tails)])
+    finally:
+        remove_scratch(spark, path)
+    return spark.read.schema(days.schema).parquet(news_root)
 
 
 def weather_job(spark: SparkSession, observations: DataFrame, daily_values: DataFrame, weather_root: str) -> DataFrame:

@@ -18,8 +18,10 @@ DATE_COLUMNS = {
     'd9_quality_report': ('last_day',),
     'e10_latest_composite': ('score_date',),
     'e10_latest_verdict': ('verdict_date',),
+    'e12_news_job': ('obs_date',),
     'e12_news_tsv': ('obs_date',),
     'e14_alerts': ('obs_date',),
+    'e17_window': ('metric_date',),
     'e7_signal_scores': ('score_date',),
     'f1_validate_counts': ('obs_date',),
     'f2_city_filter': ('obs_date',),

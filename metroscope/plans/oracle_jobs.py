@@ -2,8 +2,8 @@
 from __future__ import annotations
 
 from metroscope.plans.oracle import F_BASE, F_BRONZE, F_DELIVERIES, F_LATEST, F_MAPPING, F_SILVER, ORACLE, _agg, final, with_
-from metroscope.plans.oracle_daily import F_ALERTS, F_REQ_RAW
-from metroscope.plans.oracle_serving import F_BRONZE_API, F_RUN_EVENTS
+from metroscope.plans.oracle_daily import F_ALERTS, F_REQ_RAW, NEWS
+from metroscope.plans.oracle_serving import CARDS, CARD_DOUBLES, F_BRONZE_API, F_RUN_EVENTS
 
 _LATE = F_DELIVERIES.replace("deliveries AS (", "deliveries AS (", 1)[:-1] + """ UNION ALL
  SELECT * REPLACE (ingested_at_utc + INTERVAL 12 DAY AS ingested_at_utc, 'open' AS status, updated_at_utc + INTERVAL 12 DAY AS updated_at_utc)
@@ -40,3 +40,23 @@ ORACLE["e16_run_log"] = with_(F_RUN_EVENTS) + """SELECT * REPLACE (CAST(duration
 ORACLE["r1_resume"] = ORACLE["r1_stream_hourly"]
 ORACLE["r2_two_cities"] = f"""SELECT * FROM ({ORACLE['r2_stream_dedup']}) AS a
 UNION ALL SELECT * REPLACE ('twin of ' || city AS city) FROM ({ORACLE['r2_stream_dedup']}) AS b"""
+
+_MIDDLE = "(SELECT CAST(min(CAST(l_shipdate AS DATE)) + CAST((max(CAST(l_shipdate AS DATE)) - min(CAST(l_shipdate AS DATE))) // 2 AS INTEGER) AS DATE) FROM lineitem)"
+_HIGHER = [c.replace("(l_tax - l_discount) * 100 AS tone",
+                     f"(l_tax - l_discount) * 100 + CASE WHEN CAST(l_shipdate AS DATE) = {_MIDDLE} THEN 1 ELSE 0 END AS tone") for c in NEWS]
+ORACLE["e12_news_job"] = final(with_(*_HIGHER) + "SELECT * FROM gdelt", "avg_tone", "goldstein_avg", "avg_tone_7d", "polarity")
+
+ORACLE["f2_many_cities"] = """WITH ev AS (SELECT row_number() OVER () AS r, l_orderkey, l_linenumber, lower(c_name || ', ' || cn.n_name) AS a,
+  CASE WHEN l_partkey % 5 > 0 THEN lower(sn.n_name) END AS b
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation cn ON c_nationkey = cn.n_nationkey
+  JOIN supplier ON l_suppkey = s_suppkey JOIN nation sn ON s_nationkey = sn.n_nationkey),
+names AS (SELECT c_name AS city FROM customer UNION SELECT n_name FROM nation UNION SELECT r_name FROM region UNION VALUES ('In'), ('a')),
+texts AS (SELECT DISTINCT t FROM (SELECT a AS t FROM ev UNION SELECT b FROM ev) WHERE t IS NOT NULL),
+found AS (SELECT t, city FROM texts JOIN names ON contains(t, lower(city))),
+hits AS (SELECT DISTINCT r, l_orderkey, l_linenumber, city FROM (SELECT r, l_orderkey, l_linenumber, a AS t FROM ev UNION ALL SELECT r, l_orderkey, l_linenumber, b FROM ev)
+ JOIN found USING (t))
+SELECT city, count(*) AS events, CAST(sum(l_orderkey) AS BIGINT) AS order_sum, CAST(sum(l_linenumber) AS BIGINT) AS line_sum FROM hits GROUP BY city"""
+
+# The last ingest says what the tables hold: the update must end where a full run would.
+ORACLE["e17_window"] = final(with_(*CARDS) + """SELECT * FROM cards UNION ALL
+SELECT city, score_date, 'composite', composite, readiness_mode, anomaly_score, composite_baseline_30d FROM scored""", *CARD_DOUBLES)

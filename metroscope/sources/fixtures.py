@@ -236,6 +236,28 @@ def news_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def place_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News rows whose geo texts name a customer with their nation, and a supplier's nation."""
+    li, orders = tables.read(spark, sf_dir, "lineitem"), tables.read(spark, sf_dir, "orders")
+    customers, suppliers = tables.read(spark, sf_dir, "customer"), tables.read(spark, sf_dir, "supplier")
+    nations = tables.read(spark, sf_dir, "nation")
+    home = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", F.concat("c_name", F.lit(", "), F.initcap("n_name")).alias("ActionGeo_FullName"))
+    base = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("supplier_nation"))
+    rows = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(home, F.col("o_custkey") == F.col("c_custkey")).join(
+        base, F.col("l_suppkey") == F.col("s_suppkey"))
+    return rows.select(
+        "l_orderkey", "l_linenumber", "ActionGeo_FullName", F.lit(None).cast("string").alias("Actor2Geo_FullName"),
+        F.when(F.col("l_partkey") % 5 > 0, F.col("supplier_nation")).alias("Actor1Geo_FullName"))
+
+
+def place_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names to look for: all customers, nations and regions, and two short ones."""
+    read = lambda t, c: tables.read(spark, sf_dir, t).select(F.col(c).alias("city"))
+    return read("customer", "c_name").union(read("nation", "n_name")).union(read("region", "r_name")).union(
+        spark.createDataFrame([("In",), ("a",)], "city string"))
+
+
 # Article theme lists by event type (purchase has none).
 THEMES_BY_EVENT = (
     ("error", "KILL;CRISISLEX_T03_DEAD"),
