@@ -49,21 +49,45 @@ SELECT best.page_id, best.host, best.path, best.rule,
 FROM best LEFT JOIN grouped g ON g.node = best.node
 """
 
-# --- op3: exact quartiles (a sketch of fewer documents than its size is exact) -------------
+# --- op3: counts in value bins, the first wide gap beyond the quartiles --------------------
 _RATES = ("repeat_rate", "symbol_rate", "dup_line_rate", "mean_word")
+_LIN, _LOG = thresholds.LINEAR, thresholds.LOG
 
 
-def _quartile(rate: str, p: float) -> str:
-    return f"list_sort(list({rate}))[CAST(ceil({p} * count(*)) AS INTEGER)]"
+def _low(b: str) -> str:
+    return f"(CASE WHEN {b} <= 1 THEN 0.0 WHEN {b} <= {_LIN} THEN ({b} - 1) / {_LIN} ELSE exp(({b} - {_LIN + 1}) / {_LOG}) END)"
 
 
-_QUARTILES = ", ".join(f"{_quartile(r, p)} AS {r}_{n}" for r in _RATES for p, n in ((0.25, "q1"), (0.75, "q3")))
-_QCOLS = [f"{r}_{n}" for r in _RATES for n in ("q1", "q3")]
-_PICKED = ", ".join(f"CASE WHEN g.n >= {thresholds.MIN_GROUP} THEN g.{c} WHEN l.n >= {thresholds.MIN_GROUP} THEN l.{c} "
-                    f"ELSE o.{c} END AS {c}" for c in _QCOLS)
-_INSIDE = " AND ".join(
-    [f"{r} <= {r}_q3 + greatest(({r}_q3 - {r}_q1) * {thresholds.REACH}, {s})" for r, s in thresholds.ABOVE.items()]
-    + [f"{r} >= {r}_q1 - greatest(({r}_q3 - {r}_q1) * {thresholds.REACH}, {s})" for r, s in thresholds.BELOW.items()])
+def _high(b: str) -> str:
+    return f"(CASE WHEN {b} <= 0 THEN 0.0 WHEN {b} <= {_LIN} THEN {b} / {_LIN} ELSE exp(({b} - {_LIN}) / {_LOG}) END)"
+
+
+_BINS = " UNION ALL ".join(
+    f"SELECT lang, source, '{r}' AS rate, n_words, CAST(CASE WHEN {r} <= 0 THEN 0 WHEN {r} < 1 THEN floor({r} * {_LIN}) + 1 "
+    f"ELSE {_LIN + 1} + floor(ln({r}) * {_LOG}) END AS INTEGER) AS bin FROM ok" for r in _RATES)
+_NAMES = [f"{r}_max" for r in thresholds.ABOVE] + [f"{r}_min" for r in thresholds.BELOW]
+
+
+def _limits(keys: str) -> str:
+    """Thresholds per ``keys`` from the bins merged to that level."""
+    by = f"{keys}, rate" if keys else "rate"
+    quantiles = ", ".join(f"min(CASE WHEN upto * 100 >= total * {p} THEN bin END) OVER g AS q{p}" for p in (25, 50, 75))
+    middle = f"(({_low('q50')} + {_high('q50')}) / 2)"
+    room = lambda far: f"(greatest({far}, 0.0) + one_word) * {thresholds.GAP}"
+    above = f"bin >= q75 AND {_low('nxt')} - {_high('bin')} >= {room(_high('bin') + ' - ' + middle)}"
+    below = f"bin <= q25 AND {_low('bin')} - {_high('bef')} >= {room(middle + ' - ' + _low('bin'))}"
+    columns = ", ".join([f"min(CASE WHEN rate = '{r}' AND {above} THEN ({_high('bin')} + {_low('nxt')}) / 2 END) AS {r}_max" for r in thresholds.ABOVE]
+                        + [f"max(CASE WHEN rate = '{r}' AND {below} THEN ({_low('bin')} + {_high('bef')}) / 2 END) AS {r}_min" for r in thresholds.BELOW])
+    return f"""SELECT {keys + ',' if keys else ''} max(total) AS docs, {columns} FROM (SELECT *, {quantiles} FROM (
+  SELECT *, sum(n) OVER (g ORDER BY bin ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER g AS total, sum(n) OVER g / sum(words) OVER g AS one_word,
+   lead(bin) OVER (g ORDER BY bin) AS nxt, lag(bin) OVER (g ORDER BY bin) AS bef
+  FROM (SELECT {by}, bin, count(*) AS n, sum(n_words) AS words FROM bins GROUP BY {by}, bin) WINDOW g AS (PARTITION BY {by}))
+ WINDOW g AS (PARTITION BY {by})) {'GROUP BY ' + keys if keys else ''}"""
+
+
+_PICKED = ", ".join(f"CASE WHEN g.docs >= {thresholds.MIN_GROUP} THEN g.{c} WHEN l.docs >= {thresholds.MIN_GROUP} THEN l.{c} "
+                    f"ELSE o.{c} END AS {c}" for c in _NAMES)
+_INSIDE = " AND ".join([f"coalesce({r} <= {r}_max, true)" for r in thresholds.ABOVE] + [f"coalesce({r} >= {r}_min, true)" for r in thresholds.BELOW])
 
 OP3 = f"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{SPACE_WORD}') AS w FROM documents),
@@ -83,12 +107,13 @@ r AS (SELECT *, n_words < {thresholds.MIN_WORDS} OR 100 * n_repeat_words > 50 *
         CASE WHEN n_words > 0 THEN n_dup_lines / n_words ELSE 0 END AS dup_line_rate,
         CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word FROM m),
 ok AS (SELECT * FROM r WHERE NOT base_failed),
-g AS (SELECT lang, source, count(*) AS n, {_QUARTILES} FROM ok GROUP BY lang, source),
-l AS (SELECT lang, count(*) AS n, {_QUARTILES} FROM ok GROUP BY lang),
-o AS (SELECT count(*) AS n, {_QUARTILES} FROM ok),
+bins AS ({_BINS}),
+g AS ({_limits('lang, source')}),
+l AS ({_limits('lang')}),
+o AS ({_limits('')}),
 lim AS (SELECT g.lang, g.source, {_PICKED} FROM g JOIN l ON l.lang IS NOT DISTINCT FROM g.lang CROSS JOIN o)
 SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce({_INSIDE}, false) AS kept
+       NOT base_failed AND {_INSIDE} AS kept
 FROM r LEFT JOIN lim ON lim.lang IS NOT DISTINCT FROM r.lang AND lim.source IS NOT DISTINCT FROM r.source
 """
 

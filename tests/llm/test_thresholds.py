@@ -54,12 +54,47 @@ def test_thresholds_adapt_to_the_group(spark):
 
 
 def test_sketches_merge(spark):
-    """Merged per-source sketches give the quantile of all rows."""
-    rows = [("en", f"s{i % 7}", i % 100) for i in range(7000)]
-    sk = T.group_sketches(measured(spark, rows))
-    q = sk.agg(F.kll_merge_agg_double("symbol_rate", T.SKETCH_K).alias("s")).select(
-        F.kll_sketch_get_quantile_double("s", F.lit(0.75))).first()[0]
-    assert abs(q - 0.75) <= 0.01
+    """Merged per-source sketches are the sketch of all rows, and hold its quantiles to a bin."""
+    rows = [("en", f"s{i % 7}", i * i % 311) for i in range(7000)]
+    parts = T.group_sketches(measured(spark, rows))
+    whole = T.group_sketches(measured(spark, [(lang, "one", s) for lang, _, s in rows]))
+    add = lambda df: sorted(map(tuple, df.groupBy("rate", "bin").agg(F.sum("n"), F.sum("words")).collect()))
+    assert add(parts) == add(whole)
+    bins = sorted((b, n) for r, b, n, _ in add(whole) if r == "symbol_rate")
+    rates = sorted(s / 100 for _, _, s in rows)
+    low, high = T.edges(F.col("b"))
+    for share in (25, 50, 75, 95):
+        seen, at = 0, None
+        for at, n in bins:
+            seen += n
+            if seen * 100 >= len(rows) * share:
+                break
+        lo, hi = spark.createDataFrame([(at,)], "b int").select(low, high).first()
+        assert lo <= rates[-(-len(rows) * share // 100) - 1] <= hi + 1e-12
+
+
+def test_bins_hold_their_values(spark):
+    values = [0.0, 1e-9, 0.5, 0.4999999, 0.999999, 1.0, 1.5, 7.25, 2000.0, 3e7]
+    low, high = T.edges(T.bin_of(F.col("v")))
+    for r in spark.createDataFrame([(v,) for v in values], "v double").select("v", low.alias("lo"), high.alias("hi")).collect():
+        assert r.lo - 1e-12 <= r.v <= r.hi * (1 + 1e-12) and r.hi - r.lo <= max(1 / 1024, r.v / 60)
+
+
+def test_verdicts_are_repeatable(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice(["en", "de", None]), rng.choice(["a", "b"]), rng.choice([0, 0, 0, 1, 2, rng.randint(50, 90)])) for _ in range(3000)]
+    verdicts = lambda df: sorted((r.doc_id, r.kept) for r in T.judge(df).collect())
+    first = verdicts(measured(spark, rows))
+    assert first == verdicts(measured(spark, rows).repartition(7)) and {k for _, k in first} == {True, False}
+
+
+def test_a_group_without_gaps_has_no_threshold(spark):
+    rows = [("en", "smooth", i % 100) for i in range(1000)] + [("en", "split", i % 10) for i in range(900)] + [("en", "split", 200)] * 30
+    got = T.judge(measured(spark, rows)).collect()
+    assert all(r.kept and r.symbol_rate_max is None for r in got if r.source == "smooth")
+    assert {r.kept for r in got if r.source == "split" and r.n_symbols < 10} == {True}
+    assert {r.kept for r in got if r.source == "split" and r.n_symbols == 200} == {False}
+    assert all(0.1 < r.symbol_rate_max < 2 for r in got if r.source == "split")
 
 
 def test_awkward_rows(docs_of, awkward):
