@@ -32,10 +32,11 @@ def written(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(df: DataFrame) -> None:
-    """Delete the folder behind a table that ``written`` made and nothing reads any more."""
+def drop_written(df: DataFrame, marked: str = "") -> None:
+    """Delete the folders behind tables that ``written`` made and nothing reads any more: all
+    that ``df`` reads, or those whose path holds ``marked``."""
     spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles() if marked in f}:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

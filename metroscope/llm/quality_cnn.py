@@ -5,14 +5,17 @@ all byte positions; each overlapping chunk keeps the maximum of every filter
 (max-pooling); the chunk vectors are combined by their mean and maximum over the whole
 document into one logit. Scores use nothing but the text.
 
-Fitting runs on the driver over a bounded sample (``MAX_TRAIN_DOCS`` labelled documents,
-at most ``MAX_TRAIN_CHUNKS`` chunks each, spread evenly over the whole text and cut out
-by the executors). Scoring runs in Spark tasks over every byte of every document, in
-fixed-size segments, so a very long text needs no more memory than a short one.
+Fitting runs on the driver over a bounded sample (``MAX_TRAIN_DOCS`` labelled documents of the
+table, all chunks of their whole texts), ``EPOCHS`` times, whatever the table's size. Its memory is
+that of the sampled texts; passes go in segments of ``SEGMENT_CHUNKS`` chunks. Scoring runs in
+Spark tasks over every byte of every document, in the same segments, so a very long text needs
+no more memory than a short one.
 
 Defined results: a null or empty text is scored as a document of one padding chunk; a null
-id is not held out and never used for fitting; repeated rows are scored one by one; with
-no labelled rows (or one class only) the model is the smoothed label mean for every text.
+id is not held out and never used for fitting; repeated rows are scored one by one; labels of
+ids that the table does not hold are not counted; with no labelled rows (or one class only)
+nothing can be told apart: the model is the smoothed label mean for every text, and ``keep_good``
+keeps every row.
 """
 from __future__ import annotations
 
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from metroscope.llm.common import bounded, crc_mod, map_batches
 
 MAX_TRAIN_DOCS = 3000      # documented bound of the labelled sample
-MAX_TRAIN_CHUNKS = 12      # chunks per sampled document, spread over its whole length
+EPOCHS = 20                # passes over the sample
 THRESHOLD = 0.7
 
 PAD = 256                  # the symbol after the end of a text
@@ -36,7 +39,7 @@ CHUNK_BLOCKS = 8           # a chunk is 8 blocks (512 bytes) ...
 STRIDE_BLOCKS = 7          # ... and starts every 7 blocks, so neighbours overlap by one block
 CHUNK = BLOCK * CHUNK_BLOCKS
 STRIDE = BLOCK * STRIDE_BLOCKS
-SEGMENT_CHUNKS = 32        # chunks convolved at once while scoring
+SEGMENT_CHUNKS = 32        # chunks convolved at once
 
 
 @dataclass
@@ -99,7 +102,7 @@ class ByteCnn:
         return 1 / (1 + np.exp(-min(max(z, -60.0), 60.0)))
 
     def fit(self, chunks: np.ndarray, doc_of: np.ndarray, labels: np.ndarray,
-            epochs: int = 10, batch_docs: int = 32, rate: float = 0.004) -> None:
+            epochs: int = EPOCHS, batch_docs: int = 32, rate: float = 0.004) -> None:
         """Adam on the log loss. ``chunks`` (n, CHUNK + width - 1) symbols sorted by
         ``doc_of``; gradients of a max go to the position that won it."""
         params = ["emb", "conv", "bias", "head", "head_bias"]
@@ -125,11 +128,13 @@ class ByteCnn:
         x = np.concatenate(docs)
         owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
         n, nf, wd = len(x), self.filters, self.width * self.dims
-        e = self.emb[x]
-        win = np.lib.stride_tricks.sliding_window_view(e, self.width, axis=1).transpose(0, 1, 3, 2).reshape(n * CHUNK, wd)
-        out = (win @ self.conv).reshape(n, CHUNK, nf)
-        arg = out.argmax(axis=1)
-        pre = np.take_along_axis(out, arg[:, None, :], axis=1)[:, 0] + self.bias
+        arg, pre = np.zeros((n, nf), np.int64), np.zeros((n, nf), self.conv.dtype)
+        for s in range(0, n, SEGMENT_CHUNKS):
+            part = x[s:s + SEGMENT_CHUNKS]
+            view = np.lib.stride_tricks.sliding_window_view(self.emb[part], self.width, axis=1).transpose(0, 1, 3, 2)
+            out = (view.reshape(len(part) * CHUNK, wd) @ self.conv).reshape(len(part), CHUNK, nf)
+            arg[s:s + SEGMENT_CHUNKS] = out.argmax(axis=1)
+            pre[s:s + SEGMENT_CHUNKS] = out.max(axis=1) + self.bias
         h = np.maximum(pre, 0)
         firsts = np.searchsorted(owner, np.arange(len(docs)))
         counts = np.bincount(owner, minlength=len(docs))[:, None]
@@ -141,15 +146,17 @@ class ByteCnn:
         ties = np.maximum(np.add.reduceat(is_top, firsts)[owner], 1)
         dh = dz[owner][:, None] * (self.head[:nf] / counts[owner] + self.head[nf:] * is_top / ties)
         dh *= pre > 0
-        won = win.reshape(n, CHUNK, wd)[np.arange(n)[:, None], arg]          # (n, filters, width * dims)
-        g_conv = np.einsum("nfk,nf->kf", won, dh)
-        back = (dh[:, :, None] * self.conv.T[None]).reshape(n, nf, self.width, self.dims)
-        at = arg[:, :, None] + np.arange(self.width)
-        sym = x[np.arange(n)[:, None, None], at].ravel()
-        g_emb = np.zeros_like(self.emb)
-        flat = back.reshape(-1, self.dims)
-        for d in range(self.dims):
-            g_emb[:, d] = np.bincount(sym, weights=flat[:, d], minlength=PAD + 1)
+        g_conv, g_emb = np.zeros((wd, nf), self.conv.dtype), np.zeros_like(self.emb)
+        for s in range(0, n, SEGMENT_CHUNKS):
+            some = slice(s, s + SEGMENT_CHUNKS)
+            rows, d = x[some], dh[some]
+            at = arg[some][:, :, None] + np.arange(self.width)                  # the windows that won
+            sym = rows[np.arange(len(rows))[:, None, None], at]
+            won = self.emb[sym].reshape(len(rows), nf, wd)
+            g_conv += np.einsum("nfk,nf->kf", won, d)
+            flat = (d[:, :, None] * self.conv.T[None]).reshape(-1, self.dims)
+            for k in range(self.dims):
+                g_emb[:, k] += np.bincount(sym.ravel(), weights=flat[:, k], minlength=PAD + 1)
         return {"emb": g_emb, "conv": g_conv, "bias": dh.sum(axis=0), "head": g_head, "head_bias": dz.sum(keepdims=True)}
 
 
@@ -168,18 +175,12 @@ def chunk_count(n_bytes: int) -> int:
     return 1 if n_bytes <= CHUNK else 1 + -(-(n_bytes - CHUNK) // STRIDE)
 
 
-def sample_chunks(data: bytes, width: int, most: int = MAX_TRAIN_CHUNKS) -> list[bytes]:
-    """Up to ``most`` chunks (CHUNK + width - 1 little-endian 16-bit symbols each), spread
-    evenly over the whole text."""
+def all_chunks(data: bytes, width: int) -> np.ndarray:
+    """(chunks, CHUNK + width - 1) symbols that cover the whole text."""
     n = chunk_count(len(data))
-    picks = range(n) if n <= most else [round(i * (n - 1) / (most - 1)) for i in range(most)]
-    out = []
-    for c in picks:
-        part = np.frombuffer(data[c * STRIDE: c * STRIDE + CHUNK + width - 1], np.uint8)
-        symbols = np.full(CHUNK + width - 1, PAD, "<i2")
-        symbols[: len(part)] = part
-        out.append(symbols.tobytes())
-    return out
+    symbols = np.full((n - 1) * STRIDE + CHUNK + width - 1, PAD, np.int16)
+    symbols[:len(data)] = np.frombuffer(data, np.uint8)[:len(symbols)]
+    return np.lib.stride_tricks.sliding_window_view(symbols, CHUNK + width - 1)[::STRIDE]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -189,50 +190,25 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     The sample is the smallest keyed hashes of the labelled ids, so it does not depend on
     row order or partitioning. An id with several labels counts with its smallest one, an
-    id with several texts with its smallest text."""
+    id with several texts with the one of the smallest hash."""
     key = F.col(id_col)
+    here = docs.select(key.alias("_id")).distinct()
     picked = (
         labels.filter(key.isNotNull() & F.col(label_col).isNotNull() & (crc_mod(key, held_out_mod) != held_out_is))
-        .groupBy(key.alias("_id")).agg(F.min(label_col).alias("_y"))
+        .groupBy(key.alias("_id")).agg(F.min(label_col).alias("_y")).join(here, "_id", "left_semi")
         .orderBy(F.xxhash64(F.lit("sample"), "_id"), "_id").limit(max_docs)
     )
-    width = ByteCnn().width
-    rows = docs.select(key.alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(picked), "_id")  # <= max_docs rows
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in bounded(batches, "_t"):
-            ids, texts, ys = (b.column(c).to_pylist() for c in ("_id", "_t", "_y"))
-            out = [(i, int(y), sample_chunks((t or "").encode("utf-8", "surrogatepass"), width), t or "")
-                   for i, t, y in zip(ids, texts, ys)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()),
-                 pa.array([o[2] for o in out], pa.list_(pa.binary())),
-                 pa.array([hash_text(o[3]) for o in out], pa.int64())], ["_id", "_y", "_chunks", "_order"])
-
-    schema = "_id long, _y int, _chunks array<binary>, _order long"
-    sample = (
-        map_batches(rows.withColumn("_id", F.col("_id").cast("long")), cut, schema)
-        .groupBy("_id").agg(F.min_by(F.struct("_y", "_chunks"), "_order").alias("r"))
-        .select("_id", "r._y", "r._chunks").toPandas().sort_values("_id")
-    )
+    rows = docs.select(key.alias("_id"), F.ifnull(F.col(text_col), F.lit("")).alias("_t")).join(F.broadcast(picked), "_id")  # <= max_docs rows
+    sample = rows.groupBy("_id").agg(F.min("_y").alias("_y"), F.min_by("_t", F.xxhash64("_t")).alias("_t")).toPandas()
     if sample["_y"].nunique() < 2:
         return ConstantModel(float((sample["_y"].sum() + 1) / (len(sample) + 1)) if len(sample) else 0.5)
+    sample = sample.sort_values("_id")
     model = ByteCnn()
-    blobs, sizes = [b for c in sample["_chunks"] for b in c], [len(c) for c in sample["_chunks"]]
-    chunks = np.frombuffer(b"".join(blobs), "<i2").reshape(len(blobs), -1)
-    y = sample["_y"].to_numpy(np.float32)
-    # few labelled rows (small tables) get more epochs, so that the number of steps is alike
-    epochs = int(np.clip(30_000 / len(y), 10, 40))
-    model.fit(chunks, np.repeat(np.arange(len(y)), sizes), y, epochs=epochs)
+    texts = [all_chunks(t.encode("utf-8", "surrogatepass"), model.width) for t in sample["_t"]]
+    model.fit(np.concatenate(texts), np.repeat(np.arange(len(texts)), [len(t) for t in texts]), sample["_y"].to_numpy(np.float32))
     return model
 
 
-def hash_text(text: str) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
 def score_documents(docs: DataFrame, model: ByteCnn | ConstantModel, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``score`` (0 to 1), ``predicted`` for every row; no shuffle."""
@@ -250,7 +226,9 @@ def score_documents(docs: DataFrame, model: ByteCnn | ConstantModel, id_col: str
 
 def keep_good(docs: DataFrame, model: ByteCnn | ConstantModel, text_col: str = "text",
               threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose text the model accepts."""
+    """The rows of ``docs`` (all columns) whose text the model accepts (all, if it could learn nothing)."""
+    if isinstance(model, ConstantModel):
+        return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in bounded(batches, text_col):

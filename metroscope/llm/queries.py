@@ -14,8 +14,12 @@ from metroscope.llm import (
 from metroscope.llm.common import crc_mod, documents
 
 
+TABLES_KEY = "synthetic tables"  # a user's key is a secret of their own
+
+
 def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.replace_private(documents(spark, sf_dir), count_col="n_replaced").select("doc_id", "n_replaced", "text")
+    docs = documents(spark, sf_dir)
+    return surrogates.settled_private(docs, TABLES_KEY, count_col="n_replaced").select("doc_id", "n_replaced", "text")
 
 
 def op2_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:

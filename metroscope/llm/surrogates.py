@@ -13,8 +13,16 @@ coreference holds over the whole corpus.
 
 Collision check: a replacement that two entities drew, or that is itself a real entity of
 the corpus, is kept by at most one of them; the others draw again with the next attempt
-number until all replacements are distinct. The entity table is corpus-wide and grows
-with the input; it is only ever joined and grouped, never collected.
+number. Addresses and names grow by a letter or syllable with each attempt, so their space
+never fills. Numbers keep their format; where a format's space is so densely used that
+entities are still open after ``ROUNDS`` attempts, all entities of that format are handed round
+among themselves in a keyed order instead: each gets another one's number, so replacements stay
+distinct and of their type, though no longer unlike every real entity (there is no room for
+that). The entity table is corpus-wide and grows with the input; it is only ever joined and
+grouped, never collected.
+
+The tables that link real and replaced data exist only until the result is written:
+``settled_private`` writes it and deletes them. The key is the caller's secret.
 
 Numbers that stand beside one another (a card and its check value, two phones, a date and
 a card) are told apart: everything with a form of its own ends a run of digit groups, and
@@ -30,10 +38,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from metroscope.llm.common import free_name, written
+from metroscope.llm.common import drop_written, free_name, written
 
-KEY = "metroscope-surrogates"   # a caller passes its own secret
-MAX_ATTEMPTS = 40
+ROUNDS = 6              # attempts before a dense number format is handed round
+MAX_ATTEMPTS = 40       # attempts of the growing types
+ROTATION_ROWS = 1000    # about so many entities are handed round together
+# Number types, and what of a number its replacement keeps besides the length.
+FORMATS = {"ip": "''", "ssn": "length(norm)", "secret": "length(norm)", "card": "concat(length(norm), '-', substr(norm, 1, 1))",
+           "phone": "if(length(norm) = 10, '10', concat(length(norm), '-', substr(norm, 1, 1)))"}
 
 # Titles that give a gender, and the given names that start a name (and are
 # the first choice as replacements), by script and gender.
@@ -187,7 +199,9 @@ def _draw(key: str) -> Column:
     local, domain = "substring_index(norm, '@', 1)", "regexp_replace(substring_index(norm, '@', -1), '[.][^.]*$', '')"
     host = f"sha2(concat_ws('|', {_sql(key)}, 'domain', substring_index(norm, '@', -1)), 256)"
     host = f"concat({host}, {host})"
-    email = f"concat({swapped(local, hexes)}, '@', {swapped(domain, host)}, '.', substring_index(norm, '.', -1))"
+    longer = (f"if(attempt = 0, '', array_join(transform(sequence(1, greatest(attempt, 1)), i -> "
+              f"substr({letters}, 1 + {byte(hexes, '40 + i')} % 26, 1)), ''))")
+    email = f"concat({swapped(local, hexes)}, {longer}, '@', {swapped(domain, host)}, '.', substring_index(norm, '.', -1))"
     lead = f"translate(substr({digs}, 1, 1), '01', '27')"
     area = (f"if(length(norm) = 10, concat({lead}, substr({digs}, 2, 9)), "
             f"concat(substr(norm, 1, 1), {lead}, substr({digs}, 2, length(norm) - 2)))")
@@ -214,9 +228,25 @@ def _draw(key: str) -> Column:
         f"{' '.join(cases)} end".replace("(h, ", "(h, ")), F.expr(f"concat({seed(_sql('a'))}, {seed(_sql('b'))})")
 
 
+def _format() -> Column:
+    return F.expr("case " + " ".join(f"when type = '{t}' then concat('{t}-', {e})" for t, e in FORMATS.items()) + " end")
+
+
+def _handed_round(entities: DataFrame, key: str) -> DataFrame:
+    """``type``, ``norm``, ``format`` -> ``surrogate``: the next entity of the same format in keyed
+    order, in rings of about ``ROTATION_ROWS``."""
+    place = F.sha2(F.concat_ws("|", F.lit(key), F.lit("ring"), "type", "norm"), 256)
+    sized = entities.join(entities.groupBy("format").agg(F.count(F.lit(1)).alias("size")), "format").withColumn("place", place)
+    rings = F.greatest(F.lit(1), F.floor(F.col("size") / ROTATION_ROWS))
+    ring = Window.partitionBy("format", "ring")
+    following = F.coalesce(F.lead("norm").over(ring.orderBy("place", "norm")), F.first("norm").over(ring.orderBy("place", "norm")))
+    return sized.withColumn("ring", F.pmod(F.xxhash64("place"), rings)).select("type", "norm", following.alias("surrogate"))
+
+
 def assign(entities: DataFrame, key: str) -> DataFrame:
-    """``type``, ``norm`` (distinct) -> plus ``surrogate``: distinct within a type, never
-    the normal form of any real entity of that type."""
+    """``type``, ``norm`` (distinct) -> plus ``surrogate``: distinct within a type and never the
+    normal form of any real entity of that type, except in number formats without room for it
+    (see the module's text), where no entity gets its own."""
     draw, seed = _draw(key)
     real = entities.select("type", F.col("norm").alias("surrogate"))
     done: DataFrame | None = None
@@ -227,12 +257,23 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         good = drawn.withColumn("first", first).filter("first").drop("first").join(real, ["type", "surrogate"], "left_anti")
         if done is not None:
             good = good.join(done.select("type", "surrogate"), ["type", "surrogate"], "left_anti")
-        good = written(good.select("type", "norm", "surrogate"), "surrogates")
+        good = written(good.select("type", "norm", "surrogate"), "private-drawn")
         done = good if done is None else done.unionByName(good)
-        left = open_.join(good, ["type", "norm"], "left_anti").select("type", "norm")
-        if left.isEmpty():
+        left = written(open_.join(good, ["type", "norm"], "left_anti").select("type", "norm"), "private-open")
+        if attempt:
+            drop_written(open_)
+        open_ = left
+        if attempt == ROUNDS - 1:
+            dense = open_.select(_format().alias("format")).filter("format is not null").distinct()
+            if not dense.isEmpty():
+                within = entities.withColumn("format", _format()).join(dense, "format", "left_semi")
+                rest = done.withColumn("format", _format()).join(dense, "format", "left_anti").drop("format")
+                settled = written(rest.unionByName(_handed_round(within, key)), "private-drawn")
+                drop_written(done)
+                done, open_ = settled, open_.filter(_format().isNull())
+        if open_.isEmpty():
+            drop_written(left)
             return done
-        open_ = written(left, "surrogates-open")
     raise RuntimeError(f"entities without a distinct replacement after {MAX_ATTEMPTS} attempts")
 
 
@@ -249,29 +290,45 @@ def _reformat() -> Column:
         "when type like 'given%' or type like 'surname%' then initcap(surrogate) else surrogate end")
 
 
-def mapping(mentions: DataFrame, key: str = KEY) -> DataFrame:
+def mapping(mentions: DataFrame, key: str) -> DataFrame:
     """Distinct ``mention`` -> ``surrogate`` text and the number ``n`` of replaced entities, a
-    name counting once (look-alikes are left out)."""
-    p = written(parts(mentions), "surrogate-parts")
+    name counting once (look-alikes are left out). A written table; what it was made from is
+    deleted."""
+    p = written(parts(mentions), "private-parts")
     table = assign(p.select("type", "norm").distinct(), key)
     new = F.struct("part", F.concat("lead", _reformat(), "tail").alias("new"))
-    return p.join(table, ["type", "norm"]).groupBy("mention").agg(
+    out = written(p.join(table, ["type", "norm"]).groupBy("mention").agg(
         F.first("kind").alias("kind"), F.array_sort(F.collect_list(new)).alias("news")
     ).select("mention", F.array_join(F.transform("news", lambda x: x["new"]), "").alias("surrogate"),
-             F.when(F.col("kind") == "name", 1).otherwise(F.size("news")).alias("n"))
+             F.when(F.col("kind") == "name", 1).otherwise(F.size("news")).alias("n")), "private-map")
+    drop_written(p)
+    drop_written(table)
+    return out
+
+
+def settled_private(docs: DataFrame, key: str, **options) -> DataFrame:
+    """``replace_private``, written; every table that holds real data beside its replacement is
+    deleted before this returns."""
+    rows = replace_private(docs, key, **options)
+    out = written(rows, "surrogate-rows")
+    drop_written(rows, "/private-")
+    return out
 
 
-def replace_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY,
+def replace_private(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text",
                     count_col: str | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with the private data of ``text_col`` replaced;
-    ``count_col`` names an added column with the number of replaced mentions."""
+    ``count_col`` names an added column with the number of replaced mentions. The rows read
+    two written tables of real data (``settled_private`` deletes them after use)."""
+    if not key:
+        raise ValueError("a secret key is needed")
     found = written(
         docs.select(F.col(id_col).alias("k_id"), F.xxhash64(F.col(text_col)).alias("k_hash"),
                     F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(PATTERN), F.lit(0))).alias("mentions"))
         .filter(F.size("mentions") > 0), "private-found")
     # one row per different document and mention; repeated rows share it
     per_doc = found.select("k_id", "k_hash", F.explode("mentions").alias("mention")).distinct()
-    table = written(mapping(per_doc.select("mention").distinct(), key), "private-map")
+    table = mapping(per_doc.select("mention").distinct(), key)
     renamed = per_doc.join(table, "mention").groupBy("k_id", "k_hash").agg(
         F.map_from_entries(F.collect_list(F.struct("mention", F.struct("surrogate", "n")))).alias("renames"))
     names = {c: free_name(docs, c) for c in ("k_id", "k_hash", "renames")}

@@ -56,12 +56,49 @@ def test_score_covers_the_whole_text():
         assert np.allclose(got, want, atol=1e-5)
 
 
-def test_sample_chunks_reach_from_start_to_end():
-    data = bytes(range(256)) * 200
-    chunks = Q.sample_chunks(data, 5, 7)
-    assert len(chunks) == 7
-    assert np.frombuffer(chunks[0], "<i2")[0] == data[0]
-    assert Q.PAD in np.frombuffer(chunks[-1], "<i2")
+def test_fit_sees_every_byte():
+    for n in (0, 1, 511, 512, 513, 960, 961, 5000, 60_000):
+        data = bytes(i % 251 for i in range(n))
+        chunks = Q.all_chunks(data, 5)
+        assert len(chunks) == Q.chunk_count(n)
+        joined = np.concatenate([c[:Q.STRIDE] for c in chunks[:-1]] + [chunks[-1]])
+        assert joined[:n].astype(np.uint8).tobytes() == data and (joined[n:] == Q.PAD).all()
+
+
+def test_labels_of_other_tables_take_no_places(spark, docs_of):
+    docs = docs_of([(i, ("fine words here " if i % 3 else "### $$$ ") * 20) for i in range(60)])
+    own = [(i, int(i % 3 > 0)) for i in range(60)]
+    a = Q.train(docs, spark.createDataFrame(own, "doc_id long, quality int"), max_docs=40)
+    b = Q.train(docs, spark.createDataFrame(own + [(10_000 + i, i % 2) for i in range(3000)], "doc_id long, quality int"), max_docs=40)
+    assert isinstance(a, Q.ByteCnn) and a.score("fine words") == b.score("fine words")
+
+
+def test_nothing_to_learn_keeps_everything(spark, docs_of, awkward):
+    docs = docs_of(awkward)
+    for rows in ([], [(1, 0), (6, 0), (7, 0)], [(99, 1), (98, 0)]):
+        model = Q.train(docs, spark.createDataFrame(rows, "doc_id long, quality int"))
+        assert isinstance(model, Q.ConstantModel) and Q.keep_good(docs, model).count() == len(awkward)
+
+
+def test_whole_scorer_against_a_plain_one(spark, sf):
+    """Train, score and threshold by plain loops over positions."""
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = Q.train(docs, labels)
+    got = {r.doc_id: r for r in Q.score_documents(docs, model).collect()}
+    some = [r for r in docs.collect() if len(r.text or "") < 1500][:25]
+    for r in some:
+        data = list((r.text or "").encode())
+        n = Q.chunk_count(len(data))
+        padded = data + [Q.PAD] * (n * Q.CHUNK + model.width)
+        vectors = []
+        for c in range(n):
+            best = np.full(model.filters, -np.inf)
+            for p in range(c * Q.STRIDE, c * Q.STRIDE + Q.CHUNK):
+                window = np.concatenate([model.emb[s] for s in padded[p:p + model.width]])
+                best = np.maximum(best, window @ model.conv)
+            vectors.append(np.maximum(best + model.bias, 0))
+        z = np.concatenate([np.mean(vectors, axis=0), np.max(vectors, axis=0)]) @ model.head + model.head_bias[0]
+        assert got[r.doc_id].score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
 
 
 def test_held_out_accuracy(spark):

@@ -12,8 +12,11 @@ ROWS = [
 ]
 
 
-def replaced(docs, **kw):
-    return {r.doc_id: r.text for r in S.replace_private(docs, **kw).collect()}
+KEY = "test"
+
+
+def replaced(docs, key=KEY, **kw):
+    return {r.doc_id: r.text for r in S.replace_private(docs, key, **kw).collect()}
 
 
 def luhn(digits):
@@ -73,14 +76,14 @@ def test_awkward_rows(docs_of, awkward):
     rows = awkward + [(8, "a@b.org and a@b.org"), (8, "a@b.org and a@b.org"), (None, "c@d.org")]
     for extra in (False, True):
         docs = docs_of(rows, extra)
-        out = S.replace_private(docs, count_col="n_replaced")
+        out = S.replace_private(docs, KEY, count_col="n_replaced")
         assert out.columns == [*docs.columns, "n_replaced"]
         got = out.collect()
         assert len(got) == len(rows)
         assert {(r.doc_id, r.text) for r in got if not r.n_replaced} == set(awkward)
         twice = [r for r in got if r.doc_id == 8]
         assert len(twice) == 2 and twice[0].text == twice[1].text and all(r.n_replaced == 2 for r in twice)
-    assert S.replace_private(docs_of([])).count() == 0
+    assert S.replace_private(docs_of([]), KEY).count() == 0
 
 
 def test_hostile_texts(docs_of):
@@ -92,7 +95,7 @@ def test_hostile_texts(docs_of):
 
 
 def test_no_python_in_the_plan(spark, sf):
-    plan = S.replace_private(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().toString()
+    plan = S.replace_private(spark.read.parquet(f"{sf}/documents.parquet"), KEY)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
@@ -105,7 +108,7 @@ def test_numbers_beside_numbers(docs_of):
             f"{card}-706-555-3138", f"{card} " + "1234567890123" + "abcdef0" * 4, f"{card} {card}", f"41 11 11 11 11 11 11 11 {spaced}"]
     private = [card, other, amex, spaced, "706-555-3138", "706-555-3139", "123-45-6789", "10.1.2.3", "12ab@x.org",
                "1234567890123" + "abcdef0" * 4, "41 11 11 11 11 11 11 11"]
-    out = {r.doc_id: r for r in S.replace_private(docs_of(list(enumerate(rows))), count_col="n").collect()}
+    out = {r.doc_id: r for r in S.replace_private(docs_of(list(enumerate(rows))), KEY, count_col="n").collect()}
     for i, text in enumerate(rows):
         assert not [p for p in private if p in out[i].text], (text, out[i].text)
         assert re.sub("[0-9a-z]", "", out[i].text) == re.sub("[0-9a-z]", "", text)
@@ -134,3 +137,90 @@ def test_phones_of_other_countries_and_titles_of_either_gender(docs_of):
     names = re.fullmatch(r"Dr\. (\w+), Prof\. Dr\. (\w+) (\w+), Herr Dr\. (\w+), (\w+) (\w+); Д-р ([А-Я][а-я]+)", out[9])
     assert names and names[1] == names[4] != "Smith" and names.group(2, 3) == names.group(5, 6) and names[7] != "Каренина"
     assert names[2] != "Mary" and names[3] != "Jones" and "10.1.2.3" not in out[10] and out[11] == rows[11]
+
+
+def test_dense_addresses_end_soon(spark):
+    """All two-letter addresses of one domain: no free one of that length is left."""
+    norms = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}@mail.com" for i in range(676)] + [f"{chr(97 + i)}@one.com" for i in range(26)]
+    table = S.assign(spark.createDataFrame([("email", n) for n in norms], "type string, norm string"), "k").collect()
+    assert sorted(r.norm for r in table) == sorted(norms)
+    new = [r.surrogate for r in table]
+    assert len(set(new)) == len(norms) and not set(new) & set(norms) and all(re.fullmatch(r"[a-z]+@[a-z]+\.com", x) for x in new)
+
+
+def test_full_number_formats_are_handed_round(spark):
+    """Every number of a format is real: each entity gets another one's."""
+    numbers = [("ssn", f"{i:03d}") for i in range(1000)] + [("ssn", f"{i:09d}") for i in range(50)] + [("phone", f"3{i:02d}") for i in range(0, 100, 1)]
+    table = S.assign(spark.createDataFrame(numbers, "type string, norm string"), "k").collect()
+    assert sorted((r.type, r.norm) for r in table) == sorted(numbers)
+    assert len({(r.type, r.surrogate) for r in table}) == len(numbers)
+    assert all(r.surrogate != r.norm and len(r.surrogate) == len(r.norm) for r in table)
+    assert all(r.surrogate[0] == "3" for r in table if r.type == "phone")
+    free = {r.surrogate for r in table if len(r.norm) == 9}
+    assert not free & {n for _, n in numbers}
+
+
+def test_no_table_of_real_data_is_left(spark, docs_of):
+    import pathlib
+
+    from metroscope.session import shared_root
+
+    root = pathlib.Path(shared_root(spark).removeprefix("file:"))
+    before = {p.name for p in root.iterdir()}
+    out = S.settled_private(docs_of(ROWS), KEY)
+    left = {p.name for p in root.iterdir()} - before
+    assert [n for n in left if n.startswith("surrogate-rows")] and not [n for n in left if n.startswith("private")]
+    assert {r.doc_id: r.text for r in out.collect()} == replaced(docs_of(ROWS))
+
+
+def test_a_key_is_needed(docs_of):
+    import pytest
+
+    with pytest.raises(ValueError, match="key"):
+        S.replace_private(docs_of(ROWS), "")
+
+
+def test_every_mention_against_a_plain_replacer(spark, sf, docs_of):
+    """A plain walk through every text: pieces between mentions stay, a mention's replacement is
+    the same wherever it stands, of its own kind, shared by no other entity and no real one."""
+    import regex
+
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()} | {100_000 + i: t for i, t in ROWS}
+    new = replaced(docs_of(list(docs.items())))
+    pattern = regex.compile(S.PATTERN)
+    kinds = {"email": S.EMAIL, "ip": S.IPV4, "ssn": S.SSN, "phone": S.PHONE, "secret": S.SECRET}
+    given, entities = {}, {}
+
+    def kind(m):
+        return next((k for k, p in kinds.items() if regex.fullmatch(p, m)), None)
+
+    for i, text in docs.items():
+        for m in pattern.finditer(text):
+            if k := kind(m[0]):
+                norm = re.sub(r"\D", "", m[0])[-10:] if k == "phone" and len(re.sub(r"\D", "", m[0])) == 11 else (
+                    m[0].lower() if k in ("email", "secret", "ip") else re.sub(r"\D", "", m[0]))
+                entities.setdefault((k, norm), set()).add((i, m[0]))
+    private = {n for _, n in entities}
+    shape = lambda x: re.sub("[0-9]", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", x)))
+    for (k, norm), places in entities.items():
+        for i, said in places:
+            assert said not in new[i], (k, said)
+    # texts of such mentions only: read the replacements off between the pieces that stay
+    norm = lambda k, x: x.lower() if k in ("email", "secret", "ip") else re.sub(r"\D", "", x)[-10:]
+    for i, text in docs.items():
+        found = list(pattern.finditer(text))
+        if not 0 < len(found) <= 6 or not all(kind(m[0]) for m in found):
+            continue
+        ends = [0, *[m.end() for m in found]]
+        pieces = [text[a:m.start()] for a, m in zip(ends, found)] + [text[ends[-1]:]]
+        if not all(re.search("[^\\W\\d]{2}", x) for x in pieces[1:-1]):
+            continue  # nothing but digits or blanks between two mentions: no telling them apart again
+        read = re.fullmatch("(.+?)".join(map(re.escape, pieces)), new[i], re.S)
+        assert read
+        for m, got in zip(found, read.groups()):
+            k = kind(m[0])
+            assert kind(got) == k and norm(k, got) not in private
+            if k in ("phone", "ssn"):
+                assert shape(got) == shape(m[0])
+            assert given.setdefault((k, norm(k, m[0])), norm(k, got)) == norm(k, got)
+    assert len(given) > 9 and len(set(given.values())) == len(given)
