@@ -21,26 +21,51 @@ def _plain(url: str) -> str:
             f"CASE WHEN len({kept}) > 0 THEN '?' || array_to_string({kept}, '&') ELSE '' END END")
 
 
+_REF = "(?i)&(?:amp|lt|gt|quot|apos|#x[0-9a-f]{1,6}|#[0-9]{1,7});"
+_CODE = ("(CASE WHEN regexp_matches(r, '^&#[xX]') THEN CAST('0x' || regexp_extract(r, '[xX]([^;]+)', 1) AS BIGINT) "
+         "ELSE TRY_CAST(regexp_extract(r, '&#([0-9]+)', 1) AS BIGINT) END)")
+_CHAR = ("CASE lower(r) WHEN '&amp;' THEN '&' WHEN '&lt;' THEN '<' WHEN '&gt;' THEN '>' WHEN '&quot;' THEN '\"' WHEN '&apos;' THEN chr(39) "
+         f"ELSE CASE WHEN {_CODE} BETWEEN 1 AND 55295 OR {_CODE} BETWEEN 57344 AND 1114111 THEN chr(CAST({_CODE} AS INTEGER)) ELSE r END END")
+_HREF = "(?i)\\bhref\\s*=\\s*(?:[\"'']([^\"''>]+)|([^\"''>\\s]+))"
+
 OP2 = f"""
 WITH RECURSIVE rules(verdict, text, host, path) AS (VALUES {_RULES}),
 p AS (SELECT page_id, url, coalesce(html, '') AS html,
         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {_LOWER}), '') AS host,
         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, {_plain('url')} AS node FROM pages),
-best AS (SELECT p.page_id, p.host, p.path, p.node, p.html,
+best AS (SELECT p.*,
         (SELECT r.text FROM rules r WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
          ORDER BY length(r.text) DESC, r.text LIMIT 1) AS rule FROM p),
-tags AS (SELECT node, unnest(list_concat(
+tags AS (SELECT node, url, path, unnest(list_concat(
         list_transform(list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*>'),
                        lambda t: regexp_matches(t, '(?i)\\brel\\s*=\\s*["'']?canonical\\b')),
-                       lambda t: regexp_extract(t, '(?i)\\bhref\\s*=\\s*["'']([^"''>]+)', 1)),
+                       lambda t: regexp_extract(t, '{_HREF}', 1) || regexp_extract(t, '{_HREF}', 2)),
         list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\\b[^>]*>'),
                        lambda t: regexp_matches(t, '(?i)http-equiv\\s*=\\s*["'']?refresh\\b')),
-                       lambda t: regexp_extract(t, '(?i)url\\s*=\\s*["'']?([^"''> ]+)', 1)))) AS target FROM best WHERE node IS NOT NULL),
-links AS (SELECT DISTINCT node AS a, {_plain('target')} AS b FROM tags WHERE contains(target, '://')),
+                       lambda t: regexp_extract(t, '(?i)url\\s*=\\s*["'']?([^"''> ]+)', 1)))) AS raw FROM best WHERE node IS NOT NULL),
+pieces AS (SELECT *, regexp_split_to_array(raw, '{_REF}') AS texts, list_transform(regexp_extract_all(raw, '{_REF}'), lambda r: {_CHAR}) AS refs FROM tags),
+decoded AS (SELECT node, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS origin, path AS page_path, regexp_extract(path, '(?s)^(.*)/', 1) || '/' AS folder,
+        regexp_replace(array_to_string(list_transform(range(1, len(texts) + 1), lambda i: texts[i] || coalesce(refs[i], '')), ''),
+                       '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') AS t FROM pieces),
+parts AS (SELECT *, CASE WHEN starts_with(t, '/') THEN '' ELSE folder END || regexp_extract(t, '(?s)^([^?#]*)', 1) AS way,
+        regexp_extract(t, '(?s)^[^?#]*(.*)$', 1) AS rest FROM decoded),
+walked AS (SELECT *, CASE WHEN regexp_matches(way, '/\\.\\.?(?:/|$)') THEN array_to_string(list_reduce(
+        list_concat([CAST([] AS VARCHAR[])], list_transform(string_split(way, '/'), lambda x: [x])),
+        lambda done, x: CASE WHEN x[1] = '.' THEN done WHEN x[1] = '..' THEN done[1:greatest(len(done) - 1, 1)] ELSE list_concat(done, x) END), '/')
+        ELSE way END AS steps FROM parts),
+targets AS (SELECT node, CASE WHEN t = '' THEN NULL WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t
+        WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN regexp_matches(t, '^[?#]') THEN origin || page_path || t
+        ELSE origin || steps || rest END AS target FROM walked),
+links AS (SELECT DISTINCT node AS a, {_plain('target')} AS b,
+        translate(regexp_extract(target, '(?s)^.*?://([^/?#]*)', 1), {_LOWER}) AS host, regexp_extract(target, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+        FROM targets WHERE contains(target, '://')),
+ruled AS (SELECT DISTINCT b AS node, (SELECT r.verdict FROM rules r WHERE (l.host = r.host OR ends_with(l.host, '.' || r.host)) AND starts_with(l.path, r.path)
+         ORDER BY length(r.text) DESC, r.text LIMIT 1) AS verdict FROM links l),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(node, other) AS (SELECT DISTINCT node, node FROM best WHERE node IS NOT NULL
         UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a),
-decided AS (SELECT b.node, r.verdict FROM best b JOIN rules r ON b.rule = r.text),
+decided AS (SELECT b.node, r.verdict FROM best b JOIN rules r ON b.rule = r.text
+        UNION ALL SELECT node, verdict FROM ruled WHERE verdict IS NOT NULL),
 grouped AS (SELECT reach.node, bool_or(d.verdict = 'allow') AS a, bool_or(d.verdict = 'block') AS b
         FROM reach JOIN decided d ON d.node = reach.other GROUP BY reach.node)
 SELECT best.page_id, best.host, best.path, best.rule,

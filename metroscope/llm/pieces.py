@@ -7,8 +7,10 @@ metaspace marker, unigram scores or the merge order that the BPE scores imply, b
 fallback, and the matching decoder. Batches are encoded with the library's threads.
 
 Parity: every text is also encoded by the sentencepiece library, which defines the right
-ids. Where the two differ (equal-scored merges can resolve in another order) the
-defining ids are returned and ``parity`` is false, so results are right either way.
+ids, and ``parity`` says whether the two agree. The ids returned are always those of the
+tokenizer built here. They can differ only where one piece can be merged from overlapping
+neighbours in two ways (equal scores: sentencepiece takes the left one), or where a text spells
+out a byte piece of a unigram model.
 
 Defined results: a null text has null ids and no tokens; an empty text has an empty list;
 repeated rows are encoded alike; the texts of control pieces (``<s>``) in a document are
@@ -146,7 +148,7 @@ def build_tokenizer(m: PieceModel):
     unk = next((i for i, p in enumerate(m.pieces) if p[2] == UNKNOWN), None)
     if m.model_type == UNIGRAM:
         # pieces that a text can never match get a name that texts do not hold; byte pieces
-        # must keep theirs, so a text that spells one out can differ (and is then corrected)
+        # must keep theirs, so a text that spells one out can differ (``parity`` is then false)
         lowest = min((s for _, s, kind in m.pieces if kind in (NORMAL, USER_DEFINED)), default=0.0)
         vocab = [(p, s) if kind in (NORMAL, USER_DEFINED) else (p, lowest) if kind == BYTE
                  else (f"\U0010FFFE{i}\U0010FFFE", lowest) for i, (p, s, kind) in enumerate(m.pieces)]
@@ -198,16 +200,15 @@ class Coder:
         self.lossy: set[str] = set()                 # known words that do not read back
 
     def _run(self, texts: list[str], words: bool) -> Iterator[tuple[bytes, bool, bool]]:
-        """(ids, parity, round trip) of each text or word; the ids are always those that
-        sentencepiece gives."""
+        """(ids, parity, round trip) of each text or word."""
         for at in range(0, len(texts), BATCH_TEXTS):
             part = texts[at:at + BATCH_TEXTS]
             coder, given = (self.bare, [MARK + w for w in part]) if words else (self.tokenizer, part)
             ours = coder.encode_batch_fast(given, add_special_tokens=False)
             truth = self.reference.encode(part, num_threads=self.threads)
-            back = self.decode(truth)
-            for text, e, ids, again in zip(part, ours, truth, back):
-                yield array("i", ids).tobytes(), e.ids == ids, again == text
+            ids = [e.ids for e in ours]
+            for text, own, right, again in zip(part, ids, truth, self.decode(ids)):
+                yield array("i", own).tobytes(), own == right, again == text
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
         """(ids as little-endian 32-bit numbers, parity, round trip) of each text."""

@@ -7,8 +7,8 @@ parameters, no index page, no trailing slash), which all redirect to one another
 are 64-bit hashes of the plain form, so equal aliases are one node before any edge is
 drawn. Connected components are found by star contraction.
 
-A page that a rule fits takes the rule's decision. Any other page takes its component's:
-``allow`` if any member is explicitly allowed, else ``block`` if any is blocked, else
+A page that a rule fits takes the rule's decision. Any other page takes its component's (pages
+and link targets): ``allow`` if any member is explicitly allowed, else ``block`` if any is blocked, else
 ``allow``.
 
 Rules are a small configured list and are matched inside the scan (the suffixes of a
@@ -18,7 +18,7 @@ Defined results: a null url, or one without ``://``, has an empty host and path,
 rule and has no aliases: it is allowed. Null html has no links. A target is taken with its
 character references (numbers and the five of XML) read and relative to the page's url
 (``<base>`` is not read); one of another scheme (``mailto:``) is no link. Rules are applied to
-the addresses of pages only. Repeated rows are judged alike.
+targets too, whether or not they are pages of the table. Repeated rows are judged alike.
 """
 from __future__ import annotations
 
@@ -145,24 +145,34 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """One row per row of ``pages``: ``page_id``, ``host``, ``path``, ``rule``, ``verdict``,
     ``component`` (null without an address)."""
     url = F.col(url_col)
-    verdict_of = {r.text: r.verdict for r in rules}
     targets = F.filter(F.transform(link_targets(F.col(html_col)), lambda t: resolved(t, url)), lambda t: t.isNotNull())
+
+    def ruled(rule: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for r in rules:
+            out = F.when(rule == r.text, r.verdict).otherwise(out)
+        return out
+
+    def target(t: Column) -> Column:
+        said = ruled(longest_rule(host_of(t), path_of(t), rules))
+        return F.struct(F.xxhash64(plain_form(t)).alias("to"), (said == "allow").alias("allowed"), (said == "block").alias("blocked"))
+
+    none = F.array().cast("array<struct<to:bigint,allowed:boolean,blocked:boolean>>")
     rows = pages.select(
         F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"),
         F.xxhash64(plain_form(url)).alias("hash"), plain_form(url).isNotNull().alias("real"),
-        F.transform(F.coalesce(targets, F.array().cast("array<string>")), lambda t: F.xxhash64(plain_form(t))).alias("targets"),
+        F.coalesce(F.transform(targets, target), none).alias("targets"),
     ).select(
         "page_id", "host", "path", longest_rule(F.col("host"), F.col("path"), rules).alias("rule"),
         F.when(F.col("real"), F.col("hash")).alias("node"), "targets")
-    ruled = F.lit(None).cast("string")
-    for text, v in verdict_of.items():
-        ruled = F.when(F.col("rule") == text, v).otherwise(ruled)
-    rows = written(rows.withColumn("ruled", ruled), "url-rows")
-    edges = rows.filter("node is not null").select("node", F.explode("targets").alias("to")).filter("node != to")
-    roots = connected_components(edges)
+    rows = written(rows.withColumn("ruled", ruled(F.col("rule"))), "url-rows")
+    addressed = rows.filter("node is not null")
+    links = addressed.select("node", F.inline("targets"))
+    roots = connected_components(links.select("node", "to").filter("node != to"))
     # one row a node before the join: a third of all pages may share an address
-    nodes = rows.filter("node is not null").groupBy("node").agg(
-        F.bool_or(F.col("ruled") == "allow").alias("allowed"), F.bool_or(F.col("ruled") == "block").alias("blocked"))
+    said = addressed.select("node", (F.col("ruled") == "allow").alias("allowed"), (F.col("ruled") == "block").alias("blocked"))
+    nodes = said.unionByName(links.select(F.col("to").alias("node"), "allowed", "blocked")).groupBy("node").agg(
+        F.bool_or("allowed").alias("allowed"), F.bool_or("blocked").alias("blocked"))
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     decided = rooted.groupBy("root").agg(F.bool_or("allowed").alias("a"), F.bool_or("blocked").alias("b"))
     verdicts = rooted.select("node", "root").join(decided, "root").select(
