@@ -12,9 +12,12 @@ returns a function ``render(names) -> iterator of (text, generated)`` that yield
 it goes: a loop asks its sequence for one element at a time, so a conversation of any
 length renders in constant memory.
 
-The sandbox: no calls, no Python attributes (a field is a dictionary key), no operators
-that multiply text, a bounded template size and nesting; anything else is a
-``TemplateError`` when compiling.
+The sandbox: no calls, no Python attributes (a field is a dictionary key), a bounded template
+size and nesting (of blocks, parentheses, and chains of fields, filters and comparisons; chains
+of ``and or + ~`` are flat and may be as long as the template), whole numbers of at most 18
+digits, folded and joined texts of bounded size. What breaks these bounds, or applies an operator
+to values it has no meaning for, is a ``TemplateError``: when compiling, or when rendering where
+it depends on the data.
 """
 from __future__ import annotations
 
@@ -26,6 +29,9 @@ from typing import Any
 
 MAX_TEMPLATE_CHARS = 20_000
 MAX_DEPTH = 40
+MAX_FOLDED_CHARS = 100_000        # of a text that is computed when compiling
+MAX_JOINED_CHARS = 64 << 20       # of a text that ``+`` or ``~`` makes when rendering
+MAX_DIGITS = 18
 
 
 class TemplateError(ValueError):
@@ -149,48 +155,56 @@ class _Expression:
             raise TemplateError(f"unexpected {self.tokens[self.at][1]!r}")
         return out
 
+    def chain(self, word: str, part: Callable[[], Any]) -> Any:
+        """``part word part ...`` as one flat node."""
+        args = [part()]
+        while self.take(word):
+            args.append(part())
+        return Op(word, tuple(args)) if len(args) > 1 else args[0]
+
     def either(self) -> Any:
-        left = self.both()
-        while self.take("or"):
-            left = Op("or", (left, self.both()))
-        return left
+        return self.chain("or", self.both)
 
     def both(self) -> Any:
-        left = self.negated()
-        while self.take("and"):
-            left = Op("and", (left, self.negated()))
-        return left
+        return self.chain("and", self.negated)
 
     def negated(self) -> Any:
-        if self.take("not"):
-            return Op("not", (self.negated(),))
+        times = 0
+        while self.take("not"):
+            times += 1
         left = self.joined()
-        while (op := self.peek()) in _COMPARE and op:
+        for _ in self.bounded(lambda: (op := self.peek()) in _COMPARE and bool(op)):
+            op = self.peek()
             self.at += 1
             left = Op(op, (left, self.joined()))
+        for _ in range(2 - times % 2 if times else 0):  # twice is a plain truth value
+            left = Op("not", (left,))
         return left
 
     def joined(self) -> Any:
-        left = self.added()
-        while self.take("~"):
-            left = Op("~", (left, self.added()))
-        return left
+        return self.chain("~", self.added)
 
     def added(self) -> Any:
-        left = self.filtered()
-        while self.take("+"):
-            left = Op("+", (left, self.filtered()))
-        return left
+        return self.chain("+", self.filtered)
 
     def filtered(self) -> Any:
         out = self.primary()
-        while True:
+        for _ in self.bounded(lambda: self.peek() in ("|", ".")):
             if self.take("|"):
                 out = Op("|" + self.name(), (out,))
             elif self.take("."):
                 out = Field(out, self.name())
-            else:
-                return out
+        return out
+
+    @staticmethod
+    def bounded(more: Callable[[], bool]) -> Iterator[int]:
+        """Steps of a chain that nests with its length."""
+        step = 0
+        while more():
+            if step == MAX_DEPTH:
+                raise TemplateError("nested too deeply")
+            yield step
+            step += 1
 
     def name(self) -> str:
         if self.at >= len(self.tokens) or self.tokens[self.at][0] != "name":
@@ -209,6 +223,8 @@ class _Expression:
         if kind == "str":
             out: Any = Const(re.sub(r"\\(.)", lambda m: _BACKSLASHED.get(m[1], m[0]), text[1:-1], flags=re.S))
         elif kind == "int":
+            if len(text) > MAX_DIGITS:
+                raise TemplateError("a number is too long")
             out = Const(int(text))
         elif kind == "name":
             out = Const(_LITERALS[text]) if text in _LITERALS else Name(text)
@@ -305,7 +321,20 @@ _APPLY: dict[str, Callable[..., Any]] = {
 
 def _functions(controls: Controls) -> dict[str, Callable[..., Any]]:
     escape = controls.pattern(r"\\|").sub
-    return _APPLY | {"|escape": lambda a: escape(lambda m: "\\" + m[0], _text(a))}
+    named = _APPLY | {"|escape": lambda a: escape(lambda m: "\\" + m[0], _text(a))}
+
+    def guarded(name: str, f: Callable[..., Any]) -> Callable[..., Any]:
+        def apply(*args: Any) -> Any:
+            if name in ("+", "~") and sum(len(a) for a in args if isinstance(a, str)) > MAX_JOINED_CHARS:
+                raise TemplateError("a text becomes too long")
+            try:
+                return f(*args)
+            except (TypeError, ValueError) as e:
+                raise TemplateError(f"{name.strip('|')} does not apply: {e}") from e
+
+        return apply
+
+    return {name: guarded(name, f) for name, f in named.items()}
 
 
 def _assigned(nodes: Iterable[Any]) -> list[str]:
@@ -330,6 +359,21 @@ def fold(tree: tuple, functions: dict[str, Callable[..., Any]]) -> tuple:
     once = {n for n in names if names.count(n) == 1}
     known: dict[str, Any] = {}
 
+    def small(value: Any) -> Any:
+        if isinstance(value, str) and len(value) > MAX_FOLDED_CHARS:
+            raise TemplateError("a text becomes too long")
+        return value
+
+    def joined(name: str, args: list[Any]) -> Any:
+        """Literals at the start of a chain are put together (for ``~`` anywhere in it)."""
+        out: list[Any] = []
+        for a in args:
+            if out and isinstance(a, Const) and isinstance(out[-1], Const) and (name == "~" or len(out) == 1):
+                out[-1] = Const(small(functions[name](out[-1].value, a.value)))
+            else:
+                out.append(a)
+        return Op(name, tuple(out)) if len(out) > 1 else out[0]
+
     def expr(e: Any) -> Any:
         if isinstance(e, Name):
             return Const(known[e.name]) if e.name in known else e
@@ -338,12 +382,18 @@ def fold(tree: tuple, functions: dict[str, Callable[..., Any]]) -> tuple:
         if isinstance(e, Op):
             if e.name not in ("and", "or") and e.name not in functions:
                 raise TemplateError(f"unknown filter or operator {e.name!r}")
-            args = tuple(map(expr, e.args))
-            if e.name in ("and", "or") and isinstance(args[0], Const):
-                return args[1] if bool(args[0].value) == (e.name == "and") else args[0]
-            if e.name not in ("and", "or") and all(isinstance(a, Const) for a in args):
-                return Const(functions[e.name](*[a.value for a in args]))
-            return Op(e.name, args)
+            args = list(map(expr, e.args))
+            if e.name in ("and", "or"):
+                while len(args) > 1 and isinstance(args[0], Const):
+                    if bool(args[0].value) != (e.name == "and"):
+                        return args[0]
+                    args.pop(0)
+                return Op(e.name, tuple(args)) if len(args) > 1 else args[0]
+            if e.name in ("+", "~"):
+                return joined(e.name, args)
+            if all(isinstance(a, Const) for a in args):
+                return Const(small(functions[e.name](*[a.value for a in args])))
+            return Op(e.name, tuple(args))
         return e
 
     def add(out: list[Any], n: Any) -> None:
@@ -408,18 +458,30 @@ def _expr(e: Any, functions: dict[str, Callable[..., Any]]) -> Callable[[Names],
             return value.get(key) if isinstance(value, Mapping) else None
 
         return field
-    first = _expr(e.args[0], functions)
-    if e.name == "and":
-        second = _expr(e.args[1], functions)
-        return lambda names: first(names) and second(names)
-    if e.name == "or":
-        second = _expr(e.args[1], functions)
-        return lambda names: first(names) or second(names)
+    first, *rest = [_expr(a, functions) for a in e.args]
+    if e.name in ("and", "or"):
+        goes_on = e.name == "and"
+
+        def decided(names: Names) -> Any:
+            value = first(names)
+            for part in rest:
+                if bool(value) != goes_on:
+                    break
+                value = part(names)
+            return value
+
+        return decided
     apply = functions[e.name]
-    if len(e.args) == 1:
+    if not rest:
         return lambda names: apply(first(names))
-    second = _expr(e.args[1], functions)
-    return lambda names: apply(first(names), second(names))
+
+    def applied(names: Names) -> Any:
+        value = first(names)
+        for part in rest:
+            value = apply(value, part(names))
+        return value
+
+    return applied
 
 
 def _body(nodes: tuple, functions: dict[str, Callable[..., Any]], generated: bool = False) -> Callable[[Names], Iterator[Piece]]:

@@ -113,3 +113,38 @@ def test_awkward_rows(spark):
     assert got[3].loss_chars == len(long) and got[4].loss_chars == 0
     assert got[1].turns_sha256 == hashlib.sha256(b"assistant\nb\nuser\na\nuser\na\n").hexdigest()
     assert C.digests(df.limit(0)).count() == 0 and C.format_conversations(df.limit(0)).count() == 0
+
+
+def _compiled(source):
+    return T.compile_template(source, T.Controls(("[INST]",)))
+
+
+def _rendered(source, **names):
+    return "".join(t for t, _ in _compiled(source)(names))
+
+
+def test_the_sandbox_is_bounded():
+    """Texts that double, chains of thousands, numbers and values without meaning: TemplateError, or done."""
+    doubling = "{% set a0 = 'ab' %}" + "".join(f"{{% set a{i + 1} = a{i} ~ a{i} %}}" for i in range(22)) + "{{ a22 }}"
+    for source in (doubling, doubling.replace("~", "+"), "{{ x" + ".a" * 3000 + " }}", "{{ x" + "|trim" * 3000 + " }}", "{{ 1" + " == 1" * 3000 + " }}",
+                   "{{ " + "(" * 3000 + "1" + ")" * 3000 + " }}", "{{ " + "9" * 5000 + " }}", "{{ 'a' < 1 }}", "{{ 1|length }}", "{{ 1 in 2 }}", "{{ 'a' + 1 }}"):
+        with pytest.raises(T.TemplateError):
+            _compiled(source)
+    assert _rendered("{{ " + "not " * 3000 + "x }}", x=1) == "True" and _rendered("{{ " + "not " * 2999 + "x }}", x=1) == "False"
+    assert _rendered("{{ x" + " + 1" * 3000 + " }}", x=1) == "3001" and _rendered("{{ 1" + " + 1" * 3000 + " }}") == "3001"
+    assert _rendered("{{ x" + " ~ 'b'" * 2000 + " }}", x="a") == "a" + "b" * 2000
+    assert _rendered("{{ x" + " and y" * 2000 + " }}", x=1, y=0) == "0" and _rendered("{{ 0" + " or x" * 2000 + " }}", x="") == ""
+    # growth that only the data decides ends while rendering
+    grow = _compiled("{% set a = x %}{% for m in ms %}{% set x = x ~ x %}{{ x|length }}{% endfor %}")
+    assert "".join(t for t, _ in grow({"x": "ab", "ms": [1, 2]})) in ("44", "48")
+    runaway = _compiled("{{ x" + " ~ x" * 70 + " }}")
+    with pytest.raises(T.TemplateError):
+        list(runaway({"x": "y" * (1 << 20)}))
+    with pytest.raises(T.TemplateError):
+        list(_compiled("{{ x < 1 }}")({"x": "text"}))
+
+
+def test_flat_chains_mean_what_nested_ones_did():
+    assert _rendered("{{ a and b and c }}|{{ a or b or c }}|{{ a and 1 and b }}|{{ 1 and a or 'z' }}", a="", b=2, c=3) == "|2||z"
+    assert _rendered("{{ 1 + 2 ~ 3 + 4 }}{{ 'a' ~ 1 ~ x ~ 'b' ~ 'c' }}{{ 1 + x + 2 }}", x=5) == "37a15bc8"
+    assert _rendered("{{ not x == 1 }}{{ not not x }}", x=1) == "FalseTrue"
