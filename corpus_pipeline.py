@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over ``documents``, each one operator of
 ``metroscope.llm`` applied to everything its predecessor kept.
 
-1. quality: documents that the byte-level network rejects go;
+1. quality: documents that the byte-level network rejects go (none, where ``labels`` teaches it nothing);
 2. near_dedup: one document of each SimHash component stays;
 3. decontaminate: documents contaminated by ``benchmark`` go;
 4. surrogates: personal data are replaced in the text;
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from metroscope.llm import decontaminate, pieces, quality_cnn, simhash, surrogates
 from metroscope.llm.common import documents, drop_written, written
 
+TABLES_KEY = "synthetic tables"  # a user's key is a secret of their own
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_cnn.keep_good(docs, quality_cnn.train(docs, documents(spark, sf_dir, "labels")))
@@ -32,7 +34,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def private_replaced(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = surrogates.replace_private(docs)
+    out = surrogates.settled_private(docs, TABLES_KEY)
     if "n_chars" in docs.columns:  # the text's own length, which a replacement can change
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text")).cast("long"))
     return out.select(*docs.columns)
