@@ -71,3 +71,22 @@ def test_empty_documents(spark, docs_of, sf):
     for _, f in C.STAGES:
         docs = f(spark, docs, sf)
     assert docs.count() == 0
+
+
+def test_awkward_rows_through_run(spark, docs_of, awkward, sf, tmp_path, monkeypatch):
+    """Null ids and texts, repeats, very long texts and clashing columns; with the table's labels and with none."""
+    import shutil
+
+    for name, labelled in (("with", True), ("without", False)):
+        folder = tmp_path / name
+        folder.mkdir()
+        docs = docs_of(awkward + [(20, "mail a@b.org now please"), (None, "mail a@b.org now please")], extra=labelled)
+        docs.write.parquet(str(folder / "documents.parquet"))
+        shutil.copy(f"{sf}/benchmark.parquet", folder / "benchmark.parquet")
+        labels = spark.read.parquet(f"{sf}/labels.parquet")
+        (labels if labelled else labels.limit(0)).write.parquet(str(folder / "labels.parquet"))
+        out = C.run(spark, str(folder)).collect()
+        if not labelled:  # nothing learnt: every text stays but for its copies
+            assert {r.doc_id for r in out} >= {1, 2, 5, 6, 7, 20}
+            assert all(r.n_tokens > 0 for r in out if r.doc_id in (1, 5, 6, 7, 20))
+        assert len(out) <= len(awkward) + 2
