@@ -433,6 +433,13 @@ def d6_zone_join(spark, sf):
     return finish(geo.assign_zones(pts, zones))
 
 
+@query("d6_nested_zones")
+def d6_nested_zones(spark, sf):
+    """D-6 with zones from country to block size, districts with holes among them."""
+    pts = fixtures.bronze_requests(spark, sf).select("service_request_id", "lat", "lon")
+    return finish(geo.assign_zones(pts, fixtures.nested_zones(spark, sf)))
+
+
 @query("d7_five_signals")
 def d7_five_signals(spark, sf):
     out = md.five_signals(daily.gdelt(spark, sf), _city_articles(spark, sf), lake.daily(spark, sf),

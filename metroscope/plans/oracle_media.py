@@ -84,6 +84,34 @@ ORACLE["d6_zone_join"] = final(
 )
 
 
+def _ring(table: str, key: str, prefix: str, n: int, cx: str, cy: str, radius: str, wobble: float, part: int) -> str:
+    """SELECT of one ring's vertices (``k``: the table's key as a double)."""
+    turn = f"(i * {2 * 3.141592653589793 / n!r}::DOUBLE)"
+    far = f"(({radius}) * (1.0::DOUBLE + {wobble!r}::DOUBLE * sin({turn} * 5)))"
+    return (f"SELECT '{prefix}' || CAST(CAST(k AS INTEGER) AS VARCHAR) AS zone_id, {part} AS part, i, {n} AS n, {cx} + {far} * cos({turn}) AS x, "
+            f"{cy} + {far} * sin({turn}) AS y FROM (SELECT CAST({key} AS DOUBLE) AS k FROM {table}), range({n}) r(i)")
+
+
+_CX, _CY, _FAR = "(-71.48::DOUBLE + (k * 7 % 25) * 0.0197::DOUBLE)", "(42.02::DOUBLE + (k * 11 % 25) * 0.0189::DOUBLE)", "(0.013::DOUBLE + (k % 7) * 0.0131::DOUBLE)"
+_RINGS = " UNION ALL ".join([
+    _ring("region", "r_regionkey", "R", 400, "(-74.03::DOUBLE + k)", "(40.01::DOUBLE + k * 0.5::DOUBLE)", "3.7::DOUBLE", 0.1, 0),
+    _ring("nation", "n_nationkey", "D", 90, _CX, _CY, _FAR, 0.3, 0),
+    _ring("nation", "n_nationkey", "D", 24, _CX, _CY, f"{_FAR} * 0.4::DOUBLE", 0.0, 1),
+    _ring("supplier", "s_suppkey", "B", 6, "(-71.4933::DOUBLE + (k * 37 % 499) * 0.00099::DOUBLE)", "(42.0023::DOUBLE + (k * 91 % 499) * 0.00097::DOUBLE)",
+          "0.0061::DOUBLE", 0.0, 0)])
+ORACLE["d6_nested_zones"] = final(
+    f"""WITH v AS ({_RINGS}),
+edges AS (SELECT a.zone_id, a.x AS xi, a.y AS yi, b.x AS xj, b.y AS yj FROM v a JOIN v b ON a.zone_id = b.zone_id AND a.part = b.part AND b.i = (a.i + a.n - 1) % a.n),
+pts AS (SELECT CAST(event_id AS VARCHAR) AS service_request_id, 42.0::DOUBLE + (user_id % 50) / 100.0::DOUBLE AS lat,
+  -71.0::DOUBLE - (event_id % 50) / 100.0::DOUBLE AS lon FROM events),
+places AS (SELECT DISTINCT lat, lon FROM pts),
+inside AS (SELECT lat, lon, min(zone_id) AS zone_id FROM (
+  SELECT p.lat, p.lon, e.zone_id FROM places p CROSS JOIN edges e GROUP BY 1, 2, 3
+  HAVING sum(CASE WHEN (e.yi > p.lat) <> (e.yj > p.lat) AND p.lon < (e.xj - e.xi) * (p.lat - e.yi) / (e.yj - e.yi) + e.xi THEN 1 ELSE 0 END) % 2 = 1)
+  GROUP BY 1, 2)
+SELECT p.service_request_id, p.lat, p.lon, i.zone_id FROM pts p LEFT JOIN inside i USING (lat, lon)""", "lat", "lon")
+
+
 def _z(v: str) -> str:
     w = "(PARTITION BY city ORDER BY dn RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING)"
     return (f"CASE WHEN {v} IS NOT NULL AND count({v}) OVER {w} >= 7 AND stddev_samp({v}) OVER {w} > 0 THEN "

@@ -258,6 +258,29 @@ def place_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.createDataFrame([("In",), ("a",)], "city string"))
 
 
+def _ring(n: int, cx: Column, cy: Column, radius: Column, wobble: float) -> Column:
+    """A closed star of ``n`` vertices as a struct of coordinate arrays."""
+    turn = lambda i: i * F.lit(2 * 3.141592653589793 / n)
+    far = lambda i: radius * (F.lit(1.0) + F.lit(wobble) * F.sin(turn(i) * 5))
+    return F.struct(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: cx + far(i) * F.cos(turn(i))).alias("xs"),
+                    F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: cy + far(i) * F.sin(turn(i))).alias("ys"))
+
+
+def nested_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones of very different sizes: countries (regions), districts with holes (nations) and
+    blocks (suppliers), all around the requests' coordinates."""
+    key = lambda t, c: tables.read(spark, sf_dir, t).select(F.col(c).cast("double").alias("k"))
+    k = F.col("k")
+    country = key("region", "r_regionkey").select(F.concat(F.lit("R"), k.cast("int")).alias("zone_id"), F.array(
+        _ring(400, -74.03 + k, 40.01 + k * 0.5, F.lit(3.7), 0.1)).alias("rings"))
+    cx, cy, far = -71.48 + (k * 7 % 25) * 0.0197, 42.02 + (k * 11 % 25) * 0.0189, 0.013 + (k % 7) * 0.0131
+    district = key("nation", "n_nationkey").select(F.concat(F.lit("D"), k.cast("int")).alias("zone_id"), F.array(
+        _ring(90, cx, cy, far, 0.3), _ring(24, cx, cy, far * 0.4, 0.0)).alias("rings"))
+    block = key("supplier", "s_suppkey").select(F.concat(F.lit("B"), k.cast("int")).alias("zone_id"), F.array(
+        _ring(6, -71.4933 + (k * 37 % 499) * 0.00099, 42.0023 + (k * 91 % 499) * 0.00097, F.lit(0.0061), 0.0)).alias("rings"))
+    return country.union(district).union(block)
+
+
 # Article theme lists by event type (purchase has none).
 THEMES_BY_EVENT = (
     ("error", "KILL;CRISISLEX_T03_DEAD"),
