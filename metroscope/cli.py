@@ -6,6 +6,12 @@
                                        [--from-day D] [--state-root T]
     python -m metroscope.cli baselines --input-root H --output-root B [--lookback-hours 168] [--min-history-points 24]
     python -m metroscope.cli news --export-path E --cities boston chicago --events-root V --news-root N
+    python -m metroscope.cli weather   --observations-path P --daily-values-path D --weather-root W
+    python -m metroscope.cli alerts    --features-path P --alerts-root A
+    python -m metroscope.cli requests  --records-path P --city C --requests-root Q [--socrata]
+    python -m metroscope.cli run-log   --events-path P --log-root L
+    python -m metroscope.cli stream    --landing-root L --target T --checkpoint K [--delay "2 days"]
+    python -m metroscope.cli update    (the roots of daily) --days D [D ...] [--cities C ...]
     python -m metroscope.cli daily --requests-root Q --weather-root W --alerts-root A --news-root N --stations-csv T
                                    --output-root O [--start D] [--end D]
 
@@ -18,9 +24,11 @@ import argparse
 import json
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from metroscope.plans import jobs
+from metroscope.plans import jobs, update
 from metroscope.sources import io
+from metroscope.streaming import hourly
 
 
 def session(args: argparse.Namespace) -> SparkSession:
@@ -63,13 +71,36 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--min-history-points", type=int, default=24)
     b.add_argument("--output-partitions", type=int, default=0)
     b.add_argument("--from-day", default=None)
-    d = sub.add_parser("daily")
-    for name in ("requests", "weather", "alerts", "news"):
-        d.add_argument(f"--{name}-root", required=True)
-    d.add_argument("--stations-csv", required=True)
-    d.add_argument("--output-root", required=True)
+    d, u = sub.add_parser("daily"), sub.add_parser("update")
+    for p in (d, u):
+        for name in ("requests", "weather", "alerts", "news"):
+            p.add_argument(f"--{name}-root", required=True)
+        p.add_argument("--stations-csv", required=True)
+        p.add_argument("--output-root", required=True)
     d.add_argument("--start", default=None)
     d.add_argument("--end", default=None)
+    u.add_argument("--days", nargs="+", required=True)
+    u.add_argument("--cities", nargs="*", default=None)
+    w = sub.add_parser("weather")
+    w.add_argument("--observations-path", required=True)
+    w.add_argument("--daily-values-path", required=True)
+    w.add_argument("--weather-root", required=True)
+    al = sub.add_parser("alerts")
+    al.add_argument("--features-path", required=True)
+    al.add_argument("--alerts-root", required=True)
+    r = sub.add_parser("requests")
+    r.add_argument("--records-path", required=True)
+    r.add_argument("--city", required=True)
+    r.add_argument("--requests-root", required=True)
+    r.add_argument("--socrata", action="store_true")
+    lo = sub.add_parser("run-log")
+    lo.add_argument("--events-path", required=True)
+    lo.add_argument("--log-root", required=True)
+    st = sub.add_parser("stream")
+    st.add_argument("--landing-root", required=True)
+    st.add_argument("--target", required=True)
+    st.add_argument("--checkpoint", required=True)
+    st.add_argument("--delay", default="2 days")
     n = sub.add_parser("news")
     n.add_argument("--export-path", required=True)
     n.add_argument("--cities", nargs="+", required=True)
@@ -89,11 +120,27 @@ def main(argv: list[str] | None = None) -> None:
                                 args.output_partitions, args.from_day)
     elif args.job == "news":
         out = {"news_days": jobs.news_job(spark, args.export_path, args.cities, args.events_root, args.news_root).count()}
+    elif args.job == "weather":
+        out = {"weather_days": jobs.weather_job(spark, spark.read.parquet(args.observations_path), spark.read.parquet(args.daily_values_path),
+                                                args.weather_root).count()}
+    elif args.job == "alerts":
+        out = {"alerts": jobs.alerts_job(spark, spark.read.parquet(args.features_path), args.alerts_root).count()}
+    elif args.job == "requests":
+        out = {"requests": jobs.requests_job(spark, spark.read.parquet(args.records_path), args.city, args.requests_root, args.socrata).count()}
+    elif args.job == "run-log":
+        out = {"runs": jobs.run_log_job(spark, spark.read.parquet(args.events_path), args.log_root).count()}
+    elif args.job == "stream":
+        landed = spark.read.parquet(args.landing_root)
+        out = hourly.run_hourly_stream(spark, args.landing_root, hourly.stream_schema(landed), args.target, args.checkpoint, args.delay)
     else:
-        read = {n: spark.read.parquet(getattr(args, f"{n}_root")) for n in ("requests", "weather", "alerts", "news")}
+        read = [spark.read.parquet(getattr(args, f"{n}_root")) for n in ("requests", "weather", "alerts", "news")]
         stations = spark.read.option("header", True).schema("station_id string, city string").csv(args.stations_csv)
-        done = jobs.daily_job(spark, read["requests"], read["weather"], read["alerts"], read["news"], stations,
-                              args.output_root, args.start, args.end)
+        if args.job == "update":
+            cities = spark.createDataFrame([(c,) for c in args.cities], "city string") if args.cities else stations.select("city").distinct()
+            changed = cities.select("city", F.explode(F.array(*[F.lit(d).cast("date") for d in args.days])).alias("d"))
+            done = update.update_job(spark, *read, stations, args.output_root, changed)
+        else:
+            done = jobs.daily_job(spark, *read, stations, args.output_root, args.start, args.end)
         out = {k: v.count() for k, v in done.items()}
     print(json.dumps(out, default=str))
 

@@ -91,17 +91,9 @@ def alert_scores(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("city", F.col("obs_date").alias("d")).agg(pyround(F.max(s), 2).alias("alert_score"))
 
 
-def context_score_expr(tone: Column, protests: Column) -> Column:
-    """``min(100,|tone|/8*100)*0.7 + min(100,protests/20*100)*0.3``; null tone -> 50,
-    null protest count -> term 0 (Q19)."""
-    tone_s = F.least(F.lit(100.0), F.abs(tone) / 8 * 100)
-    # least() skips nulls, so the null case is handled before it
-    prot_s = F.when(protests.isNotNull(), F.least(F.lit(100.0), protests / 20 * 100)).otherwise(F.lit(0.0))
-    return F.when(tone.isNull(), F.lit(50.0)).otherwise(pyround(tone_s * 0.7 + prot_s * 0.3, 2))
-
-
 def context_raw(tone: Column, protests: Column) -> Column:
-    """X8 before rounding (null when the tone is null)."""
+    """X8 before rounding: ``min(100,|tone|/8*100)*0.7 + min(100,protests/20*100)*0.3``; null when
+    the tone is null, null protest count -> term 0 (Q19)."""
     tone_s = F.least(F.lit(100.0), F.abs(tone) / 8 * 100)
     # least() skips nulls, so the null case is handled before it
     prot_s = F.when(protests.isNotNull(), F.least(F.lit(100.0), protests / 20 * 100)).otherwise(F.lit(0.0))
@@ -109,6 +101,7 @@ def context_raw(tone: Column, protests: Column) -> Column:
 
 
 def context_scores(gdelt: DataFrame) -> DataFrame:
+    """X8 per (city, day): rounded to 2, a null tone scores 50."""
     raw = gdelt.select("city", F.col("obs_date").alias("d"),
                        context_raw(F.col("avg_tone_7d"), F.col("protest_event_count")).alias("_raw"))
     return raw.select("city", "d", F.coalesce(pyround(F.col("_raw"), 2), F.lit(50.0)).alias("context_score"))

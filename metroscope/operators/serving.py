@@ -5,6 +5,8 @@ tables, never a driver-side loop; each city's partition holds one row per day.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,21 +80,29 @@ def last_updated(runs: DataFrame, scores: DataFrame, cities: DataFrame | None =
     return j.select("city", text.alias("last_updated"), data_date.alias("data_as_of"))
 
 
-def _newest(df: DataFrame, date_col: str, n: int) -> DataFrame:
-    """Newest ``n`` rows per city (rank over a per-city, per-day table)."""
-    w = Window.partitionBy("city").orderBy(F.col(date_col).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+_HISTORY = ("composite", "comp_base", "tmax", "tone", "vol_311")
+
+
+def _history_rows(scores: DataFrame, city_weather: DataFrame, gdelt: DataFrame, counts: DataFrame) -> DataFrame:
+    """The four daily sources under one another: ``city``, ``d``, ``source`` and the history columns
+    (null in the rows of other sources)."""
+    sources = {
+        "score": scores.select("city", F.col("score_date").alias("d"), "composite", F.col("composite_baseline_30d").alias("comp_base")),
+        "weather": city_weather.select("city", F.col("obs_date").alias("d"), "tmax"),
+        "news": gdelt.select("city", F.col("obs_date").alias("d"), F.col("avg_tone_7d").alias("tone")),
+        "requests": counts.select("city", "d", F.col("cnt").alias("vol_311")),
+    }
+    tagged = [df.withColumn("source", F.lit(name)) for name, df in sources.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
 def history_month(scores: DataFrame, city_weather: DataFrame, gdelt: DataFrame, counts: DataFrame, n: int = 30) -> DataFrame:
     """J2 + A18: per city, the newest 30 scores left-joined to the newest 30 weather,
     news and 311-volume days (``counts``: city, d, cnt); base_311 = mean of the joined
-    volume; nulls -> 0."""
-    s = _newest(scores.select("city", F.col("score_date").alias("d"), "composite", F.col("composite_baseline_30d").alias("comp_base")), "d", n)
-    wx = _newest(city_weather.select("city", F.col("obs_date").alias("d"), "tmax"), "d", n)
-    g = _newest(gdelt.select("city", F.col("obs_date").alias("d"), F.col("avg_tone_7d").alias("tone")), "d", n)
-    v = _newest(counts.select("city", "d", F.col("cnt").alias("vol_311")), "d", n)
-    j = s.join(wx, ["city", "d"], "left").join(g, ["city", "d"], "left").join(v, ["city", "d"], "left")
+    volume; nulls -> 0. One ranking over all sources, one group-by in place of the joins."""
+    newest = Window.partitionBy("city", "source").orderBy(F.col("d").desc())
+    rows = _history_rows(scores, city_weather, gdelt, counts).withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= n)
+    j = rows.groupBy("city", "d").agg(*[F.max(c).alias(c) for c in _HISTORY], F.bool_or(F.col("source") == "score").alias("scored")).filter("scored")
     j = j.withColumn("base_311", F.avg("vol_311").over(Window.partitionBy("city")))
     return j.select(
         "city", F.date_format("d", "yyyy-MM-dd").alias("date"),
@@ -102,20 +112,14 @@ def history_month(scores: DataFrame, city_weather: DataFrame, gdelt: DataFrame,
     ).orderBy("city", "date")  # T2: at most n rows a city, oldest first
 
 
-def _by_month(df: DataFrame, date_col: str, aggs) -> DataFrame:
-    d = F.col(date_col)
-    return df.groupBy("city", F.date_format(d, "MMM").alias("month"), F.month(d).alias("month_num")).agg(*aggs)
-
-
 def history_year(scores: DataFrame, city_weather: DataFrame, gdelt: DataFrame, counts: DataFrame) -> DataFrame:
-    """J3 + A14: per city and calendar month (years merged) averages and 311 volume,
-    left-joined on (month, month_num); base_311 = mean monthly volume; nulls -> 0."""
-    s = _by_month(scores, "score_date", [F.avg("composite").alias("composite"), F.avg("composite_baseline_30d").alias("comp_base")])
-    wx = _by_month(city_weather, "obs_date", [F.avg("tmax").alias("tmax")])
-    g = _by_month(gdelt, "obs_date", [F.avg("avg_tone_7d").alias("tone")])
-    v = _by_month(counts, "d", [F.sum("cnt").alias("vol_311")])
+    """J3 + A14: per city and calendar month (years merged) averages and 311 volume of the months
+    that have scores; base_311 = mean monthly volume; nulls -> 0. One group-by over all sources."""
     keys = ["city", "month", "month_num"]
-    j = s.join(wx, keys, "left").join(g, keys, "left").join(v, keys, "left")
+    rows = _history_rows(scores, city_weather, gdelt, counts)
+    j = rows.groupBy("city", F.date_format("d", "MMM").alias("month"), F.month("d").alias("month_num")).agg(
+        *[F.avg(c).alias(c) for c in ("composite", "comp_base", "tmax", "tone")], F.sum("vol_311").alias("vol_311"),
+        F.bool_or(F.col("source") == "score").alias("scored")).filter("scored")
     j = j.withColumn("base_311", F.avg("vol_311").over(Window.partitionBy("city")))
     return j.select(
         *keys,

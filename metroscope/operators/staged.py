@@ -24,6 +24,7 @@ from metroscope.session import remove_scratch
 
 PENDING = "_pending"
 PRUNE_LIMIT = 1000  # partitions named in a scan's filters
+SMALL_BYTES = 64 << 20  # of a change that needs no splitting
 
 
 @dataclass(frozen=True)
@@ -139,13 +140,27 @@ def _apply(spark: SparkSession, here: str, plan: list[dict]) -> None:
         if p["scope"]:
             scope = spark.read.schema(StructType.fromJson(json.loads(p["scope"]))).parquet(f"{here}/{p['name']}-scope")
             _drop_emptied(spark, p["root"], parts, rows, scope)
-        (rows.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(p["root"]))
+        (_clustered(rows, _bytes(spark, f"{here}/{p['name']}"), parts).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(p["root"]))
 
     _together(put, plan)
     remove_scratch(spark, here)
 
 
+def _bytes(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def _clustered(rows: DataFrame, size: int, parts: list[str]) -> DataFrame:
+    """Rows by table partition before a partitioned write. ``rebalance`` splits large partitions
+    over several files; of a small change it would make one task that opens every file in turn,
+    so that is dealt out by partition."""
+    if size > SMALL_BYTES:
+        return rows.hint("rebalance", *parts)
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *parts)
+
+
 def _drop_emptied(spark: SparkSession, root: str, parts: list[str], rows: DataFrame, scope: DataFrame) -> None:
     """Delete the folders of partitions in ``scope`` that get no row (dynamic overwrite
     leaves those alone). The folder names come from the table's own files."""

@@ -380,6 +380,21 @@ def d9_quality_report(spark, sf):
     return finish(qa.quality_report(_validation_counts(spark, sf)))
 
 
+@query("d9_column_drift")
+def d9_column_drift(spark, sf):
+    """D-9 per column: nulls and drift of weather, requests and news. In the last three weather
+    days every tmax reads 25 degrees higher - the row counts stay as they are."""
+    wx = daily.weather(spark, sf)
+    last = F.date_sub(F.lit(wx.agg(F.max("obs_date")).first()[0]), 2)
+    wx = wx.withColumn("tmax", F.when(F.col("obs_date") >= last, F.col("tmax") + 25).otherwise(F.col("tmax")))
+    profiles = [
+        qa.column_profiles(wx, "weather_daily", F.col("obs_date"), {"tmax": 2.5, "heat_index_max": 5.0, "precip_6hr_max": 0.5}),
+        qa.column_profiles(daily.requests(spark, sf), "requests_311", F.col("requested_datetime"), {"resolution_hrs": 24.0}, ["status", "service_name"]),
+        qa.column_profiles(daily.gdelt(spark, sf), "gdelt_daily", F.col("obs_date"), {"avg_tone": 0.5}),
+    ]
+    return finish(qa.column_drift(profiles[0].unionByName(profiles[1]).unionByName(profiles[2])))
+
+
 # ---------------------------------------------------------------- documented-only operators (D-1..D-10)
 
 from metroscope.operators import geo  # noqa: E402
@@ -590,6 +605,76 @@ def e1_bronze_jsonl(spark, sf):
     ))
 
 
+_LINE_SCHEMA = T.StructType([T.StructField("service_request_id", T.LongType()), T.StructField("status", T.StringType())])
+
+
+@query("s3_bad_lines")
+def s3_bad_lines(spark, sf):
+    """S3: requests as JSON lines in eight files, some lines cut short, some of the wrong type,
+    some blank; every bad line is named by file and line, over splits of a few KB."""
+    key = F.col("o_orderkey")
+    good = F.to_json(F.struct(key.alias("service_request_id"), F.col("o_orderstatus").alias("status")))
+    line = F.when(key % 97 == 0, F.substring(good, 1, 12)).when(key % 89 == 0, F.concat(F.lit('{"service_request_id":"x'), key.cast("string"), F.lit('"}'))).when(
+        key % 31 == 0, F.lit("")).otherwise(good)
+    rows = tables.read(spark, sf, "orders").select((key % 8).cast("int").alias("part"), "o_orderkey", line.alias("value"))
+    root = scratch_path(spark, "json-lines")
+    # partitioned writing keeps this order inside a file; each part is one task's
+    rows.repartition(8, "part").sortWithinPartitions("part", "o_orderkey").select("part", "value").write.partitionBy("part").text(root)
+    split = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(split)
+    spark.conf.set(split, "16k")
+    try:
+        found = daily.materialize(spark, io.bad_json_lines(spark, root, _LINE_SCHEMA), "bad-lines")
+    finally:
+        spark.conf.set(split, before)
+    return finish(found.select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("int").alias("part"), "line", "text"))
+
+
+@query("s1_json_arrays")
+def s1_json_arrays(spark, sf):
+    """Every batch landed as one JSON-array payload, read back with the payload check."""
+    b = fixtures.bronze_requests(spark, sf)
+    record = F.struct("service_request_id", "status", "service_name", "lat", F.col("lon").alias("long"),
+                      F.date_format("requested_datetime", _ISO).alias("requested_datetime"))
+    root = scratch_path(spark, "payloads")
+    payloads = b.groupBy("batch_id").agg(F.to_json(F.collect_list(record)).alias("value"))  # a payload is one service response
+    payloads.write.partitionBy("batch_id").text(root)
+    back = io.read_json_batch(spark, root, io.OPEN311_SCHEMA)
+    return finish(back.select("service_request_id", "status", "service_name", "lat", "long", F.to_timestamp("requested_datetime").alias("requested_datetime")))
+
+
+def _some_unreadable(rows: DataFrame) -> DataFrame:
+    """Request and ingest times as text, some empty, blank or garbage."""
+    eid = F.col("service_request_id").cast("long")
+    spoil = lambda c, n: F.when(eid % n == 0, F.lit("")).when(eid % n == 1, F.lit("garbage")).when(
+        eid % n == 2, F.lit("  ")).otherwise(F.date_format(c, _ISO))
+    return rows.withColumns({"requested_at_utc": spoil("requested_at_utc", 29), "ingested_at_utc": spoil("ingested_at_utc", 37)})
+
+
+@query("f5_unreadable_times")
+def f5_unreadable_times(spark, sf):
+    """silver rows whose request or ingest time cannot be read take no part in the counts."""
+    facts = lk.request_facts(_some_unreadable(lake.silver(spark, sf)))
+    return finish(lk.hourly(lk.category_cells(lk.latest_deliveries(facts))))
+
+
+@query("e2_two_batches")
+def e2_two_batches(spark, sf):
+    """E2 twice: half of every day's requests are in a first batch, silver is built, then a second
+    batch of the same days lands and silver is built again."""
+    b = fixtures.bronze_requests(spark, sf)
+    bronze, silver, mapping = (scratch_path(spark, n) for n in ("two-bronze", "two-silver", "two-mapping"))
+    fixtures.category_mapping(spark).coalesce(1).write.option("header", True).csv(mapping)
+    second = F.col("service_request_id").cast("long") % 2 == 1
+    for rows, number in ((b.filter(~second), "-1"), (b.filter(second), "-2")):
+        stamped = rows.withColumns({"batch_id": F.concat("batch_id", F.lit(number)), "raw_payload": F.lit(None).cast("string")} | {
+            c: F.date_format(c, _ISO) for c in ("requested_datetime", "updated_datetime", "closed_datetime")})
+        io.write_jsonl(lk.bronze_partition_columns(stamped), bronze, jobs.BRONZE_PARTITIONS)
+        jobs.silver_job(spark, bronze, mapping, silver)
+    back = io.read_parquet_required(spark, silver, lk.SILVER_REQUIRED, "Silver input")
+    return finish(back.select("service_request_id", "city", "batch_id", "normalized_category", "is_infrastructure", "is_emergency_type", "requested_at_utc"))
+
+
 @query("e12_news_tsv")
 def e12_news_tsv(spark, sf):
     """E12 on files: the export landed as headerless 58-column TSV (S8), city rows written
@@ -814,6 +899,17 @@ def e17_window(spark, sf):
     return finish(done["signal_metrics"].select(*scores.columns).unionByName(scores))
 
 
+@query("f8_stored")
+def f8_stored(spark, sf):
+    """F8 and E10 from the stored tables: every city's newest cards, read from the one partition
+    each that the newest-day pointer names."""
+    di = daily.inputs(spark, sf)
+    root = scratch_path(spark, "stored-datamart")
+    update.merge_outputs(spark, root, daily.scores_of(di), daily.cards_of(di))
+    scores = update.newest_rows(spark, root, "signal_scores").select("city", "composite", "readiness_mode")
+    return finish(update.newest_rows(spark, root, "signal_metrics").join(scores, "city"))
+
+
 @query("e14_alerts")
 def e14_alerts(spark, sf):
     """E14 twice: all alerts as feature collections, then every fourth seen again 20 days later

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,7 +63,7 @@ def _day(*cols: str) -> Column:
 
 def silver_job(spark: SparkSession, bronze_root: str, mapping_csv: str, silver_root: str, from_day: str | None = None) -> int:
     """Bronze JSON lines (S3, FAILFAST) + mapping CSV (S10) -> silver parquet
-    partitioned by ingest day and city.
+    partitioned by ingest day and city. A bad line fails the job, named by file and line.
 
     Every partition it writes is rebuilt from **all** bronze rows of that day and city, so
     a later batch of a day never erases an earlier one (Q3). ``from_day`` (yyyy-mm-dd) limits
@@ -72,7 +73,11 @@ def silver_job(spark: SparkSession, bronze_root: str, mapping_csv: str, silver_r
         bronze = bronze.filter(_day("year", "month", "day") >= F.lit(from_day).cast("date"))
     mapping = io.read_mapping_csv(spark, mapping_csv)
     silver = lk.to_silver(bronze, mapping, mapping.count())
-    io.write_partitioned(silver, silver_root, SILVER_PARTITIONS)
+    try:
+        io.write_partitioned(silver, silver_root, SILVER_PARTITIONS)
+    except (PySparkException, Py4JError):
+        io.require_json_lines(spark, bronze_root, _bronze_schema())  # says which line, if that was it
+        raise
     return bronze.count()
 
 
@@ -151,16 +156,6 @@ def daily_job(spark: SparkSession, requests: DataFrame, weather: DataFrame, aler
 # ---------------------------------------------------------------- ingest jobs
 
 
-def _stored(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
-    """The table at ``root``, or no rows where there is none yet."""
-    try:
-        return spark.read.schema(like.schema).parquet(root).select(*like.columns)
-    except AnalysisException as e:
-        if (e.getCondition() or "") != "PATH_NOT_FOUND":
-            raise
-        return like.limit(0)
-
-
 def news_job(spark: SparkSession, export_path: str, cities: Sequence[str], events_root: str, news_root: str) -> DataFrame:
     """The daily news export (S8) -> city events as CSV (S9) and the daily news table
     (P6, F2-F4, A6), merged so that a known day keeps its polarity (M2) and the 7-day tone is

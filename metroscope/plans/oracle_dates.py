@@ -15,6 +15,7 @@ DATE_COLUMNS = {
     'd5_today_view': ('d',),
     'd7_five_signals': ('d',),
     'd8_score_window': ('score_date',),
+    'd9_column_drift': ('obs_date',),
     'd9_quality_report': ('last_day',),
     'e10_latest_composite': ('score_date',),
     'e10_latest_verdict': ('verdict_date',),
@@ -26,6 +27,7 @@ DATE_COLUMNS = {
     'f1_validate_counts': ('obs_date',),
     'f2_city_filter': ('obs_date',),
     'f7_latest_metrics': ('metric_date',),
+    'f8_stored': ('metric_date',),
     'j4_source_fallback': ('obs_date',),
     'm2_partial_upsert': ('obs_date',),
     'm3_insert_absent': ('obs_date',),

@@ -28,6 +28,7 @@ from metroscope.plans import daily
 from metroscope.session import remove_scratch, scratch_path
 
 STATE = "_days"           # folder beside the outputs
+NEWEST = "_newest"        # folder beside an output table
 HISTORY = 30              # rows that the score windows look back, and days of the score baseline
 PARTITIONS = ("city", "month")
 OUTPUTS = {"signal_scores": ("score_date", ["city", "score_date"]),
@@ -57,10 +58,50 @@ def merge_outputs(spark: SparkSession, out_root: str, scores: DataFrame, cards:
               "verdicts": sv.verdicts(scores).withColumn("generated_at", F.current_timestamp())}
     for name, df in tables.items():
         date, keys = OUTPUTS[name]
-        mg.merge_into_path(spark, f"{out_root.rstrip('/')}/{name}", with_month(df, date), keys, PARTITIONS)
+        root = f"{out_root.rstrip('/')}/{name}"
+        path = scratch_path(spark, "merge-rows")
+        try:
+            with_month(df, date).write.parquet(path)
+            rows = spark.read.parquet(path)
+            mg.merge_into_path(spark, root, rows, keys, PARTITIONS, also=[newest_days(spark, root, rows, date)])
+        finally:
+            remove_scratch(spark, path)
     return {name: spark.read.parquet(f"{out_root.rstrip('/')}/{name}") for name in tables}
 
 
+def newest_days(spark: SparkSession, root: str, rows: DataFrame, date: str) -> staged.Change:
+    """W14 kept by the merges: each city's newest day and its month, beside the table. Readers of
+    the newest rows go straight to that partition."""
+    newest = rows.groupBy("city").agg(F.max(date).alias("day"))
+    old = staged.stored(spark, f"{root}/{NEWEST}", newest)
+    if old is not None:
+        cities = newest.select("city")
+        newest = newest.unionByName(staged.in_scope(old, cities, ["city"])).groupBy("city").agg(F.max("day").alias("day"))
+    return staged.Change("newest", f"{root}/{NEWEST}", ("city",), newest)
+
+
+def newest_rows(spark: SparkSession, out_root: str, name: str, city: str | None = None) -> DataFrame:
+    """E10, F7, F8 and W14 from a stored table: the rows of each city's newest day (or of one
+    city's), read from those days' partitions only."""
+    date = OUTPUTS[name][0]
+    root = f"{out_root.rstrip('/')}/{name}"
+    days = spark.read.parquet(f"{root}/{NEWEST}").withColumn("month", F.date_format("day", "yyyy-MM"))
+    if city is not None:
+        days = days.filter(F.col("city") == city)
+    table = staged.in_scope(spark.read.parquet(root), days.select(*PARTITIONS), PARTITIONS)
+    # one row a city on the right
+    return table.join(days.select("city", F.col("day").alias(date)), ["city", date], "left_semi").drop("month")
+
+
+def day_rows(spark: SparkSession, out_root: str, name: str, city: str, start: str, end: str) -> DataFrame:
+    """D-8 from a stored table: one city's rows of ``start`` to ``end`` (yyyy-mm-dd, both
+    included); partitions of other cities and months are not read."""
+    date = OUTPUTS[name][0]
+    table = spark.read.parquet(f"{out_root.rstrip('/')}/{name}")
+    days = F.col(date).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return table.filter((F.col("city") == city) & F.col("month").cast("string").between(start[:7], end[:7]) & days).drop("month")
+
+
 def request_cells(requests: DataFrame, changed: DataFrame) -> DataFrame:
     """The folded request days of the changed cells, from their partitions alone. ``requests`` is
     the table ``jobs.requests_job`` keeps: a row per request, by city and month."""

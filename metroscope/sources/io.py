@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,10 +98,38 @@ def write_jsonl(df: DataFrame, path: str, partition_cols: Iterable[str] = ()) ->
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """S3: a malformed line fails the read (FAILFAST names the file and the bad record)."""
+    """S3: a malformed line fails the read (FAILFAST). ``require_json_lines`` names it."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def bad_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``file``, ``line`` (from 1) and ``text`` of every line that does not fit ``schema``.
+
+    A file is read in splits, on many machines at once, and no split knows how many lines stand
+    before it. So lines are counted per split, the counts of a file's earlier splits are
+    added up (one row a split), and a line's number is that sum plus its place in its split."""
+    corrupt = "_unread"
+    read = T.StructType([f for f in schema.fields if f.name != corrupt] + [T.StructField(corrupt, T.StringType())])
+    place = F.monotonically_increasing_id()  # rows of a split are neighbours, in order
+    split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    lines = spark.read.text(path).select(*split, "value", place.alias("place"))
+    parsed = F.from_json("value", read, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    wrong = lines.withColumn("bad", F.ifnull((F.trim("value") != "") & parsed[corrupt].isNotNull(), F.lit(False)))
+    splits = wrong.groupBy("file", "start").agg(
+        F.count(F.lit(1)).alias("n"), F.min("place").alias("first"), F.collect_list(F.when(F.col("bad"), F.struct("place", "value"))).alias("bad"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    counted = splits.select("file", "first", F.ifnull(F.sum("n").over(earlier), F.lit(0)).alias("before"), "bad")
+    return counted.select("file", "before", "first", F.explode("bad").alias("b")).select(
+        "file", (F.col("before") + F.col("b.place") - F.col("first") + 1).alias("line"), F.col("b.value").alias("text"))
+
+
+def require_json_lines(spark: SparkSession, path: str, schema: T.StructType, most: int = 10) -> None:
+    """S3: fail with the file and line of the first ``most`` bad lines, if there are any."""
+    wrong = bad_json_lines(spark, path, schema).orderBy("file", "line").limit(most).collect()
+    if wrong:
+        raise ValueError("bad JSON lines: " + "; ".join(f"{r.file}, line {r.line}: {r.text[:80]}" for r in wrong))
+
+
 def write_partitioned(df: DataFrame, root: str, partition_cols: Iterable[str], files_per_partition: int | None = None) -> None:
     """Parquet, dynamic partition overwrite (only touched partitions replaced).
 
