@@ -100,6 +100,11 @@ def context_raw(tone: Column, protests: Column) -> Column:
     return F.when(tone.isNotNull(), tone_s * 0.7 + prot_s * 0.3)
 
 
+def context_score_expr(tone: Column, protests: Column) -> Column:
+    """Rounded to 2; a null tone scores 50."""
+    return F.coalesce(pyround(context_raw(tone, protests), 2), F.lit(50.0))
+
+
 def context_scores(gdelt: DataFrame) -> DataFrame:
     """X8 per (city, day): rounded to 2, a null tone scores 50."""
     raw = gdelt.select("city", F.col("obs_date").alias("d"),
