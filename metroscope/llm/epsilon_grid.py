@@ -115,40 +115,34 @@ def grid_blocks(folded: DataFrame, dim: int, axes: np.ndarray, eps: float, block
     order = [*(f"c{i}" for i in range(k)), "first", "node"]
     ranges = max(1, math.ceil(total / (8 * block_rows)))
     spread = placed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("node", "copies", "v")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for b in batches:
-            held.append(b)
-            while sum(x.num_rows for x in held) >= block_rows:
-                whole = pa.concat_batches(held)
-                yield one(whole.slice(0, block_rows))
-                held = [whole.slice(block_rows)]
-        if sum(x.num_rows for x in held):
-            yield one(pa.concat_batches(held))
-
-    def one(b: pa.RecordBatch) -> pa.RecordBatch:
-        u = unit_rows(_matrix(b.column("v"), dim))
-        p = u @ axes
-        low, high = p.min(axis=0), p.max(axis=0)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([b.column("node").to_pylist()], pa.list_(pa.int64())), pa.array([b.column("copies").to_pylist()], pa.list_(pa.int64())),
-             pa.array([u.tobytes()], pa.binary()), *(pa.array([x]) for x in low), *(pa.array([x]) for x in high)],
-            ["nodes", "copies", "data", *(f"low_{i}" for i in range(k)), *(f"high_{i}" for i in range(k))])
-
-    box = ", ".join(f"{s}_{i} double" for s in ("low", "high") for i in range(k))
-    cut_up = map_batches(spread, cut, f"nodes array<long>, copies array<long>, data binary, {box}")
-    blocks = written(cut_up.withColumn("at", F.monotonically_increasing_id()), "ego-blocks")
+    sequence = written(spread.withColumn("at", F.monotonically_increasing_id()), "ego-order")  # range above 33 bits of place
     part = F.shiftright("at", 33)
-    counts = {r.part: r.n for r in blocks.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a range
+    counts = {r.part: r.n for r in sequence.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a range
     before, seen = [], 0
     for p in sorted(counts):
         before.append((p, seen))
         seen += counts[p]
     offsets = spark.createDataFrame(before or [(0, 0)], "part long, before long")
-    place = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    return blocks.withColumn("part", part).join(F.broadcast(offsets), "part").withColumn(
-        "block", F.col("before") + place).drop("part", "before", "at")
+    position = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = sequence.withColumn("part", part).join(F.broadcast(offsets), "part").select(position.alias("place"), "node", "copies", "v")
+    # blocks of the same size however the ranges fell: at most block_rows rows meet under a key
+    gathered = numbered.groupBy(F.floor(F.col("place") / block_rows).cast("long").alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct("place", "node", "copies", "v"))).alias("rows"))
+    gathered = gathered.select("block", F.transform("rows", lambda r: r["node"]).alias("nodes"),
+                               F.transform("rows", lambda r: r["copies"]).alias("copies"), F.transform("rows", lambda r: r["v"]).alias("vectors"))
+
+    def boxed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                u = unit_rows(_matrix(b.column("vectors")[i].values, dim))
+                p = u @ axes
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("block")[i:i + 1], b.column("nodes")[i:i + 1], b.column("copies")[i:i + 1], pa.array([u.tobytes()], pa.binary()),
+                     *(pa.array([x]) for x in p.min(axis=0)), *(pa.array([x]) for x in p.max(axis=0))],
+                    ["block", "nodes", "copies", "data", *(f"low_{i}" for i in range(k)), *(f"high_{i}" for i in range(k))])
+
+    box = ", ".join(f"{s}_{i} double" for s in ("low", "high") for i in range(k))
+    return written(map_batches(gathered, boxed, f"block long, nodes array<long>, copies array<long>, data binary, {box}"), "ego-blocks")
 
 
 def near_block_pairs(blocks: DataFrame, k: int, n_blocks: int, eps: float) -> DataFrame:
@@ -313,7 +307,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     axes = principal_axes(folded, dim, min(grid_dims, dim))
     block_rows = max(256, min(8192, block_bytes // (8 * dim)))
     blocks = grid_blocks(folded, dim, axes, eps_cell, block_rows, total)
-    pairs = near_block_pairs(blocks, axes.shape[1], blocks.count(), eps)
+    pairs = near_block_pairs(blocks, axes.shape[1], -(-total // block_rows), eps)
     found = written(_pair_results(pairs, blocks, dim, axes, eps, min_cosine), "ego-links")
     roots = written(connected_components(found.select("node", "root").filter("node != root")), "ego-roots")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
