@@ -465,7 +465,7 @@ def d7_five_signals(spark, sf):
 @query("d8_score_window")
 def d8_score_window(spark, sf, city: str = "boston", start: str = "1996-01-01", end: str = "1996-12-31"):
     """Scores for one city and a date window (the serving endpoint's parametrised filter)."""
-    s = daily.scores(spark, sf)
+    s = daily.scores(spark, sf, daily.inputs(spark, sf, city, end))
     return finish(s.filter((F.col("city") == city) & F.col("score_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))))
 
 
@@ -763,7 +763,7 @@ def t5_display_sample(spark, sf):
 @query("f8_city_metrics")
 def f8_city_metrics(spark, sf, city: str = "boston"):
     """F8: one city's cards on its newest metric date (scalar max, then filter)."""
-    c = sv.latest_metrics(daily.cards(spark, sf).filter(F.col("city") == city))
+    c = sv.latest_metrics(daily.cards(spark, sf, di=daily.inputs(spark, sf, city)))
     return finish(c.select("metric_name", "value_num", "value_text", "delta_pct", "baseline"))
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroscope.operators import cards as cd
@@ -74,8 +74,23 @@ class DailyInputs:
     spine: DataFrame  # (city, d) calendar spine
 
 
-def inputs(spark: SparkSession, sf: str) -> DailyInputs:
-    return inputs_of(spark, requests(spark, sf), weather(spark, sf), alerts(spark, sf), gdelt(spark, sf), stations(spark))
+def inputs(spark: SparkSession, sf: str, city: str | None = None, until: str | None = None) -> DailyInputs:
+    """The per-day inputs of all cities, or of one, and of all days or of those up to ``until`` (no
+    window looks ahead). The filters stand on the raw rows: other cities and later days are
+    neither folded nor scored."""
+    def some(df: DataFrame, day: Column, by_city: bool = True) -> DataFrame:
+        if city and by_city:
+            df = df.filter(F.col("city") == city)
+        return df.filter(day < F.date_add(F.lit(until).cast("date"), 1)) if until else df
+
+    st = stations(spark)
+    wx = weather(spark, sf)
+    if city:
+        st = st.filter(F.col("city") == city)
+        wx = wx.join(st.select("station_id").distinct(), "station_id", "left_semi")
+    news = nw.gdelt_daily(fx.news_events(spark, sf), [city] if city else CITIES)
+    return inputs_of(spark, some(requests(spark, sf), F.col("requested_datetime")), some(wx, F.col("obs_date"), False),
+                     some(alerts(spark, sf), F.col("obs_date")), some(news, F.col("obs_date")), st)
 
 
 def inputs_of(spark: SparkSession, requests: DataFrame, weather: DataFrame, alerts: DataFrame, news: DataFrame,
