@@ -37,16 +37,16 @@ INLINE_CITIES = 40  # names compared one by one in a projection; more go through
 GRAM = 3
 
 
-def match_cities(events: DataFrame, cities: Sequence[str], keep_unmatched: bool = False) -> DataFrame:
-    """case-insensitive substring of a city name in any of three geo columns; null never matches.
+def with_cities(events: DataFrame, cities: Sequence[str], column: str) -> DataFrame:
+    """adds ``column``, the cities whose name any of the three geo columns contains (case
+    ignored; null contains nothing; none: an empty array).
 
-    Adds ``city`` (one row per matched city). A short list is one ``contains`` per (city,
-    column) in a single codegen'd projection, then ``array_compact`` + ``explode`` - no join; a
-    longer one is looked up with ``match_city_names``."""
+    A short list is one ``contains`` per (city, column) in a single codegen'd projection - no
+    join; a longer one is looked up with ``with_city_names``."""
     cities = list(dict.fromkeys(cities))
     if len(cities) > INLINE_CITIES:
         names = events.sparkSession.createDataFrame([(c,) for c in cities], "city string")
-        return match_city_names(events, names, keep_unmatched)
+        return with_city_names(events, names, column)
     geo = _free(events, "geo")
     # the folded texts are a step of their own: each is lower-cased once per row
     folded = events.withColumn(geo, F.struct(*[F.lower(F.col(g)).alias(f"g{i}") for i, g in enumerate(GEO_COLUMNS)]))
@@ -55,8 +55,18 @@ def match_cities(events: DataFrame, cities: Sequence[str], keep_unmatched: bool
         F.when(reduce(lambda a, b: a | b, [F.coalesce(g.contains(c.lower()), F.lit(False)) for g in texts]), F.lit(c))
         for c in cities
     ]
+    return folded.withColumn(column, F.array_compact(F.array(*hits))).drop(geo)
+
+
+def _one_row_a_city(events: DataFrame, found: DataFrame, column: str, keep_unmatched: bool) -> DataFrame:
     explode = F.explode_outer if keep_unmatched else F.explode
-    return folded.withColumn("city", explode(F.array_compact(F.array(*hits)))).drop(geo)
+    return found.select(*events.columns, explode(column).alias("city"))
+
+
+def match_cities(events: DataFrame, cities: Sequence[str], keep_unmatched: bool = False) -> DataFrame:
+    """one row per event and city that it names (``with_cities``), in column ``city``."""
+    column = _free(events, "cities")
+    return _one_row_a_city(events, with_cities(events, cities, column), column, keep_unmatched)
 
 
 def _free(df: DataFrame, base: str) -> str:
@@ -96,24 +106,28 @@ def names_in_texts(texts: DataFrame, names: DataFrame) -> DataFrame:
     return found.unionByName(texts.where(F.col("text").isNotNull()).join(everywhere).select("text", "city"))
 
 
-def match_city_names(events: DataFrame, names: DataFrame, keep_unmatched: bool = False) -> DataFrame:
-    """F2 for any number of names (a ``city`` column): the same rows as ``match_cities``.
+def with_city_names(events: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    """``with_cities`` for any number of names (a ``city`` column).
 
     The work per name is done on the distinct geo texts, not on the events: texts are searched
     through a gram index, and events get their cities back by one join on their distinct
     combination of geo texts."""
     geos = [F.lower(F.col(g)).alias(f"g{i}") for i, g in enumerate(GEO_COLUMNS)]
-    geo, found = _free(events, "geo"), _free(events, "found")
+    geo = _free(events, "geo")
     places = events.select(*geos).distinct()
     keys = [f"g{i}" for i in range(len(GEO_COLUMNS))]
     each = places.select(*keys, F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("text"))
     pairs = names_in_texts(each.select("text").distinct(), names)
-    cities = each.join(pairs, "text").groupBy(*keys).agg(F.sort_array(F.collect_set("city")).alias(found))
+    cities = each.join(pairs, "text").groupBy(*keys).agg(F.sort_array(F.collect_set("city")).alias(column))
     folded = events.withColumn(geo, F.struct(*geos))
-    met = folded.join(cities, reduce(lambda a, b: a & b, [F.col(f"{geo}.{k}").eqNullSafe(cities[k]) for k in keys]),
-                      "left" if keep_unmatched else "inner")
-    explode = F.explode_outer if keep_unmatched else F.explode
-    return met.select(*events.columns, explode(found).alias("city"))
+    met = folded.join(cities, reduce(lambda a, b: a & b, [F.col(f"{geo}.{k}").eqNullSafe(cities[k]) for k in keys]), "left")
+    return met.select(*events.columns, F.ifnull(column, F.array().cast("array<string>")).alias(column))
+
+
+def match_city_names(events: DataFrame, names: DataFrame, keep_unmatched: bool = False) -> DataFrame:
+    """F2 for any number of names: the same rows as ``match_cities``."""
+    column = _free(events, "cities")
+    return _one_row_a_city(events, with_city_names(events, names, column), column, keep_unmatched)
 
 
 def match_cities_strict(events: DataFrame, patterns: Sequence[tuple[str, str]]) -> DataFrame:
@@ -180,12 +194,13 @@ def rollup_with_empty_days(events: DataFrame, cities: Sequence[str], date_col: s
     """A6 as the reference writes it: a downloaded day with no matching event still gets
     a row (tone null, counts 0).
 
-    One pass over the raw events: they are folded per city and date *text*, and only the
-    folded rows are parsed. Unmatched events are kept with a null city, so the fold itself
-    knows every file day; the (day x city) spine is built from it and meets it in the second
-    group-by - no second scan, no join."""
-    parts = _day_parts(match_cities(events, cities, keep_unmatched=True), "city", date_col).select(
-        "city", _parsed_date(F.col(date_col)).alias("obs_date"), *_DAY_PARTS)
+    One pass over the raw events: they are folded per set of matched cities and date *text*, and
+    only the folded rows are given out to the cities and parsed. Unmatched events are kept
+    with an empty set, so the fold itself knows every file day; the (day x city) spine is built from
+    it and meets it in the second group-by - no second scan, no join."""
+    column = _free(events, "cities")
+    parts = _day_parts(with_cities(events, cities, column), column, date_col).select(
+        F.explode_outer(column).alias("city"), _parsed_date(F.col(date_col)).alias("obs_date"), *_DAY_PARTS)
     days = parts.select("obs_date").where(F.col("obs_date").isNotNull()).distinct()
     spine = days.withColumn("city", F.explode(F.array(*[F.lit(c) for c in cities])))
     both = parts.where(F.col("city").isNotNull()).unionByName(spine, allowMissingColumns=True)
