@@ -1,8 +1,8 @@
 """Point-in-zone assignment (D-6) without a geometry type.
 
 A zone is one or more closed rings of vertices (holes and parts by the even-odd rule). Zones are
-covered by cells of a quadtree: starting from the up to four cells of about the zone's own size,
-a cell is split into 16 while more than ``LEAF_EDGES`` of the zone's edges run through it. A cell
+covered by cells of a quadtree: starting from the up to 25 cells between a quarter of the zone's
+own size and that size, a cell is split into 16 while more than ``LEAF_EDGES`` of the zone's edges run through it. A cell
 without edges lies inside the zone (or is dropped); any other keeps just the edges that touch it
 and whether its lower right corner lies inside. So a country and a city block are covered by
 cells of their own sizes, and no cell repeats a whole polygon.
@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metroscope.session import remove_scratch, scratch_path
+from metroscope.session import scratch_path
 
 # Broadcast the cover only while it holds this many edges and cells in all (32 bytes each): 64 MB.
 MAX_BROADCAST_EDGES = 2_000_000
@@ -106,11 +106,24 @@ def _cut(cells: DataFrame, corner) -> DataFrame:
     return cut.filter((F.size("edges") > 0) | F.col("corner"))
 
 
+def _sized(cells: DataFrame) -> tuple[int, int, list[int]]:
+    """Most edges of a cell, edges and cells in all, levels that occur (a few dozen at most)."""
+    most, total, levels = cells.agg(F.max(F.size("edges")), F.sum(F.size("edges") + F.lit(1)), F.collect_set("level")).first()
+    return most or 0, total or 0, sorted(levels)
+
+
 def zone_cover(zones: DataFrame) -> DataFrame:
-    """``zone_id``, ``level``, ``cx``, ``cy``, ``edges``, ``corner``: the cells that cover each zone.
+    """The cells that cover each zone (``sized_cover`` without the sizes)."""
+    return sized_cover(zones)[0]
+
+
+def sized_cover(zones: DataFrame) -> tuple[DataFrame, int, list[int]]:
+    """``zone_id``, ``level``, ``cx``, ``cy``, ``edges``, ``corner``: the cells that cover each zone;
+    their number with their edges, and their levels.
 
     Zones have a ``rings`` column (array of structs ``xs``, ``ys``), or ``xs`` and ``ys`` of one
-    ring. Written, split by split; the pieces are removed."""
+    ring. Every round of splits is written below the shared folder and read by the next; simple
+    zones need none."""
     spark = zones.sparkSession
     rings = F.col("rings") if "rings" in zones.columns else F.array(F.struct("xs", "ys"))
     whole = zones.select("zone_id", edges_of(rings).alias("whole")).filter(F.size("whole") > 0)
@@ -118,12 +131,15 @@ def zone_cover(zones: DataFrame) -> DataFrame:
     high = lambda c: F.array_max(F.transform("whole", lambda e: e[c]))
     bounds = whole.select("*", low("x1").alias("x0"), high("x1").alias("xn"), low("y1").alias("y0"), high("y1").alias("yn"))
     extent = F.greatest(F.col("xn") - F.col("x0"), F.col("yn") - F.col("y0"), F.lit(1e-9))
-    level = (F.floor(F.log2(F.lit(SIZE) / extent) / STEP) * STEP).cast("int")
+    level = (F.floor(F.log2(F.lit(SIZE) / extent) / STEP) * STEP + STEP).cast("int")
     first = bounds.withColumn("level", level)
     lv = F.col("level")
     first = first.select("*", _span(_cell(F.col("x0"), ORIGIN_X, lv), _cell(F.col("xn"), ORIGIN_X, lv)).alias("cx")).select(
         "*", _span(_cell(F.col("y0"), ORIGIN_Y, lv), _cell(F.col("yn"), ORIGIN_Y, lv)).alias("cy"))
     frontier = _cut(first, lambda: contains(F.col("right"), F.col("bottom"), F.col("whole")))
+    sized = _sized(frontier)
+    if sized[0] <= LEAF_EDGES:
+        return frontier, *sized[1:]
     pieces, used = [], scratch_path(spark, "zone-cover")
     for split in range(MAX_SPLITS + 1):
         path = f"{used}/{split}"
@@ -140,10 +156,8 @@ def zone_cover(zones: DataFrame) -> DataFrame:
         parts = parts.select("*", _span(F.lit(0), n).alias("i")).select("*", _span(F.lit(0), n).alias("j")).withColumns(
             {"level": F.col("level") + STEP, "cx": F.shiftleft("cx", STEP) + F.col("i"), "cy": F.shiftleft("cy", STEP) + F.col("j")})
         frontier = _cut(parts, lambda: cell_contains(F.col("right"), F.col("bottom"), F.col("whole"), F.col("p_corner"), F.col("p_right"), F.col("p_bottom")))
-    out = scratch_path(spark, "zone-cells")
-    reduce(DataFrame.unionByName, pieces).write.parquet(out)
-    remove_scratch(spark, used)
-    return spark.read.schema(frontier.schema).parquet(out)
+    cover = reduce(DataFrame.unionByName, pieces)
+    return cover, *_sized(cover)[1:]
 
 
 def assign_zones(points: DataFrame, zones: DataFrame, x: str = "lon", y: str = "lat",
@@ -153,9 +167,7 @@ def assign_zones(points: DataFrame, zones: DataFrame, x: str = "lon", y: str = "
     The cover's size is counted (a small job over it) before it is broadcast; beyond the bound
     both sides shuffle on the cell, once per level of the cover (levels follow the zones' sizes,
     two powers of two apart, so a country beside city blocks makes a handful)."""
-    cover = zone_cover(zones)
-    small = cover.groupBy("level").agg(F.sum(F.size("edges") + F.lit(1)).alias("n")).collect()  # one row a level
-    levels, total = sorted(r.level for r in small), sum(r.n for r in small)
+    cover, total, levels = sized_cover(zones)
     out, hits = points, []
     for i, level in enumerate(levels):
         names = {c: f"_{c}{i}" for c in ("cx", "cy", "zones")}

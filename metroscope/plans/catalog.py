@@ -910,6 +910,16 @@ def f8_stored(spark, sf):
     return finish(update.newest_rows(spark, root, "signal_metrics").join(scores, "city"))
 
 
+@query("e13_weather")
+def e13_weather(spark, sf):
+    """E13 twice: the readings and climate values of odd days of the month, then of all days."""
+    obs, tall = fixtures.observation_features(spark, sf), fixtures.daily_values(spark, sf)
+    odd = F.dayofmonth("obs_date") % 2 == 1
+    root = scratch_path(spark, "weather")
+    jobs.weather_job(spark, obs.filter(odd), tall.filter(odd), root)
+    return finish(jobs.weather_job(spark, obs, tall, root).drop("month"))
+
+
 @query("e14_alerts")
 def e14_alerts(spark, sf):
     """E14 twice: all alerts as feature collections, then every fourth seen again 20 days later

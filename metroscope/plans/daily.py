@@ -121,7 +121,7 @@ def inputs_of_days(spark: SparkSession, days: DataFrame, weather: DataFrame, ale
 def _inputs(days: DataFrame, wx: DataFrame, al: DataFrame, gd: DataFrame, st: DataFrame) -> DailyInputs:
     counts = days.select("city", "d", "cnt")
     heat_days = wx.join(st, "station_id").select("city", F.col("obs_date").alias("d"))
-    # a few thousand rows from the four small tables: scores read it once, cards write it first
+    # a few thousand rows from the four small tables: Spark reuses its exchange where it is read twice
     spine = sc.date_spine(counts, heat_days, al, gd.select("city", F.col("obs_date").alias("d")))
     return DailyInputs(days, counts, wx, st, al, gd, spine)
 
@@ -143,8 +143,7 @@ def cards(spark: SparkSession, sf: str, baseline_rows: int | None = None, di: Da
 
 
 def cards_of(di: DailyInputs, baseline_rows: int | None = None) -> DataFrame:
-    spine = materialize(di.spine.sparkSession, di.spine, "spine")
-    return cd.metric_cards(spine, di.days, di.weather, di.stations, di.gdelt, baseline_rows)
+    return cd.metric_cards(di.spine, di.days, di.weather, di.stations, di.gdelt, baseline_rows)
 
 
 def city_weather_of(wx: DataFrame, st: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ DATE_COLUMNS = {
     'e10_latest_verdict': ('verdict_date',),
     'e12_news_job': ('obs_date',),
     'e12_news_tsv': ('obs_date',),
+    'e13_weather': ('obs_date',),
     'e14_alerts': ('obs_date',),
     'e17_window': ('metric_date',),
     'e7_signal_scores': ('score_date',),

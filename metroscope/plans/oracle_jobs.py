@@ -105,3 +105,5 @@ ORACLE["f8_stored"] = final(with_(*CARDS) + """SELECT c.*, s.composite, s.readin
 FROM (SELECT * FROM cards QUALIFY metric_date = max(metric_date) OVER (PARTITION BY city)) c
 JOIN (SELECT city, composite, readiness_mode FROM scored QUALIFY score_date = max(score_date) OVER (PARTITION BY city)) s USING (city)""",
                             *CARD_DOUBLES, "composite")
+
+ORACLE["e13_weather"] = ORACLE["j4_source_fallback"]
