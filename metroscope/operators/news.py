@@ -59,8 +59,9 @@ def with_cities(events: DataFrame, cities: Sequence[str], column: str) -> DataFr
 
 
 def _one_row_a_city(events: DataFrame, found: DataFrame, column: str, keep_unmatched: bool) -> DataFrame:
-    explode = F.explode_outer if keep_unmatched else F.explode
-    return found.select(*events.columns, explode(column).alias("city"))
+    # the outer form in both cases: for the inner one the optimizer evaluates the whole match twice, once to filter
+    each = found.select(*events.columns, F.explode_outer(column).alias("city"))
+    return each if keep_unmatched else each.where(F.col("city").isNotNull())
 
 
 def match_cities(events: DataFrame, cities: Sequence[str], keep_unmatched: bool = False) -> DataFrame:
