@@ -197,15 +197,17 @@ def rollup_with_empty_days(events: DataFrame, cities: Sequence[str], date_col: s
 
     One pass over the raw events: they are folded per set of matched cities and date *text*, and
     only the folded rows are given out to the cities and parsed. Unmatched events are kept
-    with an empty set, so the fold itself knows every file day; the (day x city) spine is built from
-    it and meets it in the second group-by - no second scan, no join."""
+    with an empty set, so the fold itself knows every file day: one folded row of each day is also
+    given out to every city, without counts - no second scan, no join."""
     column = _free(events, "cities")
     parts = _day_parts(with_cities(events, cities, column), column, date_col).select(
-        F.explode_outer(column).alias("city"), _parsed_date(F.col(date_col)).alias("obs_date"), *_DAY_PARTS)
-    days = parts.select("obs_date").where(F.col("obs_date").isNotNull()).distinct()
-    spine = days.withColumn("city", F.explode(F.array(*[F.lit(c) for c in cities])))
-    both = parts.where(F.col("city").isNotNull()).unionByName(spine, allowMissingColumns=True)
-    return _rolled_days(both, "int")
+        F.col(column).alias("found"), _parsed_date(F.col(date_col)).alias("obs_date"), *_DAY_PARTS)
+    place = F.row_number().over(Window.partitionBy("obs_date").orderBy("found"))
+    city = lambda own: lambda c: F.struct(c.alias("city"), F.lit(own).alias("own"))
+    every = F.when(F.col("obs_date").isNotNull() & (F.col("place") == 1), F.array(*[F.lit(c) for c in cities])).otherwise(F.array())
+    given = parts.withColumn("place", place).select(
+        "obs_date", *_DAY_PARTS, F.explode(F.concat(F.transform("found", city(True)), F.transform(every, city(False)))).alias("to"))
+    return _rolled_days(given.select("to.city", "obs_date", *[F.when(F.col("to.own"), F.col(c)).alias(c) for c in _DAY_PARTS]), "int")
 
 
 def tone_7d(daily: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from metroscope.operators import baselines as bl
 from metroscope.operators import lake as lk
 from metroscope.operators import merge as mg
+from metroscope.operators import news as nw
 from metroscope.operators import serving as sv
 from metroscope.plans import daily, jobs, lake
 from metroscope.session import scratch_path
@@ -241,3 +242,33 @@ def test_serving_a_city_without_scores(spark):
     assert {r.last_updated for r in sv.last_updated(runs.limit(0), none, cities).collect()} == {"N/A"}
     rows = sv.latest_composite(none, cities).collect()
     assert {r.city for r in rows} == set(daily.CITIES) and all((r.composite, r.delta, r.readiness_mode) == (0.0, 0.0, "Normal") for r in rows)
+
+
+def _export(spark, rows):
+    path = scratch_path(spark, "export")
+    spark.createDataFrame([("\t".join(r.get(c, "") for c in io.NEWS_COLUMNS),) for r in rows], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_news_lines_are_cut_once_and_read_once(spark):
+    event = {"GLOBALEVENTID": "1", "SQLDATE": "20240101", "EventRootCode": "14", "NumMentions": "3", "ActionGeo_FullName": "Boston, MA"}
+    path = _export(spark, [event, event | {"SQLDATE": "20240102", "ActionGeo_FullName": "Paris"}, event | {"SQLDATE": "soon"}])
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    events = nw.coerce(io.read_news_tsv(spark, path))
+    matched = nw.match_cities(nw.with_obs_date(events), ["boston", "chicago"])
+    assert plan(matched).count("split(") <= 2  # one for lines with a quote, one for the others
+    assert {(r.city, str(r.obs_date)) for r in matched.collect()} == {("boston", "2024-01-01"), ("boston", "None")}
+    days = nw.rollup_with_empty_days(events, ["boston", "chicago"])
+    assert plan(days).count("Relation [") == 1
+    assert {(r.city, str(r.obs_date), r.protest_mention_sum) for r in days.collect()} == {
+        ("boston", "2024-01-01", 3), ("boston", "2024-01-02", 0), ("chicago", "2024-01-01", 0), ("chicago", "2024-01-02", 0), ("boston", "None", 3)}
+
+
+def test_news_csv_is_packed_and_reads_back(spark):
+    rows = [("2024-01-01", "boston", *['a "b", c' if i % 2 else None for i in range(len(io.NEWS_COLUMNS))])]
+    table = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ("obs_date", "city", *io.NEWS_COLUMNS)))
+    root = scratch_path(spark, "packed")
+    io.write_news_csv(table.withColumn("obs_date", F.to_date("obs_date")), root)
+    back = io.read_news_csv(spark, root)
+    assert all(f.endswith(".csv.gz") for f in back.inputFiles())
+    assert [tuple(r) for r in back.select("city", *io.NEWS_COLUMNS).collect()] == [rows[0][1:]]
