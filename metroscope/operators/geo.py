@@ -172,7 +172,7 @@ def assign_zones(points: DataFrame, zones: DataFrame, x: str = "lon", y: str = "
     for i, level in enumerate(levels):
         names = {c: f"_{c}{i}" for c in ("cx", "cy", "zones")}
         cells = cover.filter(F.col("level") == level).groupBy("cx", "cy").agg(
-            F.collect_list(F.struct("zone_id", "corner", "edges")).alias("zones")).withColumnsRenamed(names)
+            F.sort_array(F.collect_list(F.struct("zone_id", "corner", "edges"))).alias("zones")).withColumnsRenamed(names)
         if total <= max_broadcast_edges:
             cells = F.broadcast(cells)
         px, py = F.col(x), F.col(y)
@@ -180,9 +180,11 @@ def assign_zones(points: DataFrame, zones: DataFrame, x: str = "lon", y: str = "
                  names["cy"]: _cell(F.nullif(py, F.lit(float("nan"))), ORIGIN_Y, F.lit(level))}
         out = out.withColumns(where).join(cells, [names["cx"], names["cy"]], "left")
         _, right, bottom, _ = _box(F.lit(level), F.col(names["cx"]), F.col(names["cy"]))
-        inside = F.filter(F.col(names["zones"]), lambda z: F.when(F.size(z["edges"]) == 0, z["corner"]).otherwise(
-            cell_contains(px, py, z["edges"], z["corner"], right, bottom)))
-        hits.append((f"_hit{i}", F.array_min(F.transform(inside, lambda z: z["zone_id"]))))
+        inside = lambda z: F.when(F.size(z["edges"]) == 0, z["corner"]).otherwise(
+            cell_contains(px, py, z["edges"], z["corner"], right, bottom))
+        # by id: once a zone holds the point, no later one is looked at
+        hits.append((f"_hit{i}", F.aggregate(F.col(names["zones"]), F.lit(None).cast(cover.schema["zone_id"].dataType),
+                                             lambda first, z: F.when(first.isNotNull(), first).when(inside(z), z["zone_id"]))))
         out = out.withColumn(*hits[-1]).drop(*names.values())
     first = F.array_min(F.array(*[F.col(n) for n, _ in hits])) if hits else F.lit(None).cast("string")
     return out.select(*[F.col(f"`{c}`") for c in points.columns if c != "zone_id"], first.alias("zone_id"))

@@ -67,3 +67,12 @@ def test_without_zones(spark):
     points = spark.createDataFrame([(1, 0.5, 0.5)], "id int, lon double, lat double")
     assert geo.assign_zones(points, spark.createDataFrame([], SCHEMA)).first().zone_id is None
     assert geo.assign_zones(points.limit(0), spark.createDataFrame([("a", [([0.0, 1.0, 1.0], [0.0, 0.0, 1.0])])], SCHEMA)).count() == 0
+
+
+def test_zones_after_the_first_hit_are_not_searched(spark):
+    square = lambda d: [([-d, d, d, -d], [-d, -d, d, d])]
+    table = spark.createDataFrame([(f"z{i:02d}", square(1 + i * 0.01)) for i in range(30)] + [(None, square(9.0)), ("a", square(0.1))], SCHEMA)
+    points = spark.createDataFrame([(1, 0.05, 0.05), (2, 0.9, 0.9), (3, 1.105, 0.0), (4, 8.0, 0.0), (5, 20.0, 0.0)], "id int, lon double, lat double")
+    out = geo.assign_zones(points, table)
+    assert {r.id: r.zone_id for r in out.collect()} == {1: "a", 2: "z00", 3: "z11", 4: None, 5: None}
+    assert "array_min(transform(filter(" not in out._jdf.queryExecution().optimizedPlan().toString()
