@@ -24,7 +24,7 @@ from metroscope.session import remove_scratch
 
 PENDING = "_pending"
 PRUNE_LIMIT = 1000  # partitions named in a scan's filters
-SMALL_BYTES = 64 << 20  # of a change that needs no splitting
+SMALL_BYTES = 8 << 20  # of a change that needs no splitting: as parquet, several times that in a shuffle
 
 
 @dataclass(frozen=True)

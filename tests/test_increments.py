@@ -185,3 +185,16 @@ def test_an_event_twice_in_a_batch_is_logged_once(spark):
     assert jobs.run_log_job(spark, events.unionByName(events), log).count() == n == jobs.run_log_job(spark, events, log).count()
     other = events.withColumn("status", F.lit("ABORTED"))
     assert jobs.run_log_job(spark, other, log).count() == 2 * n  # another status of an execution is another row
+
+
+def test_one_large_partition_of_a_change_is_split(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    root = scratch_path(spark, "one-month")
+    rows = spark.range(0, 500_000, 1, 8).select(F.lit("m").alias("m"), "id", *[F.xxhash64("id", F.lit(i)).alias(f"v{i}") for i in range(3)])
+    spark.conf.set(key, "2m")
+    try:
+        staged.commit(spark, root, [staged.Change("rows", root, ("m",), rows)])
+    finally:
+        spark.conf.set(key, before)
+    assert len(spark.read.parquet(root).inputFiles()) > 2 and spark.read.parquet(root).count() == 500_000
