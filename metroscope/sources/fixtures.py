@@ -244,8 +244,9 @@ def place_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", F.concat("c_name", F.lit(", "), F.initcap("n_name")).alias("ActionGeo_FullName"))
     base = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("supplier_nation"))
-    rows = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(home, F.col("o_custkey") == F.col("c_custkey")).join(
-        base, F.col("l_suppkey") == F.col("s_suppkey"))
+    # the customer's text meets the orders, not their many lines
+    placed = orders.join(home, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "ActionGeo_FullName")
+    rows = li.join(base, F.col("l_suppkey") == F.col("s_suppkey")).join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select(
         "l_orderkey", "l_linenumber", "ActionGeo_FullName", F.lit(None).cast("string").alias("Actor2Geo_FullName"),
         F.when(F.col("l_partkey") % 5 > 0, F.col("supplier_nation")).alias("Actor1Geo_FullName"))

@@ -170,3 +170,18 @@ def test_many_names_give_the_rows_of_contains(spark):
     assert sorted((r.id, r.city) for r in nw.match_cities(events, few).collect()) == [w for w in want if w[1] in few]
     kept = nw.match_city_names(events, table, keep_unmatched=True)
     assert kept.columns == [*events.columns, "city"] and {r.id for r in kept.collect()} == set(range(400))
+
+
+def test_numbered_names_meet_only_their_own_texts(spark):
+    """Names that differ in their numbers alone share all short grams; texts must not meet them all."""
+    names = [f"Customer#{i:09d}" for i in range(0, 90000, 45)] + ["Peru", "In", "a"]
+    rows = [(i, None if i % 7 == 0 else "PERU", f"{names[i * 13 % 2000]}, Peru", None if i % 3 else f"x {names[i % 2000]} y") for i in range(2500)]
+    events = spark.createDataFrame(rows * 2, "text int, ActionGeo_FullName string, Actor1Geo_FullName string, Actor2Geo_FullName string")
+    table = spark.createDataFrame([(n,) for n in names], "city string")
+    want = {(r[0], n) for r in rows for n in (names[r[0] * 13 % 2000], "Peru", *([names[r[0] % 2000]] if r[3] else []))}
+    met = nw.match_city_names(events, table)
+    assert met.columns == [*events.columns, "city"]
+    assert sorted((r.text, r.city) for r in met.collect()) == sorted([*want, *want])
+    assert "collect_set" not in met._jdf.queryExecution().toString()  # events are not grouped by their combination of texts
+    posted = nw.postings(table.select("city", F.lower("city").alias("name")))
+    assert posted.count() == len(names) and posted.groupBy("gram").count().agg(F.max("count")).first()[0] <= 10
