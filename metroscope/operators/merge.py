@@ -112,13 +112,19 @@ def merge_into_path(
     from a date that is no part of the key). The table then keeps an index from key to
     partition beside it, in buckets by key hash: the partitions where the batch's keys stand
     now are touched too, and the old rows go. Of an indexed table only the buckets of the
-    batch's keys are read and rewritten."""
+    batch's keys are read, and only those with a key that is new or moves are rewritten.
+
+    The first batch of a table is the table: it is staged as it is computed, and the index is
+    taken from it when both are put in place."""
     keys, parts, root = list(keys), list(partition_cols), root.rstrip("/")
     staged.recover(spark, root)
-    batch_path = scratch_path(spark, "merge-batch")
+    if not staged.exists(spark, root):
+        _first_batch(spark, root, new, keys, parts, order, moving, also)
+        return
+    path = scratch_path(spark, "merge-batch")
     try:
-        keep_latest(new, keys, order or ()).write.parquet(batch_path)
-        batch = spark.read.schema(new.schema).parquet(batch_path)
+        keep_latest(new, keys, order or ()).write.parquet(f"{path}/batch")
+        batch = spark.read.schema(new.schema).parquet(f"{path}/batch")
         touched = batch.select(*parts).distinct()
         if touched.isEmpty():
             if also:
@@ -135,11 +141,18 @@ def merge_into_path(
                 # an index built just now is written whole
                 scope = index if first else staged.in_scope(index, entries.select("bucket").distinct(), ["bucket"])
                 known = batch.select(*keys)
+                standing = scope.join(known, staged.same(scope, known, keys), "left_semi")
+                standing.write.parquet(f"{path}/standing")
+                standing = spark.read.schema(standing.schema).parquet(f"{path}/standing")
+                if not first:
+                    fresh = entries.join(standing, staged.same(entries, standing, [*keys, "at"]), "left_anti")
+                    buckets = fresh.select("bucket").distinct()
+                    scope, entries = (staged.in_scope(t, buckets, ["bucket"]) for t in (index, entries))
                 stay = scope.join(known, staged.same(scope, known, keys), "left_anti")
                 merged = stay.unionByName(entries)
-                moved = scope.join(known, staged.same(scope, known, keys), "left_semi")
-                touched = touched.union(moved.select(*[F.col(f"at.{p}").alias(p) for p in parts])).distinct()
-            changes.append(staged.Change("keys", f"{root}/{LOCATOR}", ("bucket",), merged))
+                touched = touched.union(standing.select(*[F.col(f"at.{p}").alias(p) for p in parts])).distinct()
+            if index is None or first or not entries.isEmpty():
+                changes.append(staged.Change("keys", f"{root}/{LOCATOR}", ("bucket",), merged))
         rows = batch
         if current is not None:
             known = batch.select(*keys)
@@ -148,4 +161,28 @@ def merge_into_path(
         changes.append(staged.Change("rows", root, tuple(parts), rows.select(*new.columns), touched if moving else None))
         staged.commit(spark, root, changes)
     finally:
-        remove_scratch(spark, batch_path)
+        remove_scratch(spark, path)
+
+
+def _first_batch(spark: SparkSession, root: str, new: DataFrame, keys: list[str], parts: list[str], order: Sequence[str] | None,
+                 moving: bool, also: Sequence[staged.Change]) -> None:
+    """``merge_into_path`` where there is nothing at ``root`` yet."""
+    here = staged.begin(root)
+    try:
+        keep_latest(new, keys, order or ()).select(*new.columns).write.parquet(f"{here}/rows")
+        batch = spark.read.schema(new.schema).parquet(f"{here}/rows")
+        empty = batch.isEmpty()
+    except BaseException:
+        remove_scratch(spark, root)  # it holds this draft alone
+        raise
+    if empty:
+        remove_scratch(spark, root)
+        if also:
+            staged.commit(spark, root, also)
+        return
+    changes = [*also, staged.Change("rows", root, tuple(parts), batch, written=True)]
+    if moving:
+        quoted = lambda cols: ", ".join(f"`{c}`" for c in cols)
+        view = (*[f"`{k}`" for k in keys], f"struct({quoted(parts)}) AS at", f"CAST(pmod(xxhash64({quoted(keys)}), {LOCATOR_BUCKETS}) AS INT) AS bucket")
+        changes.append(staged.Change("keys", f"{root}/{LOCATOR}", ("bucket",), batch.selectExpr(*view), of="rows", view=view))
+    staged.commit(spark, root, changes, here)

@@ -30,13 +30,20 @@ SMALL_BYTES = 8 << 20  # of a change that needs no splitting: as parquet, severa
 @dataclass(frozen=True)
 class Change:
     """``rows`` are the new contents of their partitions, and of those that ``scope`` lists:
-    one that is listed and gets no row is deleted (None: there is no such partition)."""
+    one that is listed and gets no row is deleted (None: there is no such partition).
+
+    ``written``: the rows stand under ``name`` in the step's folder (``begin``) already. ``of`` and
+    ``view``: the rows are these expressions over the rows of another change, and are not staged
+    by themselves."""
 
     name: str
     root: str
     partitions: tuple[str, ...]
     rows: DataFrame
     scope: DataFrame | None = None
+    written: bool = False
+    of: str | None = None
+    view: tuple[str, ...] = ()
 
 
 def absent(error: AnalysisException) -> bool:
@@ -86,18 +93,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def commit(spark: SparkSession, state_root: str, changes: Sequence[Change]) -> None:
+def begin(state_root: str) -> str:
+    """The folder of a new step."""
+    return f"{state_root.rstrip('/')}/{PENDING}/{uuid.uuid4().hex}"
+
+
+def commit(spark: SparkSession, state_root: str, changes: Sequence[Change], here: str | None = None) -> None:
     """Apply all ``changes`` or none. Reads of the same tables inside ``changes`` are safe:
-    everything is staged before anything is overwritten."""
-    here = f"{state_root.rstrip('/')}/{PENDING}/{uuid.uuid4().hex}"
+    everything is staged before anything is overwritten. ``here``: the step's folder, where it
+    has been begun."""
+    here = here or begin(state_root)
 
     def stage(c: Change) -> dict:
         scope = None if c.scope is None else c.scope.select(*c.partitions).distinct()
-        c.rows.write.parquet(f"{here}/{c.name}")
+        if not (c.written or c.of):
+            c.rows.write.parquet(f"{here}/{c.name}")
         if scope is not None:
             scope.write.parquet(f"{here}/{c.name}-scope")
         return {"name": c.name, "root": c.root, "partitions": list(c.partitions), "rows": c.rows.schema.json(),
-                "scope": scope is not None and scope.schema.json()}
+                "of": c.of or c.name, "view": list(c.view), "scope": scope is not None and scope.schema.json()}
 
     plan = _together(stage, changes)
     fs, draft = _fs(spark, f"{here}/plan.draft")
@@ -133,14 +147,24 @@ def _together(do, items: Sequence) -> list:
         return list(pool.map(do, items))
 
 
+def at_once(*jobs) -> list:
+    """Results of independent jobs (callables), run side by side."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
+
+
 def _apply(spark: SparkSession, here: str, plan: list[dict]) -> None:
+    schemas = {p["name"]: p["rows"] for p in plan}
+
     def put(p: dict) -> None:
-        parts = p["partitions"]
-        rows = spark.read.schema(StructType.fromJson(json.loads(p["rows"]))).parquet(f"{here}/{p['name']}")
+        parts, of = p["partitions"], p.get("of", p["name"])
+        rows = spark.read.schema(StructType.fromJson(json.loads(schemas[of]))).parquet(f"{here}/{of}")
+        if p.get("view"):
+            rows = rows.selectExpr(*p["view"])
         if p["scope"]:
             scope = spark.read.schema(StructType.fromJson(json.loads(p["scope"]))).parquet(f"{here}/{p['name']}-scope")
             _drop_emptied(spark, p["root"], parts, rows, scope)
-        (_clustered(rows, _bytes(spark, f"{here}/{p['name']}"), parts).write.mode("overwrite")
+        (_clustered(rows, _bytes(spark, f"{here}/{of}"), parts).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(p["root"]))
 
     _together(put, plan)

@@ -72,6 +72,7 @@ from metroscope.operators import collectors as co  # noqa: E402
 from metroscope.operators import merge as mg  # noqa: E402
 from metroscope.operators import news as nw  # noqa: E402
 from metroscope.operators import scoring as sc  # noqa: E402
+from metroscope.operators import staged  # noqa: E402
 from metroscope.operators import serving as sv  # noqa: E402
 from metroscope.plans import daily  # noqa: E402
 
@@ -882,13 +883,14 @@ def e17_window(spark, sf):
 
     def ingest(rows, feats):
         monthly = mg.resolution_hours(rows).withColumn("month", F.date_format("requested_datetime", "yyyy-MM"))
-        mg.merge_into_path(spark, roots["requests"], monthly, ["city", "service_request_id"], ["city", "month"], ["updated_datetime"], moving=True)
-        jobs.alerts_job(spark, feats, roots["alerts"])
+        merge = lambda: mg.merge_into_path(
+            spark, roots["requests"], monthly, ["city", "service_request_id"], ["city", "month"], ["updated_datetime"], moving=True)
+        staged.at_once(merge, lambda: jobs.alerts_job(spark, feats, roots["alerts"]))
         return [spark.read.parquet(roots["requests"]), spark.read.parquet(roots["alerts"])]
 
     on_day = F.to_date("requested_datetime") == F.lit(day)
     r, a = ingest(requests.withColumn("status", F.when(on_day, "open").otherwise(F.col("status"))), alerts.filter(F.col("obs_date") != F.lit(day)))
-    weather, news = (daily.materialize(spark, t, "e17-days") for t in (daily.weather(spark, sf), daily.gdelt(spark, sf)))
+    weather, news = staged.at_once(*[lambda t=t: daily.materialize(spark, t, "e17-days") for t in (daily.weather(spark, sf), daily.gdelt(spark, sf))])
     jobs.daily_job(spark, r, weather, a, news, daily.stations(spark), roots["datamart"])
     r, a = ingest(requests.filter(on_day), alerts.filter(F.col("obs_date") == F.lit(day)))
     changed = daily.city_list(spark).withColumn("d", F.lit(day))

@@ -53,20 +53,28 @@ def keep_days(spark: SparkSession, out_root: str, days: DataFrame, alert_days: D
 
 
 def merge_outputs(spark: SparkSession, out_root: str, scores: DataFrame, cards: DataFrame) -> dict[str, DataFrame]:
-    """Merge score, card and verdict rows by key into their tables (by city and month)."""
-    tables = {"signal_scores": scores, "signal_metrics": cards,
-              "verdicts": sv.verdicts(scores).withColumn("generated_at", F.current_timestamp())}
-    for name, df in tables.items():
+    """Merge score, card and verdict rows by key into their tables (by city and month). The tables
+    are independent: their merges are submitted from driver threads."""
+    path = scratch_path(spark, "merge-rows")
+
+    def merge(name: str, df: DataFrame) -> None:
         date, keys = OUTPUTS[name]
         root = f"{out_root.rstrip('/')}/{name}"
-        path = scratch_path(spark, "merge-rows")
-        try:
-            with_month(df, date).write.parquet(path)
-            rows = spark.read.parquet(path)
-            mg.merge_into_path(spark, root, rows, keys, PARTITIONS, also=[newest_days(spark, root, rows, date)])
-        finally:
-            remove_scratch(spark, path)
-    return {name: spark.read.parquet(f"{out_root.rstrip('/')}/{name}") for name in tables}
+        with_month(df, date).write.parquet(f"{path}/{name}")
+        rows = spark.read.parquet(f"{path}/{name}")
+        mg.merge_into_path(spark, root, rows, keys, PARTITIONS, also=[newest_days(spark, root, rows, date)])
+
+    def merge_scored() -> None:
+        scores.write.parquet(f"{path}/scored")  # once, for the scores and the verdicts
+        scored = spark.read.schema(scores.schema).parquet(f"{path}/scored")
+        verdicts = sv.verdicts(scored).withColumn("generated_at", F.current_timestamp())
+        staged.at_once(lambda: merge("signal_scores", scored), lambda: merge("verdicts", verdicts))
+
+    try:
+        staged.at_once(merge_scored, lambda: merge("signal_metrics", cards))
+    finally:
+        remove_scratch(spark, path)
+    return {name: spark.read.parquet(f"{out_root.rstrip('/')}/{name}") for name in OUTPUTS}
 
 
 def newest_days(spark: SparkSession, root: str, rows: DataFrame, date: str) -> staged.Change:
@@ -167,7 +175,6 @@ def update_job(spark: SparkSession, requests: DataFrame, weather: DataFrame, ale
         plan = spark.read.parquet(f"{path}/plan")
         scores = daily.scores_of(di).join(plan, "city").filter(F.col("score_date").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
         cards = daily.cards_of(di).join(plan, "city").filter(F.col("metric_date") >= F.col("lo")).drop("lo", "hi")
-        scores.write.parquet(f"{path}/scores")
-        return merge_outputs(spark, out_root, spark.read.parquet(f"{path}/scores"), cards)
+        return merge_outputs(spark, out_root, scores, cards)
     finally:
         remove_scratch(spark, path)

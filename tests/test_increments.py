@@ -151,6 +151,41 @@ def test_a_step_that_was_decided_is_finished_by_the_next_run(spark, monkeypatch,
     assert table(spark, root) == [("1", "c", 3), ("2", "a", 1)]
 
 
+def test_keys_that_stay_leave_the_index_alone(spark, tmp_path):
+    merge = lambda *rows: mg.merge_into_path(spark, str(tmp_path / "t"), keyed(spark, *rows), ["k"], ["m"], moving=True)
+    times = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "_keys").rglob("*.parquet")}
+    merge(*[(str(i), "a" if i % 2 else None, 1) for i in range(40)], (None, "a", 1))
+    first = times()
+    merge(*[(str(i), "a" if i % 2 else None, 2) for i in range(40)], (None, "a", 2))
+    assert times() == first
+    merge(*[(str(i), "a" if i % 2 else None, 3) for i in range(40)], ("1000", "a", 3))
+    assert len({p.parent for p in times() if p not in first}) == 1  # the new key's bucket
+    merge(("1000", "b", 4), (None, "b", 4))
+    want = sorted([*[(str(i), "a" if i % 2 else "", 3) for i in range(40)], ("1000", "b", 4), ("", "b", 4)])
+    assert table(spark, str(tmp_path / "t")) == want
+
+
+def test_a_first_batch_is_staged_once_and_finished_by_the_next_run(spark, monkeypatch, tmp_path):
+    root = str(tmp_path / "t")
+    merge = lambda *rows: mg.merge_into_path(spark, root, keyed(spark, *rows), ["k"], ["m"], ["v"], moving=True)
+    real = staged._apply
+    monkeypatch.setattr(staged, "_apply", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        merge(("1", "b", 2), ("1", "a", 1), ("2", "a", 1), (None, None, 1))
+    monkeypatch.setattr(staged, "_apply", real)
+    here = next((tmp_path / "t" / "_pending").iterdir())
+    assert {p.name for p in here.iterdir() if p.is_dir()} == {"rows"}  # the index is taken from them
+    merge(("2", "c", 2))
+    assert table(spark, root) == [("", "", 1), ("1", "b", 2), ("2", "c", 2)]
+    merge((None, "b", 3), ("1", "c", 3))
+    assert table(spark, root) == [("", "b", 3), ("1", "c", 3), ("2", "c", 2)]
+
+
+def test_an_empty_first_batch_leaves_no_table(spark, tmp_path):
+    mg.merge_into_path(spark, str(tmp_path / "t"), keyed(spark, ("1", "a", 1)).limit(0), ["k"], ["m"], moving=True)
+    assert not (tmp_path / "t").exists()
+
+
 def test_a_step_that_was_not_decided_leaves_nothing(spark, monkeypatch, tmp_path):
     root = str(tmp_path / "t")
     mg.merge_into_path(spark, root, keyed(spark, ("1", "a", 1)), ["k"], ["m"], moving=True)
