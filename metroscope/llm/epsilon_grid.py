@@ -7,14 +7,17 @@ are cut into cells of side eps, and all vectors are sorted by their cells in lex
 order: the epsilon grid order, a range exchange in Spark. The sequence is cut into blocks of
 about 1 MB. The join starts with the pair (whole sequence, whole sequence) and splits both
 intervals into eighths, level by level; a pair of intervals whose bounding boxes in the
-leading coordinates are provably more than eps apart is dropped with all below it. Pairs of
-blocks that remain are shipped to tasks, which go on halving intervals of rows the same way
-and compare the last ones by a matrix product in doubles.
-
-A block pair returns per vector the number of links it found and one edge to the smallest
-node of its links' component there - never the links themselves - so a group of n near copies
-costs n rows a block pair. Equal vectors are one node with a count. Components follow from
-the edges.
+leading coordinates are provably more than eps apart is dropped with all below it. Where few
+pairs of blocks remain, they are shipped to tasks. Where most remain (vectors without
+structure), shipping them would take disk that grows with the square of the table; there the
+stored blocks are read by nested loops, file by file, without an exchange, and the boxes of
+each pair decide. Tasks go on halving intervals of rows the same way and compare the last
+ones by a matrix product in doubles. Vectors are stored and shipped as they came (floats as
+floats) and tables of vectors are deleted once the next is written.
+
+A task returns per vector the number of links it found and one edge to a node of its links'
+component there - never the links themselves - so a group of n near copies costs n rows a
+task at most. Equal vectors are one node with a count. Components follow from the edges.
 
 Defined results: vectors that are null, zero, hold a null or non-finite component, or have
 another length than most vectors link with nothing. Repeated rows link as equal vectors do. A
@@ -30,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from metroscope.llm.common import map_batches, written
+from metroscope.llm.common import drop_written, map_batches, written
 from metroscope.llm.components import connected_components
 
 MIN_COSINE = 0.95
@@ -39,15 +43,19 @@ GRID_DIMS = 8          # leading principal dimensions in the grid order
 BLOCK_BYTES = 1 << 20  # of one block of the sequence
 LEAF_ROWS = 128        # intervals of rows that are compared without further halving
 FAN_OUT_BITS = 3       # a sequence interval is split in eighths
+SHIPPED_PAIRS = 4      # pairs a block that are shipped; beyond, the stored blocks are read in place
+FILE_BYTES = 16 << 20  # of one file of blocks: a task of the nested loops holds two
 SLACK = 1e-6           # distances are compared with this much room for rounding
 CLOSE = 1e-12          # cosines this near to the limit are computed again, vector by vector
 
 
 def usable_vectors(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``id``, ``v`` (array<double>; null where the vector can link with nothing)."""
+    """``id``, ``v`` (floats as they are, else array<double>; null where the vector can link with nothing)."""
+    given = rows.select(F.col(vec_col)).schema[0].dataType
+    floats = isinstance(given, ArrayType) and isinstance(given.elementType, FloatType)
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     largest = F.array_max(F.transform("v", F.abs))
-    src = rows.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    src = rows.select(F.col(id_col).alias("id"), F.col(vec_col).cast(f"array<{'float' if floats else 'double'}>").alias("v"))
     return src.select("id", F.when(F.coalesce(finite & (largest > 0), F.lit(False)), F.col("v")).alias("v"))
 
 
@@ -61,7 +69,8 @@ def distinct_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def _keys() -> list[Column]:
-    return [F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(1), F.col("v")).alias("k2")]
+    v = F.col("v").cast("array<double>")
+    return [F.xxhash64(v).alias("k1"), F.xxhash64(F.lit(1), v).alias("k2")]
 
 
 def _matrix(col: pa.Array, dim: int) -> np.ndarray:
@@ -95,10 +104,9 @@ def principal_axes(folded: DataFrame, dim: int, k: int) -> np.ndarray:
     return vectors[:, np.argsort(-values, kind="stable")[:k]]
 
 
-def grid_blocks(folded: DataFrame, dim: int, axes: np.ndarray, eps: float, block_rows: int, total: int) -> DataFrame:
-    """The sequence in epsilon grid order, cut into blocks: ``block`` (0, 1, ... in order),
-    ``nodes``, ``copies``, ``data`` (float64 unit vectors), ``low_i``, ``high_i`` (box)."""
-    spark, k = folded.sparkSession, axes.shape[1]
+def grid_order(folded: DataFrame, dim: int, axes: np.ndarray, eps: float, block_rows: int, total: int) -> DataFrame:
+    """The sequence in epsilon grid order: ``at`` (range above 33 bits of place), ``node``, ``copies``, ``v``."""
+    k = axes.shape[1]
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -111,11 +119,18 @@ def grid_blocks(folded: DataFrame, dim: int, axes: np.ndarray, eps: float, block
                 ["node", "copies", "v", *(f"c{i}" for i in range(k)), "first"])
 
     cells = ", ".join(f"c{i} int" for i in range(k))
-    placed = map_batches(folded.select("node", "copies", "v"), project, f"node long, copies long, v array<double>, {cells}, first double")
+    vector = folded.schema["v"].dataType.simpleString()
+    placed = map_batches(folded.select("node", "copies", "v"), project, f"node long, copies long, v {vector}, {cells}, first double")
     order = [*(f"c{i}" for i in range(k)), "first", "node"]
     ranges = max(1, math.ceil(total / (8 * block_rows)))
     spread = placed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("node", "copies", "v")
-    sequence = written(spread.withColumn("at", F.monotonically_increasing_id()), "ego-order")  # range above 33 bits of place
+    return written(spread.withColumn("at", F.monotonically_increasing_id()), "ego-order")
+
+
+def grid_blocks(sequence: DataFrame, dim: int, axes: np.ndarray, block_rows: int, files: int) -> DataFrame:
+    """The sequence cut into blocks of ``block_rows``, dealt to ``files`` files: ``block`` (0, 1,
+    ... in order), ``nodes``, ``copies``, ``data`` (the vectors), ``low_i``, ``high_i`` (box)."""
+    spark, k = sequence.sparkSession, axes.shape[1]
     part = F.shiftright("at", 33)
     counts = {r.part: r.n for r in sequence.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a range
     before, seen = [], 0
@@ -123,30 +138,50 @@ def grid_blocks(folded: DataFrame, dim: int, axes: np.ndarray, eps: float, block
         before.append((p, seen))
         seen += counts[p]
     offsets = spark.createDataFrame(before or [(0, 0)], "part long, before long")
-    position = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = sequence.withColumn("part", part).join(F.broadcast(offsets), "part").select(position.alias("place"), "node", "copies", "v")
-    # blocks of the same size however the ranges fell: at most block_rows rows meet under a key
-    gathered = numbered.groupBy(F.floor(F.col("place") / block_rows).cast("long").alias("block")).agg(
-        F.array_sort(F.collect_list(F.struct("place", "node", "copies", "v"))).alias("rows"))
-    gathered = gathered.select("block", F.transform("rows", lambda r: r["node"]).alias("nodes"),
-                               F.transform("rows", lambda r: r["copies"]).alias("copies"), F.transform("rows", lambda r: r["v"]).alias("vectors"))
-
-    def boxed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    place = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = sequence.withColumn("part", part).join(F.broadcast(offsets), "part").select(place.alias("place"), "node", "copies", "v")
+    # blocks of the same size however the ranges fell
+    numbered = numbered.withColumn("block", F.floor(F.col("place") / block_rows).cast("long"))
+    dealt = numbered.repartitionById(files, (F.col("block") % files).cast("int")).sortWithinPartitions("place")
+
+    def boxed(block: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        nodes, copies = (np.concatenate([r.column(c).to_numpy() for r in rows]) for c in ("node", "copies"))
+        raw = np.concatenate([r.column("v").flatten().to_numpy() for r in rows])
+        p = unit_rows(raw.astype(np.float64).reshape(-1, dim)) @ axes
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.array([nodes]), pa.array([copies]), pa.array([raw.tobytes()], pa.binary()),
+             *(pa.array([x]) for x in p.min(axis=0)), *(pa.array([x]) for x in p.max(axis=0))],
+            ["block", "nodes", "copies", "data", *(f"low_{i}" for i in range(k)), *(f"high_{i}" for i in range(k))])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = -1, []
         for b in batches:
-            for i in range(b.num_rows):
-                u = unit_rows(_matrix(b.column("vectors")[i].values, dim))
-                p = u @ axes
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("block")[i:i + 1], b.column("nodes")[i:i + 1], b.column("copies")[i:i + 1], pa.array([u.tobytes()], pa.binary()),
-                     *(pa.array([x]) for x in p.min(axis=0)), *(pa.array([x]) for x in p.max(axis=0))],
-                    ["block", "nodes", "copies", "data", *(f"low_{i}" for i in range(k)), *(f"high_{i}" for i in range(k))])
+            at = b.column("block").to_numpy()
+            cuts = np.flatnonzero(np.diff(at)) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(at)]):
+                if held and at[start] != block:
+                    yield boxed(block, held)
+                    held = []
+                if end > start:
+                    block = int(at[start])
+                    held.append(b.slice(start, end - start))
+        if held:
+            yield boxed(block, held)
 
     box = ", ".join(f"{s}_{i} double" for s in ("low", "high") for i in range(k))
-    return written(map_batches(gathered, boxed, f"block long, nodes array<long>, copies array<long>, data binary, {box}"), "ego-blocks")
+    gathered = map_batches(dealt.select("block", "node", "copies", "v"), gather, f"block long, nodes array<long>, copies array<long>, data binary, {box}")
+    return written(gathered, "ego-blocks")
+
 
+def _apart(k: int) -> Column:
+    """Squared distance of the boxes ``a_low_i``, ``a_high_i`` and ``b_low_i``, ``b_high_i``."""
+    gaps = [F.greatest(F.col(f"a_low_{i}") - F.col(f"b_high_{i}"), F.col(f"b_low_{i}") - F.col(f"a_high_{i}"), F.lit(0.0)) for i in range(k)]
+    return sum((g * g for g in gaps), F.lit(0.0))
 
-def near_block_pairs(blocks: DataFrame, k: int, n_blocks: int, eps: float) -> DataFrame:
-    """``a`` <= ``b``: pairs of blocks that can hold vectors at most ``eps`` apart."""
+
+def near_block_pairs(blocks: DataFrame, k: int, n_blocks: int, eps: float) -> DataFrame | None:
+    """``a`` <= ``b``: pairs of blocks that can hold vectors at most ``eps`` apart. None where a
+    level has more than ``SHIPPED_PAIRS`` of them a block."""
     boxes = blocks.select("block", *(f"{s}_{i}" for s in ("low", "high") for i in range(k)))
     levels = 0
     while n_blocks > 1 << (FAN_OUT_BITS * levels):
@@ -161,12 +196,27 @@ def near_block_pairs(blocks: DataFrame, k: int, n_blocks: int, eps: float) -> Da
             child("a", "i").alias("a"), child("b", "j").alias("b")).filter("a <= b")
         side = lambda name: at_level.select(F.col("x").alias(name), *[F.col(f"{s}_{i}").alias(f"{name}_{s}_{i}") for s in ("low", "high") for i in range(k)])
         met = split.join(side("a"), "a").join(side("b"), "b")
-        gaps = [F.greatest(F.col(f"a_low_{i}") - F.col(f"b_high_{i}"), F.col(f"b_low_{i}") - F.col(f"a_high_{i}"), F.lit(0.0)) for i in range(k)]
-        apart = sum((g * g for g in gaps), F.lit(0.0))
-        pairs = met.filter(apart <= (eps + SLACK) ** 2).select("a", "b")
+        pairs = written(met.filter(_apart(k) <= (eps + SLACK) ** 2).select("a", "b"), "ego-pairs")
+        if pairs.count() > SHIPPED_PAIRS * n_blocks:
+            return None
     return pairs
 
 
+def met_blocks(blocks: DataFrame, pairs: DataFrame | None, k: int, eps: float) -> DataFrame:
+    """``a``, ``nodes_a``, ``copies_a``, ``data_a`` and the same of ``b`` (null where ``b`` is ``a``),
+    a row for each pair of ``pairs``, or of all blocks whose boxes are near where that is None."""
+    boxes = [f"{s}_{i}" for s in ("low", "high") for i in range(k)]
+    side = lambda s: blocks.select(F.col("block").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("nodes", "copies", "data")],
+                                   *[F.col(c).alias(f"{s}_{c}") for c in boxes])
+    same = F.col("a") == F.col("b")
+    if pairs is None:  # every file of blocks meets every other one; no exchange, no copy on disk
+        met = side("a").join(side("b").hint("shuffle_replicate_nl"), (F.col("a") <= F.col("b")) & (_apart(k) <= (eps + SLACK) ** 2))
+    else:
+        met = pairs.join(side("a").drop(*[f"a_{c}" for c in boxes]), "a").join(side("b").drop(*[f"b_{c}" for c in boxes]), "b")
+    # the left side of a block with itself travels once
+    return met.select("a", "nodes_a", "copies_a", "data_a", *[F.when(~same, F.col(c)).alias(c) for c in ("b", "nodes_b", "copies_b", "data_b")])
+
+
 class _Interval:
     """Rows of a block in sequence order with the boxes of all their halvings."""
 
@@ -262,31 +312,47 @@ def block_links(a: np.ndarray, b: np.ndarray | None, copies: np.ndarray, axes: n
     return counts, [forest.root(i) for i in range(len(units))]
 
 
-def _pair_results(pairs: DataFrame, blocks: DataFrame, dim: int, axes: np.ndarray, eps: float, min_cosine: float) -> DataFrame:
-    """``node``, ``links``, ``root`` (a node) of each vector with links in a block pair."""
-    side = lambda s: blocks.select(F.col("block").alias(s), F.col("nodes").alias(f"nodes_{s}"),
-                                   F.col("copies").alias(f"copies_{s}"), F.col("data").alias(f"data_{s}"))
-    # the left side of a block with itself travels once
-    same = F.col("a") == F.col("b")
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
-    met = met.select(same.alias("same"), "nodes_a", "copies_a", "data_a", *[F.when(~same, F.col(f"{c}_b")).alias(f"{c}_b") for c in ("nodes", "copies", "data")])
+def _pair_results(met: DataFrame, dim: int, floats: bool, axes: np.ndarray, eps: float, min_cosine: float) -> DataFrame:
+    """``node``, ``links``, ``root`` (a node) of each vector with links in a task's block pairs."""
 
     def unpack(b: pa.RecordBatch, s: str, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        data = np.frombuffer(b.column(f"data_{s}")[i].as_buffer(), np.float64).reshape(-1, dim)
-        return np.asarray(b.column(f"nodes_{s}")[i].values), np.asarray(b.column(f"copies_{s}")[i].values), data
+        data = np.frombuffer(b.column(f"data_{s}")[i].as_buffer(), np.float32 if floats else np.float64)
+        return (np.asarray(b.column(f"nodes_{s}")[i].values), np.asarray(b.column(f"copies_{s}")[i].values),
+                unit_rows(data.astype(np.float64).reshape(-1, dim)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = _Forest(0)
+        found: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}  # block: its first row in the forest, nodes, links
+
+        def rows_of(block: int, nodes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+            if not counts.any():
+                return np.full(len(nodes), -1)
+            if block not in found:
+                found[block] = len(forest.up), np.array(nodes), np.zeros(len(nodes), np.int64)
+                forest.up.extend(range(len(forest.up), len(forest.up) + len(nodes)))
+            first, _, links = found[block]
+            links += counts
+            return first + np.arange(len(nodes))
+
         for batch in batches:
             for i in range(batch.num_rows):
                 nodes, copies, a = unpack(batch, "a", i)
-                b = None
-                if not batch.column("same")[i].as_py():
+                nodes_b, b = nodes[:0], None
+                if batch.column("b")[i].is_valid:
                     nodes_b, copies_b, b = unpack(batch, "b", i)
-                    nodes, copies = np.concatenate([nodes, nodes_b]), np.concatenate([copies, copies_b])
+                    copies = np.concatenate([copies, copies_b])
                 counts, roots = block_links(a, b, copies, axes, eps, min_cosine)
-                hit = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[hit]), pa.array(counts[hit]), pa.array(nodes[np.asarray(roots, np.int64)[hit]])], ["node", "links", "root"])
+                rows = rows_of(batch.column("a")[i].as_py(), nodes, counts[:len(nodes)])
+                if b is not None:
+                    rows = np.concatenate([rows, rows_of(batch.column("b")[i].as_py(), nodes_b, counts[len(nodes):])])
+                for j in np.flatnonzero(counts):
+                    if roots[j] != j:
+                        forest.join(int(rows[j]), int(rows[roots[j]]))
+        names = np.concatenate([np.zeros(0, np.int64), *(nodes for _, nodes, _ in found.values())])
+        for first, nodes, links in found.values():
+            hit = np.flatnonzero(links)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes[hit]), pa.array(links[hit]), pa.array(names[[forest.root(first + int(j)) for j in hit]])], ["node", "links", "root"])
 
     return map_batches(met, run, "node long, links long, root long")
 
@@ -298,20 +364,32 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         raise ValueError("min_cosine must be above 0 and at most 1")
     vectors = written(usable_vectors(rows, id_col, vec_col).select("id", "v", *_keys()), "ego-input")
     folded = distinct_vectors(vectors.drop("k1", "k2"))
+    alone = written(vectors.select(F.col("id").alias("vec_id"), "k1", "k2", F.col("v").isNotNull().alias("able")), "ego-ids")
+    drop_written(vectors)
     total, dim = folded.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-    alone = vectors.select(F.col("id").alias("vec_id"), "k1", "k2", F.col("v").isNotNull().alias("able"))
     if not total:
         return alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    distinct = written(folded.select("k1", "k2", "copies", "low", "node"), "ego-distinct")
+    floats = isinstance(folded.schema["v"].dataType.elementType, FloatType)
     eps = math.sqrt(2 - 2 * min_cosine)
     eps_cell = max(eps, 1e-3)
     axes = principal_axes(folded, dim, min(grid_dims, dim))
     block_rows = max(256, min(8192, block_bytes // (8 * dim)))
-    blocks = grid_blocks(folded, dim, axes, eps_cell, block_rows, total)
-    pairs = near_block_pairs(blocks, axes.shape[1], -(-total // block_rows), eps)
-    found = written(_pair_results(pairs, blocks, dim, axes, eps, min_cosine), "ego-links")
+    n_blocks = -(-total // block_rows)
+    sequence = grid_order(folded, dim, axes, eps_cell, block_rows, total)
+    drop_written(folded)
+    # files of blocks: few bytes each, and enough of them that their pairs busy all cores
+    busy = min(n_blocks, math.ceil(math.sqrt(4 * rows.sparkSession.sparkContext.defaultParallelism)))
+    files = max(busy, math.ceil(total * dim * (4 if floats else 8) / FILE_BYTES))
+    blocks = grid_blocks(sequence, dim, axes, block_rows, files)
+    drop_written(sequence)
+    pairs = near_block_pairs(blocks, axes.shape[1], n_blocks, eps)
+    met = met_blocks(blocks, pairs, axes.shape[1], eps)
+    found = written(_pair_results(met, dim, floats, axes, eps, min_cosine), "ego-links")
+    drop_written(blocks)
     roots = written(connected_components(found.select("node", "root").filter("node != root")), "ego-roots")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    per_node = folded.select("k1", "k2", "copies", "low", "node").join(links, "node", "left").join(roots, "node", "left")
+    per_node = distinct.join(links, "node", "left").join(roots, "node", "left")
     per_node = written(per_node.withColumn("root", F.coalesce("root", "node")), "ego-nodes")
     lowest = per_node.groupBy("root").agg(F.min("low").alias("component_id"))
     by_key = per_node.join(lowest, "root").select(

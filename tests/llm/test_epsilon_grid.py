@@ -1,6 +1,9 @@
 """Embedding near-duplicates against all pairs."""
+import contextlib
 import math
+import os
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -104,3 +107,50 @@ def test_order_is_free(spark):
     rows = [(i, [rng.gauss(0, 1) for _ in range(3)]) for i in range(300)]
     got = rows_of(E.near_duplicates(table(spark, rows)))
     assert got == rows_of(E.near_duplicates(table(spark, rows[::-1]).repartition(5)))
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_disk_does_not_grow_with_the_block_pairs(spark, kind):
+    """Vectors without structure: no pair of the 16 blocks is distant, and none is shipped or kept twice."""
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(4000, 48)).astype(np.float32)
+    m[3000:3500] = m[:500] + rng.normal(size=(500, 48)).astype(np.float32) * 0.1
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(m)]
+    df = spark.createDataFrame(data, f"vec_id long, embedding array<{kind}>")
+    dirs = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    before, most, seen, ended = on_disk(dirs), spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), [0], threading.Event()
+
+    def watch():  # Spark deletes the files of a shuffle once its query ends
+        while not ended.wait(0.02):
+            seen.append(on_disk(dirs))
+
+    watcher = threading.Thread(target=watch)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for blocks beyond it
+    watcher.start()
+    try:
+        got = E.near_duplicates(df, block_bytes=1)
+    finally:
+        ended.set()
+        watcher.join()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert max(seen) - before < (4 if kind == "float" else 8) * m.nbytes
+    assert rows_of(got) == plain(data)
+
+
+def on_disk(dirs):
+    size = 0
+    for top in dirs:
+        for d, _, names in os.walk(top):
+            for name in names:
+                with contextlib.suppress(OSError):  # a file may go meanwhile
+                    size += os.path.getsize(os.path.join(d, name))
+    return size
+
+
+def test_shipped_and_stored_blocks_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(300, 5))
+    data = [(i, [float(np.float32(x)) for x in centres[i % 300] + rng.normal(size=5) * 0.2]) for i in range(2500)]
+    for most in (0, 10**6):
+        monkeypatch.setattr(E, "SHIPPED_PAIRS", most)
+        assert rows_of(E.near_duplicates(table(spark, data), block_bytes=1)) == plain(data)
