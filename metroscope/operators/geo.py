@@ -7,6 +7,11 @@ without edges lies inside the zone (or is dropped); any other keeps just the edg
 and whether its lower right corner lies inside. So a country and a city block are covered by
 cells of their own sizes, and no cell repeats a whole polygon.
 
+Where zones overlap, a cell keeps only those that can be first by id: none after a zone that
+holds the whole cell. A cell that still has more than ``CELL_EDGES`` edges of its zones in all
+is split once more, so that more of its parts lie inside some zone: however many zones lie over
+each other, few are left in a cell. Equal zones are one, the first of them.
+
 Points look up their cell on each level that occurs - a broadcast hash join when the cover is
 within a checked size, a shuffle join otherwise. Inside cells are a hit at once; in the others
 the number of edges on the way from the point to the cell's right side and down to its corner
@@ -17,7 +22,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metroscope.session import scratch_path
@@ -25,6 +30,7 @@ from metroscope.session import scratch_path
 # Broadcast the cover only while it holds this many edges and cells in all (32 bytes each): 64 MB.
 MAX_BROADCAST_EDGES = 2_000_000
 LEAF_EDGES = 16     # edges of a cell that is not split further
+CELL_EDGES = 64     # edges of all zones of a cell that is not split for them
 MAX_SPLITS = 12     # splits of a cell, for corners where many edges meet
 STEP = 2            # quadtree levels of one split
 # The grid: cell size at level 0, and an origin off all round numbers, so that vertices and
@@ -96,20 +102,28 @@ def _span(lo: Column, hi: Column) -> Column:
     return F.explode(F.sequence(lo, hi))
 
 
-def _cut(cells: DataFrame, corner) -> DataFrame:
+def _cut(cells: DataFrame, corner, *kept: str) -> DataFrame:
     """``zone_id``, ``level``, ``cx``, ``cy`` and the ``whole`` edges around it -> its own ``edges``
     and ``corner``; cells that lie outside the zone go."""
     left, right, bottom, top = _box(F.col("level"), F.col("cx"), F.col("cy"))
     boxed = cells.withColumns({"left": left, "right": right, "bottom": bottom, "top": top})
     own = F.filter("whole", lambda e: _touches(e, F.col("left"), F.col("right"), F.col("bottom"), F.col("top")))
-    cut = boxed.select("zone_id", "level", "cx", "cy", own.alias("edges"), corner().alias("corner"))
+    cut = boxed.select("zone_id", "level", "cx", "cy", own.alias("edges"), corner().alias("corner"), *kept)
     return cut.filter((F.size("edges") > 0) | F.col("corner"))
 
 
-def _sized(cells: DataFrame) -> tuple[int, int, list[int]]:
-    """Most edges of a cell, edges and cells in all, levels that occur (a few dozen at most)."""
-    most, total, levels = cells.agg(F.max(F.size("edges")), F.sum(F.size("edges") + F.lit(1)), F.collect_set("level")).first()
-    return most or 0, total or 0, sorted(levels)
+def _sized(cells: DataFrame) -> tuple[int, list[int]]:
+    """Edges and cells in all, levels that occur (a few dozen at most)."""
+    total, levels = cells.agg(F.sum(F.size("edges") + F.lit(1)), F.collect_set("level")).first()
+    return total or 0, sorted(levels)
+
+
+def _first_zones(cells: DataFrame) -> DataFrame:
+    """Without the zones that come after one that holds the whole cell; ``crowd``: edges left in a cell."""
+    cell = Window.partitionBy("level", "cx", "cy")
+    held = cells.withColumn("held", F.min(F.when(F.size("edges") == 0, F.col("zone_id"))).over(cell))
+    return held.filter(F.col("held").isNull() | (F.col("zone_id") <= F.col("held"))).drop("held").withColumn(
+        "crowd", F.sum(F.size("edges")).over(cell))
 
 
 def zone_cover(zones: DataFrame) -> DataFrame:
@@ -118,15 +132,15 @@ def zone_cover(zones: DataFrame) -> DataFrame:
 
 
 def sized_cover(zones: DataFrame) -> tuple[DataFrame, int, list[int]]:
-    """``zone_id``, ``level``, ``cx``, ``cy``, ``edges``, ``corner``: the cells that cover each zone;
-    their number with their edges, and their levels.
+    """``zone_id``, ``level``, ``cx``, ``cy``, ``edges``, ``corner``: the cells that cover each zone,
+    as far as it can be the first of a cell; their number with their edges, and their levels.
 
     Zones have a ``rings`` column (array of structs ``xs``, ``ys``), or ``xs`` and ``ys`` of one
-    ring. Every round of splits is written below the shared folder and read by the next; simple
-    zones need none."""
+    ring. Every round of splits is written below the shared folder and read by the next."""
     spark = zones.sparkSession
     rings = F.col("rings") if "rings" in zones.columns else F.array(F.struct("xs", "ys"))
-    whole = zones.select("zone_id", edges_of(rings).alias("whole")).filter(F.size("whole") > 0)
+    whole = zones.filter(F.col("zone_id").isNotNull()).select("zone_id", edges_of(rings).alias("whole")).filter(F.size("whole") > 0)
+    whole = whole.groupBy("whole").agg(F.min("zone_id").alias("zone_id"))  # deals the zones out, too
     low = lambda c: F.array_min(F.transform("whole", lambda e: e[c]))
     high = lambda c: F.array_max(F.transform("whole", lambda e: e[c]))
     bounds = whole.select("*", low("x1").alias("x0"), high("x1").alias("xn"), low("y1").alias("y0"), high("y1").alias("yn"))
@@ -136,28 +150,29 @@ def sized_cover(zones: DataFrame) -> tuple[DataFrame, int, list[int]]:
     lv = F.col("level")
     first = first.select("*", _span(_cell(F.col("x0"), ORIGIN_X, lv), _cell(F.col("xn"), ORIGIN_X, lv)).alias("cx")).select(
         "*", _span(_cell(F.col("y0"), ORIGIN_Y, lv), _cell(F.col("yn"), ORIGIN_Y, lv)).alias("cy"))
-    frontier = _cut(first, lambda: contains(F.col("right"), F.col("bottom"), F.col("whole")))
-    sized = _sized(frontier)
-    if sized[0] <= LEAF_EDGES:
-        return frontier, *sized[1:]
+    frontier = _cut(first, lambda: contains(F.col("right"), F.col("bottom"), F.col("whole"))).withColumn("tight", F.lit(False))
+    names = ["zone_id", "level", "cx", "cy", "edges", "corner"]
     pieces, used = [], scratch_path(spark, "zone-cover")
     for split in range(MAX_SPLITS + 1):
         path = f"{used}/{split}"
+        frontier = _first_zones(frontier)
         frontier.write.parquet(path)
         now = spark.read.schema(frontier.schema).parquet(path)
-        fine = F.lit(True) if split == MAX_SPLITS else F.size("edges") <= LEAF_EDGES
-        pieces.append(now.filter(fine))
+        crowded = (F.col("crowd") > CELL_EDGES) & ~F.col("tight")
+        fine = F.lit(True) if split == MAX_SPLITS else (F.size("edges") <= LEAF_EDGES) & ~crowded
+        pieces.append(now.filter(fine).select(names))
         rest = now.filter(~fine)
         if split == MAX_SPLITS or rest.isEmpty():
             break
         _, p_right, p_bottom, _ = _box(F.col("level"), F.col("cx"), F.col("cy"))
-        parts = rest.withColumns({"p_right": p_right, "p_bottom": p_bottom}).withColumnsRenamed({"edges": "whole", "corner": "p_corner"})
+        parts = rest.withColumns({"p_right": p_right, "p_bottom": p_bottom, "tight": F.col("tight") | crowded}).withColumnsRenamed(
+            {"edges": "whole", "corner": "p_corner"})
         n = F.lit((1 << STEP) - 1)
         parts = parts.select("*", _span(F.lit(0), n).alias("i")).select("*", _span(F.lit(0), n).alias("j")).withColumns(
             {"level": F.col("level") + STEP, "cx": F.shiftleft("cx", STEP) + F.col("i"), "cy": F.shiftleft("cy", STEP) + F.col("j")})
-        frontier = _cut(parts, lambda: cell_contains(F.col("right"), F.col("bottom"), F.col("whole"), F.col("p_corner"), F.col("p_right"), F.col("p_bottom")))
+        frontier = _cut(parts, lambda: cell_contains(F.col("right"), F.col("bottom"), F.col("whole"), F.col("p_corner"), F.col("p_right"), F.col("p_bottom")), "tight")
     cover = reduce(DataFrame.unionByName, pieces)
-    return cover, *_sized(cover)[1:]
+    return cover, *_sized(cover)
 
 
 def assign_zones(points: DataFrame, zones: DataFrame, x: str = "lon", y: str = "lat",

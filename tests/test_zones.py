@@ -76,3 +76,23 @@ def test_zones_after_the_first_hit_are_not_searched(spark):
     out = geo.assign_zones(points, table)
     assert {r.id: r.zone_id for r in out.collect()} == {1: "a", 2: "z00", 3: "z11", 4: None, 5: None}
     assert "array_min(transform(filter(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_zones_over_each_other_leave_few_in_a_cell(spark):
+    """Equal zones are one; of others only those that can be first in a cell stay."""
+    rng = random.Random(8)
+    zones = [(f"z{i:03d}", [ring(rng, rng.randint(5, 12), rng.uniform(-.5, .5), rng.uniform(-.5, .5), 4, 0.1)]) for i in range(150)]
+    copy = [ring(rng, 30, 20, 0, 2, 0.3)]
+    zones += [(f"c{i:03d}", copy) for i in range(100)] + [("a", [ring(rng, 30, 20, 0, 1, 0.3)]), (None, [ring(rng, 9, 20, 0, 9)])]
+    rng.shuffle(zones)
+    points = [(rng.uniform(-5, 5), rng.uniform(-5, 5)) for _ in range(600)] + [(rng.uniform(17, 23), rng.uniform(-3, 3)) for _ in range(300)]
+    table = spark.createDataFrame(zones, SCHEMA)
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)], "id int, lon double, lat double")
+    named = [z for z in zones if z[0] is not None]
+    for most in (10**9, -1):
+        got = {r.id: r.zone_id for r in geo.assign_zones(df, table, max_broadcast_edges=most).collect()}
+        assert got == {i: plain(named, x, y) for i, (x, y) in enumerate(points)}
+    cover = geo.zone_cover(table).groupBy("level", "cx", "cy").agg(F.count(F.lit(1)).alias("zones"), F.collect_set("zone_id").alias("ids")).collect()
+    assert not any(i > "c000" and i < "d" for r in cover for i in r.ids)
+    inner = sorted(r.zones for r in cover if any(i.startswith("z") for i in r.ids))
+    assert inner[len(inner) // 2] <= 10
